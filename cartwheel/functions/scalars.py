@@ -58,7 +58,7 @@ def lenient_bigint(c: str | Column) -> Column:
 
 def ustrip(c: str | Column) -> Column:
     """Strip Unicode white space at both ends (Python ``str.strip()``)."""
-    return F.regexp_replace(col_of(c), r"(?U)^" + _WS + r"+|" + _WS + r"+$", "")
+    return F.regexp_replace(col_of(c), r"(?U)^" + _WS + r"+|" + _WS + r"+\z", "")
 
 
 # ---- C1-C4: product cleaning -------------------------------------------------
@@ -171,7 +171,7 @@ def title_fallback(title: str | Column, text: str | Column, n: int = 120) -> Col
 def compose_review_text(title: str | Column, body: str | Column) -> Column:
     """C14: ``"title. body"`` stripped of blanks and dots at both ends."""
     joined = F.concat(F.coalesce(col_of(title), F.lit("")), F.lit(". "), F.coalesce(col_of(body), F.lit("")))
-    return F.regexp_replace(joined, r"^[ .]+|[ .]+$", "")
+    return F.regexp_replace(joined, r"^[ .]+|[ .]+\z", "")
 
 
 def epoch_ms_to_ts(c: str | Column) -> Column:

@@ -72,3 +72,10 @@ def ensure_checkpointing(spark: SparkSession) -> str:
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(path)
     return path
+
+
+def scratch_dir(spark: SparkSession, name: str) -> str:
+    """A fresh folder under the shared checkpoint folder for staged files."""
+    import uuid
+    base = checkpoint_dir(spark, allow_local_fallback=spark.sparkContext.master.startswith("local"))
+    return f"{base.rstrip('/')}/cartwheel-scratch/{name}-{uuid.uuid4().hex[:12]}"
