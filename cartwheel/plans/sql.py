@@ -19,9 +19,19 @@ PRODUCTS_DDL = """
 """
 
 
-def register_table(spark: SparkSession, name: str, path: str, ddl: str = PRODUCTS_DDL) -> DataFrame:
-    """Idempotent external table over staged Parquet (schema-on-read)."""
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({ddl}) USING parquet LOCATION '{path}'")
+def register_table(spark: SparkSession, name: str, path: str, ddl: str | None = PRODUCTS_DDL,
+                   partitioned_by: list[str] | None = None) -> DataFrame:
+    """Idempotent external table over staged Parquet.
+
+    With ``ddl=None`` the schema (and Hive-style partition folders) is read
+    from the files.
+    """
+    cols = f"({ddl})" if ddl else ""
+    parts = f"PARTITIONED BY ({', '.join(partitioned_by)})" if partitioned_by else ""
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} {cols} USING parquet {parts} LOCATION '{path}'")
+    if any(c.isPartition for c in spark.catalog.listColumns(name)):
+        # Partition folders are registered in the catalog (metadata only).
+        spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
     return spark.table(name)
 
 
