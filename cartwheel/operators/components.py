@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import math
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -31,12 +32,13 @@ def _acos(c):
 def threshold_pairs(corpus: DataFrame, threshold: float, id_col: str = "id", vec: str = "embedding",
                     n_cells: int | None = None, seed: int = 7, slack: float = 1e-9) -> DataFrame:
     """All pairs (a < b) with cosine ≥ ``threshold``: columns a, b, cos."""
-    unit = corpus.select(id_col, S.l2_normalize(vec, as_float=False).alias("_v"))
+    # The unit vectors feed the k-means fit, the cell radii and both sides of the probe join.
+    unit = corpus.select(id_col, S.l2_normalize(vec, as_float=False).alias("_v")).persist(StorageLevel.MEMORY_AND_DISK)
     indexed, cents = build_ivf(unit, n_cells, "_v", seed=seed)
     indexed = indexed.withColumn("_ang", _acos(F.col("cell_cos")))
     radius = indexed.groupBy("cell").agg(F.max("_ang").alias("radius"))
-    rows = [{"cell": int(r["cell"]), "c": [float(x) for x in r["centroid"]], "r": float(r["radius"] or 0.0)}
-            for r in cents.join(radius, "cell", "inner").orderBy("cell").collect()]
+    radii = {int(r["cell"]): float(r["radius"] or 0.0) for r in radius.collect()}  # one row per cell
+    rows = [dict(c, r=radii[c["cell"]]) for c in cents if c["cell"] in radii]
     lit = literal_rows(rows, "cell:int,c:array<double>,r:double")
     alpha = math.acos(max(-1.0, min(1.0, threshold)))
     cand = F.filter(lit, lambda c: _acos(S.dot(c["c"], F.col("_v"))) <= c["r"] + F.lit(alpha + slack))
@@ -74,6 +76,13 @@ def small_star(edges: DataFrame) -> DataFrame:
     return _norm_edges(out, "x", "y")
 
 
+def _fingerprint(edges: DataFrame) -> tuple:
+    """Order-independent digest of an edge set (count and two hash sums), one small job."""
+    r = edges.agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("u", "v").bitwiseAND(F.lit(0xFFFFFFFF))).alias("h1"),
+                  F.sum(F.hash("v", "u").cast("bigint")).alias("h2")).first()
+    return (r["n"], r["h1"], r["h2"])
+
+
 def connected_components(edges: DataFrame, src: str = "a", dst: str = "b", max_rounds: int = 64) -> DataFrame:
     """Component of every node that occurs in ``edges``: (node, component = smallest node id).
 
@@ -82,12 +91,13 @@ def connected_components(edges: DataFrame, src: str = "a", dst: str = "b", max_r
     """
     ensure_checkpointing(edges.sparkSession)
     e = _norm_edges(edges, src, dst).checkpoint(eager=True)
+    seen = _fingerprint(e)
     for _ in range(max_rounds):
-        nxt = small_star(large_star(e)).checkpoint(eager=True)
-        changed = nxt.exceptAll(e).limit(1).count() + e.exceptAll(nxt).limit(1).count()
-        e = nxt
-        if changed == 0:
+        e = small_star(large_star(e)).checkpoint(eager=True)
+        now = _fingerprint(e)
+        if now == seen:
             break
+        seen = now
     adj = _both(e)
     return adj.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("component")) \
         .select(F.col("a").alias("node"), "component")

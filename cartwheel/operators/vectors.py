@@ -159,27 +159,32 @@ def search_in_category(queries: DataFrame, corpus: DataFrame, k: int = 5, catego
 
 # ---- E3/E5: IVF index ----------------------------------------------------------
 
-def fit_cells(corpus: DataFrame, n_cells: int, vec: str = "embedding", seed: int = 7, max_iter: int = 20):
-    """K-means centroids over the whole corpus (MLlib, distributed). Returns the model."""
+def fit_cells(corpus: DataFrame, n_cells: int, vec: str = "embedding", seed: int = 7, max_iter: int = 5):
+    """K-means centroids over the whole corpus (MLlib, distributed). Returns the model.
+
+    Cells only partition the corpus (search re-ranks exactly), so a few Lloyd
+    iterations from a random start are enough.
+    """
     data = corpus.select(array_to_vector(vec).alias("features"))
-    return KMeans(k=n_cells, seed=seed, maxIter=max_iter, initSteps=2).fit(data)
+    return KMeans(k=n_cells, seed=seed, maxIter=max_iter, initMode="random").fit(data)
 
 
-def centroid_frame(spark, model) -> DataFrame:
-    """Unit-normalised centroids as (cell, centroid array) — size n_cells × dim, bounded by construction."""
-    rows = [(i, [float(x) for x in c]) for i, c in enumerate(model.clusterCenters())]
-    df = spark.createDataFrame(rows, "cell int, centroid array<double>")
-    return df.withColumn("centroid", S.l2_normalize("centroid", as_float=False))
+def centroids_of(model) -> list[dict]:
+    """Unit-normalised centroids of a fitted model: [{cell, c}] — n_cells × dim values, capped by ``max_cells``."""
+    out = []
+    for i, c in enumerate(model.clusterCenters()):
+        v = [float(x) for x in c]
+        norm = math.sqrt(sum(x * x for x in v)) or 1.0
+        out.append({"cell": i, "c": [x / norm for x in v]})
+    return out
 
 
-def centroid_literal(centroids: DataFrame) -> Column:
-    """Centroids as one constant array of (cell, c); their count is capped by ``max_cells``."""
-    rows = [{"cell": int(r["cell"]), "c": [float(x) for x in r["centroid"]]}
-            for r in centroids.orderBy("cell").collect()]
-    return literal_rows(rows, "cell:int,c:array<double>")
+def centroid_literal(centroids: list[dict]) -> Column:
+    """Centroids as one constant array of (cell, c)."""
+    return literal_rows(centroids, "cell:int,c:array<double>")
 
 
-def assign_cells(corpus: DataFrame, centroids: DataFrame, vec: str = "embedding") -> DataFrame:
+def assign_cells(corpus: DataFrame, centroids: list[dict], vec: str = "embedding") -> DataFrame:
     """Nearest centroid by cosine; adds ``cell`` and ``cell_cos``. Centroids are inlined (bounded)."""
     arr = centroid_literal(centroids)
     best = F.aggregate(
@@ -191,17 +196,16 @@ def assign_cells(corpus: DataFrame, centroids: DataFrame, vec: str = "embedding"
 
 
 def build_ivf(corpus: DataFrame, n_cells: int | None = None, vec: str = "embedding", max_cells: int = 1024,
-              seed: int = 7) -> tuple[DataFrame, DataFrame]:
-    """(indexed corpus with ``cell``, centroids). ``n_cells`` defaults to √n, capped."""
+              seed: int = 7) -> tuple[DataFrame, list[dict]]:
+    """(indexed corpus with ``cell``, centroids). ``n_cells`` defaults to √n, capped at ``max_cells``."""
     if n_cells is None:
         n = corpus.count()
         n_cells = max(1, min(max_cells, int(math.sqrt(max(n, 1)))))
-    model = fit_cells(corpus, n_cells, vec, seed)
-    cents = centroid_frame(corpus.sparkSession, model)
+    cents = centroids_of(fit_cells(corpus, n_cells, vec, seed))
     return assign_cells(corpus, cents, vec), cents
 
 
-def knn_ann(queries: DataFrame, indexed: DataFrame, centroids: DataFrame, k: int = 5, nprobe: int = 4,
+def knn_ann(queries: DataFrame, indexed: DataFrame, centroids: list[dict], k: int = 5, nprobe: int = 4,
             qid: str = "qid", qvec: str = "qvec", id_col: str = "id", vec: str = "embedding") -> DataFrame:
     """E5: probe the ``nprobe`` nearest cells per query, re-rank their members exactly, keep ``k``.
 
