@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cartwheel.functions import scalars as S
+from cartwheel.operators import quantiles as QT
 
 # Reference rounding (digits) of each summary; callers may ask for more.
 CATEGORY_STATS_DIGITS = {"price_mean": 2, "avg_discount_pct": 2, "avg_rating": 3}
@@ -35,16 +36,23 @@ def category_stats(products: DataFrame, key: str | None = None, *, price: str =
     aggs = [F.count(F.lit(1)).alias("product_count")]
     if price in cols:
         aggs += [F.min(price).alias("price_min"), F.max(price).alias("price_max"),
-                 _round(F.avg(price), d["price_mean"]).alias("price_mean"),
-                 _round(F.median(price), median_digits).alias("price_median")]
+                 _round(F.avg(price), d["price_mean"]).alias("price_mean")]
     if pct in cols:
         aggs.append(_round(F.avg(pct), d["avg_discount_pct"]).alias("avg_discount_pct"))
     if rating in cols:
         aggs.append(_round(F.avg(rating), d["avg_rating"]).alias("avg_rating"))
     if count in cols:
         aggs.append(F.sum(count).alias("total_ratings"))
-    return (products.where(F.col(key).isNotNull()).groupBy(key).agg(*aggs)
-            .orderBy(F.desc("product_count"), F.asc(key)))
+    keyed = products.where(F.col(key).isNotNull())
+    out = keyed.groupBy(key).agg(*aggs)
+    if price in cols:
+        # Exact interpolated median without buffering a whole group (see operators.quantiles).
+        med = QT.median_by(keyed, price, [key], "price_median")
+        out = out.join(med.select(key, _round(F.col("price_median"), median_digits).alias("price_median")), key,
+                       "left")
+        head = ["product_count", "price_min", "price_max", "price_mean", "price_median"]
+        out = out.select(key, *head, *[c for c in out.columns if c not in head and c != key])
+    return out.orderBy(F.desc("product_count"), F.asc(key))
 
 
 def avg_discount_by_category(products: DataFrame, key: str = "source_category", pct: str = "discount_pct",
@@ -64,8 +72,11 @@ def avg_discount_by_category(products: DataFrame, key: str = "source_category",
 def subcategory_top(products: DataFrame, source: str = "source_category", sub: str = "sub_category",
                     price: str = "discount_price", top: int = 20, digits: int = 0) -> DataFrame:
     """A4 + C21: count and median price per (source, sub); the ``top`` largest with bar labels."""
-    g = (products.where(F.col(sub).isNotNull()).groupBy(source, sub)
-         .agg(F.count(F.lit(1)).alias("count"), F.round(F.median(price), digits).alias("median_price"))
+    keyed = products.where(F.col(sub).isNotNull())
+    counts = keyed.groupBy(source, sub).agg(F.count(F.lit(1)).alias("count"))
+    med = QT.median_by(keyed, price, [source, sub], "median_price")
+    g = (counts.join(med, [source, sub], "left")
+         .select(source, sub, "count", F.round("median_price", digits).alias("median_price"))
          .orderBy(F.desc("count"), F.asc(source), F.asc(sub)).limit(top))
     return g.withColumn("label", S.bar_label(source, sub, 35))
 

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cartwheel.functions import scalars as S
+from cartwheel.operators.quantiles import grouped_quantiles
 
 
 def _edge(lo: Column, hi: Column, i: Column, bins: int) -> Column:
@@ -93,10 +94,9 @@ def star_distribution(reviews: DataFrame, group: str = "category", rating: str =
 
 def percentile_bounds(df: DataFrame, value: str, lo_pct: float = 1.0, hi_pct: float = 99.0,
                       pad: float = 0.03, digits: int | None = None) -> DataFrame:
-    """Exact interpolated percentiles of ``value`` padded by ``pad`` of their span."""
-    q = df.agg(F.percentile(F.col(value).cast("double"), F.array(F.lit(lo_pct / 100.0), F.lit(hi_pct / 100.0)))
-               .alias("q"))
-    lo, hi = F.col("q")[0], F.col("q")[1]
+    """Exact interpolated percentiles of ``value`` padded by ``pad`` of their span (one row)."""
+    q = grouped_quantiles(df, value, [], [lo_pct / 100.0, hi_pct / 100.0], names=["_lo", "_hi"])
+    lo, hi = F.col("_lo"), F.col("_hi")
     span = (hi - lo) * F.lit(pad)
     out = [lo - span, hi + span]
     if digits is not None:
