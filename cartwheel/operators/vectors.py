@@ -20,6 +20,7 @@ import math
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import HashingTF, Normalizer
 from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -128,12 +129,23 @@ def knn_exact(queries: DataFrame, corpus: DataFrame, k: int = 5, qid: str = "qid
 
 def label_centroids(corpus: DataFrame, label: str = "label", vec: str = "embedding",
                     out: str = "qvec") -> DataFrame:
-    """Unit-normalised mean vector per label (a query set derived from the corpus)."""
-    e = corpus.select(label, F.posexplode(vec).alias("i", "x"))
-    m = e.groupBy(label, "i").agg(F.avg(F.col("x").cast("double")).alias("m"))
-    arr = m.groupBy(label).agg(F.sort_array(F.collect_list(F.struct("i", "m"))).alias("_a"))
-    return arr.select(F.col(label).alias("qid"), S.l2_normalize(F.transform("_a", lambda s: s["m"]), as_float=False)
-                      .alias(out))
+    """Unit-normalised mean vector per label (a query set derived from the corpus).
+
+    Vector means are MLlib ``Summarizer`` aggregates: partial per task, merged per label.
+    """
+    m = corpus.groupBy(label).agg(Summarizer.mean(array_to_vector(vec)).alias("_m"))
+    return m.select(F.col(label).alias("qid"),
+                    S.l2_normalize(vector_to_array("_m", "float64"), as_float=False).alias(out))
+
+
+def write_vector_table(indexed: DataFrame, path: str) -> DataFrame:
+    """S10 + E3: the indexed vectors written partitioned by ``cell``; returns the table as read back.
+
+    A probe that joins on ``cell`` then reads only the probed cells'
+    folders (dynamic partition pruning) — the cell column is the index.
+    """
+    indexed.write.mode("overwrite").partitionBy("cell").parquet(path)
+    return indexed.sparkSession.read.parquet(path)
 
 
 def query_frame(spark, texts: list[str], dim: int = 64, prefix: str = "") -> DataFrame:

@@ -12,6 +12,7 @@ from cartwheel.operators import topics as T
 from cartwheel.operators import vectors as VX
 from cartwheel.plans import views as V
 from cartwheel.plans.registry import CAT_LIST, D6, DEFAULT_CATEGORIES, dash_reviews, register, with_dash
+from cartwheel.session import scratch_dir
 from cartwheel.sources import parquet as P
 
 EV_SQL = """ev AS (SELECT vec_id, label, CAST(x AS DOUBLE) AS x, i FROM
@@ -57,7 +58,8 @@ def q_search_in_category(spark, sf):
 def q_knn_ann(spark, sf):
     c = corpus(spark, sf)
     indexed, cents = VX.build_ivf(c)
-    return VX.knn_ann(VX.label_centroids(c), indexed, cents, k=5, nprobe=4)
+    table = VX.write_vector_table(indexed.drop("cell_cos"), f"{scratch_dir(spark, 'ivf')}/vectors")
+    return VX.knn_ann(VX.label_centroids(c), table, cents, k=5, nprobe=4)
 
 
 @register("search_batch")
