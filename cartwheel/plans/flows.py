@@ -128,3 +128,47 @@ def panel_counts(panels: dict[str, DataFrame]) -> DataFrame:
     for f in frames[1:]:
         out = out.unionByName(f)
     return out
+
+
+# ---- X3: review flow ----------------------------------------------------------------
+
+def reviews_flow(spark: SparkSession, paths: dict[str, str], out_folder: str, dim: int = 64, n_topics: int = 10,
+                 k: int = 5, max_rows: int | None = None) -> dict[str, DataFrame]:
+    """S4 → W3 → C10… → F6 → F7 → C7 → {A5 → S7, E2 → S10 → E6/E7, E11 → E9 → E13/E14 → E18 → E17}.
+
+    Reviews are persisted once (X1) and feed every branch; the vector table is
+    written partitioned by IVF cell, the monthly series as Parquet.
+    """
+    from cartwheel.operators import topics as T
+    from cartwheel.operators import vectors as VX
+    from cartwheel.sources import jsonl as J
+
+    reviews = J.load_reviews(spark, paths, max_rows=max_rows).persist(StorageLevel.MEMORY_AND_DISK)
+    docs = J.review_docs(reviews)
+    monthly = A.monthly_sentiment(reviews, ts="timestamp")
+    P.write_monthly(monthly, f"{out_folder}/monthly")
+    vecs = VX.hash_embed(docs.select("id", F.col("review_text").alias("text")), dim=dim)
+    rows = P.vector_rows(docs, vecs)
+    indexed, cents = VX.build_ivf(rows)
+    table = VX.write_vector_table(indexed.drop("cell_cos"), f"{out_folder}/vectors")
+    queries = VX.query_frame(spark, VX.SEARCH_QUERIES, dim=dim)
+    cat_queries = VX.query_frame(spark, [q for _, q in VX.CATEGORY_QUERIES], dim=dim).withColumn(
+        "q_category", F.element_at(F.array(*[F.lit(c) for c, _ in VX.CATEGORY_QUERIES]),
+                                   (F.col("qid") + 1).cast("int")))
+    topics = T.kmeans_topics(table.select("id", "embedding"), k=n_topics)
+    coords = T.pca_map(topics.select("id", "embedding", "topic", "strength"), k=2)
+    labelled = docs.join(topics.select("id", "topic"), "id")
+    info = T.topic_info(labelled.select("topic", F.col("review_text").alias("text")))
+    points = T.review_topic_points(docs.withColumnRenamed("id", "review_id"),
+                                   coords.withColumnRenamed("id", "review_id"), info, key="review_id")
+    return {
+        "reviews": reviews,
+        "monthly": spark.read.parquet(f"{out_folder}/monthly"),
+        "vectors": table,
+        "search": VX.knn_exact(queries, table, k=k),
+        "category_search": VX.search_in_category(cat_queries, table, k=k),
+        "topics": topics,
+        "review_points": points,
+        "document_map": T.document_map(points, docs.select(F.col("id").alias("review_id"),
+                                                            F.col("review_text").alias("text")), "review_id"),
+    }

@@ -146,3 +146,27 @@ def q_flow_dashboard(spark, sf):
     reviews = dash_reviews(spark, sf).join(docs, "doc_id", "left")
     panels = FW.dashboard(dash_products(spark, sf), reviews, FW.DashboardParams(**DASH_PARAMS))
     return FW.panel_counts(panels)
+
+
+# ---- X3: review flow ----------------------------------------------------------------------
+
+def _reviews_flow_oracle() -> str:
+    from cartwheel.plans.registry_io import _jsonl_expected
+    kept = _jsonl_expected()
+    body = kept[kept.index("WITH ") + 5:]
+    ctes, final = body.rsplit("SELECT category, CAST(ordinal", 1)
+    kept_sql = "SELECT category, CAST(ordinal" + final
+    n = f"(SELECT count(*) FROM ({kept_sql}) k)"
+    months = (f"(SELECT count(*) FROM (SELECT DISTINCT category, date_trunc('month', timestamp) FROM ({kept_sql}) k) m)")
+    return (f"WITH {ctes.rstrip().rstrip(',')}\n"
+            f"SELECT 'reviews' AS panel, {n} AS rows UNION ALL SELECT 'monthly', {months} "
+            f"UNION ALL SELECT 'vectors', {n} UNION ALL SELECT 'search', 40 UNION ALL SELECT 'category_search', 0 "
+            f"UNION ALL SELECT 'topics', {n} UNION ALL SELECT 'review_points', {n} UNION ALL SELECT 'document_map', {n}")
+
+
+@register("flow_reviews", _reviews_flow_oracle())
+def q_flow_reviews(spark, sf):
+    docs = V.table(spark, sf, "documents")
+    folder = scratch_dir(spark, "flow-reviews")
+    paths = FX.write_review_files(docs, f"{folder}/in")
+    return FW.panel_counts(FW.reviews_flow(spark, paths, f"{folder}/out"))
