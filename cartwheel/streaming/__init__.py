@@ -1,0 +1,9 @@
+"""Streaming.
+
+The reference has no streaming operator: no unbounded source, watermark,
+trigger, state or late-data rule (SURVEY §2.10). Its only time bucketing is a
+batch calendar month (A5/A6, ``operators.aggregates``). Nothing is built here;
+the batch operators are plain DataFrame functions, so a caller who needs
+incremental ingestion can apply them inside ``foreachBatch`` of a file-source
+stream without new operators.
+"""
