@@ -3,13 +3,15 @@
 ``threshold_pairs`` finds every pair with cosine ≥ t exactly, using the IVF
 cells only to prune: a point probes a cell only when the triangle inequality
 on angles allows a member within the threshold (angle to the centroid minus
-the cell's radius). The probe is an equi-join on cell; each true pair is
-produced once (from its smaller id).
+the cell's radius). Probers and members meet by cell in hash-salted blocks
+of bounded size, where NumPy scores them as one matrix product; each true
+pair is produced once (from its smaller id).
 
 ``connected_components`` alternates large-star and small-star rounds on the
 edge list (Kiveris et al., 2014). Each round is a few grouped aggregates and
 joins; the edge list is checkpointed into the shared checkpoint folder after
-every round, so lineage stays short and a lost executor recomputes one round.
+every round, so plans and lineage stay short and a lost executor recomputes
+one round.
 """
 
 from __future__ import annotations
@@ -21,33 +23,116 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cartwheel.functions import scalars as S
-from cartwheel.operators.vectors import build_ivf, literal_rows
 from cartwheel.session import ensure_checkpointing
 
 
-def _acos(c):
-    return F.acos(F.least(F.greatest(c, F.lit(-1.0)), F.lit(1.0)))
+def _unit_matrix(series) -> "np.ndarray":
+    import numpy as np
+    if len(series) == 0:
+        return np.zeros((0, 0))
+    return np.stack([np.asarray(v, dtype=np.float64) for v in series])
+
+
+def _assign(centroids: "np.ndarray"):
+    """mapInPandas: nearest centroid and the angle to it, for unit vectors (NumPy, batch-wise)."""
+    import numpy as np
+    import pandas as pd
+
+    def run(batches):
+        for pdf in batches:
+            if pdf.empty:
+                continue
+            x = _unit_matrix(pdf["_v"])
+            cos = x @ centroids.T
+            cell = cos.argmax(axis=1)
+            best = np.clip(cos[np.arange(len(cell)), cell], -1.0, 1.0)
+            yield pd.DataFrame({"id": pdf["id"].to_numpy(), "_v": pdf["_v"], "cell": cell.astype("int32"),
+                                "_ang": np.arccos(best)})
+    return run
+
+
+def _probe(centroids: "np.ndarray", reach: "np.ndarray"):
+    """mapInPandas: every cell a point must probe — angle to centroid ≤ cell radius + threshold angle."""
+    import numpy as np
+    import pandas as pd
+
+    def run(batches):
+        for pdf in batches:
+            if pdf.empty:
+                continue
+            x = _unit_matrix(pdf["_v"])
+            ang = np.arccos(np.clip(x @ centroids.T, -1.0, 1.0))
+            rows, cells = np.nonzero(ang <= reach[None, :])
+            yield pd.DataFrame({"a": pdf["id"].to_numpy()[rows], "va": pdf["_v"].to_numpy()[rows],
+                                "cell": cells.astype("int32")})
+    return run
+
+
+def _block_pairs(threshold: float):
+    """cogroup applyInPandas: one (cell, member block, probe block); P×M dot products, pairs ≥ threshold."""
+    import numpy as np
+    import pandas as pd
+
+    def run(probes, members):
+        if probes.empty or members.empty:
+            return pd.DataFrame({"a": [], "b": [], "cos": []}).astype({"a": "int64", "b": "int64"})
+        sim = _unit_matrix(probes["va"]) @ _unit_matrix(members["vb"]).T
+        a = probes["a"].to_numpy()
+        b = members["b"].to_numpy()
+        i, j = np.nonzero((sim >= threshold) & (a[:, None] < b[None, :]))
+        return pd.DataFrame({"a": a[i].astype("int64"), "b": b[j].astype("int64"), "cos": sim[i, j]})
+    return run
+
+
+def _lookup(values: list[int], key: str) -> "F.Column":
+    """Per-cell integer from a short list indexed by cell (one entry per cell)."""
+    return F.element_at(F.array(*[F.lit(int(v)) for v in values]), F.col(key) + F.lit(1))
 
 
 def threshold_pairs(corpus: DataFrame, threshold: float, id_col: str = "id", vec: str = "embedding",
-                    n_cells: int | None = None, seed: int = 7, slack: float = 1e-9) -> DataFrame:
-    """All pairs (a < b) with cosine ≥ ``threshold``: columns a, b, cos."""
-    # The unit vectors feed the k-means fit, the cell radii and both sides of the probe join.
-    unit = corpus.select(id_col, S.l2_normalize(vec, as_float=False).alias("_v")).persist(StorageLevel.MEMORY_AND_DISK)
-    indexed, cents = build_ivf(unit, n_cells, "_v", seed=seed)
-    indexed = indexed.withColumn("_ang", _acos(F.col("cell_cos")))
-    radius = indexed.groupBy("cell").agg(F.max("_ang").alias("radius"))
-    radii = {int(r["cell"]): float(r["radius"] or 0.0) for r in radius.collect()}  # one row per cell
-    rows = [dict(c, r=radii[c["cell"]]) for c in cents if c["cell"] in radii]
-    lit = literal_rows(rows, "cell:int,c:array<double>,r:double")
+                    n_cells: int | None = None, seed: int = 7, slack: float = 1e-9, block: int = 1024,
+                    max_cells: int = 1024) -> DataFrame:
+    """All pairs (a < b) with cosine ≥ ``threshold``: columns a, b, cos.
+
+    Exact: IVF cells only prune (triangle inequality on angles). Candidate
+    pairs are scored as dense blocks with NumPy — each cell's members and its
+    probers are split by a hash of the id into blocks of at most ``block``
+    rows, so no task holds more than ``block × block`` scores however large
+    a cell is, and only pairs at or above the threshold leave the task.
+    """
+    import numpy as np
+
+    from cartwheel.operators.vectors import centroids_of, fit_cells
+
+    spark = corpus.sparkSession
+    # Unit vectors feed the k-means fit, the assignment, the probes and the member side.
+    unit = corpus.select(F.col(id_col).cast("bigint").alias("id"),
+                         S.l2_normalize(vec, as_float=False).alias("_v")).persist(StorageLevel.MEMORY_AND_DISK)
+    if n_cells is None:
+        n_cells = max(1, min(max_cells, int(math.sqrt(max(unit.count(), 1)))))
+    cents = centroids_of(fit_cells(unit, n_cells, "_v", seed))
+    c = np.array([x["c"] for x in cents], dtype=np.float64)
+    k = len(cents)
+    assigned = unit.mapInPandas(_assign(c), "id bigint, _v array<double>, cell int, _ang double") \
+        .persist(StorageLevel.MEMORY_AND_DISK)
+    stats = {int(r["cell"]): (float(r["radius"]), int(r["n"])) for r in
+             assigned.groupBy("cell").agg(F.max("_ang").alias("radius"), F.count(F.lit(1)).alias("n")).collect()}
     alpha = math.acos(max(-1.0, min(1.0, threshold)))
-    cand = F.filter(lit, lambda c: _acos(S.dot(c["c"], F.col("_v"))) <= c["r"] + F.lit(alpha + slack))
-    probes = indexed.select(F.col(id_col).alias("a"), F.col("_v").alias("va"),
-                            F.explode(F.transform(cand, lambda c: c["cell"])).alias("cell"))
-    members = indexed.select(F.col(id_col).alias("b"), F.col("_v").alias("vb"), "cell")
-    pairs = probes.join(members, on="cell", how="inner").where(F.col("a") < F.col("b"))
-    pairs = pairs.select("a", "b", S.dot("va", "vb").alias("cos"))
-    return pairs.where(F.col("cos") >= F.lit(threshold))
+    # Empty cells get a negative reach, so nobody probes them.
+    reach = np.array([stats[i][0] + alpha + slack if i in stats else -1.0 for i in range(k)])
+    probes = assigned.mapInPandas(_probe(c, reach), "a bigint, va array<double>, cell int")
+    probers = {int(r["cell"]): int(r["n"]) for r in probes.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).collect()}
+    m_blocks = [max(1, -(-stats.get(i, (0.0, 0))[1] // block)) for i in range(k)]
+    p_blocks = [max(1, -(-probers.get(i, 0) // block)) for i in range(k)]
+    # Both sides must key blocks with the same types, or equal keys would not meet.
+    p_side = (probes.withColumn("psalt", F.pmod(F.xxhash64("a", F.lit(11)), _lookup(p_blocks, "cell")).cast("int"))
+              .withColumn("msalt", F.explode(F.sequence(F.lit(0), (_lookup(m_blocks, "cell") - 1).cast("int")))))
+    m_side = (assigned.select(F.col("id").alias("b"), F.col("_v").alias("vb"), "cell")
+              .withColumn("msalt", F.pmod(F.xxhash64("b", F.lit(13)), _lookup(m_blocks, "cell")).cast("int"))
+              .withColumn("psalt", F.explode(F.sequence(F.lit(0), (_lookup(p_blocks, "cell") - 1).cast("int")))))
+    keys = ["cell", "msalt", "psalt"]
+    return (p_side.groupBy(*keys).cogroup(m_side.groupBy(*keys))
+            .applyInPandas(_block_pairs(threshold), "a bigint, b bigint, cos double"))
 
 
 def _norm_edges(df: DataFrame, x: str, y: str) -> DataFrame:
@@ -93,6 +178,8 @@ def connected_components(edges: DataFrame, src: str = "a", dst: str = "b", max_r
     e = _norm_edges(edges, src, dst).checkpoint(eager=True)
     seen = _fingerprint(e)
     for _ in range(max_rounds):
+        # Each round reads its input several times, so the plan must be cut every round
+        # (checkpoint into the shared folder); the fingerprint then reads the written files.
         e = small_star(large_star(e)).checkpoint(eager=True)
         now = _fingerprint(e)
         if now == seen:

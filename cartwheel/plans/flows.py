@@ -155,12 +155,14 @@ def reviews_flow(spark: SparkSession, paths: dict[str, str], out_folder: str, di
     cat_queries = VX.query_frame(spark, [q for _, q in VX.CATEGORY_QUERIES], dim=dim).withColumn(
         "q_category", F.element_at(F.array(*[F.lit(c) for c, _ in VX.CATEGORY_QUERIES]),
                                    (F.col("qid") + 1).cast("int")))
-    topics = T.kmeans_topics(table.select("id", "embedding"), k=n_topics)
+    # Topic assignments and map points feed several panels: keep each once.
+    topics = T.kmeans_topics(table.select("id", "embedding"), k=n_topics).persist(StorageLevel.MEMORY_AND_DISK)
     coords = T.pca_map(topics.select("id", "embedding", "topic", "strength"), k=2)
     labelled = docs.join(topics.select("id", "topic"), "id")
     info = T.topic_info(labelled.select("topic", F.col("review_text").alias("text")))
     points = T.review_topic_points(docs.withColumnRenamed("id", "review_id"),
-                                   coords.withColumnRenamed("id", "review_id"), info, key="review_id")
+                                   coords.withColumnRenamed("id", "review_id"), info,
+                                   key="review_id").persist(StorageLevel.MEMORY_AND_DISK)
     return {
         "reviews": reviews,
         "monthly": spark.read.parquet(f"{out_folder}/monthly"),

@@ -8,9 +8,11 @@ import pytest
 import __spark_entry__ as E
 from tests.conftest import SF_SMALL
 
-PYTHON_NODES = ("BatchEvalPython", "ArrowEvalPython", "MapInPandas", "FlatMapGroupsInPandas", "PythonMapInArrow")
-# Keys whose plan may run Python: the Gram-matrix blocks of the topic similarity (NumPy inside tasks).
-PYTHON_ALLOWED = {"topic_similarity"}
+PYTHON_NODES = ("BatchEvalPython", "ArrowEvalPython", "MapInPandas", "FlatMapGroupsInPandas",
+                "FlatMapCoGroupsInPandas", "PythonMapInArrow")
+# Keys whose plan may run Python: dense linear algebra in bounded blocks with NumPy inside tasks —
+# the topic Gram matrix and the exact cosine-threshold pair scoring (components, DBSCAN).
+PYTHON_ALLOWED = {"topic_similarity", "threshold_components", "density_topics"}
 
 
 def plan(df) -> str:
