@@ -92,34 +92,71 @@ def literal_rows(rows: list[dict], ddl: str) -> Column:
     return F.from_json(F.lit(json.dumps(rows)), f"array<struct<{ddl}>>")
 
 
+def _batch_topk(qids: list, qvecs: "np.ndarray", qcats: list | None, k: int, id_col: str, vec: str,
+                cat_col: str | None):
+    """mapInPandas: score one Arrow batch against every query (one matrix product) and keep,
+    per query, the ``k`` best rows of the batch by (score desc, id asc)."""
+    import numpy as np
+    import pandas as pd
+
+    def run(batches):
+        for pdf in batches:
+            pdf = pdf[pdf[vec].notna()]
+            if pdf.empty:
+                continue
+            x = np.stack([np.asarray(v, dtype=np.float64) for v in pdf[vec]])
+            scores = x @ qvecs.T
+            ids = np.asarray(pdf[id_col].tolist())  # ints or strings; both sort like Spark's order
+            cats = pdf[cat_col].to_numpy() if cat_col else None
+            out_q, out_id, out_s = [], [], []
+            for j, q in enumerate(qids):
+                rows = np.arange(len(ids)) if cats is None else np.nonzero(cats == qcats[j])[0]
+                if len(rows) == 0:
+                    continue
+                order = rows[np.lexsort((ids[rows], -scores[rows, j]))[:k]]
+                out_q += [q] * len(order)
+                out_id.append(ids[order])
+                out_s.append(scores[order, j])
+            if out_q:
+                yield pd.DataFrame({"qid": out_q, id_col: np.concatenate(out_id), "score": np.concatenate(out_s)})
+    return run
+
+
 def knn_exact(queries: DataFrame, corpus: DataFrame, k: int = 5, qid: str = "qid", qvec: str = "qvec",
               id_col: str = "id", vec: str = "embedding", digits: int | None = None,
               max_values: int = MAX_INLINE_VALUES, q_category: str | None = None,
               category: str | None = None) -> DataFrame:
     """E4 (J7): for each query the ``k`` corpus rows with the highest dot product (cosine on unit vectors).
 
-    With ``q_category``/``category`` a query only scores corpus rows of its own
-    category. Output: qid, id, score, rank. Ties broken by id.
+    The corpus is read once: every Arrow batch is scored against the whole
+    (bounded) query block with one NumPy matrix product, and only the batch's
+    best ``k`` rows per query leave the task; the final ``row_number() <= k``
+    per query merges those partial lists (exact, ties broken by id).
+    With ``q_category``/``category`` a query only scores rows of its own
+    category. Output: qid, id, score, rank.
     """
+    import numpy as np
+
     qid_type = queries.schema[qid].dataType.simpleString()
+    id_type = corpus.schema[id_col].dataType.simpleString()
     cols = [qid] + ([q_category] if q_category else [])
-    ddl = f"qid:{qid_type},qv:array<double>" + (",cat:string" if q_category else "")
+    schema = f"qid {qid_type}, {id_col} {id_type}, score double"
     parts = []
+    src = corpus.select(id_col, vec,
+                        *([F.col(category).cast("string").alias("_cat")] if q_category else []))
     for block in _inline_blocks(queries, cols, qvec, max_values):
         if not block:
             continue
-        rows = [dict(zip(["qid", "cat"][:len(cols)], r[:-1]), qv=[float(x) for x in r[-1]]) for r in block]
-        qs = literal_rows(rows, ddl)
-        if q_category:
-            qs = F.filter(qs, lambda q: q["cat"] == F.col(category))
-        scored = corpus.select(id_col, F.explode(F.transform(qs, lambda q: F.struct(
-            q["qid"].alias("qid"), S.dot(q["qv"], F.col(vec)).alias("score")))).alias("_s"))
-        parts.append(scored.select(F.col("_s.qid").alias("qid"), id_col, F.col("_s.score").alias("score")))
+        qids = [r[0] for r in block]
+        qcats = [r[1] for r in block] if q_category else None
+        qvecs = np.array([[float(x) for x in r[-1]] for r in block], dtype=np.float64)
+        fn = _batch_topk(qids, qvecs, qcats, k, id_col, vec, "_cat" if q_category else None)
+        parts.append(src.mapInPandas(fn, schema))
     if not parts:
-        return corpus.sparkSession.createDataFrame([], f"qid {qid_type}, {id_col} bigint, score double, rank int")
+        return corpus.sparkSession.createDataFrame([], f"{schema}, rank int")
     scored = parts[0]
-    for p in parts[1:]:
-        scored = scored.unionByName(p)
+    for part in parts[1:]:
+        scored = scored.unionByName(part)
     w = Window.partitionBy("qid").orderBy(F.desc("score"), F.asc(id_col))
     top = scored.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= F.lit(k))
     if digits is not None:
@@ -196,15 +233,35 @@ def centroid_literal(centroids: list[dict]) -> Column:
     return literal_rows(centroids, "cell:int,c:array<double>")
 
 
+def _nearest_cell(centroids: "np.ndarray", vec: str):
+    """mapInPandas: nearest centroid by cosine and the cosine itself (one matrix product per batch)."""
+    import numpy as np
+
+    def run(batches):
+        for pdf in batches:
+            if pdf.empty:
+                continue
+            x = np.stack([np.asarray(v, dtype=np.float64) for v in pdf[vec]])
+            norms = np.linalg.norm(x, axis=1)
+            cos = (x @ centroids.T) / np.where(norms > 0, norms, 1.0)[:, None]
+            cell = cos.argmax(axis=1)
+            yield pdf.assign(cell=cell.astype("int32"), cell_cos=cos[np.arange(len(cell)), cell])
+    return run
+
+
 def assign_cells(corpus: DataFrame, centroids: list[dict], vec: str = "embedding") -> DataFrame:
-    """Nearest centroid by cosine; adds ``cell`` and ``cell_cos``. Centroids are inlined (bounded)."""
-    arr = centroid_literal(centroids)
-    best = F.aggregate(
-        F.transform(arr, lambda s: F.struct(S.dot(s["c"], F.col(vec)).alias("cos"), s["cell"].alias("cell"))),
-        F.struct(F.lit(-2.0).alias("cos"), F.lit(-1).alias("cell")),
-        lambda acc, x: F.when(x["cos"] > acc["cos"], x).otherwise(acc))
-    return corpus.withColumn("_best", best).withColumn("cell", F.col("_best.cell")) \
-        .withColumn("cell_cos", F.col("_best.cos")).drop("_best")
+    """Nearest centroid by cosine; adds ``cell`` and ``cell_cos``.
+
+    The centroids (≤ max_cells × dim values) travel with the task; each Arrow
+    batch is scored against all of them with one NumPy matrix product.
+    """
+    import numpy as np
+    from pyspark.sql.types import DoubleType, IntegerType, StructField, StructType
+
+    c = np.array([x["c"] for x in centroids], dtype=np.float64)
+    schema = StructType(corpus.schema.fields + [StructField("cell", IntegerType()),
+                                                StructField("cell_cos", DoubleType())])
+    return corpus.where(F.col(vec).isNotNull()).mapInPandas(_nearest_cell(c, vec), schema)
 
 
 def build_ivf(corpus: DataFrame, n_cells: int | None = None, vec: str = "embedding", max_cells: int = 1024,
@@ -221,19 +278,22 @@ def knn_ann(queries: DataFrame, indexed: DataFrame, centroids: list[dict], k: in
             qid: str = "qid", qvec: str = "qvec", id_col: str = "id", vec: str = "embedding") -> DataFrame:
     """E5: probe the ``nprobe`` nearest cells per query, re-rank their members exactly, keep ``k``.
 
-    The probe is a (query, cell) frame equi-joined to the indexed corpus on cell.
+    The (query, cell) probe list is small (queries × nprobe). The corpus is
+    filtered to the probed cells — on a table partitioned by ``cell`` that
+    filter prunes whole folders — and scored by the exact search with each
+    query restricted to its own probed cells.
     """
     arr = centroid_literal(centroids)
     probes = queries.select(qid, qvec, F.explode(F.transform(arr, lambda s: F.struct(
         s["cell"].alias("cell"), S.dot(s["c"], F.col(qvec)).alias("ccos")))).alias("_p"))
     probes = probes.select(qid, qvec, F.col("_p.cell").alias("cell"), F.col("_p.ccos").alias("ccos"))
     wp = Window.partitionBy(qid).orderBy(F.desc("ccos"), F.asc("cell"))
-    probes = probes.withColumn("_r", F.row_number().over(wp)).where(F.col("_r") <= nprobe).drop("_r", "ccos")
-    # AQE broadcasts the probe side only when its measured size is under the threshold.
-    cand = indexed.select(id_col, vec, "cell").join(probes, on="cell", how="inner")
-    scored = cand.select(F.col(qid).alias("qid"), id_col, S.dot(F.col(qvec), F.col(vec)).alias("score"))
-    w = Window.partitionBy("qid").orderBy(F.desc("score"), F.asc(id_col))
-    return scored.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= F.lit(k))
+    probes = (probes.withColumn("_r", F.row_number().over(wp)).where(F.col("_r") <= nprobe)
+              .select(qid, qvec, F.col("cell").cast("string").alias("_probe_cell")))
+    cells = sorted({int(r[0]) for r in probes.select("_probe_cell").distinct().collect()})  # ≤ queries × nprobe
+    cand = indexed.where(F.col("cell").isin(cells)).withColumn("_cell", F.col("cell").cast("string"))
+    return knn_exact(probes, cand, k, qid=qid, qvec=qvec, id_col=id_col, vec=vec,
+                     q_category="_probe_cell", category="_cell")
 
 
 def recall_at_k(approx: DataFrame, exact: DataFrame, id_col: str = "id") -> DataFrame:

@@ -10,9 +10,11 @@ from tests.conftest import SF_SMALL
 
 PYTHON_NODES = ("BatchEvalPython", "ArrowEvalPython", "MapInPandas", "FlatMapGroupsInPandas",
                 "FlatMapCoGroupsInPandas", "PythonMapInArrow")
-# Keys whose plan may run Python: dense linear algebra in bounded blocks with NumPy inside tasks —
-# the topic Gram matrix and the exact cosine-threshold pair scoring (components, DBSCAN).
-PYTHON_ALLOWED = {"topic_similarity", "threshold_components", "density_topics"}
+# Keys whose plan may run Python: dense linear algebra in bounded Arrow batches or blocks with NumPy
+# inside tasks — vector scoring (exact/IVF search, cell assignment), the exact cosine-threshold pair
+# blocks (components, DBSCAN) and the topic Gram matrix. Everything else stays in the JVM.
+PYTHON_ALLOWED = {"topic_similarity", "threshold_components", "density_topics", "knn_exact", "search_in_category",
+                  "knn_ann", "search_batch", "vector_table", "flow_reviews"}
 
 
 def plan(df) -> str:
@@ -36,6 +38,12 @@ def test_scan_pruning_and_pushdown(spark):
     assert "l_shipdate" not in schema and "l_tax" not in schema
 
 
+def test_ivf_probe_prunes_cells(spark):
+    p = plan(E.queries()["knn_ann"](spark, SF_SMALL))
+    line = next(x for x in p.splitlines() if x.startswith("PartitionFilters:"))
+    assert "cell" in line and ("INSET" in line or " IN " in line)
+
+
 def test_global_topk_is_take_ordered(spark):
     assert "TakeOrderedAndProject" in plan(E.queries()["top_rated"](spark, SF_SMALL))
 
