@@ -155,3 +155,36 @@ def test_correlation_constant_and_single_point(spark):
     assert A.linear_trend(pts).count() == 0
     one = pts.limit(1)
     assert A.discount_sentiment_correlation(one).first()["correlation"] is None
+
+
+@pytest.mark.parametrize("accuracy", [10, 1000, 1_000_000])
+def test_grouped_quantiles_equal_exact_percentile(spark, accuracy):
+    from cartwheel.operators.quantiles import grouped_quantiles
+    rnd = random.Random(5)
+    rows = [(rnd.choice(["a", "b", None, "hot"]) if i % 3 else "hot", float(rnd.randint(0, 40)) if i % 11 else None)
+            for i in range(3000)]
+    df = spark.createDataFrame(rows, "g string, v double")
+    probs = [0.0, 0.01, 0.25, 0.5, 0.99, 1.0]
+    got = {r["g"]: [r[f"q{i}"] for i in range(len(probs))]
+           for r in grouped_quantiles(df, "v", ["g"], probs, accuracy=accuracy).collect()}
+    want = {r["g"]: list(r["p"]) for r in df.where(F.col("v").isNotNull()).groupBy("g")
+            .agg(F.percentile("v", F.array(*[F.lit(p) for p in probs])).alias("p")).collect()}
+    assert set(got) == set(want)
+    for g in want:
+        assert all(math.isclose(x, y, rel_tol=0, abs_tol=1e-9) for x, y in zip(got[g], want[g])), g
+
+
+def test_knn_exact_equals_brute_force_with_string_ids(spark):
+    df, qs, rows = planted(spark, far=30)
+    corpus = df.select(F.concat(F.lit("r"), F.col("id").cast("string")).alias("rid"), "embedding",
+                       (F.col("id") % 3).cast("string").alias("cat"))
+    qcat = qs.withColumn("q_category", (F.col("qid") % 3).cast("string"))
+    got = {(r["qid"], r["rid"]): r["rank"] for r in
+           VX.knn_exact(qcat, corpus, k=7, id_col="rid", q_category="q_category", category="cat").collect()}
+    qv = {r["qid"]: r["qvec"] for r in qs.collect()}
+    want = {}
+    for q, v in qv.items():
+        scored = sorted(((-sum(a * b for a, b in zip(v, e)), f"r{i}") for i, e, _ in rows if i % 3 == q % 3))
+        for rank, (_, rid) in enumerate(scored[:7], start=1):
+            want[(q, rid)] = rank
+    assert got == want
