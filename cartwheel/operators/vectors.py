@@ -93,21 +93,19 @@ def literal_rows(rows: list[dict], ddl: str) -> Column:
 
 
 def _batch_topk(qids: list, qvecs: "np.ndarray", qcats: list | None, k: int, id_col: str, vec: str,
-                cat_col: str | None):
-    """mapInPandas: score one Arrow batch against every query (one matrix product) and keep,
+                cat_col: str | None, out_schema):
+    """mapInArrow: score one Arrow batch against every query (one matrix product) and keep,
     per query, the ``k`` best rows of the batch by (score desc, id asc)."""
     import numpy as np
-    import pandas as pd
+    import pyarrow as pa
 
     def run(batches):
-        for pdf in batches:
-            pdf = pdf[pdf[vec].notna()]
-            if pdf.empty:
+        for rb in batches:
+            if rb.num_rows == 0:
                 continue
-            x = np.stack([np.asarray(v, dtype=np.float64) for v in pdf[vec]])
-            scores = x @ qvecs.T
-            ids = np.asarray(pdf[id_col].tolist())  # ints or strings; both sort like Spark's order
-            cats = pdf[cat_col].to_numpy() if cat_col else None
+            scores = vector_matrix(rb.column(vec)) @ qvecs.T
+            ids = np.asarray(rb.column(id_col).to_pylist())  # ints or strings; both sort like Spark's order
+            cats = np.asarray(rb.column(cat_col).to_pylist(), dtype=object) if cat_col else None
             out_q, out_id, out_s = [], [], []
             for j, q in enumerate(qids):
                 rows = np.arange(len(ids)) if cats is None else np.nonzero(cats == qcats[j])[0]
@@ -115,13 +113,24 @@ def _batch_topk(qids: list, qvecs: "np.ndarray", qcats: list | None, k: int, id_
                     continue
                 order = rows[np.lexsort((ids[rows], -scores[rows, j]))[:k]]
                 out_q += [q] * len(order)
-                out_id.append(ids[order])
-                out_s.append(scores[order, j])
+                out_id += ids[order].tolist()
+                out_s += scores[order, j].tolist()
             if out_q:
-                yield pd.DataFrame({"qid": out_q, id_col: np.concatenate(out_id), "score": np.concatenate(out_s)})
+                yield pa.RecordBatch.from_pydict({"qid": out_q, id_col: out_id, "score": out_s}, schema=out_schema)
     return run
 
 
+def _arrow_type(dt):
+    """Arrow type of the Spark key types a search result carries."""
+    import pyarrow as pa
+    from pyspark.sql.types import DoubleType, IntegerType, LongType, StringType
+    for spark_type, arrow_type in ((LongType, pa.int64()), (IntegerType, pa.int32()),
+                                   (StringType, pa.string()), (DoubleType, pa.float64())):
+        if isinstance(dt, spark_type):
+            return arrow_type
+    raise TypeError(f"unsupported key type {dt.simpleString()}")
+
+
 def knn_exact(queries: DataFrame, corpus: DataFrame, k: int = 5, qid: str = "qid", qvec: str = "qvec",
               id_col: str = "id", vec: str = "embedding", digits: int | None = None,
               max_values: int = MAX_INLINE_VALUES, q_category: str | None = None,
@@ -142,16 +151,20 @@ def knn_exact(queries: DataFrame, corpus: DataFrame, k: int = 5, qid: str = "qid
     cols = [qid] + ([q_category] if q_category else [])
     schema = f"qid {qid_type}, {id_col} {id_type}, score double"
     parts = []
-    src = corpus.select(id_col, vec,
-                        *([F.col(category).cast("string").alias("_cat")] if q_category else []))
+    src = corpus.where(F.col(vec).isNotNull()).select(
+        id_col, vec, *([F.col(category).cast("string").alias("_cat")] if q_category else []))
+    import pyarrow as pa
+    out_schema = pa.schema([pa.field("qid", _arrow_type(queries.schema[qid].dataType)),
+                            pa.field(id_col, _arrow_type(corpus.schema[id_col].dataType)),
+                            pa.field("score", pa.float64())])
     for block in _inline_blocks(queries, cols, qvec, max_values):
         if not block:
             continue
         qids = [r[0] for r in block]
         qcats = [r[1] for r in block] if q_category else None
         qvecs = np.array([[float(x) for x in r[-1]] for r in block], dtype=np.float64)
-        fn = _batch_topk(qids, qvecs, qcats, k, id_col, vec, "_cat" if q_category else None)
-        parts.append(src.mapInPandas(fn, schema))
+        fn = _batch_topk(qids, qvecs, qcats, k, id_col, vec, "_cat" if q_category else None, out_schema)
+        parts.append(src.mapInArrow(fn, schema))
     if not parts:
         return corpus.sparkSession.createDataFrame([], f"{schema}, rank int")
     scored = parts[0]
@@ -233,19 +246,46 @@ def centroid_literal(centroids: list[dict]) -> Column:
     return literal_rows(centroids, "cell:int,c:array<double>")
 
 
+def vector_matrix(column) -> "np.ndarray":
+    """An Arrow list column of equal-length vectors as an (n × d) float64 matrix, without per-row objects."""
+    import numpy as np
+    import pyarrow.compute as pc
+
+    n = len(column)
+    if n == 0:
+        return np.zeros((0, 0))
+    lengths = pc.list_value_length(column).to_numpy(zero_copy_only=False)
+    flat = pc.list_flatten(column).to_numpy(zero_copy_only=False).astype(np.float64, copy=False)
+    d = int(lengths.max())
+    if (lengths == d).all():
+        return flat.reshape(n, d)
+    out = np.zeros((n, d))
+    starts = np.concatenate(([0], np.cumsum(lengths)[:-1]))
+    for i, (s0, ln) in enumerate(zip(starts, lengths)):
+        out[i, :ln] = flat[s0:s0 + ln]
+    return out
+
+
 def _nearest_cell(centroids: "np.ndarray", vec: str):
-    """mapInPandas: nearest centroid by cosine and the cosine itself (one matrix product per batch)."""
+    """mapInArrow: nearest centroid by cosine and the cosine itself (one matrix product per batch).
+
+    Other columns pass through as Arrow arrays, untouched by Python.
+    """
     import numpy as np
+    import pyarrow as pa
 
     def run(batches):
-        for pdf in batches:
-            if pdf.empty:
+        for rb in batches:
+            if rb.num_rows == 0:
                 continue
-            x = np.stack([np.asarray(v, dtype=np.float64) for v in pdf[vec]])
+            x = vector_matrix(rb.column(vec))
             norms = np.linalg.norm(x, axis=1)
             cos = (x @ centroids.T) / np.where(norms > 0, norms, 1.0)[:, None]
             cell = cos.argmax(axis=1)
-            yield pdf.assign(cell=cell.astype("int32"), cell_cos=cos[np.arange(len(cell)), cell])
+            best = cos[np.arange(len(cell)), cell]
+            yield pa.RecordBatch.from_arrays(
+                list(rb.columns) + [pa.array(cell.astype("int32")), pa.array(best)],
+                names=list(rb.schema.names) + ["cell", "cell_cos"])
     return run
 
 
@@ -261,7 +301,7 @@ def assign_cells(corpus: DataFrame, centroids: list[dict], vec: str = "embedding
     c = np.array([x["c"] for x in centroids], dtype=np.float64)
     schema = StructType(corpus.schema.fields + [StructField("cell", IntegerType()),
                                                 StructField("cell_cos", DoubleType())])
-    return corpus.where(F.col(vec).isNotNull()).mapInPandas(_nearest_cell(c, vec), schema)
+    return corpus.where(F.col(vec).isNotNull()).mapInArrow(_nearest_cell(c, vec), schema)
 
 
 def build_ivf(corpus: DataFrame, n_cells: int | None = None, vec: str = "embedding", max_cells: int = 1024,
