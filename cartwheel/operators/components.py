@@ -33,38 +33,52 @@ def _unit_matrix(series) -> "np.ndarray":
     return np.stack([np.asarray(v, dtype=np.float64) for v in series])
 
 
+def _list_column(x: "np.ndarray"):
+    """An (n × d) matrix as an Arrow list<double> column (one flat buffer, no per-row objects)."""
+    import numpy as np
+    import pyarrow as pa
+    n, d = x.shape
+    return pa.ListArray.from_arrays(pa.array(np.arange(0, (n + 1) * d, d, dtype=np.int32)),
+                                    pa.array(np.ascontiguousarray(x).ravel()))
+
+
 def _assign(centroids: "np.ndarray"):
-    """mapInPandas: nearest centroid and the angle to it, for unit vectors (NumPy, batch-wise)."""
+    """mapInArrow: nearest centroid and the angle to it, for unit vectors (one matrix product per batch)."""
     import numpy as np
-    import pandas as pd
+    import pyarrow as pa
+
+    from cartwheel.operators.vectors import vector_matrix
 
     def run(batches):
-        for pdf in batches:
-            if pdf.empty:
+        for rb in batches:
+            if rb.num_rows == 0:
                 continue
-            x = _unit_matrix(pdf["_v"])
+            x = vector_matrix(rb.column("_v"))
             cos = x @ centroids.T
             cell = cos.argmax(axis=1)
             best = np.clip(cos[np.arange(len(cell)), cell], -1.0, 1.0)
-            yield pd.DataFrame({"id": pdf["id"].to_numpy(), "_v": pdf["_v"], "cell": cell.astype("int32"),
-                                "_ang": np.arccos(best)})
+            yield pa.RecordBatch.from_arrays([rb.column("id"), rb.column("_v"), pa.array(cell.astype("int32")),
+                                              pa.array(np.arccos(best))], names=["id", "_v", "cell", "_ang"])
     return run
 
 
 def _probe(centroids: "np.ndarray", reach: "np.ndarray"):
-    """mapInPandas: every cell a point must probe — angle to centroid ≤ cell radius + threshold angle."""
+    """mapInArrow: every cell a point must probe — angle to centroid ≤ cell radius + threshold angle."""
     import numpy as np
-    import pandas as pd
+    import pyarrow as pa
+
+    from cartwheel.operators.vectors import vector_matrix
 
     def run(batches):
-        for pdf in batches:
-            if pdf.empty:
+        for rb in batches:
+            if rb.num_rows == 0:
                 continue
-            x = _unit_matrix(pdf["_v"])
+            x = vector_matrix(rb.column("_v"))
             ang = np.arccos(np.clip(x @ centroids.T, -1.0, 1.0))
             rows, cells = np.nonzero(ang <= reach[None, :])
-            yield pd.DataFrame({"a": pdf["id"].to_numpy()[rows], "va": pdf["_v"].to_numpy()[rows],
-                                "cell": cells.astype("int32")})
+            ids = rb.column("id").to_numpy(zero_copy_only=False)
+            yield pa.RecordBatch.from_arrays([pa.array(ids[rows]), _list_column(x[rows]),
+                                              pa.array(cells.astype("int32"))], names=["a", "va", "cell"])
     return run
 
 
@@ -113,14 +127,14 @@ def threshold_pairs(corpus: DataFrame, threshold: float, id_col: str = "id", vec
     cents = centroids_of(fit_cells(unit, n_cells, "_v", seed))
     c = np.array([x["c"] for x in cents], dtype=np.float64)
     k = len(cents)
-    assigned = unit.mapInPandas(_assign(c), "id bigint, _v array<double>, cell int, _ang double") \
+    assigned = unit.mapInArrow(_assign(c), "id bigint, _v array<double>, cell int, _ang double") \
         .persist(StorageLevel.MEMORY_AND_DISK)
     stats = {int(r["cell"]): (float(r["radius"]), int(r["n"])) for r in
              assigned.groupBy("cell").agg(F.max("_ang").alias("radius"), F.count(F.lit(1)).alias("n")).collect()}
     alpha = math.acos(max(-1.0, min(1.0, threshold)))
     # Empty cells get a negative reach, so nobody probes them.
     reach = np.array([stats[i][0] + alpha + slack if i in stats else -1.0 for i in range(k)])
-    probes = assigned.mapInPandas(_probe(c, reach), "a bigint, va array<double>, cell int")
+    probes = assigned.mapInArrow(_probe(c, reach), "a bigint, va array<double>, cell int")
     probers = {int(r["cell"]): int(r["n"]) for r in probes.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).collect()}
     m_blocks = [max(1, -(-stats.get(i, (0.0, 0))[1] // block)) for i in range(k)]
     p_blocks = [max(1, -(-probers.get(i, 0) // block)) for i in range(k)]
