@@ -11,10 +11,11 @@ from tests.conftest import SF_SMALL
 PYTHON_NODES = ("BatchEvalPython", "ArrowEvalPython", "MapInPandas", "FlatMapGroupsInPandas",
                 "FlatMapCoGroupsInPandas", "PythonMapInArrow")
 # Keys whose plan may run Python: dense linear algebra in bounded Arrow batches or blocks with NumPy
-# inside tasks — vector scoring (exact/IVF search, cell assignment), the exact cosine-threshold pair
+# inside tasks — vector scoring (exact/IVF search, cell and topic assignment), the exact cosine-threshold pair
 # blocks (components, DBSCAN) and the topic Gram matrix. Everything else stays in the JVM.
 PYTHON_ALLOWED = {"topic_similarity", "threshold_components", "density_topics", "knn_exact", "search_in_category",
-                  "knn_ann", "search_batch", "vector_table", "flow_reviews"}
+                  "knn_ann", "search_batch", "vector_table", "flow_reviews", "kmeans_topics", "topic_map",
+                  "document_map"}
 
 
 def plan(df) -> str:
