@@ -26,13 +26,6 @@ from cartwheel.functions import scalars as S
 from cartwheel.session import ensure_checkpointing
 
 
-def _unit_matrix(series) -> "np.ndarray":
-    import numpy as np
-    if len(series) == 0:
-        return np.zeros((0, 0))
-    return np.stack([np.asarray(v, dtype=np.float64) for v in series])
-
-
 def _list_column(x: "np.ndarray"):
     """An (n × d) matrix as an Arrow list<double> column (one flat buffer, no per-row objects)."""
     import numpy as np
@@ -83,18 +76,23 @@ def _probe(centroids: "np.ndarray", reach: "np.ndarray"):
 
 
 def _block_pairs(threshold: float):
-    """cogroup applyInPandas: one (cell, member block, probe block); P×M dot products, pairs ≥ threshold."""
+    """cogroup applyInArrow: one (cell, member block, probe block); P×M dot products, pairs ≥ threshold."""
     import numpy as np
-    import pandas as pd
-
-    def run(probes, members):
-        if probes.empty or members.empty:
-            return pd.DataFrame({"a": [], "b": [], "cos": []}).astype({"a": "int64", "b": "int64"})
-        sim = _unit_matrix(probes["va"]) @ _unit_matrix(members["vb"]).T
-        a = probes["a"].to_numpy()
-        b = members["b"].to_numpy()
+    import pyarrow as pa
+
+    from cartwheel.operators.vectors import vector_matrix
+
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("cos", pa.float64())])
+
+    def run(probes: "pa.Table", members: "pa.Table") -> "pa.Table":
+        if probes.num_rows == 0 or members.num_rows == 0:
+            return schema.empty_table()
+        sim = vector_matrix(probes.column("va").combine_chunks()) @ vector_matrix(
+            members.column("vb").combine_chunks()).T
+        a = probes.column("a").to_numpy()
+        b = members.column("b").to_numpy()
         i, j = np.nonzero((sim >= threshold) & (a[:, None] < b[None, :]))
-        return pd.DataFrame({"a": a[i].astype("int64"), "b": b[j].astype("int64"), "cos": sim[i, j]})
+        return pa.Table.from_arrays([pa.array(a[i]), pa.array(b[j]), pa.array(sim[i, j])], schema=schema)
     return run
 
 
@@ -146,7 +144,7 @@ def threshold_pairs(corpus: DataFrame, threshold: float, id_col: str = "id", vec
               .withColumn("psalt", F.explode(F.sequence(F.lit(0), (_lookup(p_blocks, "cell") - 1).cast("int")))))
     keys = ["cell", "msalt", "psalt"]
     return (p_side.groupBy(*keys).cogroup(m_side.groupBy(*keys))
-            .applyInPandas(_block_pairs(threshold), "a bigint, b bigint, cos double"))
+            .applyInArrow(_block_pairs(threshold), "a bigint, b bigint, cos double"))
 
 
 def _norm_edges(df: DataFrame, x: str, y: str) -> DataFrame:

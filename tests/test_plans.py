@@ -8,8 +8,8 @@ import pytest
 import __spark_entry__ as E
 from tests.conftest import SF_SMALL
 
-PYTHON_NODES = ("BatchEvalPython", "ArrowEvalPython", "MapInPandas", "FlatMapGroupsInPandas",
-                "FlatMapCoGroupsInPandas", "PythonMapInArrow")
+PYTHON_NODES = ("BatchEvalPython", "ArrowEvalPython", "MapInPandas", "MapInArrow", "FlatMapGroupsInPandas",
+                "FlatMapGroupsInArrow", "FlatMapCoGroupsInPandas", "FlatMapCoGroupsInArrow")
 # Keys whose plan may run Python: dense linear algebra in bounded Arrow batches or blocks with NumPy
 # inside tasks — vector scoring (exact/IVF search, cell and topic assignment), the exact cosine-threshold pair
 # blocks (components, DBSCAN) and the topic Gram matrix. Everything else stays in the JVM.
