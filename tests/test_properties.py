@@ -188,3 +188,19 @@ def test_knn_exact_equals_brute_force_with_string_ids(spark):
         for rank, (_, rid) in enumerate(scored[:7], start=1):
             want[(q, rid)] = rank
     assert got == want
+
+
+def test_dataframe_and_sql_forms_agree(spark):
+    from cartwheel.operators import aggregates as AG
+    from cartwheel.plans import sql as Q
+    p = REG.products(spark, SF_SMALL)
+    p.createOrReplaceTempView("products_diff")
+    cols = ["sub_category", "product_count", "price_min", "price_max", "price_mean", "avg_discount_pct",
+            "avg_rating", "total_ratings"]
+    df_form = {tuple(r) for r in AG.category_stats(p).select(*cols).collect()}
+    sql_form = {tuple(r) for r in Q.category_stats_sql(spark, "products_diff", digits=2, rating_digits=3)
+                .select(*cols).collect()}
+    assert df_form == sql_form
+    a = [tuple(r) for r in R.top_deals(p, 5, tiebreak=REG.OFFER_TIEBREAK).collect()]
+    b = [tuple(r) for r in Q.top_deals_sql(spark, "products_diff", 5, tiebreak=REG.OFFER_TIEBREAK).collect()]
+    assert a == b
