@@ -117,6 +117,16 @@ def q_vector_table(spark, sf):
     return indexed.drop("cell_cos")
 
 
+@register("vector_write", """
+SELECT count(*) AS present, count(DISTINCT doc_id) AS keys, CAST(0 AS BIGINT) AS empty_vectors FROM documents""")
+def q_vector_write(spark, sf):
+    """S10 + J6: documents aligned with their vectors (field limits applied), written, counted back."""
+    docs = V.table(spark, sf, "documents").select(F.col("doc_id").alias("id"), F.col("text").alias("body"),
+                                                  F.col("source").alias("category"))
+    vecs = VX.hash_embed(docs.select("id", F.col("body").alias("text")), dim=64)
+    return P.write_vectors(P.vector_rows(docs, vecs), f"{scratch_dir(spark, 'vectors')}/collection")
+
+
 # ---- topics over documents (source as topic) -------------------------------------
 
 TOKENS_SQL = r"""t AS (SELECT source AS topic, unnest(regexp_extract_all(lower(text), '[\p{L}\p{N}_]{2,}')) AS term

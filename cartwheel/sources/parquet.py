@@ -90,11 +90,16 @@ def alignment_report(docs: DataFrame, vectors: DataFrame, key: str = "id") -> Da
     return matched.unionByName(only_d).unionByName(only_v)
 
 
-def write_vectors(rows: DataFrame, path: str) -> DataFrame:
-    """Drop and recreate the collection; returns (written, present) counts as a DataFrame."""
+def write_vectors(rows: DataFrame, path: str, key: str = "id") -> DataFrame:
+    """Drop and recreate the collection; report what is present afterwards.
+
+    One row: rows present, distinct keys present, and rows whose vector is
+    missing or empty (the reference's insert would reject them).
+    """
     rows.write.mode("overwrite").parquet(path)
     present = rows.sparkSession.read.parquet(path)
-    return present.agg(F.count(F.lit(1)).alias("present"))
+    return present.agg(F.count(F.lit(1)).alias("present"), F.count_distinct(key).alias("keys"),
+                       F.count_if(F.col("embedding").isNull() | (F.size("embedding") == 0)).alias("empty_vectors"))
 
 
 def upsert_vectors(existing: DataFrame, updates: DataFrame, key: str = "id", version: str = "_version") -> DataFrame:
