@@ -101,3 +101,22 @@ def filter_options(products: DataFrame, reviews: DataFrame, categories: list[str
             .where(F.col("option") != F.lit(""))
             .select(F.lit("review_topic").alias("kind"), "option"))
     return subs.union(tops).distinct().orderBy("kind", "option")
+
+
+def sorted_index(df: DataFrame, order: list[Column], out: str = "index") -> DataFrame:
+    """0-based position of every row in a global sort, computed without a single-task window.
+
+    ``orderBy`` range-partitions and sorts; within a partition the rows keep
+    that order, so ``monotonically_increasing_id`` minus the partition's first
+    id is the position inside it, and a running sum of the earlier partitions'
+    sizes (one row per partition) is its offset. The sort must be total
+    (append a unique key) for the index to be reproducible.
+    """
+    s = df.orderBy(*order).withColumn("_pid", F.spark_partition_id()).withColumn("_mid",
+                                                                                 F.monotonically_increasing_id())
+    parts = s.groupBy("_pid").agg(F.min("_mid").alias("_first"), F.count(F.lit(1)).alias("_n"))
+    earlier = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    parts = parts.withColumn("_offset", F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
+    return (s.join(parts.drop("_n"), "_pid")
+            .withColumn(out, F.col("_mid") - F.col("_first") + F.col("_offset"))
+            .drop("_pid", "_mid", "_first", "_offset"))

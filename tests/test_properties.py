@@ -204,3 +204,13 @@ def test_dataframe_and_sql_forms_agree(spark):
     a = [tuple(r) for r in R.top_deals(p, 5, tiebreak=REG.OFFER_TIEBREAK).collect()]
     b = [tuple(r) for r in Q.top_deals_sql(spark, "products_diff", 5, tiebreak=REG.OFFER_TIEBREAK).collect()]
     assert a == b
+
+
+def test_sorted_index_matches_global_row_number(spark):
+    from pyspark.sql import Window
+    df = spark.range(0, 5000, numPartitions=5).select((F.col("id") * 7919 % 97).alias("size"),
+                                                      F.col("id").alias("cluster"))
+    a = {r["cluster"]: r["index"] for r in R.sorted_index(df, [F.desc("size"), F.asc("cluster")]).collect()}
+    w = Window.orderBy(F.desc("size"), F.asc("cluster"))
+    b = {r["cluster"]: r["i"] for r in df.withColumn("i", F.row_number().over(w) - 1).collect()}
+    assert a == b
