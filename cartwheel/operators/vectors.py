@@ -81,8 +81,10 @@ def _inline_blocks(queries: DataFrame, cols: list[str], qvec: str, max_values: i
     ordered = queries.select(*cols, qvec)
     if n <= per_block:
         return [[tuple(r) for r in ordered.collect()]]
-    # Block by rank so that no block exceeds the bound.
-    ranked = ordered.withColumn("_b", F.floor((F.row_number().over(Window.orderBy(*cols)) - 1) / per_block))
+    # Block by position in a (distributed) sort so that no block exceeds the bound.
+    from cartwheel.operators.ranking import sorted_index
+    ranked = sorted_index(ordered, [F.asc(c) for c in cols], out="_pos").withColumn(
+        "_b", F.floor(F.col("_pos") / F.lit(per_block)))
     return [[tuple(r) for r in ranked.where(F.col("_b") == b).select(*cols, qvec).collect()]
             for b in range(math.ceil(n / per_block))]
 
