@@ -214,3 +214,11 @@ def test_sorted_index_matches_global_row_number(spark):
     w = Window.orderBy(F.desc("size"), F.asc("cluster"))
     b = {r["cluster"]: r["i"] for r in df.withColumn("i", F.row_number().over(w) - 1).collect()}
     assert a == b
+
+
+def test_knn_exact_query_blocks_agree(spark):
+    c = V.table(spark, SF_SMALL, "embeddings").select(F.col("vec_id").alias("id"), "embedding", "label")
+    q = VX.label_centroids(c)
+    whole = sorted(tuple(r) for r in VX.knn_exact(q, c, k=5, digits=9).collect())
+    blocked = sorted(tuple(r) for r in VX.knn_exact(q, c, k=5, digits=9, max_values=64 * 3).collect())
+    assert whole == blocked and len(whole) > 0
