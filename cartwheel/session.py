@@ -29,9 +29,41 @@ def configure(spark: SparkSession) -> SparkSession:
             spark.conf.set(key, value)
     # Timestamps are rendered and truncated in UTC everywhere.
     spark.conf.set("spark.sql.session.timeZone", "UTC")
+    ship_package(spark)
     return spark
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``cartwheel`` importable in the Python workers (as ``--py-files`` would).
+
+    The Arrow/NumPy task functions are pickled by reference to this package,
+    so executors need it. Once per SparkContext the package's sources are
+    zipped (code only, no data) and handed to ``addPyFile``.
+    """
+    import os
+    import zipfile
+
+    import cartwheel
+
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    pkg = os.path.dirname(os.path.abspath(cartwheel.__file__))
+    root = os.path.dirname(pkg)
+    target = os.path.join(tempfile.mkdtemp(prefix="cartwheel-code-"), "cartwheel.zip")
+    with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as z:
+        for folder, _, files in os.walk(pkg):
+            for name in files:
+                if name.endswith(".py"):
+                    full = os.path.join(folder, name)
+                    z.write(full, os.path.relpath(full, root))
+    sc.addPyFile(target)
+    _SHIPPED.add(sc.applicationId)
+
+
 def local_session(cores: int = 8, shuffle_partitions: int = 8, memory: str = "16g") -> SparkSession:
     """Session for tests and the bench: local mode, UI off, small shuffle fan-out."""
     spark = (
