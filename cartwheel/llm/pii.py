@@ -183,12 +183,15 @@ def spans_text(spans: str) -> F.Column:
                                                                 s["end"].cast("string"))), ",")
 
 
+def _is_kind(kind: str):
+    return lambda span: span["kind"] == kind
+
+
 def personal_data_report(docs: DataFrame) -> DataFrame:
     """Contract of ``op5_pii``: counts of the base kinds, digest of the base spans, all spans."""
     found = find_personal_data(docs).select("doc_id", "spans")
     base = F.filter("spans", lambda s: s["kind"].isin(BASE_KINDS))
-    counts = [F.size(F.filter("spans", lambda s, k=k: s["kind"] == k)).cast("bigint").alias(f"n_{k}")
-              for k in BASE_KINDS]
+    counts = [F.size(F.filter("base", _is_kind(k))).cast("bigint").alias(f"n_{k}") for k in BASE_KINDS]
     scores = F.array_join(F.transform("spans", lambda s: s["score"].cast("string")), ",")
     return (found.withColumn("base", base)
             .select("doc_id", *counts, F.sha2(spans_text("base"), 256).alias("base_sha256"),
