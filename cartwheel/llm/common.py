@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -50,7 +51,7 @@ def extended(batch: pa.RecordBatch, extra: dict[str, pa.Array]) -> pa.RecordBatc
 def batches_of(batches: Iterator[pa.RecordBatch], column: str, limit: int) -> Iterator[pa.RecordBatch]:
     """Cut batches so that each holds about ``limit`` bytes of ``column`` (one row at least)."""
     for batch in batches:
-        sizes = pa.compute.binary_length(batch.column(batch.schema.get_field_index(column))).to_pylist()
+        sizes = pc.binary_length(batch.column(batch.schema.get_field_index(column))).to_pylist()
         start = held = 0
         for i, n in enumerate(sizes):
             if i > start and held + (n or 0) > limit:

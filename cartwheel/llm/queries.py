@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cartwheel.llm import pii
+from cartwheel.llm import language, pii, urls
 from cartwheel.llm.common import table
 
 SPARK: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -22,6 +22,16 @@ def register(key: str, sql: str | None = None):
     return deco
 
 
+@register("op3_urls")
+def op3_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.url_report(table(spark, sf_dir, "pages"))
+
+
 @register("op5_pii")
 def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.personal_data_report(table(spark, sf_dir, "documents"))
+
+
+@register("op8_language")
+def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.language_report(table(spark, sf_dir, "documents"))
