@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cartwheel.llm import decontaminate, language, mixing, pii, simhash, urls
+from cartwheel.llm import decontaminate, language, mixing, pii, secret_scan, simhash, urls
 from cartwheel.llm.common import table
 
 SPARK: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -32,6 +32,11 @@ def op3_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.url_report(table(spark, sf_dir, "pages"))
 
 
+@register("op4_secrets")
+def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.secret_report(table(spark, sf_dir, "documents"))
+
+
 @register("op5_pii")
 def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.personal_data_report(table(spark, sf_dir, "documents"))
