@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cartwheel.llm import decontaminate, language, mixing, pii, secret_scan, simhash, urls
+from cartwheel.llm import decontaminate, language, mixing, pii, secret_scan, simhash, sketches, urls
 from cartwheel.llm.common import table
 
 SPARK: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -27,6 +27,11 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.decontamination_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+@register("op2_fingerprints")
+def op2_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sketches.fingerprint_report(table(spark, sf_dir, "documents"))
+
+
 @register("op3_urls")
 def op3_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.url_report(table(spark, sf_dir, "pages"))
