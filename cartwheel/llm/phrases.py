@@ -71,6 +71,16 @@ def unpack(data: bytes, n: int, kind) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(size, n).T).view(kind).ravel()
 
 
+def equal_runs(*keys: np.ndarray) -> list[tuple[int, int]]:
+    """[start, end) of each run of rows that agree in all keys."""
+    n = len(keys[0])
+    if not n:
+        return []
+    new = np.concatenate([[True], np.any([k[1:] != k[:-1] for k in keys], axis=0)])
+    starts = np.flatnonzero(new).tolist()
+    return list(zip(starts, [*starts[1:], n], strict=True))
+
+
 def _by_id(table: pa.Table) -> list[tuple[int, str | None]]:
     """(doc_id, text) of the rows with an id, in order of id."""
     rows = zip(texts(table, "doc_id"), texts(table, "text"), strict=True)
@@ -88,15 +98,13 @@ def _report(window: int, range_bits: int):
         h, of = window_hashes([words_of(t) for _, t in rows], window)
         order = np.argsort(h, kind="stable")  # equal hashes stay in order of document id
         h, of = h[order], of[order]
-        first = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]])) if len(h) else np.zeros(0, np.int64)
-        last = np.append(first[1:], len(h)) - 1
-        owner = of[first]
-        here = ids[of[last]] > ids[owner] if len(first) else np.zeros(0, bool)
+        ends = np.array(equal_runs(h), np.int64).reshape(-1, 2)
+        first, owner = ends[:, 0], of[ends[:, 0]]
+        here = ids[of[ends[:, 1] - 1]] > ids[owner]
         h = h[first]
         ranges = (h >> np.uint64(64 - range_bits)).astype(np.int64)
-        cuts = np.flatnonzero(np.concatenate([[True], ranges[1:] != ranges[:-1]])) if len(h) else first
         out = []
-        for a, b in zip(cuts, np.append(cuts[1:], len(h)), strict=True):
+        for a, b in equal_runs(ranges):
             held, code = np.unique(owner[a:b], return_inverse=True)
             out.append({"range": int(ranges[a]), "shard": key[0].as_py(), "n": int(b - a),
                         "steps": pack(np.diff(h[a:b], prepend=np.uint64(0))),
@@ -132,10 +140,9 @@ def _request(table: pa.Table) -> pa.Table:
     asked, docs, targets, low = shard[o], doc[o], shard[asks], h[asks].astype(np.uint32).view(np.int32)
     order = np.lexsort((low, targets, docs, asked))
     asked, docs, targets, low = asked[order], docs[order], targets[order], low[order]
-    cuts = np.flatnonzero(np.concatenate([[True], asked[1:] != asked[:-1]])) if len(asked) else np.zeros(0, np.int64)
-    spans = list(zip(cuts, np.append(cuts[1:], len(asked)), strict=True))
+    spans = equal_runs(asked)
     return pa.Table.from_arrays([
-        pa.array(asked[cuts]), *(pa.array([x[a:b] for a, b in spans], t.type)
+        pa.array([asked[a] for a, _ in spans], pa.int32()), *(pa.array([x[a:b] for a, b in spans], t.type)
                                  for x, t in zip((docs, targets, low), list(ARROW_REQUEST)[1:], strict=True))],
         schema=ARROW_REQUEST)
 
@@ -157,13 +164,11 @@ def _cut(window: int):
     def run(key: tuple[pa.Scalar, ...], table: pa.Table, requests: pa.Table) -> pa.Table:
         out: tuple[list, list, list] = ([], [], [])
         if requests.num_rows:
-            flat = [np.concatenate([c.values.to_numpy() if isinstance(c, pa.ListArray) else c.flatten().to_numpy()
-                                    for c in requests.column(name).chunks]) for name in ("docs", "targets", "hashes")]
+            flat = [np.concatenate([c.flatten().to_numpy() for c in requests.column(name).chunks]) for name in ("docs", "targets", "hashes")]
             order = np.lexsort((flat[1], flat[0]))
             docs, targets, low = (x[order] for x in flat)
-            cuts = np.flatnonzero(np.concatenate([[True], (docs[1:] != docs[:-1]) | (targets[1:] != targets[:-1])]))
             asked: dict[int, list[tuple[int, np.ndarray]]] = {}
-            for a, b in zip(cuts, np.append(cuts[1:], len(docs)), strict=True):
+            for a, b in equal_runs(docs, targets):
                 asked.setdefault(int(docs[a]), []).append((int(targets[a]), low[a:b]))
             for doc, text in _by_id(table):
                 if doc in asked:
