@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cartwheel.llm import decontaminate, language, mixing, phrases, pii, secret_scan, simhash, sketches, urls
+from cartwheel.llm import decontaminate, language, line_dedup, mixing, phrases, pii, secret_scan, simhash, sketches, urls
 from cartwheel.llm.common import table
 
 SPARK: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -62,6 +62,11 @@ def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.language_report(table(spark, sf_dir, "documents"))
 
 
+@register("op9_lines")
+def op9_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.line_report(table(spark, sf_dir, "documents"))
+
+
 @register("op10_phrases", phrases.REPORT_SQL)
 def op10_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
     return phrases.repeats_report(table(spark, sf_dir, "documents"))
