@@ -346,6 +346,24 @@ def decontaminated_text(text: str | None, spans: list[dict]) -> str | None:
     return b"".join([*parts, raw[at:]]).decode("utf-8")
 
 
+def remove_benchmark(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", **options) -> DataFrame:
+    """``docs`` with the benchmark's passages cut out of ``text_col``; documents that were nothing else are dropped."""
+    names = ("__n_words", "__spans", "__items")
+    found = find_benchmark(docs, benchmark, text_col, names=names, **options)
+    left = F.aggregate("__spans", F.col("__n_words"), lambda acc, s: acc - (s["end"] - s["start"]))
+    found = found.where((F.size("__spans") == 0) | (left > 0)).drop("__n_words", "__items")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at = batch.schema.get_field_index(text_col)
+            cut = [decontaminated_text(t, s) for t, s in zip(texts(batch, text_col), texts(batch, "__spans"), strict=True)]
+            columns = [pa.array(cut, pa.string()) if i == at else c for i, c in enumerate(batch.columns)][:-1]
+            yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names[:-1])
+
+    kept = found.drop("__spans")
+    return found.mapInArrow(run, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema))
+
+
 def decontamination_report(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """Contract of ``op1_decontaminate``: per document words, hit words, items found and whether any."""
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))

@@ -121,8 +121,8 @@ class Mix:
 
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
         weights: list[int] = WEIGHTS, cap: int = CAP, block: int = BLOCK, shard_slots: int = SHARD_SLOTS,
-        seed: int = 42) -> Mix:
-    """Plan the mix of whole documents.
+        seed: int = 42, carry: tuple[str, ...] = ()) -> Mix:
+    """Plan the mix of whole documents; ``carry`` names small columns kept in ``documents``.
 
     Texts leave the plan at once: only (id, source, size) is written and shuffled.
     Null or empty texts have size 0 and are never taken; null is a source of its
@@ -132,7 +132,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     """
     spark = docs.sparkSession
     sized = staged(docs.select(F.col(id_col).cast("bigint").alias("doc_id"), source_key(source_col).alias("src"),
-                               word_count(F.col(text_col).cast("string")).alias("size")), "mix-sizes")
+                               word_count(F.col(text_col).cast("string")).alias("size"), *carry), "mix-sizes")
     rows = sized.count()
     buckets = max(1, -(-rows // BUCKET_ROWS))
     marked = sized.withColumn("bucket", F.pmod(F.xxhash64("doc_id", "size", F.lit(seed)), F.lit(buckets)))
@@ -144,7 +144,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
               .withColumn("start", F.col("bucket_start") + F.col("__end") - F.col("size")))
     targets = staged(source_targets(marked, weights, cap, block), "mix-targets")
     documents = placed.join(targets.select("src", "source_size", "target"), "src").select(
-        "doc_id", "src", "size", "start", "source_size", "target")
+        "doc_id", "src", "size", "start", "source_size", "target", *carry)
 
     # Slots: chunks of a source's draws first, dealt over the tasks, then one row per draw.
     total = targets.agg(F.sum("draws")).first()[0] or 0
@@ -174,7 +174,7 @@ def packed(plan: Mix) -> DataFrame:
 
 
 def taken_words(plan: Mix) -> DataFrame:
-    """One row per document: doc_id, src, size, source_size, target and the words the mix takes of it, repeats counted."""
+    """``documents`` with the words the mix takes of each, repeats counted (``taken``)."""
     times = plan.draws.groupBy("src", "block").agg(F.count(F.lit(1)).alias("times"))
     sums = (plan.pieces.join(times, ["src", "block"]).groupBy("src", "start")
             .agg(F.sum(F.col("n_words") * F.col("times")).alias("taken")))
@@ -182,7 +182,25 @@ def taken_words(plan: Mix) -> DataFrame:
     sized = F.when(F.col("size") > 0, F.col("start"))
     return (plan.documents.withColumn("__at", sized)
             .join(sums.withColumnsRenamed({"start": "__at"}), ["src", "__at"], "left")
-            .select("doc_id", "src", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("bigint").alias("taken")))
+            .withColumn("taken", F.coalesce("taken", F.lit(0)).cast("bigint")).drop("__at", "start"))
+
+
+def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
+    """The documents the mix takes words of, with size, source_size, target and taken appended.
+
+    Documents it takes nothing of (all without words) are left out. Rows that
+    repeat id, text and source are returned once, with the words taken of all of
+    them. Columns of those names in ``docs`` are replaced.
+    """
+    new = ["size", "source_size", "target", "taken"]
+    marked = docs.drop(*new).withColumns({"__mark": F.xxhash64(F.col(text_col), F.col(source_col))})
+    taken = taken_words(mix(marked, id_col, text_col, source_col, carry=("__mark",)))
+    per = taken.groupBy(F.col("doc_id").alias("__doc_id"), F.col("__mark").alias("__of")).agg(
+        F.max("size").alias("size"), F.max("source_size").alias("source_size"), F.max("target").alias("target"),
+        F.sum("taken").alias("taken")).where("taken > 0")
+    return (marked.withColumn("__id", F.col(id_col).cast("bigint"))
+            .join(per, F.col("__id").eqNullSafe(F.col("__doc_id")) & (F.col("__mark") == F.col("__of")))
+            .dropDuplicates(["__id", "__mark"]).select(*[c for c in docs.columns if c not in new], *new))
 
 
 def mix_report(docs: DataFrame) -> DataFrame:

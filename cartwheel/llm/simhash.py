@@ -183,6 +183,23 @@ def close_links(unique: DataFrame, fp: str, max_distance: int = MAX_DISTANCE, n_
             .mapInArrow(run, "a bigint, b bigint").distinct())
 
 
+def _groups(rows: DataFrame, shingle: int, max_distance: int, n_blocks: int) -> DataFrame:
+    """(doc_id, mark, text) rows to (doc_id, mark, fingerprint, component_id, group); ``group`` names the component."""
+    marked = staged(with_fingerprint(rows, shingle=shingle).select("doc_id", "mark", "fingerprint"), "simhash")
+    unique = staged(marked.groupBy("fingerprint").agg(F.min("doc_id").alias("first")), "simhash-distinct")
+    parts = connected_components(close_links(unique, "fingerprint", max_distance, n_blocks))
+    linked = unique.join(parts.withColumnRenamed("node", "fingerprint"), "fingerprint", "left")
+    named = linked.withColumn("group", F.coalesce("component", "fingerprint"))
+    smallest = named.groupBy("group").agg(F.min("first").alias("component_id"))
+    of = named.join(smallest, "group").select("fingerprint", "component_id", "group")
+    return marked.join(of, "fingerprint")
+
+
+def _marked(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    text = F.col(text_col).cast("string")
+    return docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.xxhash64(text).alias("mark"), text.alias("text"))
+
+
 def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE,
                 max_distance: int = MAX_DISTANCE, n_blocks: int = N_BLOCKS) -> DataFrame:
     """One row per input row: doc_id, fingerprint (bigint) and component_id, the smallest doc_id reachable.
@@ -192,16 +209,22 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     other: the component of null ids alone is null. Fingerprints are written once
     under the checkpoint folder; only distinct ones are compared.
     """
-    rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    marked = staged(with_fingerprint(rows, shingle=shingle).select("doc_id", "fingerprint"), "simhash")
-    unique = staged(marked.groupBy("fingerprint").agg(F.min("doc_id").alias("first")), "simhash-distinct")
-    parts = connected_components(close_links(unique, "fingerprint", max_distance, n_blocks))
-    linked = unique.join(parts.withColumnRenamed("node", "fingerprint"), "fingerprint", "left")
-    group = F.coalesce("component", "fingerprint")
-    named = linked.withColumn("__group", group)
-    smallest = named.groupBy("__group").agg(F.min("first").alias("component_id"))
-    of = named.join(smallest, "__group").select("fingerprint", "component_id")
-    return marked.join(of, "fingerprint").select("doc_id", "fingerprint", "component_id")
+    rows = _groups(_marked(docs, id_col, text_col), shingle, max_distance, n_blocks)
+    return rows.select("doc_id", "fingerprint", "component_id")
+
+
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE,
+             max_distance: int = MAX_DISTANCE, n_blocks: int = N_BLOCKS) -> DataFrame:
+    """``docs`` with one row of each component: that of the smallest id (null last), then of the smallest text mark.
+
+    Of rows that repeat id and text one stays.
+    """
+    rows = _groups(_marked(docs, id_col, text_col), shingle, max_distance, n_blocks)
+    first = rows.groupBy("group").agg(F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "mark")).alias("keep"))
+    keep = first.select(F.col("keep.doc_id").alias("__keep_id"), F.col("keep.mark").alias("__keep_mark"))
+    named = docs.withColumns({"__id": F.col(id_col).cast("bigint"), "__mark": F.xxhash64(F.col(text_col).cast("string"))})
+    return (named.join(keep, F.col("__id").eqNullSafe(F.col("__keep_id")) & (F.col("__mark") == F.col("__keep_mark")), "left_semi")
+            .dropDuplicates(["__id", "__mark"]).select(*docs.columns))
 
 
 def hex_digits(fp: str) -> Column:
