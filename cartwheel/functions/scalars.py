@@ -157,9 +157,9 @@ def stable_id(user: str | Column, asin: str | Column, ordinal: str | Column) ->
                        F.substring(h, 17, 4), F.substring(h, 21, 12))
 
 
-def truncate(c: str | Column, n: int) -> Column:
-    """First n code points."""
-    return F.substring(col_of(c), 1, n)
+def truncate(c: str | Column, n: int | None = None) -> Column:
+    """First n code points; the whole text without ``n``."""
+    return col_of(c) if n is None else F.substring(col_of(c), 1, n)
 
 
 def title_fallback(title: str | Column, text: str | Column, n: int = 120) -> Column:
@@ -240,7 +240,8 @@ def keyword_score(text: str | Column, topic: str | Column, similarity: str | Col
                   terms: list[str], text_weight: float = 1.0, topic_weight: float = 1.5) -> Column:
     """+1 per term found in the text, +1.5 per term in the topic label, plus similarity.
 
-    Terms are literal substrings matched on lower-cased text; null text never matches.
+    Terms are literal substrings matched on lower-cased text; a null text or label is read as the word
+    ``None``, as the reference's string conversion does.
     """
     lt = F.lower(F.coalesce(col_of(text).cast("string"), F.lit("None")))
     lp = F.lower(F.coalesce(col_of(topic).cast("string"), F.lit("None")))

@@ -197,10 +197,16 @@ def product_families(products: DataFrame, top: int = 20, sort_mode: str = "ratin
     return g.orderBy(F.desc("rating_count"), F.asc("family"))
 
 
-def dedupe_first(df: DataFrame, key: str, order: list[str] | None = None) -> DataFrame:
-    """Keep the first row per key by a stable order (``key`` plus ``order``)."""
-    w = Window.partitionBy(key).orderBy(*[F.asc_nulls_last(c) for c in (order or [])] or [F.lit(1)])
-    return df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).drop("_rn")
+def dedupe_first(df: DataFrame, key: str, order: list[str]) -> DataFrame:
+    """Keep the first row per key by ``order`` (nulls last), then by the row's own columns.
+
+    One combinable aggregate: a key with a third of all rows is reduced before the shuffle.
+    """
+    def rank(columns: list[str]) -> list[Column]:
+        return [x for c in columns for x in (F.col(c).isNull(), F.col(c))]
+
+    place = F.struct(*[x.alias(f"k{i}") for i, x in enumerate(rank([*order, *df.columns]))])
+    return df.groupBy(F.col(key).alias("_key")).agg(F.min_by(F.struct(*df.columns), place).alias("_row")).select("_row.*")
 
 
 def review_volume(products: DataFrame, reviews: DataFrame, categories: list[str] | None,
@@ -220,7 +226,8 @@ def review_volume(products: DataFrame, reviews: DataFrame, categories: list[str]
     """
     subset = bool(categories) and (categories_all is None or set(categories) != set(categories_all))
     group = "prod_subcategory" if subset else "prod_category"
-    lookup = dedupe_first(products.select(product_id, count, category, subcategory), product_id, dedupe_order)
+    lookup = dedupe_first(products.select(*dict.fromkeys([product_id, count, category, subcategory, *(dedupe_order or [])])),
+                          product_id, dedupe_order or [])
     lookup = lookup.select(F.col(product_id), F.col(count).alias("rc"), F.col(category).alias("prod_category"),
                            F.col(subcategory).alias("prod_subcategory"))
     per = (reviews.where(F.col(month).isNotNull() & F.col(product_id).isNotNull())
@@ -240,7 +247,8 @@ def discount_timeline(products: DataFrame, reviews: DataFrame, product_id: str =
                       month: str = "review_month", pct: str = "discount_pct", category: str = "category",
                       dedupe_order: list[str] | None = None, digits: int | None = None) -> DataFrame:
     """A14 (J2): mean product discount per review month and review category, with n."""
-    lookup = dedupe_first(products.select(product_id, pct), product_id, dedupe_order)
+    lookup = dedupe_first(products.select(*dict.fromkeys([product_id, pct, *(dedupe_order or [])])), product_id,
+                          dedupe_order or []).select(product_id, pct)
     per = (reviews.where(F.col(month).isNotNull() & F.col(category).isNotNull())
            .groupBy(product_id, S.month_start(month).alias("month"), F.col(category).alias("category"))
            .agg(F.count(product_id).alias("c")))
@@ -268,11 +276,6 @@ def kpis(products: DataFrame, reviews: DataFrame, topic: str = "topic_label", ra
                                 _round(F.avg("_s"), digits).alias("avg_sentiment"))
 
 
-def distinct_count(df: DataFrame, c: str, approx: bool = False, rsd: float = 0.01, out: str = "n") -> DataFrame:
-    """Number of distinct non-null values (exact or HyperLogLog++)."""
-    return df.agg((F.approx_count_distinct(c, rsd) if approx else F.count_distinct(c)).alias(out))
-
-
 def price_bounds(products: DataFrame, price: str = "price", default: float = 1000.0) -> DataFrame:
     """Max price, default when there is none."""
     return products.agg(F.coalesce(F.max(F.col(price).cast("double")), F.lit(default)).alias("max_price"))

@@ -92,8 +92,3 @@ def cap_per_category(reviews: DataFrame, n: int | None, category: str = "categor
         return reviews
     w = Window.partitionBy(category).orderBy(F.asc(ordinal))
     return reviews.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= n).drop("_rn")
-
-
-def valid_timestamps(df: DataFrame, ts: str) -> DataFrame:
-    """rows whose timestamp parsed."""
-    return df.where(F.col(ts).isNotNull())

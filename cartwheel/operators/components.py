@@ -1,11 +1,11 @@
 """Similarity graph and connected components (E10 core).
 
-``threshold_pairs`` finds every pair with cosine ≥ t exactly, using the IVF
-cells only to prune: a point probes a cell only when the triangle inequality
-on angles allows a member within the threshold (angle to the centroid minus
-the cell's radius). Probers and members meet by cell in hash-salted blocks
-of bounded size, where NumPy scores them as one matrix product; each true
-pair is produced once (from its smaller id).
+The graph of pairs with cosine ≥ t is never written out. Equal vectors are one node with a
+weight; nodes meet in blocks of bounded size — cells of a k-means partition, where a node
+visits a cell only if the triangle inequality on angles allows a neighbour there, cut
+further by a hash — and a block returns what is linear in its rows: neighbour counts, a
+spanning forest of its links, or each row's best core. Every close pair meets in exactly
+one block, so counts add up and the forests together connect what the graph connects.
 
 ``connected_components`` alternates large-star and small-star rounds on the
 edge list (Kiveris et al., 2014). Each round is a few grouped aggregates and
@@ -16,14 +16,14 @@ one round.
 
 from __future__ import annotations
 
+import itertools
 import math
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cartwheel.functions import scalars as S
-from cartwheel.session import ensure_checkpointing
+from cartwheel.session import ensure_checkpointing, written
 
 
 def _list_column(x: "np.ndarray"):
@@ -75,8 +75,39 @@ def _probe(centroids: "np.ndarray", reach: "np.ndarray"):
     return run
 
 
-def _block_pairs(threshold: float):
-    """cogroup applyInArrow: one (cell, member block, probe block); P×M dot products, pairs ≥ threshold."""
+def _forest(sim: "np.ndarray", t: float, left: "np.ndarray", right: "np.ndarray", allowed: "np.ndarray"):
+    """Links of a block thinned to a spanning forest: pairs (i, j) with sim ≥ t, left id < right id, both allowed."""
+    import numpy as np
+    names, where = np.unique(np.concatenate([left, right]), return_inverse=True)
+    a_of, b_of = where[:len(left)], where[len(left):]
+    root = np.arange(len(names))
+
+    def find(i: int) -> int:
+        while root[i] != i:
+            root[i] = root[root[i]]
+            i = root[i]
+        return i
+
+    out = []
+    for at in range(0, len(left), 128):
+        i, j = np.nonzero((sim[at:at + 128] >= t) & (left[at:at + 128, None] < right[None, :]) & allowed[at:at + 128])
+        a, b = a_of[i + at], b_of[j]
+        apart = root[a] != root[b]  # most links of a dense block join what is joined already
+        for x, y in zip(a[apart].tolist(), b[apart].tolist(), strict=True):
+            p, q = find(x), find(y)
+            if p != q:
+                root[max(p, q)] = min(p, q)
+                out.append((names[x], names[y]))
+        root = root[root]
+    return out
+
+
+def _block(kind: str, threshold: float):
+    """cogroup applyInArrow over one (cell, member block, visitor block).
+
+    ``degree``: (a, b, cos) = (node, weight of its neighbours here, null); ``forest``: links among
+    cores; ``border``: each non-core's best core here. Each pair counts once, from its smaller node.
+    """
     import numpy as np
     import pyarrow as pa
 
@@ -84,67 +115,105 @@ def _block_pairs(threshold: float):
 
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("cos", pa.float64())])
 
-    def run(probes: "pa.Table", members: "pa.Table") -> "pa.Table":
-        if probes.num_rows == 0 or members.num_rows == 0:
+    def run(visitors: pa.Table, members: pa.Table) -> pa.Table:
+        if not visitors.num_rows or not members.num_rows:
             return schema.empty_table()
-        sim = vector_matrix(probes.column("va").combine_chunks()) @ vector_matrix(
-            members.column("vb").combine_chunks()).T
-        a = probes.column("a").to_numpy()
-        b = members.column("b").to_numpy()
-        i, j = np.nonzero((sim >= threshold) & (a[:, None] < b[None, :]))
-        return pa.Table.from_arrays([pa.array(a[i]), pa.array(b[j]), pa.array(sim[i, j])], schema=schema)
+        a, b = visitors.column("a").to_numpy(), members.column("b").to_numpy()
+        sim = vector_matrix(visitors.column("va").combine_chunks()) @ vector_matrix(members.column("vb").combine_chunks()).T
+        ca, cb = (t.column(c).to_numpy(zero_copy_only=False).astype(bool) for t, c in ((visitors, "ca"), (members, "cb")))
+        if kind == "forest":
+            links = _forest(sim, threshold, a, b, ca[:, None] & cb[None, :])
+            return pa.table({"a": pa.array([x for x, _ in links], pa.int64()), "b": pa.array([y for _, y in links], pa.int64()),
+                             "cos": pa.nulls(len(links), pa.float64())}, schema=schema)
+        close = (sim >= threshold) & (a[:, None] < b[None, :])
+        if kind == "degree":
+            wa, wb = visitors.column("wa").to_numpy(), members.column("wb").to_numpy()
+            nodes, counts = np.concatenate([a, b]), np.concatenate([close @ wb, wa @ close])
+            kept = counts > 0
+            return pa.table({"a": nodes[kept], "b": counts[kept].astype(np.int64), "cos": pa.nulls(int(kept.sum()), pa.float64())},
+                            schema=schema)
+        out = []
+        for near, nodes, cores, s in ((close & ~ca[:, None] & cb[None, :], a, b, sim), ((close & ca[:, None] & ~cb[None, :]).T, b, a, sim.T)):
+            order = np.argsort(cores, kind="stable")  # ties go to the smaller core
+            best = np.where(near, s, -np.inf)[:, order]
+            at = best.argmax(axis=1)
+            found = np.isfinite(best[np.arange(len(nodes)), at]) if len(cores) else np.zeros(0, bool)
+            rows = np.flatnonzero(found)
+            out.append((nodes[rows], cores[order][at[rows]], best[rows, at[rows]]))
+        return pa.table({n: np.concatenate([x[i] for x in out]) for i, n in enumerate(("a", "b", "cos"))}, schema=schema)
     return run
 
 
-def _lookup(values: list[int], key: str) -> "F.Column":
-    """Per-cell integer from a short list indexed by cell (one entry per cell)."""
-    return F.element_at(F.array(*[F.lit(int(v)) for v in values]), F.col(key) + F.lit(1))
+class ThresholdGraph:
+    """The graph of rows with cosine ≥ ``threshold``, by blocks (see the module note).
 
+    ``nodes``: node (smallest id of an equal vector), vector, weight; ``members``: id, node. Both are
+    written once. Rows without vector are no nodes; ids must be unique.
+    """
 
-def threshold_pairs(corpus: DataFrame, threshold: float, id_col: str = "id", vec: str = "embedding",
-                    n_cells: int | None = None, seed: int = 7, slack: float = 1e-9, block: int = 1024,
-                    max_cells: int = 1024) -> DataFrame:
-    """All pairs (a < b) with cosine ≥ ``threshold``: columns a, b, cos.
+    def __init__(self, corpus: DataFrame, threshold: float, id_col: str = "id", vec: str = "embedding",
+                 n_cells: int | None = None, seed: int = 7, slack: float = 1e-9, block: int = 4096):
+        self.threshold, self.slack, self.block = threshold, slack, block
+        unit = corpus.where(F.col(vec).isNotNull()).select(F.col(id_col).cast("bigint").alias("id"),
+                                                            S.l2_normalize(vec, as_float=False).alias("_v"))
+        unit = written(unit.withColumn("_h", F.xxhash64("_v")), "unit")
+        nodes = written(unit.groupBy("_h", "_v").agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("w")), "nodes")
+        self.members = unit.join(nodes.select("_h", "_v", F.col("id").alias("node")), ["_h", "_v"]).select("id", "node")
+        self._assign(nodes, n_cells, seed)
+
+    def _assign(self, nodes: DataFrame, n_cells: int | None, seed: int) -> None:
+        """Cells of about ``block`` rows (√n of them at most for small tables), their radii and visitors."""
+        import numpy as np
+
+        from cartwheel.operators.vectors import centroids_of, fit_cells
+
+        n = nodes.count()
+        if n_cells is None:
+            n_cells = max(1, min(int(math.sqrt(max(n, 1))), 64), n // self.block)
+        c = np.array([x["c"] for x in centroids_of(fit_cells(nodes, n_cells, "_v", seed))], dtype=np.float64) if n else np.zeros((1, 1))
+        self.nodes = written(nodes.select("id", "_v").mapInArrow(_assign(c), "id bigint, _v array<double>, cell int, _ang double")
+                             .join(nodes.select("id", "w"), "id"), "cells")
+        per = self.nodes.groupBy("cell").agg(F.max("_ang").alias("radius"), F.count(F.lit(1)).alias("n")).collect()  # a row per cell
+        alpha = math.acos(max(-1.0, min(1.0, self.threshold)))
+        reach = np.full(len(c), -1.0)  # nobody visits an empty cell
+        held = np.ones(len(c), np.int64)
+        for r in per:
+            reach[r["cell"]], held[r["cell"]] = r["radius"] + alpha + self.slack, -(-r["n"] // self.block)
+        visits = self.nodes.select("id", "_v").mapInArrow(_probe(c, reach), "a bigint, va array<double>, cell int")
+        self.visits = written(visits.join(self.nodes.select(F.col("id").alias("a"), F.col("w").alias("wa")), "a"), "visits")
+        come = np.ones(len(c), np.int64)
+        for r in self.visits.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).collect():
+            come[r["cell"]] = -(-r["n"] // self.block)
+        self._held, self._come = held.tolist(), come.tolist()
+
+    def run(self, kind: str, cores: DataFrame | None = None) -> DataFrame:
+        """One pass over all blocks; ``cores`` (node) marks the cores, all nodes without it."""
+        visits, nodes = self.visits, self.nodes.select(F.col("id").alias("b"), F.col("_v").alias("vb"), F.col("w").alias("wb"), "cell")
+        if cores is None:
+            visits, nodes = visits.withColumn("ca", F.lit(True)), nodes.withColumn("cb", F.lit(True))
+        else:
+            mark = lambda k, c: cores.select(F.col("node").alias(k), F.lit(True).alias(c))
+            visits = visits.join(mark("a", "ca"), "a", "left").withColumn("ca", F.coalesce("ca", F.lit(False)))
+            nodes = nodes.join(mark("b", "cb"), "b", "left").withColumn("cb", F.coalesce("cb", F.lit(False)))
+        # Both sides must key blocks with the same types, or equal keys would not meet.
+        left = (visits.withColumn("psalt", F.pmod(F.xxhash64("a", F.lit(11)), _lookup(self._come, "cell")).cast("int"))
+                .withColumn("msalt", F.explode(F.sequence(F.lit(0), (_lookup(self._held, "cell") - 1).cast("int")))))
+        right = (nodes.withColumn("msalt", F.pmod(F.xxhash64("b", F.lit(13)), _lookup(self._held, "cell")).cast("int"))
+                 .withColumn("psalt", F.explode(F.sequence(F.lit(0), (_lookup(self._come, "cell") - 1).cast("int")))))
+        keys = ["cell", "msalt", "psalt"]
+        return (left.groupBy(*keys).cogroup(right.groupBy(*keys))
+                .applyInArrow(_block(kind, self.threshold), "a bigint, b bigint, cos double"))
+
+    def degrees(self) -> DataFrame:
+        """(node, deg): rows with cosine ≥ threshold, the node's own row and its equals included."""
+        near = self.run("degree").groupBy("a").agg(F.sum("b").alias("near"))
+        return self.nodes.select(F.col("id").alias("a"), "w").join(near, "a", "left").select(
+            F.col("a").alias("node"), (F.col("w") + F.coalesce("near", F.lit(0))).alias("deg"))
 
-    Exact: IVF cells only prune (triangle inequality on angles). Candidate
-    pairs are scored as dense blocks with NumPy — each cell's members and its
-    probers are split by a hash of the id into blocks of at most ``block``
-    rows, so no task holds more than ``block × block`` scores however large
-    a cell is, and only pairs at or above the threshold leave the task.
-    """
-    import numpy as np
 
-    from cartwheel.operators.vectors import centroids_of, fit_cells
-
-    spark = corpus.sparkSession
-    # Unit vectors feed the k-means fit, the assignment, the probes and the member side.
-    unit = corpus.select(F.col(id_col).cast("bigint").alias("id"),
-                         S.l2_normalize(vec, as_float=False).alias("_v")).persist(StorageLevel.MEMORY_AND_DISK)
-    if n_cells is None:
-        n_cells = max(1, min(max_cells, int(math.sqrt(max(unit.count(), 1)))))
-    cents = centroids_of(fit_cells(unit, n_cells, "_v", seed))
-    c = np.array([x["c"] for x in cents], dtype=np.float64)
-    k = len(cents)
-    assigned = unit.mapInArrow(_assign(c), "id bigint, _v array<double>, cell int, _ang double") \
-        .persist(StorageLevel.MEMORY_AND_DISK)
-    stats = {int(r["cell"]): (float(r["radius"]), int(r["n"])) for r in
-             assigned.groupBy("cell").agg(F.max("_ang").alias("radius"), F.count(F.lit(1)).alias("n")).collect()}
-    alpha = math.acos(max(-1.0, min(1.0, threshold)))
-    # Empty cells get a negative reach, so nobody probes them.
-    reach = np.array([stats[i][0] + alpha + slack if i in stats else -1.0 for i in range(k)])
-    probes = assigned.mapInArrow(_probe(c, reach), "a bigint, va array<double>, cell int")
-    probers = {int(r["cell"]): int(r["n"]) for r in probes.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).collect()}
-    m_blocks = [max(1, -(-stats.get(i, (0.0, 0))[1] // block)) for i in range(k)]
-    p_blocks = [max(1, -(-probers.get(i, 0) // block)) for i in range(k)]
-    # Both sides must key blocks with the same types, or equal keys would not meet.
-    p_side = (probes.withColumn("psalt", F.pmod(F.xxhash64("a", F.lit(11)), _lookup(p_blocks, "cell")).cast("int"))
-              .withColumn("msalt", F.explode(F.sequence(F.lit(0), (_lookup(m_blocks, "cell") - 1).cast("int")))))
-    m_side = (assigned.select(F.col("id").alias("b"), F.col("_v").alias("vb"), "cell")
-              .withColumn("msalt", F.pmod(F.xxhash64("b", F.lit(13)), _lookup(m_blocks, "cell")).cast("int"))
-              .withColumn("psalt", F.explode(F.sequence(F.lit(0), (_lookup(p_blocks, "cell") - 1).cast("int")))))
-    keys = ["cell", "msalt", "psalt"]
-    return (p_side.groupBy(*keys).cogroup(m_side.groupBy(*keys))
-            .applyInArrow(_block_pairs(threshold), "a bigint, b bigint, cos double"))
+def _lookup(values: list[int], key: str) -> "F.Column":
+    """Per-cell integer from a short list indexed by cell (one entry per cell)."""
+    return F.element_at(F.array(*[F.lit(int(v)) for v in values]), F.col(key) + F.lit(1))
 
 
 def _norm_edges(df: DataFrame, x: str, y: str) -> DataFrame:
@@ -180,16 +249,18 @@ def _fingerprint(edges: DataFrame) -> tuple:
     return (r["n"], r["h1"], r["h2"])
 
 
-def connected_components(edges: DataFrame, src: str = "a", dst: str = "b", max_rounds: int = 64) -> DataFrame:
+def connected_components(edges: DataFrame, src: str = "a", dst: str = "b", max_rounds: int | None = None) -> DataFrame:
     """Component of every node that occurs in ``edges``: (node, component = smallest node id).
 
     Runs one action per round (the convergence test); stops when a round
-    leaves the edge set unchanged.
+    leaves the edge set unchanged. A caller's ``max_rounds`` that is not enough raises.
     """
     ensure_checkpointing(edges.sparkSession)
     e = _norm_edges(edges, src, dst).checkpoint(eager=True)
     seen = _fingerprint(e)
-    for _ in range(max_rounds):
+    for i in itertools.count():
+        if max_rounds is not None and i >= max_rounds:
+            raise RuntimeError(f"components did not settle within {max_rounds} rounds")
         # Each round reads its input several times, so the plan must be cut every round
         # (checkpoint into the shared folder); the fingerprint then reads the written files.
         e = small_star(large_star(e)).checkpoint(eager=True)
@@ -206,10 +277,12 @@ def threshold_components(corpus: DataFrame, threshold: float, id_col: str = "id"
                          n_cells: int | None = None) -> DataFrame:
     """Every corpus row with its component in the graph of pairs with cosine ≥ threshold.
 
-    Isolated rows are their own component. Output: id, component.
+    Isolated rows, and rows without vector, are their own component. Output: id, component.
     """
-    pairs = threshold_pairs(corpus, threshold, id_col, vec, n_cells)
-    comp = connected_components(pairs)
-    ids = corpus.select(F.col(id_col).alias("node"))
-    return ids.join(comp, "node", "left").select(
-        F.col("node").alias(id_col), F.coalesce(F.col("component"), F.col("node")).alias("component"))
+    graph = ThresholdGraph(corpus, threshold, id_col, vec, n_cells)
+    comp = connected_components(graph.run("forest"))
+    named = graph.members.join(comp, "node", "left").select(
+        F.col("id").alias("_id"), F.coalesce("component", "node").alias("component"))
+    ids = corpus.select(id_col)
+    return ids.join(named, F.col(id_col) == F.col("_id"), "left").select(
+        id_col, F.coalesce(F.col("component"), F.col(id_col)).alias("component"))

@@ -1,110 +1,87 @@
-"""Exact interpolated quantiles per group without holding a group in one buffer.
-
-Spark's ``percentile``/``median`` keep every distinct value of a group in
-one aggregation buffer, which a group holding a third of all rows cannot
-afford. Here three aggregates do the work, all with map-side combine:
-
-1. per group: row count and a mergeable quantile sketch (``percentile_approx``,
-   rank error ≤ n/accuracy) that brackets the target ranks;
-2. per group: the number of values below the bracket;
-3. per (group, value) inside the bracket: the value's multiplicity — at most
-   ~8·n/accuracy distinct values per group.
-
-The bracketed (value, count) pairs are then walked in order to pick the
-values at ranks ⌊(n−1)p⌋ and ⌈(n−1)p⌉, interpolated as
-``(hi_rank − pos)·lo + (pos − lo_rank)·hi`` (the same formula as Spark's
-exact percentile).
+"""Exact interpolated quantiles per group by refinement.
+
+Spark's ``percentile``/``median`` keep every distinct value of a group in one aggregation buffer,
+which a group holding a third of all rows cannot afford. Here two plain aggregates, both
+combined before their shuffle, do the work:
+
+1. rows per (group, bucket), a bucket being a rising function of the value (``bucket_of``);
+   running counts over a group's buckets say in which buckets the target ranks lie;
+2. rows per (group, bucket, value) of those buckets only; running counts over them, started at the
+   rows before the bucket, give the values at ranks ⌊(n−1)p⌋ and ⌈(n−1)p⌉.
+
+They are interpolated as ``(hi_rank − pos)·lo + (pos − lo_rank)·hi`` (the same formula as
+Spark's exact percentile). Running counts are windows over counts, which spill, never
+over rows.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-DEFAULT_ACCURACY = 1_000_000
+STEPS = 256  # buckets per unit of the logarithm
 
 
-def _value_at(pairs: Column, start: Column, rank: Column) -> Column:
-    """Value of 0-based ``rank`` given sorted (v, c) pairs whose first value has rank ``start``."""
-    acc = F.aggregate(pairs, F.struct(start.alias("seen"), F.lit(None).cast("double").alias("v")),
-                      lambda a, x: F.struct((a["seen"] + x["c"]).alias("seen"),
-                                            F.when(a["v"].isNull() & (rank < a["seen"] + x["c"]), x["v"])
-                                            .otherwise(a["v"]).alias("v")))
-    return acc["v"]
+def bucket_of(v: Column) -> Column:
+    """A whole number that never falls as the value rises: signed logarithm in ``STEPS`` steps."""
+    size = F.floor(F.log1p(F.least(F.abs(v), F.lit(1e300))) * STEPS).cast("bigint")
+    return F.when(v < 0, -size).otherwise(size)
 
 
-def _join_null_safe(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
+def _same(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
     """Inner join on ``keys`` where null keys match each other (group keys may be null)."""
     r = right.select(*[F.col(k).alias(f"_r_{k}") for k in keys], *[c for c in right.columns if c not in keys])
-    cond = [left[k].eqNullSafe(r[f"_r_{k}"]) for k in keys]
-    return left.join(r, on=cond, how="inner").drop(*[f"_r_{k}" for k in keys])
+    return left.join(r, [left[k].eqNullSafe(r[f"_r_{k}"]) for k in keys]).drop(*[f"_r_{k}" for k in keys])
 
 
-def _within(pairs: Column, lo: Column, hi: Column) -> Column:
-    return F.filter(pairs, lambda x: x["v"].between(lo, hi))
+def _running(df: DataFrame, within: list[str], order: str, n: str) -> Column:
+    """Rows before this one's, within the keys."""
+    w = Window.partitionBy(*within).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    return F.coalesce(F.sum(n).over(w), F.lit(0))
 
 
 def grouped_quantiles(df: DataFrame, value: str, groups: list[str], probs: list[float],
-                      accuracy: int = DEFAULT_ACCURACY, names: list[str] | None = None) -> DataFrame:
+                      names: list[str] | None = None) -> DataFrame:
     """Exact linear-interpolated quantiles of ``value`` per group (nulls and NaN ignored).
 
     Output: groups + one column per probability (``names`` or ``q<i>``);
-    groups with no values are absent. Groups may be empty (whole column).
+    groups with no values are absent. Without groups the whole column is one.
     """
     names = names or [f"q{i}" for i in range(len(probs))]
-    margin = 4.0 / accuracy
-    keyed = df.withColumn("_g", F.lit(0)) if not groups else df
-    groups = groups or ["_g"]
-    v = keyed.select(*groups, F.col(value).cast("double").alias("_v")).where(F.col("_v").isNotNull() & ~F.isnan("_v"))
-    edges = []
+    v = df.select(*groups, F.col(value).cast("double").alias("_v")).where(F.col("_v").isNotNull() & ~F.isnan("_v"))
+    v = v.withColumn("_bucket", bucket_of(F.col("_v")))
+    per = v.groupBy(*groups, "_bucket").agg(F.count(F.lit(1)).alias("_n"))
+    per = per.withColumns({"_before": _running(per, groups, "_bucket", "_n"),
+                           "_total": F.sum("_n").over(Window.partitionBy(*groups))})
+
+    def ranks(p: float) -> tuple[Column, Column, Column]:
+        pos = (F.col("_total") - F.lit(1)).cast("double") * F.lit(float(p))
+        return pos, F.floor(pos), F.ceil(pos)
+
+    def holds(rank: Column) -> Column:
+        return (F.col("_before") <= rank) & (rank < F.col("_before") + F.col("_n"))
+
+    wanted = F.lit(False)
     for p in probs:
-        edges += [max(0.0, p - margin), min(1.0, p + margin)]
-    stats = v.groupBy(*groups).agg(F.count(F.lit(1)).alias("_n"),
-                                   F.percentile_approx("_v", F.array(*[F.lit(e) for e in edges]), accuracy).alias("_b"))
-    lo = [F.col("_b")[2 * i] for i in range(len(probs))]
-    hi = [F.col("_b")[2 * i + 1] for i in range(len(probs))]
-    # One pass over the rows: values inside any bracket keep their identity, the rest
-    # collapse into one null key per group that carries the below-bracket counts and
-    # the nearest values just outside each bracket.
-    tagged = _join_null_safe(v, stats, groups)
-    in_band = F.lit(False)
-    for a, b in zip(lo, hi):
-        in_band = in_band | F.col("_v").between(a, b)
-    tagged = tagged.withColumn("_bv", F.when(in_band, F.col("_v")))
-    outside = []
-    for i, (a, b) in enumerate(zip(lo, hi)):
-        outside += [F.count_if(F.col("_v") < a).alias(f"_below{i}"),
-                    F.max(F.when(F.col("_v") < a, F.col("_v"))).alias(f"_prev{i}"),
-                    F.min(F.when(F.col("_v") > b, F.col("_v"))).alias(f"_next{i}")]
-    first = tagged.groupBy(*groups, "_bv").agg(F.count(F.lit(1)).alias("_c"), *outside)
-    per = first.groupBy(*groups).agg(
-        *[agg for i in range(len(probs)) for agg in (F.sum(f"_below{i}").alias(f"_below{i}"),
-                                                     F.max(f"_prev{i}").alias(f"_prev{i}"),
-                                                     F.min(f"_next{i}").alias(f"_next{i}"))],
-        F.sort_array(F.collect_list(F.when(F.col("_bv").isNotNull(),
-                                           F.struct(F.col("_bv").alias("v"), F.col("_c").alias("c"))))).alias("_pairs"))
-    j = _join_null_safe(stats, per, groups)
-    outs = []
+        wanted = wanted | holds(ranks(p)[1]) | holds(ranks(p)[2])
+    chosen = per.where(wanted).select(*groups, "_bucket", F.col("_before").alias("_start"), "_total")
+    # The chosen buckets are a few rows per group; their rows are counted by value.
+    fine = _same(v, chosen, [*groups, "_bucket"]).groupBy(*groups, "_bucket", "_start", "_total", "_v").agg(
+        F.count(F.lit(1)).alias("_n"))
+    fine = fine.withColumn("_before", F.col("_start") + _running(fine, [*groups, "_bucket"], "_v", "_n"))
+    picked = []
     for i, p in enumerate(probs):
-        prev, nxt = F.col(f"_prev{i}"), F.col(f"_next{i}")
-        # The bracket's pairs, widened by one value on each side (count 1 is all the walk needs).
-        pairs = F.concat(
-            F.when(prev.isNotNull(), F.array(F.struct(prev.alias("v"), F.lit(1).cast("bigint").alias("c"))))
-            .otherwise(F.array().cast("array<struct<v:double,c:bigint>>")),
-            _within(F.col("_pairs"), lo[i], hi[i]),
-            F.when(nxt.isNotNull(), F.array(F.struct(nxt.alias("v"), F.lit(1).cast("bigint").alias("c"))))
-            .otherwise(F.array().cast("array<struct<v:double,c:bigint>>")))
-        start = F.col(f"_below{i}") - F.when(prev.isNotNull(), F.lit(1)).otherwise(F.lit(0))
-        pos = (F.col("_n") - F.lit(1)).cast("double") * F.lit(float(p))
-        lo_r, hi_r = F.floor(pos), F.ceil(pos)
-        lo_v = _value_at(pairs, start, lo_r)
-        hi_v = _value_at(pairs, start, hi_r)
-        outs.append(F.when(lo_r == hi_r, lo_v).otherwise((hi_r - pos) * lo_v + (pos - lo_r) * hi_v).alias(names[i]))
-    res = j.select(*groups, *outs)
-    return res.drop("_g") if groups == ["_g"] else res
-
-
-def median_by(df: DataFrame, value: str, groups: list[str], out: str = "median",
-              accuracy: int = DEFAULT_ACCURACY) -> DataFrame:
+        _, lo, hi = ranks(p)
+        picked += [F.max(F.when(holds(lo), F.col("_v"))).alias(f"_lo{i}"), F.max(F.when(holds(hi), F.col("_v"))).alias(f"_hi{i}")]
+    ends = fine.groupBy(*groups).agg(F.max("_total").alias("_total"), *picked).where(F.col("_total") > 0)
+    outs = []
+    for i, (p, name) in enumerate(zip(probs, names, strict=True)):
+        pos, lo, hi = ranks(p)
+        outs.append(F.when(lo == hi, F.col(f"_lo{i}")).otherwise(
+            (hi - pos) * F.col(f"_lo{i}") + (pos - lo) * F.col(f"_hi{i}")).alias(name))
+    return ends.select(*groups, *outs)
+
+
+def median_by(df: DataFrame, value: str, groups: list[str], out: str = "median") -> DataFrame:
     """Exact interpolated median per group."""
-    return grouped_quantiles(df, value, groups, [0.5], accuracy, [out])
+    return grouped_quantiles(df, value, groups, [0.5], [out])

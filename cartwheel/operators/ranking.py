@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cartwheel.operators.clean import plausible_discount
+from cartwheel.session import ensure_checkpointing
 
 
 def _asc(cols: list[str]) -> list[Column]:
@@ -62,11 +63,11 @@ def best_quality(products: DataFrame, k: int = 15, score: str = "wilson_score",
 
 
 def stable_sample(df: DataFrame, n: int, key: str, seed: int = 0) -> DataFrame:
-    """T5: fixed-size reproducible sample: the ``n`` rows with the smallest seeded hash of ``key``.
+    """T5: fixed-size reproducible sample: the ``n`` rows with the smallest seeded md5 of ``key``.
 
-    Independent of partitioning and file order; planned as TakeOrderedAndProject.
+    Independent of partitioning and file order, and of the engine; planned as TakeOrderedAndProject.
     """
-    h = F.xxhash64(F.col(key), F.lit(seed))
+    h = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col(key).cast("string")).cast("binary"))
     return df.withColumn("_h", h).orderBy("_h", key).limit(n).drop("_h")
 
 
@@ -106,14 +107,15 @@ def filter_options(products: DataFrame, reviews: DataFrame, categories: list[str
 def sorted_index(df: DataFrame, order: list[Column], out: str = "index") -> DataFrame:
     """0-based position of every row in a global sort, computed without a single-task window.
 
-    ``orderBy`` range-partitions and sorts; within a partition the rows keep
-    that order, so ``monotonically_increasing_id`` minus the partition's first
-    id is the position inside it, and a running sum of the earlier partitions'
-    sizes (one row per partition) is its offset. The sort must be total
-    (append a unique key) for the index to be reproducible.
+    ``orderBy`` range-partitions and sorts; the sorted rows are checkpointed in the shared
+    folder with their partition and place, so the sizes and the positions are taken from the same sort.
+    A row's position is its place inside its partition plus the sizes of the earlier
+    partitions (one row per partition). The sort must be total (append a unique key) for the
+    index to be reproducible.
     """
-    s = df.orderBy(*order).withColumn("_pid", F.spark_partition_id()).withColumn("_mid",
-                                                                                 F.monotonically_increasing_id())
+    ensure_checkpointing(df.sparkSession)
+    s = (df.orderBy(*order).withColumn("_pid", F.spark_partition_id())
+         .withColumn("_mid", F.monotonically_increasing_id()).checkpoint(eager=True))
     parts = s.groupBy("_pid").agg(F.min("_mid").alias("_first"), F.count(F.lit(1)).alias("_n"))
     earlier = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     parts = parts.withColumn("_offset", F.coalesce(F.sum("_n").over(earlier), F.lit(0)))

@@ -1,24 +1,23 @@
 """Vector search (E2-E7, J7, C22): embedding, exact and IVF k-nearest neighbours.
 
 Scale notes
-* Query sets are small by construction (a fixed list of query texts, or one
-  centroid per label). Their size is checked; up to ``max_inline`` query
-  values they are attached to every corpus row as one literal array and
-  scored in a projection (no join, no shuffle of the corpus). Larger query
-  sets are processed in blocks of that size.
-* Top-k per query is ``row_number() <= k``, planned as a partial
-  WindowGroupLimit: every map task forwards at most k rows per query.
-* The IVF index is a ``cell`` column; the probe is an equi-join on cell, so a
-  huge cell is split by AQE's skew-join handling.
+* Exact search is a block join: queries and corpus rows are dealt into blocks by a hash of
+  their ids, every query block meets every corpus block in a group of its own (one matrix
+  product), and only the group's best k rows per query leave it. Blocks hold a bounded
+  number of values, so neither the queries nor the corpus pass through the driver or one task.
+* With a category (or an IVF cell) the block key starts with it: a query meets only the rows
+  of its own category, and a large category is many blocks.
+* Top-k per query is ``row_number() <= k`` over those partial lists, planned with a
+  partial WindowGroupLimit.
 """
 
 from __future__ import annotations
 
+import hashlib
 import json
 import math
 
 from pyspark.ml.clustering import KMeans
-from pyspark.ml.feature import HashingTF, Normalizer
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, Window
@@ -44,7 +43,10 @@ CATEGORY_QUERIES = [
 ]
 
 TOKEN_PATTERN = r"[\p{L}\p{N}_]{2,}"
-MAX_INLINE_VALUES = 1_000_000  # query values inlined per block (floats)
+QUERY_VALUES = 500_000  # vector values of a query block
+CORPUS_VALUES = 4_000_000  # vector values of a corpus block
+SLICE_ROWS = 4096  # corpus rows scored at once
+CELL_ROWS = 2000  # corpus rows of an IVF cell, on average
 
 
 # ---- E2: embedding -----------------------------------------------------------
@@ -54,71 +56,96 @@ def tokens(text: str | Column) -> Column:
     return F.regexp_extract_all(F.lower(S.col_of(text)), F.lit(TOKEN_PATTERN), 0)
 
 
+def _hashed(dim: int, out: str, double: bool):
+    """mapInArrow: token lists to unit vectors; a token adds +1 or -1 to one bucket, both from its md5."""
+    import numpy as np
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    def run(batches):
+        for rb in batches:
+            if rb.num_rows == 0:
+                continue
+            tokens_ = rb.column("_tok")
+            sizes = pc.fill_null(pc.list_value_length(tokens_), 0).to_numpy(zero_copy_only=False)
+            coded = pc.list_flatten(tokens_).dictionary_encode()
+            marks = [hashlib.md5(t.encode("utf-8")).hexdigest() for t in coded.dictionary.to_pylist()]
+            bucket = np.array([int(m[:8], 16) % dim for m in marks], np.int64)
+            sign = np.array([1.0 if int(m[8], 16) < 8 else -1.0 for m in marks])
+            code = coded.indices.to_numpy(zero_copy_only=False)
+            rows = np.repeat(np.arange(rb.num_rows), sizes)
+            x = np.bincount(rows * dim + bucket[code], weights=sign[code], minlength=rb.num_rows * dim) if len(code) \
+                else np.zeros(rb.num_rows * dim)
+            x = x.reshape(rb.num_rows, dim)
+            norm = np.sqrt((x * x).sum(axis=1))
+            x = (x / np.where(norm > 0, norm, 1.0)[:, None]).astype(np.float64 if double else np.float32)
+            vec = pa.ListArray.from_arrays(pa.array(np.arange(0, x.size + 1, dim, dtype=np.int32)), pa.array(x.ravel()))
+            at = rb.schema.get_field_index("_tok")
+            yield pa.RecordBatch.from_arrays([c for i, c in enumerate(rb.columns) if i != at] + [vec],
+                                             names=[n for n in rb.schema.names if n != "_tok"] + [out])
+    return run
+
+
 def hash_embed(df: DataFrame, text: str = "text", dim: int = 64, prefix: str = "", out: str = "embedding",
-               encoder=None) -> DataFrame:
-    """Text → unit vector. Default encoder: feature hashing of word tokens, L2-normalised (JVM only).
+               encoder=None, double: bool = False) -> DataFrame:
+    """Text → unit vector (float, or ``double``). Default encoder: signed feature hashing of word tokens, L2-normalised.
 
+    Bucket (first 8 hex digits of the token's md5, modulo ``dim``) and sign (its ninth) are the
+    same in every engine. A text without tokens, or whose tokens cancel, is the zero vector.
     ``encoder`` may be a callable ``(DataFrame, text_col, out_col) -> DataFrame`` that
     runs a real model (e.g. an iterator pandas UDF loading the model once per worker).
     """
     src = F.concat(F.lit(prefix), S.col_of(text)) if prefix else S.col_of(text)
     if encoder is not None:
         return encoder(df.withColumn("_text", src), "_text", out).drop("_text")
-    t = df.withColumn("_tok", tokens(src))
-    tf = HashingTF(inputCol="_tok", outputCol="_tf", numFeatures=dim)
-    norm = Normalizer(inputCol="_tf", outputCol="_unit", p=2.0)
-    v = norm.transform(tf.transform(t))
-    return v.withColumn(out, vector_to_array("_unit", "float32")).drop("_tok", "_tf", "_unit")
+    kept = df.drop(out)
+    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema), f"`{out}` array<{'double' if double else 'float'}>"])
+    return kept.withColumn("_tok", tokens(src)).mapInArrow(_hashed(dim, out, double), schema)
 
 
 # ---- E4/E6/E7: exact search ----------------------------------------------------
 
-def _inline_blocks(queries: DataFrame, cols: list[str], qvec: str, max_values: int) -> list[list[tuple]]:
-    """Queries fetched in bounded blocks (the query set is small by construction)."""
-    dim_row = queries.select(F.max(F.size(qvec)).alias("d"), F.count(F.lit(1)).alias("n")).first()
-    dim, n = int(dim_row["d"] or 1), int(dim_row["n"])
-    per_block = max(1, max_values // max(dim, 1))
-    ordered = queries.select(*cols, qvec)
-    if n <= per_block:
-        return [[tuple(r) for r in ordered.collect()]]
-    # Block by position in a (distributed) sort so that no block exceeds the bound.
-    from cartwheel.operators.ranking import sorted_index
-    ranked = sorted_index(ordered, [F.asc(c) for c in cols], out="_pos").withColumn(
-        "_b", F.floor(F.col("_pos") / F.lit(per_block)))
-    return [[tuple(r) for r in ranked.where(F.col("_b") == b).select(*cols, qvec).collect()]
-            for b in range(math.ceil(n / per_block))]
-
-
 def literal_rows(rows: list[dict], ddl: str) -> Column:
     """A small, bounded list of rows as one constant array (folded to a literal by the optimizer)."""
     return F.from_json(F.lit(json.dumps(rows)), f"array<struct<{ddl}>>")
 
 
-def _batch_topk(qids: list, qvecs: "np.ndarray", qcats: list | None, k: int, id_col: str, vec: str,
-                cat_col: str | None, out_schema):
-    """mapInArrow: score one Arrow batch against every query (one matrix product) and keep,
-    per query, the ``k`` best rows of the batch by (score desc, id asc)."""
+def _best(q: "np.ndarray", score: "np.ndarray", ids: "np.ndarray", k: int) -> "np.ndarray":
+    """Positions of the ``k`` best rows of each query: score descending, id ascending."""
+    import numpy as np
+    order = np.lexsort((ids, -score, q))
+    first = np.concatenate([[True], q[order][1:] != q[order][:-1]]) if len(order) else np.zeros(0, bool)
+    start = np.maximum.accumulate(np.where(first, np.arange(len(order)), 0))
+    return order[np.arange(len(order)) - start < k]
+
+
+def _block_topk(k: int, digits: int | None, schema):
+    """cogroup applyInArrow: one query block against one corpus block, ``k`` best rows per query."""
     import numpy as np
     import pyarrow as pa
 
-    def run(batches):
-        for rb in batches:
-            if rb.num_rows == 0:
-                continue
-            scores = vector_matrix(rb.column(vec)) @ qvecs.T
-            ids = np.asarray(rb.column(id_col).to_pylist())  # ints or strings; both sort like Spark's order
-            cats = np.asarray(rb.column(cat_col).to_pylist(), dtype=object) if cat_col else None
-            out_q, out_id, out_s = [], [], []
-            for j, q in enumerate(qids):
-                rows = np.arange(len(ids)) if cats is None else np.nonzero(cats == qcats[j])[0]
-                if len(rows) == 0:
-                    continue
-                order = rows[np.lexsort((ids[rows], -scores[rows, j]))[:k]]
-                out_q += [q] * len(order)
-                out_id += ids[order].tolist()
-                out_s += scores[order, j].tolist()
-            if out_q:
-                yield pa.RecordBatch.from_pydict({"qid": out_q, id_col: out_id, "score": out_s}, schema=out_schema)
+    def run(queries: pa.Table, rows: pa.Table) -> pa.Table:
+        if not queries.num_rows or not rows.num_rows:
+            return schema.empty_table()
+        qm = vector_matrix(queries.column("_qv").combine_chunks())
+        cm = vector_matrix(rows.column("_v").combine_chunks())
+        keys, ids = np.unique(np.asarray(rows.column("_id").to_pylist()), return_inverse=True)  # codes sort as ids do
+        held = [np.zeros(0, np.int64), np.zeros(0), np.zeros(0, np.int64)]
+        for at in range(0, len(cm), SLICE_ROWS):
+            sim = qm @ cm[at:at + SLICE_ROWS].T
+            if digits is not None:
+                sim = np.round(sim, digits)
+            if sim.shape[1] > k:  # everything from the k-th best score up, ties included
+                floor = np.partition(sim, sim.shape[1] - k, axis=1)[:, sim.shape[1] - k]
+                q, j = np.nonzero(sim >= floor[:, None])
+            else:
+                q, j = (x.ravel() for x in np.indices(sim.shape))
+            held = [np.concatenate(p) for p in zip(held, (q, sim[q, j], ids[at + j]), strict=True)]
+            keep = _best(*held, k)
+            held = [p[keep] for p in held]
+        q, score, code = held
+        return pa.Table.from_arrays([queries.column("_qid").combine_chunks().take(pa.array(q)),
+                                     pa.array(keys[code].tolist(), schema.field(1).type), pa.array(score)], schema=schema)
     return run
 
 
@@ -135,48 +162,45 @@ def _arrow_type(dt):
 
 def knn_exact(queries: DataFrame, corpus: DataFrame, k: int = 5, qid: str = "qid", qvec: str = "qvec",
               id_col: str = "id", vec: str = "embedding", digits: int | None = None,
-              max_values: int = MAX_INLINE_VALUES, q_category: str | None = None,
+              query_values: int = QUERY_VALUES, corpus_values: int = CORPUS_VALUES, q_category: str | None = None,
               category: str | None = None) -> DataFrame:
     """E4 (J7): for each query the ``k`` corpus rows with the highest dot product (cosine on unit vectors).
 
-    The corpus is read once: every Arrow batch is scored against the whole
-    (bounded) query block with one NumPy matrix product, and only the batch's
-    best ``k`` rows per query leave the task; the final ``row_number() <= k``
-    per query merges those partial lists (exact, ties broken by id).
-    With ``q_category``/``category`` a query only scores rows of its own
-    category. Output: qid, id, score, rank.
+    Every query row is answered, however many there are: blocks are a hash of the ids, so both
+    sides agree on them in every run. Ties go to the smaller id; with ``digits`` scores are rounded
+    before they are ranked. With ``q_category``/``category`` a query only scores rows of its
+    own category (null categories match nothing). Rows without vector take no part. Output: qid, id, score, rank.
     """
-    import numpy as np
-
-    qid_type = queries.schema[qid].dataType.simpleString()
-    id_type = corpus.schema[id_col].dataType.simpleString()
-    cols = [qid] + ([q_category] if q_category else [])
-    schema = f"qid {qid_type}, {id_col} {id_type}, score double"
-    parts = []
-    src = corpus.where(F.col(vec).isNotNull()).select(
-        id_col, vec, *([F.col(category).cast("string").alias("_cat")] if q_category else []))
     import pyarrow as pa
-    out_schema = pa.schema([pa.field("qid", _arrow_type(queries.schema[qid].dataType)),
-                            pa.field(id_col, _arrow_type(corpus.schema[id_col].dataType)),
-                            pa.field("score", pa.float64())])
-    for block in _inline_blocks(queries, cols, qvec, max_values):
-        if not block:
-            continue
-        qids = [r[0] for r in block]
-        qcats = [r[1] for r in block] if q_category else None
-        qvecs = np.array([[float(x) for x in r[-1]] for r in block], dtype=np.float64)
-        fn = _batch_topk(qids, qvecs, qcats, k, id_col, vec, "_cat" if q_category else None, out_schema)
-        parts.append(src.mapInArrow(fn, schema))
-    if not parts:
-        return corpus.sparkSession.createDataFrame([], f"{schema}, rank int")
-    scored = parts[0]
-    for part in parts[1:]:
-        scored = scored.unionByName(part)
+
+    q = queries.where(F.col(qvec).isNotNull()).select(
+        F.col(qid).alias("_qid"), F.col(qvec).alias("_qv"), *([F.col(q_category).cast("string").alias("_key")] if q_category else []))
+    c = corpus.where(F.col(vec).isNotNull()).select(
+        F.col(id_col).alias("_id"), F.col(vec).alias("_v"), *([F.col(category).cast("string").alias("_key")] if q_category else []))
+    width = F.greatest(F.max(F.size("_qv")), F.lit(1))
+    if q_category:
+        per = q.groupBy("_key").agg(F.ceil(F.count(F.lit(1)) * width / query_values).cast("int").alias("_nq"), width.alias("_d"))
+        sizes = (per.join(c.groupBy("_key").agg(F.count(F.lit(1)).alias("_n")), "_key")
+                 .select("_key", "_nq", F.ceil(F.col("_n") * F.col("_d") / corpus_values).cast("int").alias("_nc")))
+        q, c, nq, nc = q.join(sizes, "_key"), c.join(sizes, "_key"), F.col("_nq"), F.col("_nc")
+        keys = ["_key", "_qb", "_cb"]
+    else:
+        n, d = q.agg(F.count(F.lit(1)), width).first()
+        nq = F.lit(max(1, -(-n * (d or 1) // query_values)))
+        nc = F.lit(max(1, -(-c.count() * (d or 1) // corpus_values)))
+        keys = ["_qb", "_cb"]
+    parts = [x for x in keys if x == "_key"]
+    left = (q.withColumn("_qb", F.pmod(F.xxhash64("_qid", F.lit(11)), nq).cast("int"))
+            .select(*parts, "_qid", "_qv", "_qb", F.explode(F.sequence(F.lit(0), nc - 1)).alias("_cb")))
+    right = (c.withColumn("_cb", F.pmod(F.xxhash64("_id", F.lit(13)), nc).cast("int"))
+             .select(*parts, "_id", "_v", "_cb", F.explode(F.sequence(F.lit(0), nq - 1)).alias("_qb")))
+    schema = pa.schema([("qid", _arrow_type(queries.schema[qid].dataType)),
+                        (id_col, _arrow_type(corpus.schema[id_col].dataType)), ("score", pa.float64())])
+    ddl = (f"qid {queries.schema[qid].dataType.simpleString()}, `{id_col}` {corpus.schema[id_col].dataType.simpleString()}, "
+           "score double")
+    scored = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(_block_topk(k, digits, schema), ddl)
     w = Window.partitionBy("qid").orderBy(F.desc("score"), F.asc(id_col))
-    top = scored.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= F.lit(k))
-    if digits is not None:
-        top = top.withColumn("score", F.round("score", digits))
-    return top
+    return scored.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= F.lit(k))
 
 
 def label_centroids(corpus: DataFrame, label: str = "label", vec: str = "embedding",
@@ -200,10 +224,10 @@ def write_vector_table(indexed: DataFrame, path: str) -> DataFrame:
     return indexed.sparkSession.read.parquet(path)
 
 
-def query_frame(spark, texts: list[str], dim: int = 64, prefix: str = "") -> DataFrame:
+def query_frame(spark, texts: list[str], dim: int = 64, prefix: str = "", double: bool = False) -> DataFrame:
     """The fixed query texts embedded with the corpus encoder."""
     q = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "qid bigint, query string")
-    return hash_embed(q, "query", dim=dim, prefix=prefix, out="qvec")
+    return hash_embed(q, "query", dim=dim, prefix=prefix, out="qvec", double=double)
 
 
 def search_in_category(queries: DataFrame, corpus: DataFrame, k: int = 5, category: str = "category",
@@ -234,7 +258,7 @@ def fit_cells(corpus: DataFrame, n_cells: int, vec: str = "embedding", seed: int
 
 
 def centroids_of(model) -> list[dict]:
-    """Unit-normalised centroids of a fitted model: [{cell, c}] — n_cells × dim values, capped by ``max_cells``."""
+    """Unit-normalised centroids of a fitted model: [{cell, c}] — n_cells × dim values."""
     out = []
     for i, c in enumerate(model.clusterCenters()):
         v = [float(x) for x in c]
@@ -294,7 +318,7 @@ def _nearest_cell(centroids: "np.ndarray", vec: str):
 def assign_cells(corpus: DataFrame, centroids: list[dict], vec: str = "embedding") -> DataFrame:
     """Nearest centroid by cosine; adds ``cell`` and ``cell_cos``.
 
-    The centroids (≤ max_cells × dim values) travel with the task; each Arrow
+    The centroids (cells × dim values) travel with the task; each Arrow
     batch is scored against all of them with one NumPy matrix product.
     """
     import numpy as np
@@ -306,36 +330,36 @@ def assign_cells(corpus: DataFrame, centroids: list[dict], vec: str = "embedding
     return corpus.where(F.col(vec).isNotNull()).mapInArrow(_nearest_cell(c, vec), schema)
 
 
-def build_ivf(corpus: DataFrame, n_cells: int | None = None, vec: str = "embedding", max_cells: int = 1024,
+def build_ivf(corpus: DataFrame, n_cells: int | None = None, vec: str = "embedding", cell_rows: int = CELL_ROWS,
               seed: int = 7) -> tuple[DataFrame, list[dict]]:
-    """(indexed corpus with ``cell``, centroids). ``n_cells`` defaults to √n, capped at ``max_cells``."""
+    """(indexed corpus with ``cell``, centroids). ``n_cells`` defaults to one per ``cell_rows`` rows, √n at least.
+
+    Fit and assignment both read ``corpus``: pass a written table when its plan is costly.
+    """
     if n_cells is None:
         n = corpus.count()
-        n_cells = max(1, min(max_cells, int(math.sqrt(max(n, 1)))))
+        n_cells = max(1, int(math.sqrt(max(n, 1))), n // cell_rows)
     cents = centroids_of(fit_cells(corpus, n_cells, vec, seed))
     return assign_cells(corpus, cents, vec), cents
 
 
 def knn_ann(queries: DataFrame, indexed: DataFrame, centroids: list[dict], k: int = 5, nprobe: int = 4,
-            qid: str = "qid", qvec: str = "qvec", id_col: str = "id", vec: str = "embedding") -> DataFrame:
+            qid: str = "qid", qvec: str = "qvec", id_col: str = "id", vec: str = "embedding",
+            digits: int | None = None) -> DataFrame:
     """E5: probe the ``nprobe`` nearest cells per query, re-rank their members exactly, keep ``k``.
 
-    The (query, cell) probe list is small (queries × nprobe). The corpus is
-    filtered to the probed cells — on a table partitioned by ``cell`` that
-    filter prunes whole folders — and scored by the exact search with each
-    query restricted to its own probed cells.
+    The corpus is semi-joined with the probed cells — on a table partitioned by ``cell``
+    that prunes whole folders — and each (query, cell) probe meets its cell's blocks only.
     """
     arr = centroid_literal(centroids)
     probes = queries.select(qid, qvec, F.explode(F.transform(arr, lambda s: F.struct(
         s["cell"].alias("cell"), S.dot(s["c"], F.col(qvec)).alias("ccos")))).alias("_p"))
     probes = probes.select(qid, qvec, F.col("_p.cell").alias("cell"), F.col("_p.ccos").alias("ccos"))
     wp = Window.partitionBy(qid).orderBy(F.desc("ccos"), F.asc("cell"))
-    probes = (probes.withColumn("_r", F.row_number().over(wp)).where(F.col("_r") <= nprobe)
-              .select(qid, qvec, F.col("cell").cast("string").alias("_probe_cell")))
-    cells = sorted({int(r[0]) for r in probes.select("_probe_cell").distinct().collect()})  # ≤ queries × nprobe
-    cand = indexed.where(F.col("cell").isin(cells)).withColumn("_cell", F.col("cell").cast("string"))
-    return knn_exact(probes, cand, k, qid=qid, qvec=qvec, id_col=id_col, vec=vec,
-                     q_category="_probe_cell", category="_cell")
+    probes = probes.withColumn("_r", F.row_number().over(wp)).where(F.col("_r") <= nprobe).select(qid, qvec, "cell")
+    cand = indexed.join(probes.select("cell").distinct(), "cell", "left_semi")
+    return knn_exact(probes, cand, k, qid=qid, qvec=qvec, id_col=id_col, vec=vec, digits=digits,
+                     q_category="cell", category="cell")
 
 
 def recall_at_k(approx: DataFrame, exact: DataFrame, id_col: str = "id") -> DataFrame:

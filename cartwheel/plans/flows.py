@@ -1,14 +1,13 @@
 """Composite flows (X1-X5): one call builds every panel of a flow as lazy DataFrames.
 
-X1 (shared plan, several outputs): the clean products frame is persisted
-once and every panel reads it; a lost executor recomputes only its blocks.
+X1 (shared plan, several outputs): the clean products frame is written
+once under the checkpoint folder and every panel reads it; a lost executor costs nothing of it.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,6 +19,7 @@ from cartwheel.operators import histograms as H
 from cartwheel.operators import ranking as R
 from cartwheel.operators import search as SR
 from cartwheel.plans import sql as Q
+from cartwheel.session import written
 from cartwheel.sources import csv as CSV
 from cartwheel.sources import parquet as P
 
@@ -27,9 +27,9 @@ from cartwheel.sources import parquet as P
 # ---- X2: structured flow -------------------------------------------------------
 
 def structured(spark: SparkSession, products_folder: str, out_folder: str | None = None,
-               tiebreak: list[str] | None = None) -> dict[str, DataFrame]:
+               tiebreak: list[str] | None = None, multi_line: bool = True) -> dict[str, DataFrame]:
     """S1 → U1 → F1 → {A1, W1, C5 → T2, A3, A4, A17, A18} → S6."""
-    products = C.clean_products(CSV.read_products(spark, products_folder)).persist(StorageLevel.MEMORY_AND_DISK)
+    products = written(C.clean_products(CSV.read_products(spark, products_folder, multi_line=multi_line)), "products")
     tb = tiebreak or ["name", "actual_price", "discount_price"]
     rated = products.where(C.rated()).withColumn("wilson_score", S.wilson_center("ratings", "no_of_ratings"))
     panels = {
@@ -143,12 +143,12 @@ def reviews_flow(spark: SparkSession, paths: dict[str, str], out_folder: str, di
     from cartwheel.operators import vectors as VX
     from cartwheel.sources import jsonl as J
 
-    reviews = J.load_reviews(spark, paths, max_rows=max_rows).persist(StorageLevel.MEMORY_AND_DISK)
+    reviews = J.load_reviews(spark, paths, max_rows=max_rows)
+    reviews = written(reviews, "reviews")
     docs = J.review_docs(reviews)
     monthly = A.monthly_sentiment(reviews, ts="timestamp")
     P.write_monthly(monthly, f"{out_folder}/monthly")
-    vecs = VX.hash_embed(docs.select("id", F.col("review_text").alias("text")), dim=dim)
-    rows = P.vector_rows(docs, vecs)
+    rows = written(P.embedded_rows(docs, "review_text", dim=dim), "review-vectors")
     indexed, cents = VX.build_ivf(rows)
     table = VX.write_vector_table(indexed.drop("cell_cos"), f"{out_folder}/vectors")
     queries = VX.query_frame(spark, VX.SEARCH_QUERIES, dim=dim)
@@ -156,13 +156,15 @@ def reviews_flow(spark: SparkSession, paths: dict[str, str], out_folder: str, di
         "q_category", F.element_at(F.array(*[F.lit(c) for c, _ in VX.CATEGORY_QUERIES]),
                                    (F.col("qid") + 1).cast("int")))
     # Topic assignments and map points feed several panels: keep each once.
-    topics = T.kmeans_topics(table.select("id", "embedding"), k=n_topics).persist(StorageLevel.MEMORY_AND_DISK)
+    topics = written(T.kmeans_topics(table.select("id", "embedding"), k=n_topics), "topics")
     coords = T.pca_map(topics.select("id", "embedding", "topic", "strength"), k=2)
     labelled = docs.join(topics.select("id", "topic"), "id")
     info = T.topic_info(labelled.select("topic", F.col("review_text").alias("text")))
-    points = T.review_topic_points(docs.withColumnRenamed("id", "review_id"),
-                                   coords.withColumnRenamed("id", "review_id"), info,
-                                   key="review_id").persist(StorageLevel.MEMORY_AND_DISK)
+    T.review_topic_points(docs.withColumnRenamed("id", "review_id"), coords.withColumnRenamed("id", "review_id"), info,
+                          key="review_id").write.parquet(f"{out_folder}/reviews")
+    points = spark.read.parquet(f"{out_folder}/reviews")
+    T.document_map(points, docs.select(F.col("id").alias("review_id"), F.col("review_text").alias("text")),
+                   "review_id").write.parquet(f"{out_folder}/document_map")
     return {
         "reviews": reviews,
         "monthly": spark.read.parquet(f"{out_folder}/monthly"),
@@ -171,6 +173,5 @@ def reviews_flow(spark: SparkSession, paths: dict[str, str], out_folder: str, di
         "category_search": VX.search_in_category(cat_queries, table, k=k),
         "topics": topics,
         "review_points": points,
-        "document_map": T.document_map(points, docs.select(F.col("id").alias("review_id"),
-                                                            F.col("review_text").alias("text")), "review_id"),
+        "document_map": spark.read.parquet(f"{out_folder}/document_map"),
     }

@@ -6,6 +6,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
+from cartwheel.functions import scalars as S
 from cartwheel.operators import clean as C
 from cartwheel.plans import fixtures as FX
 from cartwheel.plans import flows as FW
@@ -47,7 +48,7 @@ def q_clean_prices(spark, sf):
                  (F.col("l_extendedprice") * (F.lit(1) - F.col("l_discount"))).cast("string")).alias("discount_price"),
         F.concat(F.when(ln % 2 == 1, F.lit(NBSP)).otherwise(F.lit("")), F.lit("₹"),
                  F.format_number("l_extendedprice", 2), F.lit(" ")).alias("actual_price"))
-    raw = raw.select(*[F.when(F.col(c).isin(["", "NA", "N/A", "null", "None"]), F.lit(None)).otherwise(F.col(c))
+    raw = raw.select(*[F.when(F.col(c).isin(list(S.NULL_TOKENS)), F.lit(None)).otherwise(F.col(c))
                        .alias(c) for c in raw.columns])
     return C.clean_products(raw)
 
@@ -78,7 +79,7 @@ def q_flow_structured(spark, sf):
     cats = sorted(r[0] for r in offers.select("source_category").distinct().collect())
     folder = scratch_dir(spark, "flow-structured")
     FX.write_category_csvs(offers, f"{folder}/in", cats)
-    panels = FW.structured(spark, f"{folder}/in", f"{folder}/out")
+    panels = FW.structured(spark, f"{folder}/in", f"{folder}/out", multi_line=False)
     return FW.panel_counts(panels)
 
 

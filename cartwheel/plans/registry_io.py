@@ -42,7 +42,7 @@ def q_csv_ingest(spark, sf):
     cats = sorted(r[0] for r in offers.select("source_category").distinct().collect())
     folder = scratch_dir(spark, "csv")
     FX.write_category_csvs(offers, folder, cats)
-    return C.clean_products(CSV.read_products(spark, folder))
+    return C.clean_products(CSV.read_products(spark, folder, multi_line=False))
 
 
 @register("csv_combined", V.with_views(f"""
@@ -52,14 +52,14 @@ SELECT {CLEAN_COLS} FROM (
 def q_csv_combined(spark, sf):
     folder = scratch_dir(spark, "csv-combined")
     FX.write_combined_csv(V.offers(spark, sf), folder, with_main=True)
-    return C.clean_products(CSV.read_products(spark, folder))
+    return C.clean_products(CSV.read_products(spark, folder, multi_line=False))
 
 
 def _jsonl_expected() -> str:
     k = "(doc_id % 20)"
     text = f"CASE WHEN {k} = 5 THEN concat(chr(160), text, chr(160)) ELSE text END"
     raw = duck_ustrip(text)
-    title = (f"CASE WHEN {k} % 4 IN (0, 1) THEN '' ELSE substr({duck_ustrip('substr(text, 1, 30)')}, 1, 1024) END")
+    title = (f"CASE WHEN {k} % 4 IN (0, 1) THEN '' ELSE {duck_ustrip('substr(text, 1, 30)')} END")
     asin_key = f"CASE WHEN {k} = 17 THEN '' ELSE concat('A', CAST(doc_id AS VARCHAR)) END"
     asin = (f"CASE WHEN doc_id % 3 = 1 THEN concat('P', CAST(doc_id % 50 AS VARCHAR)) "
             f"WHEN {k} = 17 THEN 'UNKNOWN' ELSE concat('A', CAST(doc_id AS VARCHAR)) END")
@@ -79,8 +79,8 @@ SELECT category, CAST(ordinal AS BIGINT) AS ordinal,
        concat(substr(hx, 1, 8), '-', substr(hx, 9, 4), '-', substr(hx, 13, 4), '-', substr(hx, 17, 4), '-',
               substr(hx, 21, 12)) AS id,
        sha256(concat_ws(chr(1), category, user_id, asin_key, raw_text)) AS content_id,
-       asin, title, substr(raw_text, 1, 8192) AS text, rating, ts AS timestamp, helpful_vote, verified,
-       CAST(length(substr(raw_text, 1, 8192)) AS BIGINT) AS text_len
+       asin, title, raw_text AS text, rating, ts AS timestamp, helpful_vote, verified,
+       CAST(length(raw_text) AS BIGINT) AS text_len
 FROM h WHERE length(raw_text) >= 50 AND rating IS NOT NULL"""
 
 
@@ -167,14 +167,14 @@ def q_diagonal_union(spark, sf):
 # ---- F6, F7, C10-C14, C18, C19 on the documents and conversations tables ------------
 
 @register("review_gate", f"""
-SELECT doc_id, CAST(length(substr({duck_ustrip('text')}, 1, 8192)) AS BIGINT) AS text_len FROM documents
+SELECT doc_id, CAST(length({duck_ustrip('text')}) AS BIGINT) AS text_len FROM documents
 WHERE length({duck_ustrip('text')}) >= 50 AND doc_id % 13 <> 0 AND doc_id % 3 <> 0""")
 def q_review_gate(spark, sf):
     d = V.table(spark, sf, "documents").select(
         "doc_id", "text", F.when(F.col("doc_id") % 13 == 0, F.lit(None)).otherwise(F.col("doc_id") % 5 + 1)
         .alias("rating"), (F.col("doc_id") % 3 != 0).alias("verified"))
     g = C.quality_gate(d, min_chars=50, verified_only=True)
-    return g.select("doc_id", S.text_length(S.truncate(S.ustrip("text"), 8192)).alias("text_len"))
+    return g.select("doc_id", S.text_length(S.ustrip("text")).alias("text_len"))
 
 
 @register("review_cap", f"""
@@ -191,9 +191,8 @@ def q_review_cap(spark, sf):
 WITH d AS (SELECT doc_id, source AS category, {duck_ustrip('text')} AS t, concat('u', CAST(doc_id % 97 AS VARCHAR)) AS u,
                   concat('A', CAST(doc_id AS VARCHAR)) AS a, CAST(doc_id % 5 + 1 AS DOUBLE) AS rating,
                   CASE WHEN doc_id % 4 = 0 THEN '' ELSE substr(text, 1, 10) END AS title0 FROM documents),
-o AS (SELECT *, row_number() OVER (PARTITION BY category ORDER BY doc_id) AS ordinal FROM d),
-r AS (SELECT *, substr(t, 1, 8192) AS body, md5(concat(u, ':', a, ':', CAST(ordinal AS VARCHAR))) AS hx,
-             CASE WHEN title0 = '' THEN substr(substr(t, 1, 8192), 1, 120) ELSE title0 END AS title FROM o)
+r AS (SELECT *, t AS body, md5(concat(u, ':', a, ':', CAST(doc_id AS VARCHAR))) AS hx,
+             CASE WHEN title0 = '' THEN substr(t, 1, 120) ELSE title0 END AS title FROM d)
 SELECT doc_id, concat(substr(hx, 1, 8), '-', substr(hx, 9, 4), '-', substr(hx, 13, 4), '-', substr(hx, 17, 4), '-',
                       substr(hx, 21, 12)) AS id,
        title, category, round(least(greatest((rating - CAST(3 AS DOUBLE)) / CAST(2 AS DOUBLE), CAST(-1 AS DOUBLE)),
@@ -202,17 +201,15 @@ SELECT doc_id, concat(substr(hx, 1, 8), '-', substr(hx, 9, 4), '-', substr(hx, 1
        CAST(length(body) AS BIGINT) AS text_len
 FROM r""")
 def q_review_records(spark, sf):
-    from pyspark.sql import Window
     d = V.table(spark, sf, "documents")
     d = d.select("doc_id", F.col("source").alias("category"), S.ustrip("text").alias("t"),
                  F.concat(F.lit("u"), (F.col("doc_id") % 97).cast("string")).alias("u"),
                  F.concat(F.lit("A"), F.col("doc_id").cast("string")).alias("a"),
                  (F.col("doc_id") % 5 + 1).cast("double").alias("rating"),
                  F.when(F.col("doc_id") % 4 == 0, F.lit("")).otherwise(F.substring("text", 1, 10)).alias("title0"))
-    d = d.withColumn("ordinal", F.row_number().over(Window.partitionBy("category").orderBy("doc_id")))
-    body = S.truncate("t", J.TEXT_CHARS)
+    body = F.col("t")
     title = S.title_fallback("title0", body, J.TITLE_FALLBACK_CHARS)
-    return d.select("doc_id", S.stable_id("u", "a", "ordinal").alias("id"), title.alias("title"), "category",
+    return d.select("doc_id", S.stable_id("u", "a", "doc_id").alias("id"), title.alias("title"), "category",
                     S.rating_to_sentiment("rating", 4).alias("sentiment_score"),
                     S.compose_review_text(title, body).alias("review_text"),
                     S.text_length(body).alias("text_len"))

@@ -10,6 +10,7 @@ from cartwheel.operators import ranking as R
 from cartwheel.operators import search as SR
 from cartwheel.operators import topics as T
 from cartwheel.operators import vectors as VX
+from cartwheel.functions import scalars as S
 from cartwheel.plans import views as V
 from cartwheel.plans.registry import CAT_LIST, D6, DEFAULT_CATEGORIES, dash_reviews, register, with_dash
 from cartwheel.session import scratch_dir
@@ -27,11 +28,14 @@ def corpus(spark, sf):
     return V.table(spark, sf, "embeddings").select(F.col("vec_id").alias("id"), "embedding", "label")
 
 
-@register("knn_exact", f"""
+KNN_SQL = f"""
 WITH {CENTROID_SQL},
 s AS (SELECT q.qid, ev.vec_id, sum(q.qv * ev.x) AS score FROM q JOIN ev ON q.i = ev.i GROUP BY q.qid, ev.vec_id),
-r AS (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY score DESC, vec_id) AS rank FROM s)
-SELECT qid, vec_id AS id, round(score, {D6}) AS score, CAST(rank AS BIGINT) AS rank FROM r WHERE rank <= 5""")
+r AS (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY round(score, {D6}) DESC, vec_id) AS rank FROM s)
+SELECT qid, vec_id AS id, round(score, {D6}) AS score, CAST(rank AS BIGINT) AS rank FROM r WHERE rank <= 5"""
+
+
+@register("knn_exact", KNN_SQL)
 def q_knn_exact(spark, sf):
     c = corpus(spark, sf)
     out = VX.knn_exact(VX.label_centroids(c), c, k=5, digits=D6)
@@ -45,7 +49,7 @@ qc AS (SELECT DISTINCT qid, CAST((qid + 5) % 12 AS VARCHAR) AS qcat FROM q),
 g AS (SELECT * FROM qc WHERE qcat IN (SELECT DISTINCT CAST(label AS VARCHAR) FROM embeddings)),
 s AS (SELECT q.qid, ev.vec_id, sum(q.qv * ev.x) AS score FROM q JOIN g ON q.qid = g.qid
       JOIN ev ON q.i = ev.i AND CAST(ev.label AS VARCHAR) = g.qcat GROUP BY q.qid, ev.vec_id),
-r AS (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY score DESC, vec_id) AS rank FROM s)
+r AS (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY round(score, {D6}) DESC, vec_id) AS rank FROM s)
 SELECT qid, vec_id AS id, round(score, {D6}) AS score, CAST(rank AS BIGINT) AS rank FROM r WHERE rank <= 5""")
 def q_search_in_category(spark, sf):
     c = corpus(spark, sf)
@@ -54,44 +58,94 @@ def q_search_in_category(spark, sf):
     return out.withColumn("rank", F.col("rank").cast("bigint"))
 
 
-@register("knn_ann")
-def q_knn_ann(spark, sf):
+def _ann(spark, sf, nprobe):
     c = corpus(spark, sf)
     indexed, cents = VX.build_ivf(c)
     table = VX.write_vector_table(indexed.drop("cell_cos"), f"{scratch_dir(spark, 'ivf')}/vectors")
-    return VX.knn_ann(VX.label_centroids(c), table, cents, k=5, nprobe=4)
+    return VX.knn_ann(VX.label_centroids(c), table, cents, k=5, nprobe=nprobe or len(cents), digits=D6)
+
+
+@register("knn_ann", KNN_SQL)
+def q_knn_ann(spark, sf):
+    """E3 + E5 with every cell probed: the index loses no row, so the hits are the exact ones."""
+    return _ann(spark, sf, None).withColumn("rank", F.col("rank").cast("bigint"))
+
+
+@register("knn_ann_recall", "SELECT count(DISTINCT label) AS queries, 5 * count(DISTINCT label) AS hits, true AS recall_over_half FROM embeddings")
+def q_knn_ann_recall(spark, sf):
+    """E5 at a quarter of the cells against E4: complete hit lists, most of them the exact hits."""
+    c = corpus(spark, sf)
+    indexed, cents = VX.build_ivf(c, n_cells=16)
+    approx = VX.knn_ann(VX.label_centroids(c), indexed, cents, k=5, nprobe=4).checkpoint(eager=True)
+    exact = VX.knn_exact(VX.label_centroids(c), c, k=5)
+    recall = VX.recall_at_k(approx, exact).select((F.col("recall") > 0.5).alias("recall_over_half"))
+    counts = approx.agg(F.count_distinct("qid").alias("queries"), F.count(F.lit(1)).alias("hits"))
+    return counts.join(recall, F.lit(True))  # one row each
 
 
-@register("search_batch")
+EMBED_SQL = r"""tok AS (SELECT {key} AS key, md5(unnest(regexp_extract_all(lower({text}), '[\p{{L}}\p{{N}}_]{{2,}}'))) AS m FROM {source}),
+cnt AS (SELECT key, CAST(concat('0x', substr(m, 1, 8)) AS BIGINT) % 64 AS i,
+               CAST(sum(CASE WHEN substr(m, 9, 1) < '8' THEN 1 ELSE -1 END) AS DOUBLE) AS x FROM tok GROUP BY 1, 2),
+nrm AS (SELECT key, sqrt(sum(x * x)) AS n FROM cnt GROUP BY key),
+vec AS (SELECT key, i, x / n AS x FROM cnt JOIN nrm USING (key) WHERE n > 0)"""
+
+
+def embed_sql(prefix: str, source: str, key: str, text: str) -> str:
+    """CTEs of the signed hash embedding in SQL; the last one, ``<prefix>vec``, has (key, i, x)."""
+    sql = EMBED_SQL.format(source=source, key=key, text=text)
+    for name in ("tok", "cnt", "nrm", "vec"):
+        sql = sql.replace(f"{name} AS (", f"{prefix}{name} AS (").replace(f"FROM {name}", f"FROM {prefix}{name}").replace(
+            f"JOIN {name}", f"JOIN {prefix}{name}")
+    return sql
+
+
+QUERIES_SQL = ", ".join(f"({i}, '{t}')" for i, t in enumerate(VX.SEARCH_QUERIES))
+
+
+@register("search_batch", f"""
+WITH {embed_sql('d', 'documents', 'doc_id', 'text')},
+{embed_sql('q', f'(VALUES {QUERIES_SQL}) v(qid, query)', 'qid', 'query')},
+s AS (SELECT q.key AS qid, d.key AS id, round(sum(q.x * d.x), {D6}) AS score FROM qvec q JOIN dvec d USING (i) GROUP BY 1, 2),
+a AS (SELECT qid, id, coalesce(score, 0) AS score FROM (SELECT qid, doc_id AS id FROM (SELECT DISTINCT qid FROM s) CROSS JOIN documents) LEFT JOIN s USING (qid, id)),
+r AS (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY score DESC, id) AS rank FROM a)
+SELECT qid, id, score, CAST(rank AS BIGINT) AS rank FROM r WHERE rank <= 5""")
 def q_search_batch(spark, sf):
     """The reference's eight query texts against the hash-embedded documents."""
-    docs = VX.hash_embed(V.table(spark, sf, "documents").select(F.col("doc_id").alias("id"), "text"), dim=64)
-    return VX.knn_exact(VX.query_frame(spark, VX.SEARCH_QUERIES, dim=64), docs, k=5)
+    docs = VX.hash_embed(V.table(spark, sf, "documents").select(F.col("doc_id").alias("id"), "text"), dim=64, double=True)
+    hits = VX.knn_exact(VX.query_frame(spark, VX.SEARCH_QUERIES, dim=64, double=True), docs, k=5, digits=D6)
+    return hits.withColumn("rank", F.col("rank").cast("bigint"))
 
 
-@register("hash_embed")
+@register("hash_embed", f"""
+WITH {embed_sql('d', 'documents', 'doc_id', 'text')}
+SELECT key AS doc_id, i, round(x, {D6}) AS x FROM dvec WHERE x <> 0""")
 def q_hash_embed(spark, sf):
+    """E2 in long form: (doc_id, i, x) of every bucket that is not zero."""
     d = V.table(spark, sf, "documents").select("doc_id", "text")
-    return VX.hash_embed(d, "text", dim=64).select("doc_id", "embedding")
+    e = VX.hash_embed(d, "text", dim=64, double=True).select("doc_id", F.posexplode("embedding").alias("i", "x"))
+    return e.where("x <> 0").select("doc_id", F.col("i").cast("bigint").alias("i"), F.round("x", D6).alias("x"))
 
 
 @register("vector_upsert", """
-WITH up AS (SELECT vec_id AS id, CASE WHEN vec_id % 50 = 0 THEN NULL ELSE embedding END AS embedding, label + 100 AS label
-            FROM embeddings WHERE label % 3 = 0),
-ex AS (SELECT vec_id AS id, embedding, label FROM embeddings),
-good AS (SELECT id, label, len(embedding) AS n_dims, false AS rejected FROM up WHERE embedding IS NOT NULL
-         UNION ALL
-         SELECT id, label, len(embedding), false FROM ex WHERE id NOT IN (SELECT id FROM up WHERE embedding IS NOT NULL)),
-bad AS (SELECT id, label, CAST(NULL AS BIGINT) AS n_dims, true AS rejected FROM up WHERE embedding IS NULL)
-SELECT id, label, CAST(n_dims AS BIGINT) AS n_dims, rejected FROM good UNION ALL SELECT * FROM bad""")
+WITH up AS (SELECT vec_id AS id, CASE WHEN vec_id % 50 = 0 THEN NULL ELSE embedding END AS embedding, label + 100 * s AS label, s AS seq
+            FROM embeddings, (VALUES (1), (2), (3)) v(s) WHERE label % 3 = 0 AND (s < 3 OR vec_id % 2 = 0)),
+ok AS (SELECT id, max_by(label, seq) AS label FROM up WHERE embedding IS NOT NULL GROUP BY id)
+SELECT id, label, false AS rejected, CAST(1 AS BIGINT) AS n FROM ok
+UNION ALL SELECT vec_id, label, false, 1 FROM embeddings WHERE vec_id NOT IN (SELECT id FROM ok)
+UNION ALL SELECT id, max(label), true, count(*) FROM up WHERE embedding IS NULL GROUP BY id""")
 def q_vector_upsert(spark, sf):
+    """A batch with two or three updates per key, some without vector, written over the stored table."""
     c = corpus(spark, sf)
-    up = (c.where(F.col("label") % 3 == 0)
+    folder = scratch_dir(spark, "upsert")
+    c.write.parquet(f"{folder}/stored")
+    up = (c.where(F.col("label") % 3 == 0).withColumn("seq", F.explode(F.array(*[F.lit(i) for i in (3, 1, 2)])))
+          .where((F.col("seq") < 3) | (F.col("id") % 2 == 0))
           .select("id", F.when(F.col("id") % 50 == 0, F.lit(None)).otherwise(F.col("embedding")).alias("embedding"),
-                  (F.col("label") + 100).alias("label")))
-    merged = P.upsert_vectors(c, up)
-    return merged.select("id", "label", F.size("embedding").cast("bigint").alias("n_dims"), "rejected") \
-        .withColumn("n_dims", F.when(F.col("rejected"), F.lit(None).cast("bigint")).otherwise(F.col("n_dims")))
+                  (F.col("label") + 100 * F.col("seq")).alias("label"), "seq"))
+    merged = P.write_upsert(spark, f"{folder}/stored", up, f"{folder}/out", sequence="seq")
+    rejects = spark.read.parquet(f"{folder}/out/rejects").groupBy("id").agg(F.max("label").alias("label"), F.count(F.lit(1)).alias("n"))
+    return merged.select("id", "label", F.lit(False).alias("rejected"), F.lit(1).cast("bigint").alias("n")).unionByName(
+        rejects.select("id", "label", F.lit(True).alias("rejected"), "n"))
 
 
 @register("embedding_alignment", """
@@ -106,25 +160,30 @@ def q_embedding_alignment(spark, sf):
     return P.alignment_report(docs, corpus(spark, sf))
 
 
-@register("vector_table")
+@register("vector_table", """
+SELECT doc_id AS id, source AS category, CAST(length(text) AS BIGINT) AS body_chars, CAST(64 AS BIGINT) AS dims, true AS nearest
+FROM documents""")
 def q_vector_table(spark, sf):
-    """S10 + E3: documents aligned with their vectors, field limits applied, IVF cell attached."""
+    """S10 + E3: documents with their vectors and IVF cell; ``nearest``: no other centroid is closer than the cell's."""
     docs = V.table(spark, sf, "documents").select(F.col("doc_id").alias("id"), F.col("text").alias("body"),
                                                   F.col("source").alias("category"))
-    vecs = VX.hash_embed(docs.select("id", F.col("body").alias("text")), dim=64)
-    rows = P.vector_rows(docs, vecs)
-    indexed, _ = VX.build_ivf(rows, n_cells=8)
-    return indexed.drop("cell_cos")
+    path = scratch_dir(spark, "vector-table")
+    P.embedded_rows(docs, "body", dim=64).write.parquet(path)
+    indexed, cents = VX.build_ivf(spark.read.parquet(path), n_cells=8)
+    unit = S.l2_normalize("embedding", as_float=False)
+    best = F.array_max(F.transform(VX.centroid_literal(cents), lambda c: S.dot(c["c"], F.col("_u"))))
+    return (indexed.withColumn("_u", unit)
+            .select("id", "category", F.char_length("body").cast("bigint").alias("body_chars"),
+                    F.size("embedding").cast("bigint").alias("dims"), (F.abs(best - F.col("cell_cos")) < 1e-6).alias("nearest")))
 
 
 @register("vector_write", """
 SELECT count(*) AS present, count(DISTINCT doc_id) AS keys, CAST(0 AS BIGINT) AS empty_vectors FROM documents""")
 def q_vector_write(spark, sf):
-    """S10 + J6: documents aligned with their vectors (field limits applied), written, counted back."""
+    """Documents with their vectors, written, counted back."""
     docs = V.table(spark, sf, "documents").select(F.col("doc_id").alias("id"), F.col("text").alias("body"),
                                                   F.col("source").alias("category"))
-    vecs = VX.hash_embed(docs.select("id", F.col("body").alias("text")), dim=64)
-    return P.write_vectors(P.vector_rows(docs, vecs), f"{scratch_dir(spark, 'vectors')}/collection")
+    return P.write_vectors(P.embedded_rows(docs, "body", dim=64), f"{scratch_dir(spark, 'vectors')}/collection")
 
 
 # ---- topics over documents (source as topic) -------------------------------------
@@ -183,51 +242,91 @@ def q_topic_similarity(spark, sf):
 
 # ---- vector topics --------------------------------------------------------------
 
-@register("threshold_components", """
-WITH RECURSIVE """ + EV_SQL + """,
+GRAPH_SQL = EV_SQL + """,
 nr AS (SELECT vec_id, sqrt(sum(x * x)) AS nr FROM ev GROUP BY vec_id),
 pairs AS (SELECT a.vec_id AS a, b.vec_id AS b, sum(a.x * b.x) AS dot FROM ev a JOIN ev b ON a.i = b.i AND a.vec_id < b.vec_id
           GROUP BY 1, 2),
-edges AS (SELECT p.a, p.b FROM pairs p JOIN nr na ON p.a = na.vec_id JOIN nr nb ON p.b = nb.vec_id
+edges AS (SELECT p.a, p.b, p.dot / (na.nr * nb.nr) AS cos FROM pairs p JOIN nr na ON p.a = na.vec_id JOIN nr nb ON p.b = nb.vec_id
           WHERE p.dot / (na.nr * nb.nr) >= 0.35),
-und AS (SELECT a AS s, b AS t FROM edges UNION ALL SELECT b, a FROM edges),
+und AS (SELECT a AS s, b AS t, cos FROM edges UNION ALL SELECT b, a, cos FROM edges)"""
+
+
+@register("threshold_components", f"""
+WITH RECURSIVE {GRAPH_SQL},
 cc(node, comp) AS (SELECT vec_id, vec_id FROM embeddings UNION SELECT u.t, cc.comp FROM cc JOIN und u ON cc.node = u.s)
 SELECT node AS id, min(comp) AS component FROM cc GROUP BY node""")
 def q_threshold_components(spark, sf):
     return CC.threshold_components(corpus(spark, sf), 0.35)
 
 
-@register("density_topics")
+@register("density_topics", f"""
+WITH RECURSIVE {GRAPH_SQL},
+core AS (SELECT s AS node FROM und GROUP BY s HAVING count(*) + 1 >= 3),
+cu AS (SELECT u.s, u.t FROM und u WHERE u.s IN (SELECT node FROM core) AND u.t IN (SELECT node FROM core)),
+cc(node, comp) AS (SELECT node, node FROM core UNION SELECT cu.t, cc.comp FROM cc JOIN cu ON cc.node = cu.s),
+cl AS (SELECT node, min(comp) AS cluster FROM cc GROUP BY node),
+bo AS (SELECT s AS node, cluster, cos, row_number() OVER (PARTITION BY s ORDER BY cos DESC, t) AS rn
+       FROM und JOIN cl ON und.t = cl.node WHERE s NOT IN (SELECT node FROM core)),
+me AS (SELECT node, cluster, 1.0::DOUBLE AS strength FROM cl UNION ALL SELECT node, cluster, cos FROM bo WHERE rn = 1),
+big AS (SELECT cluster, row_number() OVER (ORDER BY count(*) DESC, cluster) - 1 AS topic FROM me GROUP BY cluster HAVING count(*) >= 5)
+SELECT e.vec_id AS id, CAST(coalesce(big.topic, -1) AS BIGINT) AS topic,
+       round(CASE WHEN big.topic IS NULL THEN 0 ELSE me.strength END, {D6}) AS strength
+FROM embeddings e LEFT JOIN me ON e.vec_id = me.node LEFT JOIN big ON me.cluster = big.cluster""")
 def q_density_topics(spark, sf):
-    return T.density_topics(corpus(spark, sf), eps_cos=0.35, min_samples=3, min_cluster_size=5)
+    out = T.density_topics(corpus(spark, sf), eps_cos=0.35, min_samples=3, min_cluster_size=5)
+    return out.select("id", F.col("topic").cast("bigint").alias("topic"), F.round("strength", D6).alias("strength"))
 
 
-@register("kmeans_topics")
+@register("kmeans_topics", "SELECT vec_id AS id, label, true AS assigned FROM embeddings")
 def q_kmeans_topics(spark, sf):
-    return T.kmeans_topics(corpus(spark, sf), k=10).select("id", "label", "topic", "strength")
+    """E11 + E12; topic numbers are the fit's own, so a row states that it has one of the k and a cosine."""
+    out = T.kmeans_topics(corpus(spark, sf), k=10)
+    return out.select("id", "label", (F.col("topic").between(0, 9) & (F.abs("strength") <= 1 + 1e-9)).alias("assigned"))
 
 
-@register("pca_map")
+@register("pca_map", """
+SELECT i AS component, (SELECT count(*) FROM embeddings) AS n, true AS uncorrelated, true AS ordered
+FROM range(1, 6) t(i)""")
 def q_pca_map(spark, sf):
-    return T.pca_map(corpus(spark, sf), k=5, names=[f"u{i}" for i in range(1, 6)])
-
-
-@register("topic_map")
+    """E8 as its invariants: per component, no correlation with the later ones and no less variance than the next."""
+    names = [f"u{i}" for i in range(1, 6)]
+    pts = T.pca_map(corpus(spark, sf), k=5, names=names)
+    moments = pts.agg(F.count(F.lit(1)).alias("n"), *[F.covar_pop(a, b).alias(f"{a}{b}") for a in names for b in names])
+    rows = []
+    for i, a in enumerate(names):
+        small = [F.abs(F.col(f"{a}{b}")) <= 1e-6 * F.col(f"{a}{a}") for b in names[i + 1:]]
+        flat = F.lit(True)
+        for x in small:
+            flat = flat & x
+        down = F.col(f"{a}{a}") >= F.col(f"{names[i + 1]}{names[i + 1]}") if i + 1 < len(names) else F.lit(True)
+        rows.append(F.struct(F.lit(i + 1).cast("bigint").alias("component"), F.col("n").alias("n"), flat.alias("uncorrelated"),
+                             down.alias("ordered")))
+    return moments.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
+
+
+@register("topic_map", "SELECT count(*) AS docs, true AS at_most_k, true AS centred FROM embeddings")
 def q_topic_map(spark, sf):
+    """E16 as its invariants: topic sizes add up to the documents, and their weighted mean is the points' mean."""
     c = corpus(spark, sf)
-    pts = T.pca_map(T.kmeans_topics(c, k=10).select("id", "embedding", "topic"), k=2)
-    return T.topic_map(pts)
+    pts = T.pca_map(T.kmeans_topics(c, k=10).select("id", "embedding", "topic"), k=2).checkpoint(eager=True)
+    m = T.topic_map(pts).agg(F.sum("size").alias("docs"), (F.count(F.lit(1)) <= 10).alias("at_most_k"),
+                             (F.sum(F.col("x") * F.col("size")) / F.sum("size")).alias("mx"))
+    mean = pts.agg(F.avg("x").alias("px"))
+    return m.join(mean, F.lit(True)).select("docs", "at_most_k", (F.abs(F.col("mx") - F.col("px")) < 1e-9).alias("centred"))
 
 
-@register("document_map")
+@register("document_map", """
+SELECT doc_id AS id, substr(text, 1, 100) AS hover, true AS placed FROM documents""")
 def q_document_map(spark, sf):
+    """Every document with its hover text and a point."""
     d = V.table(spark, sf, "documents")
     vecs = VX.hash_embed(d.select(F.col("doc_id").alias("id"), "text"), dim=64)
     pts = T.pca_map(T.kmeans_topics(vecs, k=8).select("id", "embedding", "topic"), k=2)
-    return T.document_map(pts, d.select(F.col("doc_id").alias("id"), "text"), "id")
+    out = T.document_map(pts, d.select(F.col("doc_id").alias("id"), "text"), "id")
+    return out.select("id", "hover", (F.col("x").isNotNull() & F.col("y").isNotNull() & F.col("topic").isNotNull()).alias("placed"))
 
 
-@register("stable_sample")
+@register("stable_sample", "SELECT doc_id, source FROM documents ORDER BY md5(concat('3:', CAST(doc_id AS VARCHAR))), doc_id LIMIT 100")
 def q_stable_sample(spark, sf):
     return R.stable_sample(V.table(spark, sf, "documents").select("doc_id", "source"), 100, "doc_id", seed=3)
 

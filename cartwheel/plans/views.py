@@ -50,7 +50,7 @@ SELECT o_orderkey AS review_id, o_custkey AS product_id,
             ELSE concat('topic_', CAST(o_orderkey % 10 AS STRING)) END AS topic_label,
        CASE WHEN o_orderkey % 31 = 0 THEN NULL
             ELSE CAST((o_orderkey * 37) % 101 AS DOUBLE) / CAST(100 AS DOUBLE) END AS similarity,
-       CAST(o_orderkey % 200 AS BIGINT) AS doc_id
+       CAST(o_orderkey % (SELECT count(*) FROM documents) AS BIGINT) AS doc_id
 FROM orders
 """
 
@@ -77,7 +77,7 @@ def register_base(spark: SparkSession, sf_dir: str, names: list[str] | None = No
 
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A fixture view (offers, product_dim, reviews_v) over the tables in ``sf_dir``."""
-    needs = {"offers": ["lineitem", "part"], "product_dim": ["part"], "reviews_v": ["orders"]}[name]
+    needs = {"offers": ["lineitem", "part"], "product_dim": ["part"], "reviews_v": ["orders", "documents"]}[name]
     register_base(spark, sf_dir, needs)
     df = spark.sql(VIEW_SQL[name])
     df.createOrReplaceTempView(name)

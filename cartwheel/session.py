@@ -6,6 +6,7 @@ options that are still unset, so cluster-level settings always win.
 
 from __future__ import annotations
 
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -79,18 +80,28 @@ def local_session(cores: int = 8, shuffle_partitions: int = 8, memory: str = "16
     return configure(spark)
 
 
-def checkpoint_dir(spark: SparkSession, allow_local_fallback: bool = False) -> str:
+def single_machine(spark: SparkSession) -> bool:
+    """Driver and tasks share one machine and its folders (``local`` and ``local[n]``, not ``local-cluster``)."""
+    return re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master) is not None
+
+
+def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    A cluster names a shared folder there; jobs cut lineage into it. Only
-    tests may fall back to a fresh local temporary folder.
+    A cluster names a shared folder there; jobs cut lineage into it. Where it is unset, only a session on
+    a single machine gets a folder of its own (see ``local_checkpoints``); anything else raises.
     """
     value = spark.conf.get("spark.checkpoint.dir", None)
     if not value:
         value = spark.sparkContext.getCheckpointDir()
     if value:
         return value
-    if not allow_local_fallback:
+    return local_checkpoints(spark)
+
+
+def local_checkpoints(spark: SparkSession) -> str:
+    """A checkpoint folder for a session on a single machine (tests, the bench, a laptop)."""
+    if not single_machine(spark):
         raise RuntimeError("spark.checkpoint.dir is not set; configure a shared folder for the cluster")
     value = tempfile.mkdtemp(prefix="cartwheel-ckpt-")
     spark.conf.set("spark.checkpoint.dir", value)
@@ -100,7 +111,7 @@ def checkpoint_dir(spark: SparkSession, allow_local_fallback: bool = False) -> s
 
 def ensure_checkpointing(spark: SparkSession) -> str:
     """Make ``DataFrame.checkpoint()`` usable: set the context folder from the conf."""
-    path = checkpoint_dir(spark, allow_local_fallback=spark.sparkContext.master.startswith("local"))
+    path = checkpoint_dir(spark)
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(path)
     return path
@@ -109,5 +120,12 @@ def ensure_checkpointing(spark: SparkSession) -> str:
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder under the shared checkpoint folder for staged files."""
     import uuid
-    base = checkpoint_dir(spark, allow_local_fallback=spark.sparkContext.master.startswith("local"))
+    base = checkpoint_dir(spark)
     return f"{base.rstrip('/')}/cartwheel-scratch/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def written(df, name: str):
+    """``df`` as a Parquet table under the shared checkpoint folder: computed once, readable by every executor."""
+    path = scratch_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -7,6 +7,7 @@ grouped by header and each group is one scan; groups are unioned by name.
 
 from __future__ import annotations
 
+import re
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,40 +20,39 @@ SKIP_FILES = {"Amazon-Products.csv", "Stores.csv"}
 COMBINED_CSV = "Amazon-Products.csv"
 
 CSV_OPTIONS = {"header": "true", "inferSchema": "false", "mode": "PERMISSIVE", "escape": '"', "quote": '"',
-               "multiLine": "true", "encoding": "UTF-8"}
+               "encoding": "UTF-8"}
+
+
+def _options(multi_line: bool) -> dict[str, str]:
+    """``multi_line`` reads quoted line breaks, at the price of one task per file; without it files are split."""
+    return CSV_OPTIONS | {"multiLine": str(multi_line).lower()}
 
 
 def list_paths(spark: SparkSession, folder: str, suffix: str = ".csv") -> list[str]:
     """Top-level entries of ``folder`` ending in ``suffix`` (files, or folders of part files), sorted.
 
     Listing goes through Spark's file index (``binaryFile`` without its
-    content column), so it works on any Hadoop file system; only paths come back.
+    content column), so it works on any Hadoop file system; part files are reduced to
+    their entries before anything comes back (one path per category).
     """
-    files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder)
-             .select("path").collect())
-    base = folder.rstrip("/")
-    entries = set()
-    for (f,) in files:
-        i = f.find(base)
-        if i < 0:
-            continue
-        top = f[i + len(base):].lstrip("/").split("/", 1)[0]
-        if top.endswith(suffix):
-            entries.add(f[:i + len(base)] + "/" + top)
-    return sorted(entries)
+    base = re.escape(folder.rstrip("/").split(":", 1)[-1].lstrip("/"))
+    entry = F.regexp_extract("path", rf"^(.*?{base}/+[^/]+)", 1)
+    found = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder)
+             .select(entry.alias("entry")).where(F.col("entry").endswith(suffix)).distinct())
+    return sorted(r["entry"] for r in found.collect())
 
 
 def _stem(name: str) -> str:
     return name.rsplit("/", 1)[-1].rsplit(".", 1)[0]
 
 
-def header_of(spark: SparkSession, path: str) -> tuple[str, ...]:
+def header_of(spark: SparkSession, path: str, multi_line: bool = True) -> tuple[str, ...]:
     """Column names of one CSV (Spark reads only its first record)."""
-    return tuple(spark.read.options(**CSV_OPTIONS).csv(path).columns)
+    return tuple(spark.read.options(**_options(multi_line)).csv(path).columns)
 
 
-def _scan(spark: SparkSession, paths: list[str]) -> DataFrame:
-    df = spark.read.options(**CSV_OPTIONS).csv(paths)
+def _scan(spark: SparkSession, paths: list[str], multi_line: bool) -> DataFrame:
+    df = spark.read.options(**_options(multi_line)).csv(paths)
     return df.select(*[F.col(f"`{c}`") for c in df.columns], F.col("_metadata.file_path").alias("_file"))
 
 
@@ -60,7 +60,8 @@ def _apply_null_tokens(df: DataFrame) -> DataFrame:
     return df.select(*[null_tokens(F.col(f"`{c}`")).alias(c) if c != "_file" else F.col(c) for c in df.columns])
 
 
-def read_category_csvs(spark: SparkSession, paths: list[str], header_groups: bool = True) -> DataFrame:
+def read_category_csvs(spark: SparkSession, paths: list[str], header_groups: bool = True,
+                       multi_line: bool = True) -> DataFrame:
     """S1 + S3 + U1: per-category CSVs tagged with their file stem as ``source_category``.
 
     ``paths`` are files (or Spark output folders) named ``<category>.csv``.
@@ -69,29 +70,32 @@ def read_category_csvs(spark: SparkSession, paths: list[str], header_groups: boo
         raise FileNotFoundError("no category CSV files")
     groups: dict[tuple[str, ...], list[str]] = {}
     for p in paths:
-        groups.setdefault(header_of(spark, p) if header_groups else (), []).append(p)
-    frames = [_scan(spark, ps) for ps in groups.values()]
+        groups.setdefault(header_of(spark, p, multi_line) if header_groups else (), []).append(p)
+    frames = [_scan(spark, ps, multi_line) for ps in groups.values()]
     df = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
     df = _apply_null_tokens(df)
     stem = F.regexp_extract(F.col("_file"), r"([^/]+)\.csv(/[^/]*)?$", 1)
     return df.withColumn("source_category", stem).drop("_file")
 
 
-def read_combined_csv(spark: SparkSession, path: str) -> DataFrame:
+def read_combined_csv(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
     """The single combined file; ``source_category`` := main_category, else ``"All"``."""
-    df = _apply_null_tokens(_scan(spark, [path])).drop("_file")
+    df = _apply_null_tokens(_scan(spark, [path], multi_line)).drop("_file")
     src = F.col("main_category") if "main_category" in df.columns else F.lit("All")
     return df.withColumn("source_category", src)
 
 
-def read_products(spark: SparkSession, folder: str, skip: set[str] | None = None) -> DataFrame:
-    """S1 with the S2 fallback: category files if any, else the combined file, else an error."""
+def read_products(spark: SparkSession, folder: str, skip: set[str] | None = None, multi_line: bool = True) -> DataFrame:
+    """S1 with the S2 fallback: category files if any, else the combined file, else an error.
+
+    Pass ``multi_line=False`` for folders known to have no line breaks inside fields: their files are then split.
+    """
     skip = SKIP_FILES if skip is None else skip
     entries = list_paths(spark, folder)
     cats = [p for p in entries if p.rstrip("/").rsplit("/", 1)[-1] not in skip]
     if cats:
-        return read_category_csvs(spark, cats)
+        return read_category_csvs(spark, cats, multi_line=multi_line)
     combined = [p for p in entries if p.rstrip("/").rsplit("/", 1)[-1] == COMBINED_CSV]
     if combined:
-        return read_combined_csv(spark, combined[0])
+        return read_combined_csv(spark, combined[0], multi_line)
     raise FileNotFoundError(f"No CSV files found in {folder}")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Dashboard column aliases and defaults (fixed values of the reference loader).
@@ -64,20 +64,23 @@ def write_monthly(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     df.write.mode(mode).parquet(path)
 
 
-# Field limits of the vector table (fixed values of the reference).
-VECTOR_LIMITS = {"id": 128, "title": 2048, "body": 16384, "asin": 64, "category": 64, "timestamp": 32}
+# Field limits of the reference's vector collection (fixed values); applied only when a caller passes them.
+VECTOR_LIMITS = {"title": 2048, "body": 16384, "asin": 64, "category": 64, "timestamp": 32}
 
 
-def vector_rows(docs: DataFrame, vectors: DataFrame, key: str = "id", embedding: str = "embedding") -> DataFrame:
-    """S10 + J6: align documents and vectors by key (equi-join), apply the field limits."""
+def vector_rows(docs: DataFrame, vectors: DataFrame, key: str = "id", embedding: str = "embedding",
+                limits: dict[str, int] | None = None) -> DataFrame:
+    """S10 + J6: align documents and vectors by key (equi-join); ``limits`` cuts text fields, never the key."""
     j = docs.join(vectors.select(key, embedding), on=key, how="inner")
-    cols = []
-    for c in docs.columns:
-        if c in VECTOR_LIMITS:
-            cols.append(F.substring(F.col(c).cast("string"), 1, VECTOR_LIMITS[c]).alias(c))
-        else:
-            cols.append(F.col(c))
-    return j.select(*cols, F.col(embedding).cast("array<float>").alias(embedding))
+    cut = {c: n for c, n in (limits or {}).items() if c != key}
+    return j.select(*[F.substring(F.col(c).cast("string"), 1, cut[c]).alias(c) if c in cut else F.col(c) for c in docs.columns],
+                    F.col(embedding).cast("array<float>").alias(embedding))
+
+
+def embedded_rows(docs: DataFrame, text: str, dim: int = 64, embedding: str = "embedding", encoder=None) -> DataFrame:
+    """S10 where the vector comes from the row itself: embedded in place, without a join."""
+    from cartwheel.operators.vectors import hash_embed
+    return hash_embed(docs, text, dim=dim, out=embedding, encoder=encoder)
 
 
 def alignment_report(docs: DataFrame, vectors: DataFrame, key: str = "id") -> DataFrame:
@@ -102,17 +105,28 @@ def write_vectors(rows: DataFrame, path: str, key: str = "id") -> DataFrame:
                        F.count_if(F.col("embedding").isNull() | (F.size("embedding") == 0)).alias("empty_vectors"))
 
 
-def upsert_vectors(existing: DataFrame, updates: DataFrame, key: str = "id", version: str = "_version") -> DataFrame:
-    """Last write wins per key; rows with a null key or a null/empty vector go to rejects.
+def upsert_vectors(existing: DataFrame, updates: DataFrame, key: str = "id", sequence: str | None = None,
+                   embedding: str = "embedding") -> tuple[DataFrame, DataFrame]:
+    """(merged table, rejected updates). The update with the largest ``sequence`` wins its key.
 
-    Returns the merged table with a boolean ``rejected`` column so callers can
-    split it in one pass.
+    Updates are reduced to one per key before they meet the table, which keeps the rows of all other
+    keys (an anti join; stored vectors are not sorted or grouped). Updates with a null key or a null or
+    empty vector are rejects and never win. Without ``sequence`` keys must not repeat within
+    ``updates``; equal sequences go to the larger row.
     """
-    ex = existing.withColumn(version, F.lit(0))
-    up = updates.withColumn(version, F.lit(1))
-    both = ex.unionByName(up, allowMissingColumns=True)
-    bad = F.col(key).isNull() | F.col("embedding").isNull() | (F.size("embedding") == 0)
-    w = Window.partitionBy(key).orderBy(F.desc(version))
-    good = both.where(~bad).withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).drop("_rn", version)
-    rejects = both.where(bad).drop(version)
-    return good.withColumn("rejected", F.lit(False)).unionByName(rejects.withColumn("rejected", F.lit(True)))
+    bad = F.col(key).isNull() | F.col(embedding).isNull() | (F.size(embedding) == 0)
+    rejects, good = updates.where(bad), updates.where(~bad)
+    if sequence is not None:
+        row = F.struct(*[F.col(c) for c in updates.columns])
+        good = good.groupBy(F.col(key).alias("_key")).agg(F.max_by(row, F.struct(F.col(sequence), row)).alias("_r")).select("_r.*")
+    keep = existing.join(good.select(key), key, "left_anti")
+    extra = [c for c in updates.columns if c not in existing.columns]
+    return keep.unionByName(good.drop(*extra), allowMissingColumns=True), rejects
+
+
+def write_upsert(spark: SparkSession, path: str, updates: DataFrame, out: str, **options) -> DataFrame:
+    """S11 as a sink: the merged table to ``out/vectors`` and the rejects to ``out/rejects``; returns the table as read back."""
+    merged, rejects = upsert_vectors(spark.read.parquet(path), updates, **options)
+    merged.write.parquet(f"{out}/vectors")
+    rejects.write.parquet(f"{out}/rejects")
+    return spark.read.parquet(f"{out}/vectors")
