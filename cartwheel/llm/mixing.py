@@ -170,18 +170,19 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
 
 def packed(plan: Mix) -> DataFrame:
     """The mixed corpus as references: shard, slot, doc_id, from_word, n_words (a block may hold several pieces)."""
-    return plan.draws.join(plan.pieces, ["src", "block"]).select("shard", "slot", "doc_id", "from_word", "n_words")
+    return plan.draws.hint("merge").join(plan.pieces.hint("merge"), ["src", "block"]).select("shard", "slot", "doc_id", "from_word", "n_words")
 
 
 def taken_words(plan: Mix) -> DataFrame:
     """``documents`` with the words the mix takes of each, repeats counted (``taken``)."""
     times = plan.draws.groupBy("src", "block").agg(F.count(F.lit(1)).alias("times"))
-    sums = (plan.pieces.join(times, ["src", "block"]).groupBy("src", "start")
+    # Made-up rows have no statistics: without the hints the planner takes them for tiny and broadcasts them.
+    sums = (plan.pieces.hint("merge").join(times.hint("merge"), ["src", "block"]).groupBy("src", "start")
             .agg(F.sum(F.col("n_words") * F.col("times")).alias("taken")))
     # A document with words is the only one at its place; those without words share it and are not taken.
     sized = F.when(F.col("size") > 0, F.col("start"))
     return (plan.documents.withColumn("__at", sized)
-            .join(sums.withColumnsRenamed({"start": "__at"}), ["src", "__at"], "left")
+            .join(sums.withColumnsRenamed({"start": "__at"}).hint("merge"), ["src", "__at"], "left")
             .withColumn("taken", F.coalesce("taken", F.lit(0)).cast("bigint")).drop("__at", "start"))
 
 
