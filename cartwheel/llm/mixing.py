@@ -26,7 +26,7 @@ BLOCK = 32
 SHARD_SLOTS = 4096
 ROUNDS = 4
 WALKS = 64
-BUCKET_ROWS = 5000  # documents of a bucket, on average
+BUCKET_ROWS = 1000  # documents of a bucket, on average
 CHUNK_SLOTS = 50_000  # slots made by one row
 
 
