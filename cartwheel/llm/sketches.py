@@ -109,8 +109,9 @@ def fingerprint_report(docs: DataFrame, k: int = K, shingle: int = SHINGLE) -> D
     them is compared with the next id, and the smallest of their texts stands for
     them to the id before. A row without id has no place; it is its own next.
     """
-    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"),
-                       F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    # A cast or alias of the id would keep Spark from seeing that both joins shuffle the same rows.
+    whole = docs if dict(docs.dtypes)["doc_id"] == "bigint" else docs.withColumn("doc_id", F.col("doc_id").cast("bigint"))
+    rows = whole.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     placed = rows.where("doc_id IS NOT NULL")
     ids = placed.groupBy(F.col("doc_id").alias("id")).agg(F.max(F.char_length("text")).alias("n"))
     to = staged(neighbours(ids), "neighbours").select(
