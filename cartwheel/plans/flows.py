@@ -42,7 +42,8 @@ def structured(spark: SparkSession, products_folder: str, out_folder: str | None
         "rating_histogram": H.rating_histogram(products),
     }
     if out_folder:
-        P.write_products(products, f"{out_folder}/products")
+        scored = F.when(C.rated(), S.wilson_center("ratings", "no_of_ratings"))
+        P.write_products(products.withColumn("wilson_score", scored), f"{out_folder}/products")
     return panels
 
 

@@ -12,9 +12,11 @@ from cartwheel.plans import fixtures as FX
 from cartwheel.plans import flows as FW
 from cartwheel.plans import views as V
 from cartwheel.plans.registry import (CAT_LIST, DEFAULT_CATEGORIES, FP_SQL, OFFER_TIEBREAK, ORACLE,
-                                      PRODUCT_TERMS, dash_products, dash_reviews, register, with_dash)
+                                      PRODUCT_TERMS, WILSON_SQL, dash_products, dash_reviews, register, with_dash)
 from cartwheel.session import scratch_dir
+from cartwheel.sources import parquet as P
 
+GROUP_A = ", ".join(repr(c) for c in FX.GROUP_A)
 NBSP = " "
 
 
@@ -83,6 +85,22 @@ def q_flow_structured(spark, sf):
     return FW.panel_counts(panels)
 
 
+@register("flow_artifact", V.with_views(f"""
+SELECT md5(concat(name, chr(1), source_category)) AS product_id, name AS title, main_category AS category, sub_category AS subcategory,
+       discount_price AS price, actual_price AS list_price, ratings AS rating, no_of_ratings AS rating_count,
+       CASE WHEN no_of_ratings > 0 AND ratings IS NOT NULL THEN {WILSON_SQL.replace('rating_count', 'no_of_ratings').replace('rating ', 'ratings ')} END AS wilson_score
+FROM (SELECT * REPLACE (CASE WHEN l_linenumber = 1 THEN concat(name, ', "special" edition') ELSE name END AS name,
+                        CASE WHEN source_category IN ({GROUP_A}) THEN main_category END AS main_category) FROM offers)""", "offers"))
+def q_flow_artifact(spark, sf):
+    """X2 -> S6 -> S5: the exported products, rated and partitioned, as the dashboard's loader reads them."""
+    offers = V.offers(spark, sf)
+    cats = sorted(r[0] for r in offers.select("source_category").distinct().collect())
+    folder = scratch_dir(spark, "flow-artifact")
+    FX.write_category_csvs(offers, f"{folder}/in", cats)
+    FW.structured(spark, f"{folder}/in", f"{folder}/out", multi_line=False)
+    return P.conform_products(spark.read.parquet(f"{folder}/out/products")).drop("discount_pct")
+
+
 # ---- X5: SQL flow --------------------------------------------------------------------
 
 @register("flow_sql", _count_sql({

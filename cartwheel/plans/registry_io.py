@@ -130,17 +130,33 @@ def q_monthly_sink(spark, sf):
 # ---- S5, U1, F2, F3, F13 ------------------------------------------------------
 
 @register("conform_columns", """
-SELECT 'Unknown' AS product_id, c_name AS title, c_mktsegment AS category, 'Unknown' AS subcategory,
-       c_acctbal AS price, CAST(NULL AS DOUBLE) AS list_price, CAST(NULL AS DOUBLE) AS discount_pct,
-       CAST(c_nationkey AS DOUBLE) AS rating, c_custkey AS rating_count, CAST(NULL AS DOUBLE) AS wilson_score
+SELECT md5(concat(c_name, chr(1), c_mktsegment)) AS product_id, c_name AS title, c_mktsegment AS category, 'Unknown' AS subcategory,
+       CASE WHEN c_custkey % 3 = 0 THEN c_acctbal + 1 ELSE c_acctbal END AS price, c_acctbal + 2 AS list_price,
+       CAST(NULL AS DOUBLE) AS discount_pct, CAST(c_nationkey AS DOUBLE) AS rating, c_custkey AS rating_count,
+       CAST(NULL AS DOUBLE) AS wilson_score
 FROM customer""")
 def q_conform_columns(spark, sf):
+    """S5, product side: messy names, two aliases of one column, a generated key."""
     cust = V.table(spark, sf, "customer")
-    messy = cust.select(F.col("c_name").alias(" Title "), F.col("c_mktsegment").alias("Main-Category"),
-                        F.col("c_acctbal").alias("Actual Price"), F.col("c_nationkey").alias("RATINGS"),
-                        F.col("c_custkey").alias("no of ratings"))
-    return P.conform(messy, P.PRODUCT_COLUMNS, P.PRODUCT_ALIASES,
-                     {"product_id": "Unknown", "subcategory": "Unknown", "category": "Unknown", "title": "Unknown"})
+    messy = cust.select(F.col("c_name").alias(" Name "), F.col("c_mktsegment").alias("Main-Category"),
+                        F.when(F.col("c_custkey") % 3 != 0, F.col("c_acctbal")).alias("Discount Price"),
+                        (F.col("c_acctbal") + 1).alias("discounted_price"), (F.col("c_acctbal") + 2).alias("Actual Price"),
+                        F.col("c_nationkey").alias("RATINGS"), F.col("c_custkey").alias("no of ratings"))
+    return P.conform_products(messy, {"subcategory": "Unknown"})
+
+
+@register("conform_reviews", V.with_views("""
+SELECT CAST(review_id AS VARCHAR) AS review_id, CAST(product_id AS VARCHAR) AS product_id, category, rating,
+       CAST(NULL AS VARCHAR) AS sentiment, sentiment_score, CAST(NULL AS VARCHAR) AS review_text, topic_id, topic_label,
+       CAST(NULL AS DOUBLE) AS x, CAST(NULL AS DOUBLE) AS y, CAST(review_ts AS TIMESTAMP) AS review_month, similarity
+FROM reviews_v""", "reviews_v"))
+def q_conform_reviews(spark, sf):
+    """S5, review side: a written artifact with its own names, read back through the conformer; missing columns are null."""
+    r = V.reviews_v(spark, sf)
+    path = f"{scratch_dir(spark, 'reviews')}/artifact"
+    r.select("review_id", "product_id", "category", F.col("rating").alias("Score"), "sentiment_score", "topic_id",
+             F.col("topic_label").alias("topic"), "similarity", F.col("review_ts").alias("Date")).write.parquet(path)
+    return P.read_parquet_conformed(spark, path, P.REVIEW_COLUMNS, P.REVIEW_ALIASES)
 
 
 @register("diagonal_union", """

@@ -4,13 +4,13 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Dashboard column aliases and defaults (fixed values of the reference loader).
-PRODUCT_ALIASES = {"actual_price": "price", "discounted_price": "price", "main_category": "category",
-                   "sub_category": "subcategory", "ratings": "rating", "no_of_ratings": "rating_count",
-                   "discount_percentage": "discount_pct"}
+PRODUCT_ALIASES = {"name": "title", "discount_price": "price", "discounted_price": "price", "actual_price": "list_price",
+                   "main_category": "category", "sub_category": "subcategory", "ratings": "rating",
+                   "no_of_ratings": "rating_count", "discount_percentage": "discount_pct"}
 REVIEW_ALIASES = {"text": "review_text", "review": "review_text", "score": "rating", "topic": "topic_label",
                   "umap_x": "x", "umap_y": "y", "month": "review_month", "date": "review_month"}
 PRODUCT_COLUMNS = {"product_id": "string", "title": "string", "category": "string", "subcategory": "string",
@@ -29,25 +29,37 @@ def normalize_name(name: str) -> str:
 
 def conform(df: DataFrame, columns: dict[str, str], aliases: dict[str, str] | None = None,
             defaults: dict[str, object] | None = None) -> DataFrame:
-    """Normalise names, rename aliases (first alias wins), add missing columns, project in order.
+    """Normalise names, merge aliases into their columns, add missing columns, project in order.
 
-    Metadata only: no job runs. Missing columns get ``defaults[c]`` or null, typed.
+    Metadata only: no job runs. Several columns of one target (after normalising, or as aliases) are
+    coalesced: the target's own name first, then the aliases as listed. Missing columns get
+    ``defaults[c]`` or null, typed.
     """
-    renamed = {c: normalize_name(c) for c in df.columns}
-    df = df.select(*[F.col(f"`{c}`").alias(n) for c, n in renamed.items()])
-    for old, new in (aliases or {}).items():
-        if old in df.columns and new not in df.columns:
-            df = df.withColumnRenamed(old, new)
+    held: dict[str, list[Column]] = {}
+    for c in df.columns:
+        held.setdefault(normalize_name(c), []).append(F.col(f"`{c}`"))
     out = []
     for c, t in columns.items():
-        if c in df.columns:
-            out.append(F.col(c).cast(t).alias(c))
-        else:
-            v = (defaults or {}).get(c)
-            out.append(F.lit(v).cast(t).alias(c))
+        names = [c, *(old for old, new in (aliases or {}).items() if new == c and old not in columns)]
+        found = [x.cast(t) for n in names for x in held.get(n, [])]
+        out.append((F.coalesce(*found) if found else F.lit((defaults or {}).get(c)).cast(t)).alias(c))
     return df.select(*out)
 
 
+def product_key(name: Column, category: Column) -> Column:
+    """The key of a product without one: md5 of its name and source category."""
+    return F.md5(F.concat_ws("\u0001", F.coalesce(name, F.lit("")), F.coalesce(category, F.lit(""))).cast("binary"))
+
+
+def conform_products(df: DataFrame, defaults: dict[str, object] | None = None) -> DataFrame:
+    """S5, product side: ``PRODUCT_COLUMNS`` with a generated ``product_id`` where the artifact has none."""
+    names = {normalize_name(c): c for c in df.columns}
+    if "product_id" not in names:
+        part = lambda *keys: next((F.col(f"`{names[k]}`").cast("string") for k in keys if k in names), F.lit(""))
+        df = df.withColumn("product_id", product_key(part("name", "title"), part("source_category", "main_category", "category")))
+    return conform(df, PRODUCT_COLUMNS, PRODUCT_ALIASES, defaults)
+
+
 def read_parquet_conformed(spark: SparkSession, path: str, columns: dict[str, str],
                            aliases: dict[str, str] | None = None, defaults: dict[str, object] | None = None) -> DataFrame:
     """``read.parquet`` + conform."""
