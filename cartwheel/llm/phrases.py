@@ -5,14 +5,17 @@ windows (``WINDOW`` consecutive words), packed into a row per hash range. (2) Ea
 finds the hashes that recur and asks the shard of the first document with one to
 send those words to every other shard that has it. (3) The asked shards cut the
 passages (maximal runs of such windows) out of the first documents' words, which
-confirms them. (4) Each shard compiles the passages it got into Aho-Corasick automata over word
-numbers and streams all its documents through them; a window found there
-is removed if the passage's document has the smaller id. The texts are shuffled
+confirms them. (4) Each shard compiles the passages it got into Aho-Corasick automata and
+streams all its documents through them. The automata's phrases are every second part of
+a passage, of half a window each, so that every window holds one whole; where a phrase
+occurs, document and passage are compared word by word around it, and agreements as long as a window
+are removed if the passage's document has the smaller id. The texts are shuffled
 once: all four steps read the same exchange.
 """
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
 
 import ahocorasick
@@ -27,7 +30,7 @@ from cartwheel.llm.common import texts
 WINDOW = 13
 SHARD_BYTES = 2_000_000  # text of a shard, on average
 RANGE_WINDOWS = 1_000_000  # windows of a hash range, on average
-AUTOMATON_WINDOWS = 60_000  # windows compiled into one automaton
+AUTOMATON_PHRASES = 40_000  # phrases compiled into one automaton
 CODEC = "zstd"
 MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 
@@ -39,23 +42,21 @@ def words_of(text: str | None) -> list[bytes]:
 
 def window_hashes(docs: list[list[bytes]], window: int) -> tuple[np.ndarray, np.ndarray]:
     """64-bit hash of every window of every document, and the document's number, in order."""
-    codes: dict[bytes, int] = {}
-    number = codes.setdefault
-    flat = np.fromiter((number(w, len(codes)) for d in docs for w in d), np.int64, sum(map(len, docs)))
-    if len(flat) < window:
+    sizes = np.array([len(d) for d in docs], np.int64)
+    total = int(sizes.sum())
+    if total < window:
         return np.zeros(0, np.uint64), np.zeros(0, np.int64)
-    word = np.fromiter(map(xxhash.xxh64_intdigest, codes), np.uint64, len(codes))[flat]
-    n = len(flat) - window + 1
+    word = np.fromiter(map(xxhash.xxh64_intdigest, itertools.chain.from_iterable(docs)), np.uint64, total)
+    n = total - window + 1
     h = np.zeros(n, np.uint64)
     for j in range(window):
-        h = h * MULTIPLIER + word[j:j + n]
+        h *= MULTIPLIER
+        h += word[j:j + n]
     h ^= h >> np.uint64(29)
     h *= np.uint64(0xBF58476D1CE4E5B9)
     h ^= h >> np.uint64(32)
-    sizes = np.array([len(d) for d in docs])
-    ends = np.cumsum(sizes)
     of = np.repeat(np.arange(len(docs)), sizes)[:n]
-    inside = np.arange(n) + window <= ends[of]
+    inside = np.arange(n) + window <= np.cumsum(sizes)[of]
     return h[inside], of[inside]
 
 
@@ -71,14 +72,20 @@ def unpack(data: bytes, n: int, kind) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(size, n).T).view(kind).ravel()
 
 
+def starts_of(*keys: np.ndarray) -> np.ndarray:
+    """First row of each run of rows that agree in all keys."""
+    n = len(keys[0])
+    new = np.zeros(n, bool)
+    new[:1] = True
+    for k in keys:
+        new[1:] |= k[1:] != k[:-1]
+    return np.flatnonzero(new)
+
+
 def equal_runs(*keys: np.ndarray) -> list[tuple[int, int]]:
     """[start, end) of each run of rows that agree in all keys."""
-    n = len(keys[0])
-    if not n:
-        return []
-    new = np.concatenate([[True], np.any([k[1:] != k[:-1] for k in keys], axis=0)])
-    starts = np.flatnonzero(new).tolist()
-    return list(zip(starts, [*starts[1:], n], strict=True))
+    starts = starts_of(*keys).tolist()
+    return list(zip(starts, [*starts[1:], len(keys[0])][:len(starts)], strict=True))
 
 
 def _by_id(table: pa.Table) -> list[tuple[int, str | None]]:
@@ -96,11 +103,12 @@ def _report(window: int, range_bits: int):
         rows = _by_id(table)
         ids = np.array([i for i, _ in rows], np.int64)
         h, of = window_hashes([words_of(t) for _, t in rows], window)
-        order = np.argsort(h, kind="stable")  # equal hashes stay in order of document id
+        order = np.argsort(h)
         h, of = h[order], of[order]
-        ends = np.array(equal_runs(h), np.int64).reshape(-1, 2)
-        first, owner = ends[:, 0], of[ends[:, 0]]
-        here = ids[of[ends[:, 1] - 1]] > ids[owner]
+        first = starts_of(h)
+        # Documents are numbered in order of id.
+        owner = np.minimum.reduceat(of, first) if len(first) else of
+        here = ids[np.maximum.reduceat(of, first)] > ids[owner] if len(first) else np.zeros(0, bool)
         h = h[first]
         ranges = (h >> np.uint64(64 - range_bits)).astype(np.int64)
         out = []
@@ -131,9 +139,17 @@ def _request(table: pa.Table) -> pa.Table:
         shard.append(np.full(r["n"], r["shard"], np.int32))
         here.append((code & 1).astype(bool))
     h, doc, shard, here = (np.concatenate(x) for x in (h, doc, shard, here))
+    order = np.argsort(h)
+    sorted_h = h[order]
+    alike = np.zeros(len(h), bool)
+    alike[1:] = sorted_h[1:] == sorted_h[:-1]
+    alike[:-1] |= alike[1:]
+    order = order[alike | here[order]]  # most hashes occur once
+    h, doc, shard, here = h[order], doc[order], shard[order], here[order]
     order = np.lexsort((doc, h))
     h, doc, shard, here = h[order], doc[order], shard[order], here[order]
-    first = np.concatenate([[True], h[1:] != h[:-1]])
+    first = np.zeros(len(h), bool)
+    first[starts_of(h)] = True
     owner = np.maximum.accumulate(np.where(first, np.arange(len(h)), 0))  # the entry with the smallest document
     asks = ~first | here  # other shards that have it, and the owner's own if a later document there does
     o = owner[asks]
@@ -189,49 +205,75 @@ ARROW_RESULT = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()),
                           ("spans", pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))), ("kept", pa.string())])
 
 
-def automata(passages: list[tuple[int, list[int]]], window: int, limit: int) -> Iterator[ahocorasick.Automaton]:
-    """Automata of at most ``limit`` windows each; a window's value is the smallest document it comes from."""
-    first: dict[tuple[int, ...], int] = {}
+BASE = 64  # an automaton node has at most so many next letters
+
+
+def spelled(codes: np.ndarray, digits: int) -> str:
+    """Word numbers as a text: ``digits`` letters a word, each digit from letters of its own."""
+    places = [(codes // BASE ** j) % BASE + 256 + BASE * j for j in reversed(range(digits))]
+    return np.stack(places, axis=1).astype("<u4").tobytes().decode("utf-32-le")
+
+
+def automata(passages: list[np.ndarray], part: int, digits: int, limit: int):
+    """Automata of at most ``limit`` phrases; a phrase's value lists its places (passage, first word)."""
+    places: dict[str, list[tuple[int, int]]] = {}
 
     def compiled() -> ahocorasick.Automaton:
-        machine = ahocorasick.Automaton(ahocorasick.STORE_ANY, ahocorasick.KEY_SEQUENCE)
-        for piece, doc in first.items():
-            machine.add_word(piece, doc)
+        machine = ahocorasick.Automaton()
+        for phrase, where in places.items():
+            machine.add_word(phrase, where)
         machine.make_automaton()
         return machine
 
-    for doc, seq in passages:  # in order of document, so the first to come stays
-        for i in range(len(seq) - window + 1):
-            first.setdefault(tuple(seq[i:i + window]), doc)
-            if len(first) >= limit:
-                yield compiled()
-                first.clear()
-    if first:
+    for k, codes in enumerate(passages):
+        text = spelled(codes, digits)
+        for p in range(0, len(codes) - part + 1, part):
+            places.setdefault(text[p * digits:(p + part) * digits], []).append((k, p))
+        if len(places) >= limit:
+            yield compiled()
+            places = {}
+    if places:
         yield compiled()
 
 
+def agreements(doc: np.ndarray, passage: np.ndarray, shift: int, window: int) -> list[tuple[int, int]]:
+    """[start, end) in ``doc`` of runs of at least ``window`` words equal to the passage's, ``shift`` words earlier there."""
+    low, high = max(0, shift), min(len(doc), len(passage) + shift)
+    same = np.zeros(high - low + 2, np.int8)
+    same[1:-1] = doc[low:high] == passage[low - shift:high - shift]
+    edge = np.flatnonzero(np.diff(same)).reshape(-1, 2) + low
+    return [(int(a), int(b)) for a, b in edge if b - a >= window]
+
+
 def _locate(window: int, limit: int):
+    part = (window + 1) // 2  # any window holds a whole part that starts at a multiple of it
+
     def run(key: tuple[pa.Scalar, ...], table: pa.Table, passages: pa.Table) -> pa.Table:
         codes: dict[bytes, int] = {}
         number = codes.setdefault
-        patterns = sorted(zip(texts(passages, "first_doc"), texts(passages, "passage"), strict=True))
-        patterns = [(doc, [number(w, len(codes) + 1) for w in words_of(p)]) for doc, p in patterns]
+        given = list(zip(texts(passages, "first_doc"), texts(passages, "passage"), strict=True))
+        firsts = [doc for doc, _ in given]
+        cut = [np.array([number(w, len(codes) + 1) for w in words_of(p)], np.int64) for _, p in given]
         ids = texts(table, "doc_id")
         docs = [words_of(t) for t in texts(table, "text")]
         covers: list[np.ndarray | None] = [None] * len(docs)
-        if patterns:
+        if cut:
             get = codes.get
-            seqs = [tuple([get(w, 0) for w in d]) for d in docs]  # 0 is a word of no passage
-            for machine in automata(patterns, window, limit):
-                for k, (doc, seq) in enumerate(zip(ids, seqs, strict=True)):
-                    if doc is None or len(seq) < window:
+            digits = max(1, -(-len(codes).bit_length() // 6))
+            seqs = [np.array([get(w, 0) for w in d], np.int64) for d in docs]  # 0 is a word of no passage
+            spelt = [spelled(s, digits) if len(s) >= window else "" for s in seqs]
+            for machine in automata(cut, part, digits, limit):
+                for k, doc in enumerate(ids):
+                    if doc is None or not spelt[k]:
                         continue
-                    ends = [end for end, first in machine.iter(seq) if first < doc]
-                    if ends:
-                        if covers[k] is None:
-                            covers[k] = np.zeros(len(seq) + 1, np.int32)
-                        np.add.at(covers[k], np.array(ends) + 1, -1)
-                        np.add.at(covers[k], np.array(ends) + 1 - window, 1)
+                    met = {(p, (end + 1) // digits - part - at) for end, where in machine.iter(spelt[k])
+                           for p, at in where if firsts[p] < doc}
+                    for p, shift in met:
+                        for a, b in agreements(seqs[k], cut[p], shift, window):
+                            if covers[k] is None:
+                                covers[k] = np.zeros(len(seqs[k]) + 1, np.int32)
+                            covers[k][a] += 1
+                            covers[k][b] -= 1
         spans, kept = [], []
         for d, cover in zip(docs, covers, strict=True):
             if cover is None:
@@ -251,7 +293,7 @@ def _locate(window: int, limit: int):
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW,
                    shard_bytes: int = SHARD_BYTES, range_windows: int = RANGE_WINDOWS,
-                   automaton_windows: int = AUTOMATON_WINDOWS) -> DataFrame:
+                   automaton_phrases: int = AUTOMATON_PHRASES) -> DataFrame:
     """One row per input row: doc_id, n_words, removed spans (word positions, end exclusive) and the kept text.
 
     A word goes if a window over it also starts in a document with a smaller id.
@@ -272,7 +314,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     reports = by_shard.applyInArrow(_report(window, range_bits), REPORT)
     requests = reports.groupBy("range").applyInArrow(_request, REQUEST)
     passages = by_shard.cogroup(requests.groupBy("shard")).applyInArrow(_cut(window), PASSAGE)
-    return by_shard.cogroup(passages.groupBy("shard")).applyInArrow(_locate(window, automaton_windows), RESULT)
+    return by_shard.cogroup(passages.groupBy("shard")).applyInArrow(_locate(window, automaton_phrases), RESULT)
 
 
 def repeats_report(docs: DataFrame) -> DataFrame:

@@ -47,7 +47,7 @@ def test_random_documents_equal_brute_force(spark, seed):
         rows.append((rng.choice([None, i, i, i, i % 20]), rng.choice([" ", "\n", "  "]).join(w) if w else rng.choice([None, "", " "])))
     rows += [(3, rows[5][1])] * 3
     df = spark.createDataFrame(rows, "doc_id bigint, text string")
-    out = P.remove_repeats(df, window=4, shard_bytes=300, range_windows=20, automaton_windows=7)
+    out = P.remove_repeats(df, window=4, shard_bytes=300, range_windows=20, automaton_phrases=7)
     assert got(out) == brute(rows, 4)
 
 
