@@ -131,7 +131,9 @@ def linked_pairs(seqs: DataFrame, rare: int = RARE, link_words: int = LINK_WORDS
     shared = lines.join(holders, "key")
     star = shared.where((F.col("n") > rare) & (F.col("doc") != F.col("first"))).select(
         F.col("first").alias("early"), F.col("doc").alias("late"))
-    few = shared.where(F.col("n") <= rare).groupBy("key").agg(F.sort_array(F.collect_list("doc")).alias("docs"))
+    # Grouped by a hash of the key, not the key: the rare rows are shuffled anew, and Spark may split the join's hot keys.
+    few = (shared.where(F.col("n") <= rare).groupBy(F.xxhash64("key").alias("key"))
+           .agg(F.sort_array(F.collect_list("doc")).alias("docs")))
     pairs = F.flatten(F.transform("docs", lambda a, i: F.transform(
         F.slice("docs", i + 2, F.size("docs")), lambda b: F.struct(a.alias("early"), b.alias("late")))))
     return star.unionByName(few.select(F.explode(pairs).alias("p")).select("p.early", "p.late")).distinct()
