@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from cartwheel.functions import scalars as S
+from cartwheel.session import written
 
 # Clean product columns, in the reference's order.
 PRODUCT_COLUMNS = ["name", "main_category", "sub_category", "source_category", "ratings", "no_of_ratings",
@@ -81,14 +82,32 @@ def quality_gate(reviews: DataFrame, text: str = "text", rating: str = "rating",
     return reviews.where(cond)
 
 
+PARTIAL_LIMIT = 1000  # largest k for which Spark limits groups before the shuffle (spark.sql.optimizer.windowGroupLimitThreshold)
+
+
 def cap_per_category(reviews: DataFrame, n: int | None, category: str = "category",
-                     ordinal: str = "ordinal") -> DataFrame:
+                     ordinal: str = "ordinal", partial_limit: int = PARTIAL_LIMIT) -> DataFrame:
     """the first ``n`` kept rows per category in file order.
 
-    Planned as a WindowGroupLimit: every map task keeps at most ``n`` rows per
-    category before the shuffle, so a hot category cannot flood one task.
+    Up to ``partial_limit`` this is a WindowGroupLimit: every map task keeps at most ``n`` rows per
+    category before the shuffle. Above it the rows are range-partitioned by (category, ordinal) and
+    written with their partition; running counts say which parts of a category stay whole, and only
+    the part the cut falls into is numbered. No category is sorted in one task either way.
     """
     if n is None:
         return reviews
-    w = Window.partitionBy(category).orderBy(F.asc(ordinal))
-    return reviews.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= n).drop("_rn")
+    if n <= partial_limit:
+        w = Window.partitionBy(category).orderBy(F.asc(ordinal))
+        return reviews.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= n).drop("_rn")
+    parts = int(reviews.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = written(reviews.repartitionByRange(parts, category, ordinal).withColumn("_part", F.spark_partition_id()), "cap")
+    earlier = Window.partitionBy(category).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    counts = (dealt.groupBy(category, "_part").agg(F.count(F.lit(1)).alias("_n"))
+              .withColumn("_left", F.lit(n) - F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
+              .select(F.col(category).alias("_cat"), F.col("_part").alias("_of"), "_n", "_left").where(F.col("_left") > 0))
+    held = dealt.join(counts, dealt[category].eqNullSafe(counts["_cat"]) & (F.col("_part") == F.col("_of")))
+    whole = held.where(F.col("_n") <= F.col("_left"))
+    cut = held.where(F.col("_n") > F.col("_left"))
+    place = F.row_number().over(Window.partitionBy(category, "_part").orderBy(F.asc(ordinal)))
+    cut = cut.withColumn("_rn", place).where(F.col("_rn") <= F.col("_left")).drop("_rn")
+    return whole.unionByName(cut).select(*reviews.columns)

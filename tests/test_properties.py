@@ -282,3 +282,11 @@ def test_lookup_keeps_the_first_of_repeated_products(spark):
     revs = spark.sql("SELECT explode(array(1L, 1L, 2L)) AS product_id, timestamp'2024-03-05' AS review_month, 'c' AS category")
     row = A.discount_timeline(prods, revs, dedupe_order=["seq"]).first()
     assert (row.avg_discount, row.n) == (30.0, 2)
+
+
+def test_cap_per_category_without_partial_limit(spark):
+    from cartwheel.operators.clean import cap_per_category
+    df = spark.range(4000).select(F.when(F.col("id") % 3 > 0, "hot").when(F.col("id") % 7 > 0, "b").alias("category"),
+                                  (F.col("id") * 7919 % 4000).alias("ordinal"))
+    few = sorted(cap_per_category(df, 700).collect(), key=str)
+    assert few == sorted(cap_per_category(df, 700, partial_limit=10).collect(), key=str) and len(few) > 1400
