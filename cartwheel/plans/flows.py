@@ -134,7 +134,8 @@ def panel_counts(panels: dict[str, DataFrame]) -> DataFrame:
 # ---- X3: review flow ----------------------------------------------------------------
 
 def reviews_flow(spark: SparkSession, paths: dict[str, str], out_folder: str, dim: int = 64, n_topics: int = 10,
-                 k: int = 5, max_rows: int | None = None) -> dict[str, DataFrame]:
+                 k: int = 5, max_rows: int | None = None,
+                 category_queries: list[tuple[str, str]] | None = None) -> dict[str, DataFrame]:
     """S4 → W3 → C10… → F6 → F7 → C7 → {A5 → S7, E2 → S10 → E6/E7, E11 → E9 → E13/E14 → E18 → E17}.
 
     Reviews are persisted once (X1) and feed every branch; the vector table is
@@ -153,8 +154,9 @@ def reviews_flow(spark: SparkSession, paths: dict[str, str], out_folder: str, di
     indexed, cents = VX.build_ivf(rows)
     table = VX.write_vector_table(indexed.drop("cell_cos"), f"{out_folder}/vectors")
     queries = VX.query_frame(spark, VX.SEARCH_QUERIES, dim=dim)
-    cat_queries = VX.query_frame(spark, [q for _, q in VX.CATEGORY_QUERIES], dim=dim).withColumn(
-        "q_category", F.element_at(F.array(*[F.lit(c) for c, _ in VX.CATEGORY_QUERIES]),
+    asked = category_queries or VX.CATEGORY_QUERIES
+    cat_queries = VX.query_frame(spark, [q for _, q in asked], dim=dim).withColumn(
+        "q_category", F.element_at(F.array(*[F.lit(c) for c, _ in asked]),
                                    (F.col("qid") + 1).cast("int")))
     # Topic assignments and map points feed several panels: keep each once.
     topics = written(T.kmeans_topics(table.select("id", "embedding"), k=n_topics), "topics")

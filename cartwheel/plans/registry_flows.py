@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from cartwheel.functions import scalars as S
 from cartwheel.operators import clean as C
+from cartwheel.operators import vectors as VX
 from cartwheel.plans import fixtures as FX
 from cartwheel.plans import flows as FW
 from cartwheel.plans import views as V
@@ -169,7 +170,12 @@ def q_flow_dashboard(spark, sf):
 
 # ---- X3: review flow ----------------------------------------------------------------------
 
+# E7 in its default form: two categories that occur, one that does not.
+FLOW_CATEGORY_QUERIES = [("en", "ththe ing of the"), ("de", "schung der die"), ("nowhere", "of the")]
+
+
 def _reviews_flow_oracle() -> str:
+    asked = ", ".join(f"('{c}')" for c, _ in FLOW_CATEGORY_QUERIES)
     from cartwheel.plans.registry_io import _jsonl_expected
     kept = _jsonl_expected()
     body = kept[kept.index("WITH ") + 5:]
@@ -179,7 +185,9 @@ def _reviews_flow_oracle() -> str:
     months = (f"(SELECT count(*) FROM (SELECT DISTINCT category, date_trunc('month', timestamp) FROM ({kept_sql}) k) m)")
     return (f"WITH {ctes.rstrip().rstrip(',')}\n"
             f"SELECT 'reviews' AS panel, {n} AS rows UNION ALL SELECT 'monthly', {months} "
-            f"UNION ALL SELECT 'vectors', {n} UNION ALL SELECT 'search', 40 UNION ALL SELECT 'category_search', 0 "
+            f"UNION ALL SELECT 'vectors', {n} UNION ALL SELECT 'search', {len(VX.SEARCH_QUERIES)} * least(5, {n}) "
+            f"UNION ALL SELECT 'category_search', (SELECT count(*) * least(5, {n}) FROM (VALUES {asked}) v(c) "
+            f"WHERE c IN (SELECT category FROM ({kept_sql}) k)) "
             f"UNION ALL SELECT 'topics', {n} UNION ALL SELECT 'review_points', {n} UNION ALL SELECT 'document_map', {n}")
 
 
@@ -188,4 +196,4 @@ def q_flow_reviews(spark, sf):
     docs = V.table(spark, sf, "documents")
     folder = scratch_dir(spark, "flow-reviews")
     paths = FX.write_review_files(docs, f"{folder}/in")
-    return FW.panel_counts(FW.reviews_flow(spark, paths, f"{folder}/out"))
+    return FW.panel_counts(FW.reviews_flow(spark, paths, f"{folder}/out", category_queries=FLOW_CATEGORY_QUERIES))

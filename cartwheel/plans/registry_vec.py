@@ -99,7 +99,7 @@ def embed_sql(prefix: str, source: str, key: str, text: str) -> str:
     return sql
 
 
-QUERIES_SQL = ", ".join(f"({i}, '{t}')" for i, t in enumerate(VX.SEARCH_QUERIES))
+QUERIES_SQL = ", ".join(f"(CAST({i} AS BIGINT), '{t}')" for i, t in enumerate(VX.SEARCH_QUERIES))
 
 
 @register("search_batch", f"""
@@ -148,6 +148,20 @@ def q_vector_upsert(spark, sf):
         rejects.select("id", "label", F.lit(True).alias("rejected"), "n"))
 
 
+@register("search_guarded", f"""
+WITH {CENTROID_SQL},
+g AS (SELECT DISTINCT qid FROM q WHERE CAST((qid + 5) % 12 AS VARCHAR) IN (SELECT DISTINCT CAST(label AS VARCHAR) FROM embeddings)),
+s AS (SELECT q.qid, ev.vec_id, sum(q.qv * ev.x) AS score FROM q JOIN g ON q.qid = g.qid JOIN ev ON q.i = ev.i GROUP BY q.qid, ev.vec_id),
+r AS (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY round(score, {D6}) DESC, vec_id) AS rank FROM s)
+SELECT qid, vec_id AS id, round(score, {D6}) AS score, CAST(rank AS BIGINT) AS rank FROM r WHERE rank <= 5""")
+def q_search_guarded(spark, sf):
+    """E7 as the reference runs it: the category only decides whether a query runs."""
+    c = corpus(spark, sf)
+    qs = VX.label_centroids(c).withColumn("q_category", ((F.col("qid") + 5) % 12).cast("string"))
+    out = VX.search_in_category(qs, c, k=5, category="label", digits=D6)
+    return out.withColumn("rank", F.col("rank").cast("bigint"))
+
+
 @register("embedding_alignment", """
 SELECT 'matched' AS kind, count(*) AS n FROM (SELECT DISTINCT doc_id FROM labels) l
   WHERE doc_id IN (SELECT vec_id FROM embeddings)
