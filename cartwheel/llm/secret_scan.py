@@ -85,7 +85,7 @@ def battery(token: Column) -> Column:
     n = F.char_length(token).cast("double")
     symbols = F.filter(F.split(token, ""), lambda c: c != "")
     squares = F.aggregate(F.array_distinct(symbols), F.lit(0.0), lambda acc, c: acc + F.pow(
-        n - F.char_length(F.replace(token, c, F.lit(""))), F.lit(2.0)))
+        (F.char_length(token) - F.char_length(F.replace(token, c, F.lit("")))).cast("double"), F.lit(2.0)))
     chi = size / n * squares - n
     text_chi = size * (1 + (n - 1) * repeat) - n
     chi_z = (chi - text_chi) / F.sqrt(2 * (size - 1) + 4 * F.greatest(text_chi - size + 1, F.lit(0.0)))
@@ -95,14 +95,17 @@ def battery(token: Column) -> Column:
     runs = F.char_length(F.regexp_replace(classes, r"(.)\1*", "x"))
     runs_z = (1 + (n - 1) * TEXT_CHANGES - runs) / F.sqrt(n * TEXT_CHANGES)
 
+    # Sums of the codes, their squares and neighbours' products: no lambda holds an expression over the whole token.
     codes = F.transform(symbols, lambda c: F.ascii(c).cast("double"))
-    mean = F.aggregate(codes, F.lit(0.0), lambda acc, v: acc + v) / n
-    centred = F.transform(codes, lambda v: v - mean)
-    spread = F.aggregate(centred, F.lit(0.0), lambda acc, v: acc + v * v)
-    lagged = F.zip_with(F.slice(centred, F.lit(1), F.size(centred) - 1), F.slice(centred, F.lit(2), F.size(centred) - 1),
-                        lambda a, b: a * b)
-    serial = F.aggregate(lagged, F.lit(0.0), lambda acc, v: acc + v) / F.greatest(spread, F.lit(1e-9))
-    serial_z = (F.when(spread > 0, serial).otherwise(1.0) - TEXT_SERIAL) * F.sqrt(n)
+    total = F.aggregate(codes, F.lit(0.0), lambda acc, v: acc + v)
+    mean = total / n
+    spread = F.aggregate(codes, F.lit(0.0), lambda acc, v: acc + v * v) - total * mean
+    products = F.aggregate(codes, F.struct(F.lit(0.0).alias("before"), F.lit(0.0).alias("sum")),
+                           lambda acc, v: F.struct(v.alias("before"), (acc["sum"] + acc["before"] * v).alias("sum")),
+                           lambda acc: acc["sum"])
+    ends = F.element_at(codes, 1) + F.element_at(codes, -1)
+    serial = (products - mean * (2 * total - ends) + (n - 1) * mean * mean) / F.greatest(spread, F.lit(1e-9))
+    serial_z = (F.when(spread > 1e-6, serial).otherwise(1.0) - TEXT_SERIAL) * F.sqrt(n)
 
     z = (chi_z + runs_z + serial_z) / math.sqrt(3 + 6 * TEST_CORRELATION)
     return F.struct(encoding.alias("encoding"), n.cast("int").alias("n"), chi_z.alias("chi_z"), runs_z.alias("runs_z"),

@@ -57,13 +57,14 @@ def path_of(url: str | Column) -> Column:
 
 def grams(text: Column, orders=ORDERS) -> Column:
     """Character n-grams of `^text$`, in order of length."""
-    framed = F.concat(F.lit("^"), text, F.lit("$"))
-
-    def of(n: int) -> Column:
+    def of(framed: Column, n: int) -> Column:
         last = F.char_length(framed) - n + 1
         return F.when(last >= 1, F.transform(F.sequence(F.lit(1), F.greatest(last, F.lit(1))),
                                              lambda i: F.substring(framed, i, F.lit(n)))).otherwise(F.array().cast("array<string>"))
-    return F.concat(*[of(n) for n in orders])
+
+    # The framed text is bound once, not built again for every position.
+    framed = F.array(F.concat(F.lit("^"), text, F.lit("$")))
+    return F.flatten(F.transform(framed, lambda t: F.concat(*[of(t, n) for n in orders])))
 
 
 def with_grams(df: DataFrame) -> DataFrame:

@@ -74,3 +74,9 @@ def test_edges(spark):
     nodes = S.find_secrets(docs)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in nodes and "Arrow" not in nodes
     assert S.normal_cdf(F.lit(0.0)) is not None
+
+
+def test_very_long_tokens_stay_linear(spark):
+    big = ["x1" + "a" * 300_000 + " token=" + "b" * 200_000, "f" * 300_000, "AKIA" + "Z" * 300_000, "password" + " " * 200_000 + "= abcdefgh"]
+    rows = S.secret_report(spark.createDataFrame(list(enumerate(big)), "doc_id int, text string")).orderBy("doc_id").collect()
+    check(rows, big)
