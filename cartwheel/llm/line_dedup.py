@@ -128,6 +128,8 @@ def linked_pairs(seqs: DataFrame, rare: int = RARE, link_words: int = LINK_WORDS
     long = F.filter(F.zip_with("keys", "sizes", lambda k, n: F.when(n >= link_words, k)), lambda k: k.isNotNull())
     lines = seqs.select(place().alias("doc"), F.explode(F.array_distinct(long)).alias("key"))
     holders = lines.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("doc").alias("first")).where("n > 1")
+    # Written, so that the join below shuffles both sides itself and Spark may split a hot line's rows.
+    holders = staged(holders, "line-holders")
     shared = lines.join(holders, "key")
     star = shared.where((F.col("n") > rare) & (F.col("doc") != F.col("first"))).select(
         F.col("first").alias("early"), F.col("doc").alias("late"))
