@@ -26,7 +26,8 @@ BLOCK = 32
 SHARD_SLOTS = 4096
 ROUNDS = 4
 WALKS = 64
-BUCKET_ROWS = 1000  # documents of a bucket, on average
+BUCKET_ROWS = 250  # documents of a bucket, on average
+BUCKETS_A_RANGE = 1024  # buckets summed together, and then their sums
 CHUNK_SLOTS = 50_000  # slots made by one row
 
 
@@ -119,6 +120,21 @@ class Mix:
     pieces: DataFrame
 
 
+def _before(n: str, within: list[str], order: str) -> Column:
+    w = Window.partitionBy(*within).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    return F.coalesce(F.sum(n).over(w), F.lit(0))
+
+
+def bucket_starts(marked: DataFrame) -> DataFrame:
+    """Where each (source, bucket) begins in its source's stream: sums of ranges of buckets, then of buckets in a range."""
+    sums = (marked.groupBy("src", "bucket").agg(F.sum("size").alias("n"))
+            .withColumn("range", F.floor(F.col("bucket") / BUCKETS_A_RANGE)))
+    ranges = (sums.groupBy("src", "range").agg(F.sum("n").alias("range_n"))
+              .withColumn("range_start", _before("range_n", ["src"], "range")).drop("range_n"))
+    inside = sums.withColumn("inside", _before("n", ["src", "range"], "bucket"))
+    return inside.join(ranges, ["src", "range"]).select("src", "bucket", (F.col("range_start") + F.col("inside")).alias("bucket_start"))
+
+
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
         weights: list[int] = WEIGHTS, cap: int = CAP, block: int = BLOCK, shard_slots: int = SHARD_SLOTS,
         seed: int = 42, carry: tuple[str, ...] = ()) -> Mix:
@@ -127,8 +143,8 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     Texts leave the plan at once: only (id, source, size) is written and shuffled.
     Null or empty texts have size 0 and are never taken; null is a source of its
     own, last in order; rows that repeat are documents of their own. Offsets are
-    sums in two steps (bucket, then documents of a bucket), so a source with a
-    third of all rows is spread over many tasks.
+    sums in three steps (ranges of buckets, buckets, documents of a bucket), so a source
+    with a third of all rows is spread over many tasks.
     """
     spark = docs.sparkSession
     sized = staged(docs.select(F.col(id_col).cast("bigint").alias("doc_id"), source_key(source_col).alias("src"),
@@ -136,9 +152,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     rows = sized.count()
     buckets = max(1, -(-rows // BUCKET_ROWS))
     marked = sized.withColumn("bucket", F.pmod(F.xxhash64("doc_id", "size", F.lit(seed)), F.lit(buckets)))
-    of_source = Window.partitionBy("src").orderBy("bucket").rowsBetween(Window.unboundedPreceding, 0)
-    starts = (marked.groupBy("src", "bucket").agg(F.sum("size").alias("n"))
-              .withColumn("bucket_start", F.sum("n").over(of_source) - F.col("n")).drop("n"))
+    starts = bucket_starts(marked)
     in_bucket = Window.partitionBy("src", "bucket").orderBy("doc_id", "size").rowsBetween(Window.unboundedPreceding, 0)
     placed = (marked.withColumn("__end", F.sum("size").over(in_bucket)).join(starts, ["src", "bucket"])
               .withColumn("start", F.col("bucket_start") + F.col("__end") - F.col("size")))
