@@ -26,7 +26,7 @@ ORDERS = 4
 BUCKET_BITS = 13
 BUCKETS = 1 << BUCKET_BITS
 SCALE = 100.0  # frequencies in percent
-BATCH_BYTES = 2_000_000  # text scored at once in a task
+BATCH_BYTES = 1_000_000  # text scored at once in a task
 
 # Families of language codes; a code not listed is a family of its own.
 FAMILIES = {
