@@ -239,10 +239,13 @@ def automata(passages: list[np.ndarray], part: int, digits: int, limit: int):
 def agreements(doc: np.ndarray, passage: np.ndarray, shift: int, window: int) -> list[tuple[int, int]]:
     """[start, end) in ``doc`` of runs of at least ``window`` words equal to the passage's, ``shift`` words earlier there."""
     low, high = max(0, shift), min(len(doc), len(passage) + shift)
-    same = np.zeros(high - low + 2, np.int8)
-    same[1:-1] = doc[low:high] == passage[low - shift:high - shift]
-    edge = np.flatnonzero(np.diff(same)).reshape(-1, 2) + low
-    return [(int(a), int(b)) for a, b in edge if b - a >= window]
+    differ = (doc[low:high] != passage[low - shift:high - shift]).nonzero()[0]
+    if high - low - len(differ) < window:
+        return []
+    edge = np.empty(len(differ) + 2, np.int64)
+    edge[0], edge[-1], edge[1:-1] = -1, high - low, differ
+    runs = (edge[1:] - edge[:-1] > window).nonzero()[0]
+    return [(low + int(edge[i]) + 1, low + int(edge[i + 1])) for i in runs]
 
 
 def _locate(window: int, limit: int):
