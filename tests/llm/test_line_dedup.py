@@ -1,4 +1,3 @@
-import difflib
 import hashlib
 import random
 
@@ -100,4 +99,3 @@ def test_copies_and_edges(spark):
     assert got[41].n_removed == got[42].n_removed == got[43].n_removed == got[50].n_removed == 0
     assert got[51].n_removed == 20_000 and got[51].kept_chars == len("last words")
     assert L.line_report(spark.createDataFrame(rows, "doc_id bigint, text string").limit(0)).count() == 0
-    assert difflib is not None

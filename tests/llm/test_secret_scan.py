@@ -3,8 +3,6 @@ import random
 import re
 import string
 
-from pyspark.sql import functions as F
-
 from cartwheel.llm import secret_scan as S
 
 SF = "/root/testdata/sf0.01"
@@ -48,7 +46,7 @@ def test_battery_tells_random_tokens_from_text(spark):
     rng = random.Random(3)
     pick = lambda alphabet, n: "".join(rng.choice(alphabet) for _ in range(n))
     b64 = string.ascii_letters + string.digits + "+/"
-    secrets = ["x" * 0 + pick(b64, rng.choice([32, 40, 64])) for _ in range(60)]
+    secrets = [pick(b64, rng.choice([32, 40, 64])) for _ in range(60)]
     secrets = [s for s in secrets if any(c.isdigit() for c in s)]
     clean = [f"the_quick_brown_fox_{i:04d}" for i in range(200)] + [f"aaaaaaaaaaaaaaaaaaaaaaaa{i}" for i in range(100)]
     clean += [f"documentation/chapter{i}/section{i + 1}" for i in range(100)]
@@ -73,7 +71,6 @@ def test_edges(spark):
     assert S.secret_report(docs.limit(0)).count() == 0
     nodes = S.find_secrets(docs)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in nodes and "Arrow" not in nodes
-    assert S.normal_cdf(F.lit(0.0)) is not None
 
 
 def test_very_long_tokens_stay_linear(spark):
