@@ -9,7 +9,7 @@ from cartwheel.operators import aggregates as A
 from cartwheel.operators import clean as C
 from cartwheel.plans import fixtures as FX
 from cartwheel.plans import views as V
-from cartwheel.plans.registry import D6, PRODUCTS_CTE, products, register, with_products
+from cartwheel.plans.registry import D6, products, register, with_products
 from cartwheel.session import scratch_dir
 from cartwheel.sources import csv as CSV
 from cartwheel.sources import jsonl as J

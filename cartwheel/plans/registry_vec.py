@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from cartwheel.operators import components as CC
-from cartwheel.operators import filters as FL
 from cartwheel.operators import ranking as R
 from cartwheel.operators import search as SR
 from cartwheel.operators import topics as T
