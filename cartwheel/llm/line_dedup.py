@@ -4,8 +4,8 @@ A line's key is the hash of its words. Keys that few documents hold (``RARE``) l
 all their holders; keys that many hold link each holder with the first one only, so
 links stay linear in the lines. Each linked pair is aligned with patience diff (common
 ends, then lines unique on both sides in their longest common order, then the gaps
-between them); runs of aligned lines with enough words are deleted from the later
-document. Alignment sees line keys only; texts move once, to meet what they lose.
+between them; a gap without such a line by a longest common subsequence); runs of
+aligned lines with enough words are deleted from the later document. Alignment sees line keys only; texts move once, to meet what they lose.
 """
 
 from __future__ import annotations
@@ -14,6 +14,7 @@ from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
@@ -29,6 +30,8 @@ BATCH_BYTES = 4_000_000
 SPANS = "array<struct<start:int,end:int>>"
 ARROW_SPANS = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
 
+MATCH, NONE = 1 << 32, -(1 << 60)  # alignment score of an aligned line (one that goes on a run: 1 more), and of what cannot be
+
 
 def line_keys(text: str | None) -> tuple[list[int], list[int], list[int]]:
     """Number, key and word count of each line that has words (lines part at line feeds; A-Z count as a-z)."""
@@ -63,6 +66,70 @@ def longest_rising(pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out[::-1]
 
 
+def prefix_scores(x: np.ndarray, x_at: np.ndarray, y: np.ndarray, y_at: np.ndarray, joined: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Scores of ``x`` against each prefix of ``y``: the best, and the best whose last pair is the last line of both.
+
+    ``x_at``, ``y_at``: line positions, which say what is adjacent; ``joined``: a pair of the first lines goes on a run.
+    """
+    best, last = np.zeros(len(y) + 1, np.int64), np.full(len(y) + 1, NONE)
+    next_y = np.diff(y_at, prepend=y_at[0]) == 1
+    next_x = np.diff(x_at, prepend=x_at[0]) == 1
+    for p, key in enumerate(x):
+        at = np.flatnonzero(y == key)
+        scores = best[at]
+        if next_x[p]:
+            scores = np.maximum(scores, np.where(next_y[at], last[at] + 1, NONE))
+        scores += MATCH
+        if joined and not p and len(at) and not at[0]:
+            scores[0] += 1
+        last.fill(NONE)
+        last[at + 1] = scores
+        best[at + 1] = np.maximum(best[at + 1], scores)
+        np.maximum.accumulate(best, out=best)
+    return best, last
+
+
+def longest_common(a: list[int], b: list[int]) -> list[tuple[int, int]]:
+    """Longest common subsequence as positions in ``a`` and ``b``; of several, one with most pairs that go on a run.
+
+    Hirschberg's halving: memory linear in the lines, time the product of the shared lines of both.
+    """
+    shared = set(a) & set(b)
+    x_at, y_at = (np.array([p for p, key in enumerate(s) if key in shared], np.int64) for s in (a, b))
+    if len(x_at) > len(y_at):
+        return sorted((i, k) for k, i in longest_common(b, a))
+    x, y = np.array(a, np.int64)[x_at], np.array(b, np.int64)[y_at]
+    out = []
+    work = [(0, len(x), 0, len(y), False, False)]  # the flags: a pair of the first, last lines goes on a run outside
+    while work:
+        p, r, q, s, first, last = work.pop()
+        if p == r or q == s:
+            continue
+        if r - p == 1:
+            if len(at := q + np.flatnonzero(y[q:s] == x[p])):
+                out.append((p, int(max(at, key=lambda n: (first and n == q) + (last and n == s - 1)))))
+            continue
+        half = (p + r) // 2
+        best, upto = prefix_scores(x[p:half], x_at[p:half], y[q:s], y_at[q:s], first)
+        rest, after = (v[::-1] for v in prefix_scores(x[half:r][::-1], -x_at[half:r][::-1], y[q:s][::-1], -y_at[q:s][::-1], last))
+        parted = best + rest
+        cut = int(parted.argmax())
+        through = np.full(s - q + 1, NONE)
+        if x_at[half] - x_at[half - 1] == 1:
+            through[1:-1] = np.where(np.diff(y_at[q:s]) == 1, upto[1:-1] + after[1:-1] + 1, NONE)
+        run = int(through.argmax())
+        if through[run] > parted[cut]:
+            cut = q + run
+            out += [(half - 1, cut - 1), (half, cut)]
+            work.append((p, half - 1, q, cut - 1, first, bool(half - 1 > p and cut - 1 > q and x_at[half - 1] - x_at[half - 2] == 1
+                                                              and y_at[cut - 1] - y_at[cut - 2] == 1)))
+            work.append((half + 1, r, cut + 1, s, bool(half + 1 < r and cut + 1 < s and x_at[half + 1] - x_at[half] == 1
+                                                       and y_at[cut + 1] - y_at[cut] == 1), last))
+        else:
+            work += [(p, half, q, q + cut, first, False), (half, r, q + cut, s, False, last)]
+    return sorted((int(x_at[i]), int(y_at[k])) for i, k in out)
+
+
 def patience(a: list[int], b: list[int]) -> list[tuple[int, int]]:
     """Aligned positions of two sequences, rising in both."""
     out = []
@@ -81,6 +148,7 @@ def patience(a: list[int], b: list[int]) -> list[tuple[int, int]]:
         place = {x: p for p, x in enumerate(b[k:m], k) if right[x] == 1}
         anchors = longest_rising([(p, place[x]) for p, x in enumerate(a[i:j], i) if left[x] == 1 and x in place])
         if not anchors:
+            out += [(i + p, k + q) for p, q in longest_common(a[i:j], b[k:m])]
             continue
         out += anchors
         for p, q in [*anchors, (j, m)]:

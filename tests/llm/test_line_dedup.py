@@ -35,6 +35,44 @@ def test_rising_is_longest():
         assert len(L.longest_rising(pairs)) == best
 
 
+def plain_common(a, b):
+    """(length, pairs that go on a run) of the best common subsequence, by the full table."""
+    best = [[(0, 0)] * (len(b) + 1) for _ in range(len(a) + 1)]
+    last = [[None] * (len(b) + 1) for _ in range(len(a) + 1)]
+    for i, x in enumerate(a, 1):
+        for k, y in enumerate(b, 1):
+            if x == y:
+                n, r = max([best[i - 1][k - 1]] + [(n, r + 1) for n, r in [last[i - 1][k - 1] or (-1, 0)]])
+                last[i][k] = (n + 1, r)
+            best[i][k] = max([best[i - 1][k], best[i][k - 1]] + [last[i][k]] * (x == y))
+    return best[-1][-1]
+
+
+@settings(max_examples=600, deadline=None)
+@given(st.lists(st.integers(0, 4), max_size=14), st.lists(st.integers(0, 4), max_size=14))
+def test_longest_common_equals_the_full_table(a, b):
+    out = L.longest_common(a, b)
+    assert all(a[i] == b[k] for i, k in out)
+    assert all(x < y and p < q for (x, p), (y, q) in zip(out, out[1:]))
+    assert (len(out), sum(v == (u[0] + 1, u[1] + 1) for u, v in zip(out, out[1:]))) == plain_common(a, b)
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.integers(0, 3), max_size=7), st.lists(st.integers(0, 3), max_size=7))
+def test_repeated_lines_are_aligned_in_full(a, b):
+    a, b = a + a, b + b  # no line is unique on either side
+    assert len(L.patience(a, b)) == plain_common(a, b)[0]
+
+
+def test_blocks_repeated_in_either_document():
+    c, d, e, p, q, r = range(6)
+    assert L.common_blocks([p], [c, p, d, p, e], [9] * 5, 8) in ([(1, 1)], [(3, 3)])
+    assert L.common_blocks([c, p, d, p, e], [q, p, r], [1, 9, 1], 8) == [(1, 1)]
+    assert L.common_blocks([p, q], [c, p, d, p, q, p, e, q, r], [5] * 9, 8) == [(3, 4)]
+    block = list(range(10, 400))
+    assert len(L.patience([c, *block, d], [e, *block, p, *block, q])) == len(block)
+
+
 def brute(rows, rare, link, words):
     docs = sorted({(i is None, i or 0, t) for i, t in rows if t is not None}, key=lambda d: (d[0], d[1]))
     keyed = {d: L.line_keys(d[2]) for d in docs}
