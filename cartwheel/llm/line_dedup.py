@@ -1,8 +1,10 @@
 """Line dedup: documents that share rare lines are aligned, and common blocks go from the later one.
 
 A line's key is the hash of its words. Keys that few documents hold (``RARE``) link
-all their holders; keys that many hold link each holder with the first one only, so
-links stay linear in the lines. Each linked pair is aligned with patience diff (common
+all their holders; keys that many hold link each holder with the first one only. So
+do runs of adjacent lines that just reach the words of a block, from each line on and
+up to each line: whatever block a document shares, it meets the first document that
+has each such run of it. Links stay linear in the lines. Each linked pair is aligned with patience diff (common
 ends, then lines unique on both sides in their longest common order, then the gaps
 between them; a gap without such a line by a longest common subsequence); runs of
 aligned lines with enough words are deleted from the later document. Alignment sees line keys only; texts move once, to meet what they lose.
@@ -44,6 +46,26 @@ def line_keys(text: str | None) -> tuple[list[int], list[int], list[int]]:
     return at, keys, sizes
 
 
+def run_keys(keys: list[int], sizes: list[int], min_words: int) -> list[int]:
+    """Keys of the shortest runs of two or more adjacent lines with ``min_words`` words, from each line on and up to each line.
+
+    Every line of a block with that many words is in such a run inside the block (or has the words alone, and its own key).
+    """
+    runs, first, words = set(), 0, 0
+    for last, n in enumerate(sizes):
+        words += n
+        if words >= min_words:
+            if not runs:
+                runs.add((first, last))
+            while words - sizes[first] >= min_words:  # lines that reach the words with this line and did not before
+                words -= sizes[first]
+                first += 1
+                runs.add((first, last))
+            runs.add((first, last))
+    data = np.array(keys, np.int64)
+    return [xxhash.xxh64_intdigest(data[a:b + 1].tobytes()) - (1 << 63) for a, b in sorted(runs) if a < b]
+
+
 # ---- alignment -------------------------------------------------------------
 
 def longest_rising(pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -172,17 +194,18 @@ def common_blocks(early: list[int], late: list[int], sizes: list[int], min_words
 
 # ---- documents -------------------------------------------------------------
 
-def sequences(docs: DataFrame) -> DataFrame:
-    """(doc_id, mark, text) to one row per distinct document: its id, text mark, and lines with words."""
+def sequences(docs: DataFrame, min_words: int = BLOCK_WORDS) -> DataFrame:
+    """(doc_id, mark, text) to one row per distinct document: its id, text mark, lines with words, and keys of runs."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in batches_of(batches, "text", BATCH_BYTES):
             found = [line_keys(t) for t in texts(part, "text")]
             yield pa.RecordBatch.from_arrays(
                 [part.column(0), part.column(1), *(pa.array([f[c] for f in found], pa.list_(t))
-                                                   for c, t in ((0, pa.int32()), (1, pa.int64()), (2, pa.int32())))],
-                names=["doc_id", "mark", "at", "keys", "sizes"])
+                                                   for c, t in ((0, pa.int32()), (1, pa.int64()), (2, pa.int32()))),
+                 pa.array([run_keys(keys, sizes, min_words) for _, keys, sizes in found], pa.list_(pa.int64()))],
+                names=["doc_id", "mark", "at", "keys", "sizes", "runs"])
 
-    schema = "doc_id bigint, mark bigint, at array<int>, keys array<bigint>, sizes array<int>"
+    schema = "doc_id bigint, mark bigint, at array<int>, keys array<bigint>, sizes array<int>, runs array<bigint>"
     return docs.select("doc_id", "mark", "text").mapInArrow(run, schema).dropDuplicates(["doc_id", "mark"])
 
 
@@ -192,17 +215,23 @@ def place(doc_id: str = "doc_id", mark: str = "mark") -> Column:
 
 
 def linked_pairs(seqs: DataFrame, rare: int = RARE, link_words: int = LINK_WORDS) -> DataFrame:
-    """Pairs of places (early, late) that share a line: all holders of a rare line, else each with the first."""
+    """Pairs of places (early, late) that share a line or run: all holders of a rare line, else each with the first."""
     long = F.filter(F.zip_with("keys", "sizes", lambda k, n: F.when(n >= link_words, k)), lambda k: k.isNotNull())
-    lines = seqs.select(place().alias("doc"), F.explode(F.array_distinct(long)).alias("key"))
-    holders = lines.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("doc").alias("first")).where("n > 1")
+
+    def tagged(keys: str | Column, run: bool) -> Column:
+        return F.transform(F.array_distinct(keys), lambda k: F.struct(k.alias("key"), F.lit(run).alias("run")))
+
+    both = F.concat(tagged(long, False), tagged("runs", True))
+    lines = seqs.select(place().alias("doc"), F.explode(both).alias("line")).select("doc", "line.*")
+    holders = lines.groupBy("key", "run").agg(F.count(F.lit(1)).alias("n"), F.min("doc").alias("first")).where("n > 1")
     # Written, so that the join below shuffles both sides itself and Spark may split a hot line's rows.
     holders = staged(holders, "line-holders")
-    shared = lines.join(holders, "key")
-    star = shared.where((F.col("n") > rare) & (F.col("doc") != F.col("first"))).select(
+    shared = lines.join(holders, ["key", "run"])
+    starred = F.col("run") | (F.col("n") > rare)
+    star = shared.where(starred & (F.col("doc") != F.col("first"))).select(
         F.col("first").alias("early"), F.col("doc").alias("late"))
     # Grouped by a hash of the key, not the key: the rare rows are shuffled anew, and Spark may split the join's hot keys.
-    few = (shared.where(F.col("n") <= rare).groupBy(F.xxhash64("key").alias("key"))
+    few = (shared.where(~starred).groupBy(F.xxhash64("key").alias("key"))
            .agg(F.sort_array(F.collect_list("doc")).alias("docs")))
     pairs = F.flatten(F.transform("docs", lambda a, i: F.transform(
         F.slice("docs", i + 2, F.size("docs")), lambda b: F.struct(a.alias("early"), b.alias("late")))))
@@ -241,8 +270,8 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     kept = docs.drop(spans_out)
     marked = kept.withColumns({"__id": F.col(id_col).cast("bigint"), "__mark": F.xxhash64(F.col(text_col))})
     seqs = staged(sequences(marked.select(F.col("__id").alias("doc_id"), F.col("__mark").alias("mark"),
-                                          F.col(text_col).cast("string").alias("text"))), "line-keys")
-    lost = aligned(linked_pairs(seqs, rare, link_words), seqs, min_words).select(
+                                          F.col(text_col).cast("string").alias("text")), min_words), "line-keys")
+    lost = aligned(linked_pairs(seqs, rare, min(link_words, min_words)), seqs, min_words).select(
         F.col("doc_id").alias("__lost_id"), F.col("mark").alias("__lost_mark"), F.col("spans").alias("__spans"))
     joined = marked.join(lost, F.col("__id").eqNullSafe(F.col("__lost_id")) & (F.col("__mark") == F.col("__lost_mark")), "left")
     lines = F.filter(F.split(text_col, "\n", -1), lambda _, i: ~F.exists(
