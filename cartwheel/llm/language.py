@@ -16,7 +16,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cartwheel.llm.common import batches_of, extended, texts
@@ -189,18 +189,34 @@ def _train(cost: float, epochs: int):
     return run
 
 
+def mark_limit(n: int, wanted: int) -> int:
+    """Largest signed 64-bit hash of those that about ``wanted`` of ``n`` texts have."""
+    return (min(n, wanted) << 64) // n - (1 << 63) - 1
+
+
+def sample(rows: DataFrame, counts: dict[str, int], per_language: int) -> DataFrame:
+    """The ``per_language`` texts of each language with the smallest marks, of (lang, text, mark) rows; copies count once.
+
+    ``counts``: distinct marks of each language. Some more texts than wanted pass a limit
+    on the mark first, so what is ranked does not grow with the input.
+    """
+    limits = F.create_map(*[F.lit(x) for k, n in counts.items() for x in (k, mark_limit(n, 2 * per_language + 100))])
+    some = rows.where(F.col("mark") <= F.element_at(limits, F.col("lang"))).dropDuplicates(["lang", "mark"])
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy("mark"))
+    return some.withColumn("rank", rank).where(F.col("rank") <= per_language).select("lang", "text")
+
+
 def fit(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", per_language: int = 400,
         cost: float = 1.0, epochs: int = 15) -> Model:
-    """Train on a bounded sample: about ``per_language`` rows of each language, chosen by a hash of the text.
+    """Train on a bounded sample: ``per_language`` distinct texts of each language (all, if it has fewer).
 
-    The sampling rate of a language is ``per_language`` over its row count, so the
-    sample, and the group a duel trains on, does not grow with the input. Rows
-    without language or letters teach nothing. No labelled rows: a model that
-    answers ``und``.
+    A text that many rows repeat counts once, so the sample, and the group a duel
+    trains on, does not grow with the input or its copies. Rows without language or
+    letters teach nothing. No labelled rows: a model that answers ``und``.
     """
     rows = (labelled.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
-            .where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}")))
-    counts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
+            .where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}")).withColumn("mark", F.xxhash64("text")))
+    counts = {r["lang"]: r["n"] for r in rows.select("lang", "mark").distinct().groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
     langs = sorted(counts)
     families = sorted({family_of(k) for k in langs})
     duels = [(a, b, "") for a, b in itertools.combinations(families, 2)]
@@ -208,8 +224,7 @@ def fit(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", per
     weights, bias = np.zeros((BUCKETS, len(duels)), np.float32), np.zeros(len(duels))
     if not duels:
         return Model(langs, duels, weights, bias)
-    rate = F.create_map(*[F.lit(x) for k in langs for x in (k, int(min(1.0, per_language / counts[k]) * 1_000_000))])
-    chosen = rows.where(F.pmod(F.xxhash64("text"), F.lit(1_000_000)) < F.element_at(rate, F.col("lang")))
+    chosen = sample(rows, counts, per_language)
     sides = {k: [(i, 1.0 if k == a or family_of(k) == a and not level else -1.0) for i, (a, b, level) in enumerate(duels)
                  if (k in (a, b) if level else family_of(k) in (a, b))] for k in langs}
     roles = F.create_map(*[x for k in langs for x in (F.lit(k), F.array(*[

@@ -55,3 +55,20 @@ def test_edge_rows(spark):
     assert [r.lang_pred for r in unlabelled.collect()] == ["und"]
     one = L.identify(docs.where("doc_id = 0"), L.Model(["en"], [], np.zeros((L.BUCKETS, 0), np.float32), np.zeros(0)))
     assert one.columns == ["doc_id", "text", "lang", "lang_pred", "score"] and one.first().lang_pred == "en"
+
+
+def test_copies_count_once_in_the_sample(spark):
+    few = {"en": ["the cat sat on the mat", "the dog lay on the rug"], "de": ["der hund lief nach haus", "die katze lag auf dem tisch"]}
+    rows = [(t, g) for g, found in few.items() for t in found * 2000] + [(f"le chat est la {chr(97 + i)}{i}", "fr") for i in range(25)]
+    docs = spark.createDataFrame(rows, "text string, lang string")
+    model = L.fit(docs, per_language=10)
+    assert model.predict([t for found in few.values() for t in found])[0] == ["en", "en", "de", "de"]
+    counts = {"en": 2, "de": 2, "fr": 25}
+    got = [(r.lang, r.text) for r in L.sample(docs.selectExpr("*", "xxhash64(text) AS mark"), counts, 10).collect()]
+    assert len(got) == len(set(got)) == 14 and {t for g, t in got if g == "en"} == set(few["en"])
+
+
+def test_limit_of_marks_has_no_smallest_rate():
+    assert L.mark_limit(5, 900) == L.mark_limit(900, 900) == 2**63 - 1
+    for n in (1000, 10**9, 10**12):
+        assert abs((L.mark_limit(n, 900) + 2**63 + 1) / 2**64 * n - 900) < 0.01
