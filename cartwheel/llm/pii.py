@@ -46,6 +46,14 @@ PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}(?:\x20?[A-Z0-9]{1,3})?(?![A-Za-z0-9])")
 SSN = re.compile(r"(?<![0-9-])([0-9]{3})-([0-9]{2})-([0-9]{4})(?![0-9-])")
 DIGIT = re.compile(r"[0-9]")
+# Characters of an account number by country; one of another country is a whole proposal.
+IBAN_SIZES = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG",
+    25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HN HU LB NI PL SV",
+    29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+}
+IBAN_SIZE = {country: n for n, found in IBAN_SIZES.items() for country in found.split()}
 
 SPANS = "array<struct<kind:string,start:int,end:int,score:double>>"
 ARROW_SPANS = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32()),
@@ -103,10 +111,17 @@ def phones(text: str) -> Iterator[tuple[int, int]]:
 
 
 def accounts(text: str) -> Iterator[tuple[int, int]]:
-    for m in IBAN.finditer(text):
-        account = m.group().replace(" ", "")
-        if 15 <= len(account) <= 34 and mod97(account):
-            yield m.span()
+    at = 0
+    while m := IBAN.search(text, at):
+        ends = [i + 1 for i, c in enumerate(m.group()) if c != " "]
+        size = IBAN_SIZE.get(m.group()[:2], len(ends))
+        at = m.start() + 4  # another one may begin inside what this one is not
+        if 15 <= size <= min(34, len(ends)):
+            end = m.start() + ends[size - 1]
+            # The rest of the match is what follows: words or numbers after a space.
+            if (end == m.end() or text[end] == " ") and mod97(text[m.start():end].replace(" ", "")):
+                yield m.start(), end
+                at = end
 
 
 def security_numbers(text: str) -> Iterator[tuple[int, int]]:

@@ -68,3 +68,15 @@ def test_report_rows(spark):
     assert pii.personal_data_report(docs.limit(0)).count() == 0
     red = pii.redact(pii.find_personal_data(docs)).where("doc_id = 1").first().text
     assert red == "mail é [email] or [phone], [ip]"
+
+
+def test_accounts_end_at_their_country_s_length():
+    found = lambda t: [t[s["start"]:s["end"]] for s in pii.spans_of(t, 0.5) if s["kind"] == "iban"]
+    be, es, at = "BE68 5390 0754 7034", "ES91 2100 0418 4502 0005 1332", "AT61 1904 3002 3457 3201"
+    for number in (be, es, at, be.replace(" ", ""), "DE89 3704 0044 0532 0130 00", "NO93 8601 1117 947"):
+        for after in ("", ",", " BIC", " BIC KREDBEBB", " KREDBEBB", " 2024", " 2024 2025 2026 2027", " now"):
+            assert found(f"IBAN {number}{after}") == [number], after
+    assert found(f"{be} {es} {at} {be}") == [be, es, at, be]
+    assert found(f"REF12 AB12 3456 7890 {be} BIC") == [be]
+    assert found(f"{be}ABC") == found(f"{be}1 BIC") == found("BE68 5390 0754 7035 BIC") == []
+    pii.spans_of("AB12" * 80_000 + " AB12" * 80_000, 0.5)
