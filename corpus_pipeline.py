@@ -29,9 +29,11 @@ def counted(docs: DataFrame) -> DataFrame:
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in a language the model knows; those without any letter (or text) go."""
+    """Documents with a letter: the model gives each of them some language. Without labelled rows there is no model, and they stay too."""
     configure(spark)
     model = language.fit(docs.where(~language.held_out()))
+    if not model.langs:
+        return docs.where(F.col("text").rlike(r"\p{L}"))
     found = language.identify(docs, model, lang_out="__lang_pred", score_out="__lang_score")
     return found.where(F.col("__lang_pred") != language.UNDETERMINED).select(*docs.columns)
 

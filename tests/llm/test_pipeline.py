@@ -66,3 +66,10 @@ def test_edge_rows_pass_every_stage(spark):
     mixed = P.mix_sources(spark, docs, SF).collect()
     assert {r.doc_id for r in mixed} <= {1, None, 5, 6} and all(isinstance(r.taken, int) for r in mixed)
     assert P.run(spark, "/root/testdata/sf0.001").count() > 0
+
+
+def test_unlabelled_documents_with_letters_stay(spark):
+    rows = [(1, "The cat sat", None, "a", 1), (2, "Straße", None, "a", 1), (3, "12 !?", None, "a", 1), (4, None, None, "a", 1)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    out = P.identify_language(spark, docs, SF)
+    assert out.columns == docs.columns and sorted(r.doc_id for r in out.collect()) == [1, 2]
