@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cartwheel.llm import decontaminate, language, line_dedup, mixing, phrases, pii, secret_scan, simhash, sketches, urls
+from cartwheel.llm import (decontaminate, language, line_dedup, merkle, mixing, phrases, pii, secret_scan, simhash, sketches,
+                           urls)
 from cartwheel.llm.common import table
 
 SPARK: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -70,3 +71,8 @@ def op9_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op10_phrases", phrases.REPORT_SQL)
 def op10_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
     return phrases.repeats_report(table(spark, sf_dir, "documents"))
+
+
+@register("op11_merkle", merkle.REPORT_SQL)
+def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.manifest_report(table(spark, sf_dir, "documents"))
