@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from cartwheel.llm import (decontaminate, language, line_dedup, merkle, mixing, phrases, pii, secret_scan, simhash, sketches,
-                           urls)
+                           token_files, urls)
 from cartwheel.llm.common import table
 
 SPARK: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -76,3 +76,8 @@ def op10_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op11_merkle", merkle.REPORT_SQL)
 def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.manifest_report(table(spark, sf_dir, "documents"))
+
+
+@register("op13_tokens")
+def op13_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files.token_report(table(spark, sf_dir, "documents"))
