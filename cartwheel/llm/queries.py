@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cartwheel.llm import (decontaminate, language, line_dedup, merkle, mixing, phrases, pii, secret_scan, simhash, sketches,
+from cartwheel.llm import (decontaminate, divergence, language, line_dedup, merkle, mixing, phrases, pii, secret_scan, simhash, sketches,
                            token_files, urls)
 from cartwheel.llm.common import table
 
@@ -78,6 +78,11 @@ def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.manifest_report(table(spark, sf_dir, "documents"))
 
 
+@register("op12_divergence", divergence.REPORT_SQL)
+def op12_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.divergence_report(table(spark, sf_dir, "documents"))
+
+
 @register("op13_tokens")
 def op13_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.token_report(table(spark, sf_dir, "documents"))
