@@ -25,6 +25,7 @@ DEFAULTS: dict[str, str] = {
 
 
 ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+ARROW_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
 def configure(spark: SparkSession) -> SparkSession:
@@ -34,6 +35,9 @@ def configure(spark: SparkSession) -> SparkSession:
     # Texts are long: smaller Arrow batches than Spark's default keep a worker's memory low.
     if spark.conf.get(ARROW_ROWS) == "10000":
         spark.conf.set(ARROW_ROWS, "2000")
+    # Rows of several MB (very long texts, blocks of a corpus) do not pile up in one batch.
+    if spark.conf.get(ARROW_BYTES, None) in (None, "", "-1"):
+        spark.conf.set(ARROW_BYTES, "8m")
     # Timestamps are rendered and truncated in UTC everywhere.
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     ship_package(spark)
