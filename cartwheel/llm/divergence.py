@@ -33,7 +33,7 @@ SCALE = 1_000_000_000
 TOP_TERMS = 50
 FIRST_BYTES = 2
 FILTER_BITS = 1 << 23
-CHUNK_BYTES = 8 << 20
+CHUNK_BYTES = 4 << 20
 BUCKET_TERMS = 4096
 MERGE_PAIRS = 4_000_000
 MATRIX_VALUES = 4_000_000
@@ -76,12 +76,19 @@ def packed(terms: pa.Array) -> tuple[bytes, bytes]:
     return b"".join(terms.to_pylist()), np.cumsum(sizes).astype("<i4").tobytes()
 
 
-def unpacked(data: bytes, ends: bytes) -> pa.Array:
+def rows_in(batch: pa.RecordBatch | pa.Table) -> Iterator[dict]:
+    """The rows one by one; binary values stay in Arrow's memory."""
+    columns = [(n, pa.types.is_binary(batch.schema.field(n).type), batch.column(n)) for n in batch.schema.names]
+    for i in range(batch.num_rows):
+        yield {n: c[i].as_buffer() if raw else c[i].as_py() for n, raw, c in columns}
+
+
+def unpacked(data: pa.Buffer | bytes, ends: pa.Buffer | bytes) -> pa.Array:
     offsets = np.concatenate([[0], np.frombuffer(ends, "<i4")]).astype(np.int64)
     return pa.Array.from_buffers(pa.large_binary(), len(offsets) - 1, [None, pa.py_buffer(offsets), pa.py_buffer(data)])
 
 
-def ints(data: bytes) -> np.ndarray:
+def ints(data: pa.Buffer | bytes) -> np.ndarray:
     return np.frombuffer(data, "<i4").astype(np.int64)
 
 
@@ -168,7 +175,7 @@ def _count_prefixes(size: int, previous: int, shared):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in batch.to_pylist():
+            for row in rows_in(batch):
                 chunk = Chunk(row)
                 length = pc.binary_length(chunk.terms).to_numpy(zero_copy_only=False)
                 alive = np.flatnonzero(length > previous)
@@ -255,7 +262,7 @@ def _blocks(shared, buckets: int, salts: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in batch.to_pylist():
+            for row in rows_in(batch):
                 chunk = Chunk(row)
                 entries = chunk.passing(np.frombuffer(shared.value, np.uint8), np.arange(len(chunk.terms)), None)
                 group = np.full(len(chunk.terms), -1, np.int64)
@@ -287,7 +294,7 @@ def _blocks(shared, buckets: int, salts: int):
 
 def _merge(rows: pa.Table, kept: pa.Array | None = None) -> pa.Table:
     schema = arrow_schema(BLOCK)
-    given = rows.to_pylist()
+    given = list(rows_in(rows))
     names, terms, s, t, n = merged([r["sources"] for r in given], [unpacked(r["terms"], r["term_ends"]) for r in given],
                                    [ints(r["source_of"]) for r in given], [ints(r["term_of"]) for r in given],
                                    [np.frombuffer(r["counts"], "<i8") for r in given])
@@ -335,7 +342,7 @@ def _compare(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """mapInArrow over blocks with their language's groups: summed differences per pair, best terms per source."""
     schema = arrow_schema(PARTIAL)
     for batch in rows:
-        for r in batch.to_pylist():
+        for r in rows_in(batch):
             groups = sorted(r["groups"], key=lambda g: g["source"].encode("utf-8"))
             names = [g["source"] for g in groups]
             number = {s: i for i, s in enumerate(names)}
@@ -404,7 +411,7 @@ def divergence(docs: DataFrame, text_col: str = "text", lang_col: str = "lang",
 
 def _totals(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for r in batch.to_pylist():
+        for r in rows_in(batch):
             total = np.zeros(len(r["sources"]), np.int64)
             np.add.at(total, ints(r["source_of"]), np.frombuffer(r["counts"], "<i8"))
             yield pa.RecordBatch.from_pydict({"lang": [r["lang"]] * len(total), "source": r["sources"], "n": pa.array(total)})
