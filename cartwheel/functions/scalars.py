@@ -227,11 +227,16 @@ def l2_norm(a: str | Column) -> Column:
 
 
 def l2_normalize(a: str | Column, as_float: bool = True) -> Column:
-    """Unit-normalise an array; the zero vector stays zero."""
+    """Unit-normalise an array; the zero vector stays zero.
+
+    The norm is bound once, as a field beside the array: an expression inside the element's lambda would be
+    computed again for every element.
+    """
     arr = col_of(a)
-    norm = l2_norm(arr)
     t = "float" if as_float else "double"
-    return F.transform(arr, lambda x: F.coalesce(F.try_divide(x.cast("double"), norm), F.lit(0.0)).cast(t))
+    both = F.array(F.struct(arr.alias("v"), l2_norm(arr).alias("n")))
+    unit = F.transform(both, lambda b: F.transform(b["v"], lambda x: F.coalesce(F.try_divide(x.cast("double"), b["n"]), F.lit(0.0)).cast(t)))
+    return F.when(arr.isNotNull(), unit[0])
 
 
 # ---- C24: keyword score -----------------------------------------------------
