@@ -1,11 +1,12 @@
 """Similarity graph and connected components (E10 core).
 
 The graph of pairs with cosine ≥ t is never written out. Equal vectors are one node with a
-weight; nodes meet in blocks of bounded size — cells of a k-means partition, where a node
-visits a cell only if the triangle inequality on angles allows a neighbour there, cut
-further by a hash — and a block returns what is linear in its rows: neighbour counts, a
-spanning forest of its links, or each row's best core. Every close pair meets in exactly
-one block, so counts add up and the forests together connect what the graph connects.
+weight. Nodes lie in the cells of a k-means partition, and two cells are weighed by their centroids'
+angle and their radii: they may hold no close pair (nothing is compared), only close
+pairs (counts and links follow from the cells' sizes and one representative), or some, and only then are their
+rows compared, in tiles of bounded size. A compared pair of tiles returns what is linear in its rows:
+neighbour counts, a spanning forest of its links, or each row's best core. Links between tiles join the
+components found inside them, so a dense group's links do not grow with its pairs of tiles.
 
 ``connected_components`` alternates large-star and small-star rounds on the
 edge list (Kiveris et al., 2014). Each round is a few grouped aggregates and
@@ -25,14 +26,8 @@ from pyspark.sql import functions as F
 from cartwheel.functions import scalars as S
 from cartwheel.session import ensure_checkpointing, written
 
-
-def _list_column(x: "np.ndarray"):
-    """An (n × d) matrix as an Arrow list<double> column (one flat buffer, no per-row objects)."""
-    import numpy as np
-    import pyarrow as pa
-    n, d = x.shape
-    return pa.ListArray.from_arrays(pa.array(np.arange(0, (n + 1) * d, d, dtype=np.int32)),
-                                    pa.array(np.ascontiguousarray(x).ravel()))
+BLOCK_ROWS = 4096  # rows of a tile
+MAX_CELLS = 4096  # k-means cells; beyond MAX_CELLS * BLOCK_ROWS rows a cell is cut into tiles by a hash
 
 
 def _assign(centroids: "np.ndarray"):
@@ -50,63 +45,73 @@ def _assign(centroids: "np.ndarray"):
             cos = x @ centroids.T
             cell = cos.argmax(axis=1)
             best = np.clip(cos[np.arange(len(cell)), cell], -1.0, 1.0)
-            yield pa.RecordBatch.from_arrays([rb.column("id"), rb.column("_v"), pa.array(cell.astype("int32")),
-                                              pa.array(np.arccos(best))], names=["id", "_v", "cell", "_ang"])
+            yield pa.RecordBatch.from_arrays([*rb.columns, pa.array(cell.astype("int32")), pa.array(np.arccos(best))],
+                                             names=[*rb.schema.names, "cell", "_ang"])
     return run
 
 
-def _probe(centroids: "np.ndarray", reach: "np.ndarray"):
-    """mapInArrow: every cell a point must probe — angle to centroid ≤ cell radius + threshold angle."""
+def _meetings(centroids: "np.ndarray", radius: "np.ndarray", alpha: float, slack: float):
+    """mapInArrow over cell numbers: (i, j, sure), i ≤ j, of cells that may hold a close pair; sure: that hold no other."""
     import numpy as np
     import pyarrow as pa
 
-    from cartwheel.operators.vectors import vector_matrix
-
     def run(batches):
         for rb in batches:
-            if rb.num_rows == 0:
-                continue
-            x = vector_matrix(rb.column("_v"))
-            ang = np.arccos(np.clip(x @ centroids.T, -1.0, 1.0))
-            rows, cells = np.nonzero(ang <= reach[None, :])
-            ids = rb.column("id").to_numpy(zero_copy_only=False)
-            yield pa.RecordBatch.from_arrays([pa.array(ids[rows]), _list_column(x[rows]),
-                                              pa.array(cells.astype("int32"))], names=["a", "va", "cell"])
+            for i in rb.column(0).to_pylist():
+                if radius[i] < 0:
+                    continue
+                reach = radius[i] + radius[i:]
+                apart = np.arccos(np.clip(centroids[i:] @ centroids[i], -1.0, 1.0))
+                apart[0] = 0.0
+                near = np.flatnonzero((radius[i:] >= 0) & (apart - reach <= alpha + slack))
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(near), i, np.int32)), pa.array((near + i).astype("int32")),
+                                                  pa.array((apart + reach <= alpha - slack)[near])], names=["i", "j", "sure"])
     return run
 
 
-def _forest(sim: "np.ndarray", t: float, left: "np.ndarray", right: "np.ndarray", allowed: "np.ndarray"):
-    """Links of a block thinned to a spanning forest: pairs (i, j) with sim ≥ t, left id < right id, both allowed."""
+def _forest(sim: "np.ndarray", t: float, left: "np.ndarray", right: "np.ndarray") -> list:
+    """Pairs of names with sim ≥ t thinned to a spanning forest; equal names are one node already."""
     import numpy as np
+
     names, where = np.unique(np.concatenate([left, right]), return_inverse=True)
     a_of, b_of = where[:len(left)], where[len(left):]
-    root = np.arange(len(names))
-
-    def find(i: int) -> int:
-        while root[i] != i:
-            root[i] = root[root[i]]
-            i = root[i]
-        return i
-
-    out = []
-    for at in range(0, len(left), 128):
-        i, j = np.nonzero((sim[at:at + 128] >= t) & (left[at:at + 128, None] < right[None, :]) & allowed[at:at + 128])
-        a, b = a_of[i + at], b_of[j]
-        apart = root[a] != root[b]  # most links of a dense block join what is joined already
-        for x, y in zip(a[apart].tolist(), b[apart].tolist(), strict=True):
-            p, q = find(x), find(y)
+    group = np.arange(len(names))  # each name's tree
+    out, at, step = [], 0, 1
+    while at < len(left):  # slices grow: most links of a dense tile join nothing new after its first rows
+        i, j = np.nonzero(sim[at:at + step] >= t)
+        x, y = a_of[i + at], b_of[j]
+        at, step = at + step, min(2 * step, 256)
+        apart = np.flatnonzero(group[x] != group[y])
+        if not len(apart):
+            continue
+        _, first = np.unique(group[x[apart]] * len(names) + group[y[apart]], return_index=True)
+        root: dict[int, int] = {}
+        for k in apart[first].tolist():
+            p, q = (_root(root, int(g)) for g in (group[x[k]], group[y[k]]))
             if p != q:
                 root[max(p, q)] = min(p, q)
-                out.append((names[x], names[y]))
-        root = root[root]
+                out.append((names[x[k]], names[y[k]]))
+        flat = np.arange(len(names))
+        moved = list(root)
+        flat[moved] = [_root(root, g) for g in moved]
+        group = flat[group]
     return out
 
 
-def _block(kind: str, threshold: float):
-    """cogroup applyInArrow over one (cell, member block, visitor block).
+def _root(root: dict[int, int], x: int) -> int:
+    while x in root:
+        up = root[x]
+        if up in root:
+            root[x] = root[up]
+        x = up
+    return x
 
-    ``degree``: (a, b, cos) = (node, weight of its neighbours here, null); ``forest``: links among
-    cores; ``border``: each non-core's best core here. Each pair counts once, from its smaller node.
+
+def _tiles(kind: str, threshold: float):
+    """cogroup applyInArrow over one pair of tiles (the same tile twice: ``ta`` = ``tb``).
+
+    ``degree``: (a, b, cos) = (node, weight of its neighbours here, null); ``forest``: links among the
+    names; ``border``: each non-core's best core here.
     """
     import numpy as np
     import pyarrow as pa
@@ -115,104 +120,147 @@ def _block(kind: str, threshold: float):
 
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("cos", pa.float64())])
 
-    def run(visitors: pa.Table, members: pa.Table) -> pa.Table:
-        if not visitors.num_rows or not members.num_rows:
+    def run(key, lefts: pa.Table, rights: pa.Table) -> pa.Table:
+        if not lefts.num_rows or not rights.num_rows:
             return schema.empty_table()
-        a, b = visitors.column("a").to_numpy(), members.column("b").to_numpy()
-        sim = vector_matrix(visitors.column("va").combine_chunks()) @ vector_matrix(members.column("vb").combine_chunks()).T
-        ca, cb = (t.column(c).to_numpy(zero_copy_only=False).astype(bool) for t, c in ((visitors, "ca"), (members, "cb")))
+        same = key[0].as_py() == key[1].as_py()
+        a, b = lefts.column("id").to_numpy(), rights.column("id").to_numpy()
+        sim = vector_matrix(lefts.column("_v").combine_chunks()) @ vector_matrix(rights.column("_v").combine_chunks()).T
         if kind == "forest":
-            links = _forest(sim, threshold, a, b, ca[:, None] & cb[None, :])
+            if same:
+                sim[a[:, None] >= b[None, :]] = -2.0
+            links = _forest(sim, threshold, lefts.column("name").to_numpy(), rights.column("name").to_numpy())
             return pa.table({"a": pa.array([x for x, _ in links], pa.int64()), "b": pa.array([y for _, y in links], pa.int64()),
                              "cos": pa.nulls(len(links), pa.float64())}, schema=schema)
-        close = (sim >= threshold) & (a[:, None] < b[None, :])
         if kind == "degree":
-            wa, wb = visitors.column("wa").to_numpy(), members.column("wb").to_numpy()
-            nodes, counts = np.concatenate([a, b]), np.concatenate([close @ wb, wa @ close])
+            close = sim >= threshold
+            if same:
+                close &= a[:, None] != b[None, :]
+                nodes, counts = a, close @ rights.column("w").to_numpy()
+            else:
+                nodes = np.concatenate([a, b])
+                counts = np.concatenate([close @ rights.column("w").to_numpy(), lefts.column("w").to_numpy() @ close])
             kept = counts > 0
             return pa.table({"a": nodes[kept], "b": counts[kept].astype(np.int64), "cos": pa.nulls(int(kept.sum()), pa.float64())},
                             schema=schema)
-        out = []
-        for near, nodes, cores, s in ((close & ~ca[:, None] & cb[None, :], a, b, sim), ((close & ca[:, None] & ~cb[None, :]).T, b, a, sim.T)):
-            order = np.argsort(cores, kind="stable")  # ties go to the smaller core
-            best = np.where(near, s, -np.inf)[:, order]
-            at = best.argmax(axis=1)
-            found = np.isfinite(best[np.arange(len(nodes)), at]) if len(cores) else np.zeros(0, bool)
-            rows = np.flatnonzero(found)
-            out.append((nodes[rows], cores[order][at[rows]], best[rows, at[rows]]))
-        return pa.table({n: np.concatenate([x[i] for x in out]) for i, n in enumerate(("a", "b", "cos"))}, schema=schema)
+        order = np.argsort(b, kind="stable")  # ties go to the smaller core
+        best = np.where(sim >= threshold, sim, -np.inf)[:, order]
+        at = best.argmax(axis=1)
+        rows = np.flatnonzero(np.isfinite(best[np.arange(len(a)), at]))
+        return pa.table({"a": a[rows], "b": b[order][at[rows]], "cos": best[rows, at[rows]]}, schema=schema)
     return run
 
 
 class ThresholdGraph:
-    """The graph of rows with cosine ≥ ``threshold``, by blocks (see the module note).
+    """The graph of rows with cosine ≥ ``threshold``, by cells and tiles (see the module note).
 
-    ``nodes``: node (smallest id of an equal vector), vector, weight; ``members``: id, node. Both are
-    written once. Rows without vector are no nodes; ids must be unique.
+    ``nodes``: node (smallest id of an equal vector), vector, weight, cell, tile, written once; ``members``: id, node;
+    ``meet``: pairs of cells (i, j, sure). Rows without vector are no nodes; ids must be unique. At most MAX_CELLS
+    centroids and one number per cell reach the driver. A comparison ships a row once per tile its own tile has to meet.
     """
 
     def __init__(self, corpus: DataFrame, threshold: float, id_col: str = "id", vec: str = "embedding",
-                 n_cells: int | None = None, seed: int = 7, slack: float = 1e-9, block: int = 4096):
+                 n_cells: int | None = None, seed: int = 7, slack: float = 1e-7, block: int = BLOCK_ROWS):
         self.threshold, self.slack, self.block = threshold, slack, block
         unit = corpus.where(F.col(vec).isNotNull()).select(F.col(id_col).cast("bigint").alias("id"),
                                                             S.l2_normalize(vec, as_float=False).alias("_v"))
         unit = written(unit.withColumn("_h", F.xxhash64("_v")), "unit")
         nodes = written(unit.groupBy("_h", "_v").agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("w")), "nodes")
         self.members = unit.join(nodes.select("_h", "_v", F.col("id").alias("node")), ["_h", "_v"]).select("id", "node")
-        self._assign(nodes, n_cells, seed)
+        self._cells(nodes, n_cells, seed)
 
-    def _assign(self, nodes: DataFrame, n_cells: int | None, seed: int) -> None:
-        """Cells of about ``block`` rows (√n of them at most for small tables), their radii and visitors."""
+    def _cells(self, nodes: DataFrame, n_cells: int | None, seed: int) -> None:
+        """Cells of about ``block`` rows, tiles of at most about ``block``, and the pairs of cells that meet."""
         import numpy as np
 
+        from pyspark.ml.functions import array_to_vector
+        from pyspark.ml.stat import Summarizer
+
         from cartwheel.operators.vectors import centroids_of, fit_cells
 
         n = nodes.count()
-        if n_cells is None:
-            n_cells = max(1, min(int(math.sqrt(max(n, 1))), 64), n // self.block)
-        c = np.array([x["c"] for x in centroids_of(fit_cells(nodes, n_cells, "_v", seed))], dtype=np.float64) if n else np.zeros((1, 1))
-        self.nodes = written(nodes.select("id", "_v").mapInArrow(_assign(c), "id bigint, _v array<double>, cell int, _ang double")
-                             .join(nodes.select("id", "w"), "id"), "cells")
-        per = self.nodes.groupBy("cell").agg(F.max("_ang").alias("radius"), F.count(F.lit(1)).alias("n")).collect()  # a row per cell
-        alpha = math.acos(max(-1.0, min(1.0, self.threshold)))
-        reach = np.full(len(c), -1.0)  # nobody visits an empty cell
-        held = np.ones(len(c), np.int64)
+        n_cells = n_cells or max(1, min(MAX_CELLS, n // self.block))
+        if n and n_cells > 1:
+            c = np.array([x["c"] for x in centroids_of(fit_cells(nodes, n_cells, "_v", seed))], dtype=np.float64)
+        elif n:  # one cell around the mean
+            c = nodes.agg(Summarizer.mean(array_to_vector("_v"))).first()[0].toArray()[None, :]
+            c /= np.linalg.norm(c) or 1.0
+        else:
+            c = np.zeros((1, 1))
+        cells = written(nodes.select("id", "w", "_v").mapInArrow(_assign(c), "id bigint, w bigint, _v array<double>, cell int, _ang double"), "cells")
+        self.per_cell = written(cells.groupBy("cell").agg(F.max("_ang").alias("radius"), F.count(F.lit(1)).alias("n"), F.sum("w").alias("w")), "per-cell")
+        per = self.per_cell.collect()  # a row per cell
+        radius, parts = np.full(len(c), -1.0), np.ones(len(c), np.int64)
         for r in per:
-            reach[r["cell"]], held[r["cell"]] = r["radius"] + alpha + self.slack, -(-r["n"] // self.block)
-        visits = self.nodes.select("id", "_v").mapInArrow(_probe(c, reach), "a bigint, va array<double>, cell int")
-        self.visits = written(visits.join(self.nodes.select(F.col("id").alias("a"), F.col("w").alias("wa")), "a"), "visits")
-        come = np.ones(len(c), np.int64)
-        for r in self.visits.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).collect():
-            come[r["cell"]] = -(-r["n"] // self.block)
-        self._held, self._come = held.tolist(), come.tolist()
+            # A zero vector is near no centroid and close to nothing: a cell with one has no sure pairs and a full radius.
+            radius[r["cell"]], parts[r["cell"]] = r["radius"], -(-r["n"] // self.block)
+        alpha = math.acos(max(-1.0, min(1.0, self.threshold)))
+        self.meet = written(nodes.sparkSession.range(len(c)).mapInArrow(_meetings(c, radius, alpha, self.slack), "i int, j int, sure boolean"), "meetings")
+        first = (np.cumsum(parts) - parts).tolist()
+        part = F.pmod(F.xxhash64("id", F.lit(13)), _lookup(parts.tolist(), "cell"))
+        self.nodes = cells.drop("_ang").withColumn("tile", (_lookup(first, "cell") + part).cast("int"))
+        tiles = self.per_cell.select("cell", F.explode(F.sequence(_lookup(first, "cell"), _lookup(first, "cell") + _lookup(parts.tolist(), "cell") - 1))
+                                     .alias("tile"))
+        named = lambda cell, tile: tiles.select(F.col("cell").alias(cell), F.col("tile").alias(tile))
+        self.tile_pairs = written(self.meet.join(named("i", "ta"), "i").join(named("j", "tb"), "j").where("ta <= tb or i <> j")
+                                  .select("ta", "tb", "sure"), "tile-pairs")
+
+    def compare(self, kind: str, pairs: DataFrame, left: DataFrame, right: DataFrame) -> DataFrame:
+        """Rows of ``left`` and ``right`` (nodes, columns as ``_tiles`` reads) tile against tile, for every (ta, tb) of ``pairs``."""
+        meets = lambda rows, side: rows.withColumnRenamed("tile", side).join(pairs.select("ta", "tb"), side).drop("cell")
+        lefts, rights = meets(left, "ta"), meets(right, "tb")
+        rights = rights.select(*[F.col(c).alias(c) for c in rights.columns])  # columns of its own, where both sides are one table
+        return lefts.groupBy("ta", "tb").cogroup(rights.groupBy("ta", "tb")).applyInArrow(_tiles(kind, self.threshold), "a bigint, b bigint, cos double")
 
     def run(self, kind: str, cores: DataFrame | None = None) -> DataFrame:
-        """One pass over all blocks; ``cores`` (node) marks the cores, all nodes without it."""
-        visits, nodes = self.visits, self.nodes.select(F.col("id").alias("b"), F.col("_v").alias("vb"), F.col("w").alias("wb"), "cell")
-        if cores is None:
-            visits, nodes = visits.withColumn("ca", F.lit(True)), nodes.withColumn("cb", F.lit(True))
-        else:
-            mark = lambda k, c: cores.select(F.col("node").alias(k), F.lit(True).alias(c))
-            visits = visits.join(mark("a", "ca"), "a", "left").withColumn("ca", F.coalesce("ca", F.lit(False)))
-            nodes = nodes.join(mark("b", "cb"), "b", "left").withColumn("cb", F.coalesce("cb", F.lit(False)))
-        # Both sides must key blocks with the same types, or equal keys would not meet.
-        left = (visits.withColumn("psalt", F.pmod(F.xxhash64("a", F.lit(11)), _lookup(self._come, "cell")).cast("int"))
-                .withColumn("msalt", F.explode(F.sequence(F.lit(0), (_lookup(self._held, "cell") - 1).cast("int")))))
-        right = (nodes.withColumn("msalt", F.pmod(F.xxhash64("b", F.lit(13)), _lookup(self._held, "cell")).cast("int"))
-                 .withColumn("psalt", F.explode(F.sequence(F.lit(0), (_lookup(self._come, "cell") - 1).cast("int")))))
-        keys = ["cell", "msalt", "psalt"]
-        return (left.groupBy(*keys).cogroup(right.groupBy(*keys))
-                .applyInArrow(_block(kind, self.threshold), "a bigint, b bigint, cos double"))
+        """(a, b, cos): ``forest`` — links that connect what the graph (among ``cores``) connects; ``border`` — for each node
+        that is no core its best core, per tile; ``degree`` — see ``degrees``. ``cores``: node; all nodes without it.
+        """
+        if kind == "degree":
+            return self.compare(kind, self.tile_pairs.where("not sure"), self.nodes, self.nodes)
+        marked = self.nodes if cores is None else self.nodes.join(cores.select(F.col("node").alias("id")), "id", "left_semi")
+        if kind == "border":
+            others = self.nodes.join(cores.select(F.col("node").alias("id")), "id", "left_anti")
+            swapped = self.tile_pairs.where("ta <> tb").select(F.col("tb").alias("ta"), F.col("ta").alias("tb"))
+            return self.compare(kind, self.tile_pairs.select("ta", "tb").unionByName(swapped), others, marked)
+        # One node stands for a cell whose nodes are all close; cells that are close as a whole are linked by theirs.
+        first = marked.groupBy("cell").agg(F.min("id").alias("rep"))
+        whole = self.meet.where("sure and i = j").select(F.col("i").alias("cell")).join(first, "cell")
+        star = marked.join(whole, "cell").where("id <> rep").select(F.col("rep").alias("a"), F.col("id").alias("b"))
+        rep = lambda cell, name: first.select(F.col("cell").alias(cell), F.col("rep").alias(name))
+        sure = self.meet.where("sure and i <> j").join(rep("i", "ra"), "i").join(rep("j", "rb"), "j")
+        # All of i is close to all of j: i's nodes link to j's representative, j's to i's. A cell of such a pair needs one such star.
+        once = sure.groupBy("i").agg(F.min("rb").alias("rb")).select(F.col("i").alias("cell"), "rb").unionByName(
+            sure.groupBy("j").agg(F.min("ra").alias("rb")).select(F.col("j").alias("cell"), "rb"))
+        cross = marked.join(once, "cell").select(F.col("rb").alias("a"), F.col("id").alias("b")).unionByName(
+            sure.select(F.col("ra").alias("a"), F.col("rb").alias("b")))
+        known = star.unionByName(cross)
+        inside = self.compare(kind, self.tile_pairs.where("not sure and ta = tb"), marked.withColumn("name", F.col("id")),
+                              marked.withColumn("name", F.col("id"))).select("a", "b")
+        links = written(known.unionByName(inside), "links")
+        rest = self.tile_pairs.where("not sure and ta <> tb")
+        if rest.isEmpty():
+            return links.withColumn("cos", F.lit(None).cast("double"))
+        found = connected_components(links).withColumnRenamed("node", "id")
+        named = written(marked.join(found, "id", "left").withColumn("name", F.coalesce("component", "id")).drop("component"), "named")
+        between = self.compare(kind, rest, named, named).select("a", "b")
+        return links.unionByName(between).withColumn("cos", F.lit(None).cast("double"))
 
     def degrees(self) -> DataFrame:
         """(node, deg): rows with cosine ≥ threshold, the node's own row and its equals included."""
+        weight = lambda cell, name: self.per_cell.select(F.col("cell").alias(cell), F.col("w").alias(name))
+        sure = self.meet.where("sure").join(weight("i", "wi"), "i").join(weight("j", "wj"), "j")
+        whole = (sure.select(F.col("i").alias("cell"), F.col("wj").alias("near")).unionByName(
+            sure.where("i <> j").select(F.col("j").alias("cell"), F.col("wi").alias("near"))).groupBy("cell").agg(F.sum("near").alias("whole")))
+        own = self.meet.where("sure and i = j").select(F.col("i").alias("cell"), F.lit(True).alias("clique"))
         near = self.run("degree").groupBy("a").agg(F.sum("b").alias("near"))
-        return self.nodes.select(F.col("id").alias("a"), "w").join(near, "a", "left").select(
-            F.col("a").alias("node"), (F.col("w") + F.coalesce("near", F.lit(0))).alias("deg"))
+        rows = self.nodes.select(F.col("id").alias("a"), "w", "cell").join(near, "a", "left").join(whole, "cell", "left").join(own, "cell", "left")
+        own_rows = F.when(F.col("clique"), F.lit(0)).otherwise(F.col("w"))  # a sure cell's weight has the node's own rows
+        return rows.select(F.col("a").alias("node"), (own_rows + F.coalesce("near", F.lit(0)) + F.coalesce("whole", F.lit(0))).alias("deg"))
 
 
 def _lookup(values: list[int], key: str) -> "F.Column":
-    """Per-cell integer from a short list indexed by cell (one entry per cell)."""
+    """Per-cell integer from a list indexed by cell (at most MAX_CELLS entries)."""
     return F.element_at(F.array(*[F.lit(int(v)) for v in values]), F.col(key) + F.lit(1))
 
 
