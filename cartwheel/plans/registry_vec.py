@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from cartwheel.operators import components as CC
+from cartwheel.operators import hierarchy as HI
 from cartwheel.operators import ranking as R
 from cartwheel.operators import search as SR
 from cartwheel.operators import topics as T
@@ -290,6 +291,59 @@ def q_density_topics(spark, sf):
     return out.select("id", F.col("topic").cast("bigint").alias("topic"), F.round("strength", D6).alias("strength"))
 
 
+def hierarchy_sql(least_size: int, samples: int) -> str:
+    """E10 + E12 by rows in the order of Prim's algorithm: a component at any distance is a run of rows between larger steps."""
+    return f"""
+WITH RECURSIVE e AS (SELECT vec_id AS id, row_number() OVER (ORDER BY vec_id) AS k, CAST(embedding AS DOUBLE[]) AS v FROM embeddings WHERE embedding IS NOT NULL),
+d AS (SELECT a.k AS a, b.k AS b, sqrt(list_sum(list_transform(list_zip(a.v, b.v), lambda p: (p[1] - p[2]) * (p[1] - p[2])))) AS d FROM e a JOIN e b ON a.k <> b.k),
+core AS (SELECT a, max(d) AS core FROM (SELECT a, d, row_number() OVER (PARTITION BY a ORDER BY d) AS rn FROM d) WHERE rn <= {samples} GROUP BY a),
+m AS (SELECT d.a, list(greatest(d.d, x.core, y.core) ORDER BY d.b) AS w FROM (SELECT a, b, d FROM d UNION ALL SELECT k, k, 0 FROM e) d
+      JOIN core x ON x.a = d.a JOIN core y ON y.a = d.b GROUP BY d.a),
+prim(step, cur, w, best) AS (
+  SELECT 0, CAST(1 AS BIGINT), CAST(NULL AS DOUBLE), list_transform(m.w, lambda x, i: CASE WHEN i = 1 THEN NULL ELSE x END) FROM m WHERE a = 1
+  UNION ALL
+  SELECT p.step + 1, p.at, p.low, list_transform(list_zip(p.best, m.w), lambda z, i: CASE WHEN z[1] IS NULL OR i = p.at THEN NULL ELSE least(z[1], z[2]) END)
+  FROM (SELECT step, best, list_min(best) AS low, CAST(list_position(best, list_min(best)) AS BIGINT) AS at FROM prim WHERE list_min(best) IS NOT NULL) p
+  JOIN m ON m.a = p.at),
+s AS (SELECT step AS i, w FROM prim WHERE step > 0),
+n AS (SELECT count(*) AS n FROM prim),
+run AS (SELECT DISTINCT coalesce((SELECT max(j.i) FROM s j WHERE j.i < s.i AND j.w > s.w), 0) AS l,
+               coalesce((SELECT min(j.i) FROM s j WHERE j.i > s.i AND j.w > s.w), n.n) AS r, s.w FROM s CROSS JOIN n),
+cut AS (SELECT run.l, run.r, run.w, s.i AS b FROM run JOIN s ON s.i > run.l AND s.i < run.r AND s.w = run.w UNION ALL SELECT l, r, w, l FROM run),
+kid AS (SELECT l, r, w, b AS kl, coalesce(lead(b) OVER (PARTITION BY l, r ORDER BY b), r) AS kr FROM cut),
+split AS (SELECT l, r, w FROM kid WHERE kr - kl >= {least_size} GROUP BY l, r, w HAVING count(*) >= 2),
+head AS (SELECT kl AS l, kr AS r, w AS birth FROM kid JOIN split USING (l, r, w) WHERE kr - kl >= {least_size}
+         UNION ALL SELECT 0, n, NULL FROM n WHERE n >= {least_size}),
+fall AS (SELECT i.i AS p, min(run.w) AS w FROM (SELECT step AS i FROM prim) i JOIN run ON run.l <= i.i AND i.i < run.r AND run.r - run.l >= {least_size} GROUP BY i.i),
+dead AS (SELECT h.l, h.r, max(split.w) AS w FROM head h JOIN split ON split.l >= h.l AND split.r <= h.r GROUP BY h.l, h.r),
+own AS (SELECT h.l, h.r, sum(1 / greatest(f.w, coalesce(dead.w, 0), 1e-9)) - count(*) / greatest(min(h.birth), 1e-9) AS own,
+               CASE WHEN min(dead.w) IS NULL THEN min(f.w) ELSE min(dead.w) END AS low
+        FROM head h JOIN fall f ON f.p >= h.l AND f.p < h.r LEFT JOIN dead ON dead.l = h.l AND dead.r = h.r WHERE h.birth IS NOT NULL GROUP BY h.l, h.r),
+ranked AS (SELECT *, row_number() OVER (ORDER BY r - l, l) AS k FROM own),
+up AS (SELECT c.k, (SELECT min(p.k) FROM ranked p WHERE p.l <= c.l AND p.r >= c.r AND p.k > c.k) AS up FROM ranked c),
+tree AS (SELECT ranked.*, coalesce(c.kids, []) AS kids FROM ranked LEFT JOIN (SELECT up, list(k) AS kids FROM up GROUP BY up) c ON c.up = ranked.k),
+fold(k, best, keep) AS (
+  SELECT CAST(0 AS BIGINT), CAST([] AS DOUBLE[]), CAST([] AS BOOLEAN[])
+  UNION ALL
+  SELECT t.k, list_append(f.best, greatest(t.own, coalesce(list_sum(list_transform(t.kids, lambda c: f.best[c])), 0))),
+         list_append(f.keep, t.own >= coalesce(list_sum(list_transform(t.kids, lambda c: f.best[c])), 0))
+  FROM fold f JOIN tree t ON t.k = f.k + 1),
+kept AS (SELECT ranked.* FROM ranked JOIN (SELECT unnest(keep) AS keep, generate_subscripts(keep, 1) AS k FROM fold WHERE k = (SELECT max(k) FROM fold)) x USING (k) WHERE x.keep),
+top AS (SELECT * FROM kept c WHERE NOT EXISTS (SELECT 1 FROM kept o WHERE o.k > c.k AND o.l <= c.l AND o.r >= c.r)),
+inside AS (SELECT e.id, top.l, greatest(top.low, 1e-9) / greatest(f.w, top.low, 1e-9) AS strength
+           FROM fall f JOIN top ON f.p >= top.l AND f.p < top.r JOIN prim ON prim.step = f.p JOIN e ON e.k = prim.cur),
+topic AS (SELECT l, row_number() OVER (ORDER BY count(*) DESC, min(id)) - 1 AS topic FROM inside GROUP BY l)
+SELECT o.vec_id AS id, CAST(coalesce(topic.topic, -1) AS BIGINT) AS topic, round(coalesce(i.strength, 0), {D6}) AS strength
+FROM embeddings o LEFT JOIN inside i ON i.id = o.vec_id LEFT JOIN topic ON topic.l = i.l"""
+
+
+@register("hdbscan_topics", hierarchy_sql(5, 3))
+def q_hdbscan_topics(spark, sf):
+    """E10 + E12 with noise, on the whole vector table."""
+    out = HI.hdbscan_topics(corpus(spark, sf), min_cluster_size=5, min_samples=3)
+    return out.select("id", F.col("topic").cast("bigint").alias("topic"), F.round("strength", D6).alias("strength"))
+
+
 @register("kmeans_topics", "SELECT vec_id AS id, label, true AS assigned FROM embeddings")
 def q_kmeans_topics(spark, sf):
     """E11 + E12; topic numbers are the fit's own, so a row states that it has one of the k and a cosine."""
