@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from cartwheel.operators import components as CC
 from cartwheel.operators import hierarchy as HI
+from cartwheel.operators import manifold as MF
 from cartwheel.operators import ranking as R
 from cartwheel.operators import search as SR
 from cartwheel.operators import topics as T
@@ -13,7 +14,7 @@ from cartwheel.operators import vectors as VX
 from cartwheel.functions import scalars as S
 from cartwheel.plans import views as V
 from cartwheel.plans.registry import CAT_LIST, D6, DEFAULT_CATEGORIES, dash_reviews, register, with_dash
-from cartwheel.session import scratch_dir
+from cartwheel.session import scratch_dir, written
 from cartwheel.sources import parquet as P
 
 EV_SQL = """ev AS (SELECT vec_id, label, CAST(x AS DOUBLE) AS x, i FROM
@@ -371,6 +372,33 @@ def q_pca_map(spark, sf):
     return moments.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
 
 
+MAP_NEIGHBOURS_SQL = EV_SQL + """,
+pr AS (SELECT a.vec_id AS id, b.vec_id AS o, sqrt(sum((a.x - b.x) * (a.x - b.x))) AS d FROM ev a JOIN ev b ON a.i = b.i AND a.vec_id <> b.vec_id GROUP BY 1, 2),
+nb AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY d, o) AS rank FROM pr)"""
+
+
+@register("nearest_neighbours", f"""
+WITH {MAP_NEIGHBOURS_SQL}
+SELECT id, o AS other, rank, round(d, {D6}) AS distance FROM nb WHERE rank <= 15""")
+def q_nearest_neighbours(spark, sf):
+    """The exact neighbour graph the map of E8/E9 is built on."""
+    near = MF.nearest(corpus(spark, sf), 15)
+    return near.select("id", F.posexplode("near").alias("at", "m")).select(
+        "id", F.col("m.o").alias("other"), (F.col("at") + 1).cast("bigint").alias("rank"), F.round("m.d", D6).alias("distance"))
+
+
+@register("manifold_map", "SELECT count(*) AS n, true AS placed, true AS keeps_more_neighbours_than_a_linear_map FROM embeddings")
+def q_manifold_map(spark, sf):
+    """Five dimensions. The vectors are nearly without structure, so the map is held against the linear one of as many dimensions."""
+    c, names = corpus(spark, sf), [f"u{i}" for i in range(1, 6)]
+    points = written(MF.manifold_map(c, k=5, names=names), "points")
+    trust = MF.trustworthiness(c, points, names)
+    linear = MF.trustworthiness(c, written(T.pca_map(c, k=5, names=names), "linear"), names).select(F.col("trust").alias("other"))
+    finite = points.agg(F.count(F.lit(1)).alias("n"), (F.count(F.when(~F.isnan(F.col("u1") + F.col("u5")), 1)) == F.count(F.lit(1))).alias("placed"))
+    return (finite.join(trust.select("trust"), F.lit(True)).join(linear, F.lit(True))
+            .select("n", "placed", (F.col("trust") > F.col("other")).alias("keeps_more_neighbours_than_a_linear_map")))
+
+
 @register("topic_map", "SELECT count(*) AS docs, true AS at_most_k, true AS centred FROM embeddings")
 def q_topic_map(spark, sf):
     """E16 as its invariants: topic sizes add up to the documents, and their weighted mean is the points' mean."""
