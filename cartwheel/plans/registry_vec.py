@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from cartwheel.operators import components as CC
 from cartwheel.operators import hierarchy as HI
 from cartwheel.operators import manifold as MF
+from cartwheel.operators import quantized as QZ
 from cartwheel.operators import ranking as R
 from cartwheel.operators import search as SR
 from cartwheel.operators import topics as T
@@ -44,6 +45,37 @@ def q_knn_exact(spark, sf):
 
 
 # Query category of each label centroid: (label + 5) % 12, so two query categories do not occur.
+UNIT_SQL = EV_SQL + """,
+nr AS (SELECT vec_id, sqrt(sum(x * x)) AS nrm FROM ev GROUP BY vec_id),
+u AS (SELECT ev.vec_id, i, CASE WHEN nrm = 0 THEN 0 ELSE x / nrm END AS x FROM ev JOIN nr ON ev.vec_id = nr.vec_id)"""
+
+
+@register("knn_pruned", f"""
+WITH {UNIT_SQL},
+s AS (SELECT a.vec_id AS qid, b.vec_id AS id, sum(a.x * b.x) AS score FROM u a JOIN u b ON a.i = b.i WHERE a.vec_id % 10 = 0 GROUP BY 1, 2),
+r AS (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY round(score, {D6}) DESC, id) AS rank FROM s)
+SELECT qid, id, round(score, {D6}) AS score, rank FROM r WHERE rank <= 5""")
+def q_knn_pruned(spark, sf):
+    """E4/J7 with pruned cells: every tenth vector asks the whole table."""
+    c = corpus(spark, sf)
+    asked = c.where("id % 10 = 0").select(F.col("id").alias("qid"), F.col("embedding").alias("qvec"))
+    return QZ.knn_pruned(asked, QZ.build_cells(c), k=5, digits=D6).withColumn("rank", F.col("rank").cast("bigint"))
+
+
+@register("knn_codes_recall", """
+SELECT count(*) AS queries, true AS recall_at_least_09, CAST(5 AS BIGINT) AS hits_each FROM embeddings WHERE vec_id % 10 = 0""")
+def q_knn_codes_recall(spark, sf):
+    """E5: recall@5 of the search by codes against the exact search, every tenth vector asking the whole table."""
+    c = corpus(spark, sf)
+    asked = c.where("id % 10 = 0").select(F.col("id").alias("qid"), F.col("embedding").alias("qvec"))
+    cells = QZ.build_cells(c)
+    books = QZ.fit_codebooks(cells)
+    found = written(QZ.knn_codes(asked, cells, QZ.encode(cells, books), books, k=5), "found")
+    recall = VX.recall_at_k(found, QZ.knn_pruned(asked, cells, k=5))
+    per = found.groupBy("qid").agg(F.count(F.lit(1)).alias("n")).agg(F.count(F.lit(1)).alias("queries"), F.min("n").cast("bigint").alias("hits_each"))
+    return per.join(recall, F.lit(True)).select("queries", (F.col("recall") >= 0.9).alias("recall_at_least_09"), "hits_each")
+
+
 @register("search_in_category", f"""
 WITH {CENTROID_SQL},
 qc AS (SELECT DISTINCT qid, CAST((qid + 5) % 12 AS VARCHAR) AS qcat FROM q),

@@ -17,7 +17,7 @@ PYTHON_NODES = ("BatchEvalPython", "ArrowEvalPython", "MapInPandas", "MapInArrow
 PYTHON_ALLOWED = {"topic_similarity", "threshold_components", "density_topics", "knn_exact", "search_in_category",
                   "knn_ann", "search_batch", "vector_table", "flow_reviews", "kmeans_topics", "topic_map",
                   "document_map", "knn_ann_recall", "search_guarded", "hash_embed", "vector_write",
-                  "hdbscan_topics", "nearest_neighbours", "manifold_map"}
+                  "hdbscan_topics", "nearest_neighbours", "manifold_map", "knn_pruned", "knn_codes_recall"}
 # The training-data operators have their own tests (tests/llm).
 KEYS = [k for k in E.queries() if not re.match(r"op\d+_|pipeline", k)]
 
