@@ -4,10 +4,12 @@ Spark's ``percentile``/``median`` keep every distinct value of a group in one ag
 which a group holding a third of all rows cannot afford. Here two plain aggregates, both
 combined before their shuffle, do the work:
 
-1. rows per (group, bucket), a bucket being a rising function of the value (``bucket_of``);
-   running counts over a group's buckets say in which buckets the target ranks lie;
-2. rows per (group, bucket, value) of those buckets only; running counts over them, started at the
-   rows before the bucket, give the values at ranks ⌊(n−1)p⌋ and ⌈(n−1)p⌉.
+1. rows per (group, bucket), a bucket being a rising function of the value (``bucket_of``), with its least and
+   greatest value; running counts over a group's buckets say in which buckets the target ranks lie;
+2. rows per (group, bucket, slot) of those buckets only, a slot being one of ``RADIX`` equal steps between the bucket's least
+   and greatest value, so that a column whose values crowd into one bucket is parted all the same;
+3. rows per (group, bucket, slot, value) of the target slots; running counts over them, started at the
+   rows before the slot, give the values at ranks ⌊(n−1)p⌋ and ⌈(n−1)p⌉.
 
 They are interpolated as ``(hi_rank − pos)·lo + (pos − lo_rank)·hi`` (the same formula as
 Spark's exact percentile). Running counts are windows over counts, which spill, never
@@ -20,6 +22,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 STEPS = 256  # buckets per unit of the logarithm
+RADIX = 65536  # slots of a bucket
 
 
 def bucket_of(v: Column) -> Column:
@@ -50,10 +53,6 @@ def grouped_quantiles(df: DataFrame, value: str, groups: list[str], probs: list[
     names = names or [f"q{i}" for i in range(len(probs))]
     v = df.select(*groups, F.col(value).cast("double").alias("_v")).where(F.col("_v").isNotNull() & ~F.isnan("_v"))
     v = v.withColumn("_bucket", bucket_of(F.col("_v")))
-    per = v.groupBy(*groups, "_bucket").agg(F.count(F.lit(1)).alias("_n"))
-    per = per.withColumns({"_before": _running(per, groups, "_bucket", "_n"),
-                           "_total": F.sum("_n").over(Window.partitionBy(*groups))})
-
     def ranks(p: float) -> tuple[Column, Column, Column]:
         pos = (F.col("_total") - F.lit(1)).cast("double") * F.lit(float(p))
         return pos, F.floor(pos), F.ceil(pos)
@@ -61,14 +60,27 @@ def grouped_quantiles(df: DataFrame, value: str, groups: list[str], probs: list[
     def holds(rank: Column) -> Column:
         return (F.col("_before") <= rank) & (rank < F.col("_before") + F.col("_n"))
 
-    wanted = F.lit(False)
-    for p in probs:
-        wanted = wanted | holds(ranks(p)[1]) | holds(ranks(p)[2])
-    chosen = per.where(wanted).select(*groups, "_bucket", F.col("_before").alias("_start"), "_total")
-    # The chosen buckets are a few rows per group; their rows are counted by value.
-    fine = _same(v, chosen, [*groups, "_bucket"]).groupBy(*groups, "_bucket", "_start", "_total", "_v").agg(
-        F.count(F.lit(1)).alias("_n"))
-    fine = fine.withColumn("_before", F.col("_start") + _running(fine, [*groups, "_bucket"], "_v", "_n"))
+    def targets(per: DataFrame) -> DataFrame:
+        wanted = F.lit(False)
+        for p in probs:
+            wanted = wanted | holds(ranks(p)[1]) | holds(ranks(p)[2])
+        return per.where(wanted)
+
+    measures = [F.count(F.lit(1)).alias("_n"), F.min("_v").alias("_least"), F.max("_v").alias("_most")]
+    per = v.groupBy(*groups, "_bucket").agg(*measures)
+    per = per.withColumns({"_before": _running(per, groups, "_bucket", "_n"),
+                           "_total": F.sum("_n").over(Window.partitionBy(*groups))})
+    # The chosen buckets, and then slots, are a few rows per group.
+    chosen = targets(per).select(*groups, "_bucket", F.col("_before").alias("_start"), "_total", "_least", "_most")
+    rows = _same(v, chosen, [*groups, "_bucket"])
+    share = F.try_divide(F.col("_v") - F.col("_least"), F.col("_most") - F.col("_least"))  # null: one value, or a span beyond doubles
+    rows = rows.withColumn("_slot", F.coalesce(F.least(F.floor(share * RADIX), F.lit(RADIX - 1)), F.lit(0)).cast("bigint")).drop("_least", "_most")
+    within = [*groups, "_bucket", "_start", "_total"]
+    slots = rows.groupBy(*within, "_slot").agg(F.count(F.lit(1)).alias("_n"))
+    slots = targets(slots.withColumn("_before", F.col("_start") + _running(slots, [*groups, "_bucket"], "_slot", "_n")))
+    slots = slots.select(*groups, "_bucket", "_slot", F.col("_before").alias("_from"))
+    fine = _same(rows, slots, [*groups, "_bucket", "_slot"]).groupBy(*within, "_slot", "_from", "_v").agg(F.count(F.lit(1)).alias("_n"))
+    fine = fine.withColumn("_before", F.col("_from") + _running(fine, [*groups, "_bucket", "_slot"], "_v", "_n"))
     picked = []
     for i, p in enumerate(probs):
         _, lo, hi = ranks(p)

@@ -388,6 +388,23 @@ POINTS_SQL = """
   WHERE p.avg_discount IS NOT NULL AND r.avg_sentiment IS NOT NULL)"""
 
 
+@register("category_points", with_dash(f"""
+, p AS (SELECT category, round(avg(discount_pct), {D6}) AS avg_discount, round(avg(rating), {D6}) AS avg_product_rating,
+               count(product_id) AS products FROM product_dim WHERE category IS NOT NULL GROUP BY 1),
+r AS (SELECT category, round(avg(sentiment_score), {D6}) AS avg_sentiment, round(avg(rating), {D6}) AS avg_review_rating,
+             count(review_id) AS reviews FROM reviews_v WHERE category IS NOT NULL GROUP BY 1)
+SELECT coalesce(p.category, r.category) AS category, avg_discount, avg_product_rating, products, avg_sentiment, avg_review_rating, reviews,
+       p.category IS NOT NULL AND r.category IS NOT NULL AS is_point
+FROM p FULL JOIN r ON p.category = r.category""").replace("\n, p AS", ", p AS"))
+def q_category_points(spark, sf):
+    """A8 and A9 with all their columns, and which categories J3 keeps."""
+    prods, revs = V.product_dim(spark, sf), V.reviews_v(spark, sf)
+    kept = A.category_points(prods, revs).select("category", F.lit(True).alias("_kept"))
+    both = A.product_category_summary(prods).join(A.review_category_summary(revs), "category", "full").join(kept, "category", "left")
+    means = ["avg_discount", "avg_product_rating", "avg_sentiment", "avg_review_rating"]
+    return both.select("category", *[F.round(c, D6).alias(c) for c in means], "products", "reviews", F.coalesce("_kept", F.lit(False)).alias("is_point"))
+
+
 @register("category_correlation", with_dash(POINTS_SQL + f"""
 SELECT count(*) AS n_points,
        round(covar_pop(avg_discount, avg_sentiment) / nullif(stddev_pop(avg_discount) * stddev_pop(avg_sentiment), 0),

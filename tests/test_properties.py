@@ -197,6 +197,18 @@ def test_grouped_quantiles_equal_exact_percentile(spark, scale):
         assert all(math.isclose(x, y, rel_tol=1e-12, abs_tol=1e-9) for x, y in zip(got[g], want[g])), g
 
 
+def test_quantiles_of_values_crowded_into_one_bucket(spark):
+    from cartwheel.operators.quantiles import RADIX, grouped_quantiles
+    df = spark.range(300_000).selectExpr("(id * 7919 % 300007) / 300007.0 / 1000 AS v", "id % 2 AS g")
+    probs = [0.0, 0.01, 0.5, 0.999, 1.0]
+    got = grouped_quantiles(df, "v", [], probs)
+    want = df.agg(F.percentile("v", F.array(*[F.lit(p) for p in probs])).alias("p")).first()["p"]
+    assert all(math.isclose(x, y, rel_tol=1e-12) for x, y in zip(got.first(), want))
+    extremes = spark.createDataFrame([(x,) for x in (-1e308, -1e308, 0.0, -0.0, 1e-320, 5e-324, 1e308, 1.7e308, float("inf"))], "v double")
+    assert list(grouped_quantiles(extremes, "v", [], [0.0, 0.5, 0.875, 1.0]).first()) == [-1e308, 5e-324, 1.7e308, math.inf]
+    assert RADIX <= 1 << 16
+
+
 def test_knn_exact_equals_brute_force_with_string_ids(spark):
     df, qs, rows = planted(spark, far=30)
     corpus = df.select(F.concat(F.lit("r"), F.col("id").cast("string")).alias("rid"), "embedding",
