@@ -133,14 +133,17 @@ def panel_counts(panels: dict[str, DataFrame]) -> DataFrame:
 
 # ---- X3: review flow ----------------------------------------------------------------
 
-def reviews_flow(spark: SparkSession, paths: dict[str, str], out_folder: str, dim: int = 64, n_topics: int = 10,
-                 k: int = 5, max_rows: int | None = None,
+def reviews_flow(spark: SparkSession, paths: dict[str, str], out_folder: str, dim: int = 64, min_cluster_size: int = 50,
+                 min_samples: int = 10, k: int = 5, max_rows: int | None = None,
                  category_queries: list[tuple[str, str]] | None = None) -> dict[str, DataFrame]:
-    """S4 → W3 → C10… → F6 → F7 → C7 → {A5 → S7, E2 → S10 → E6/E7, E11 → E9 → E13/E14 → E18 → E17}.
+    """S4 → W3 → C10… → F6 → F7 → C7 → {A5 → S7, E2 → S10 → E6/E7, E8 → E10 → E9 → E13/E14 → E18 → E17}.
 
     Reviews are persisted once (X1) and feed every branch; the vector table is
-    written partitioned by IVF cell, the monthly series as Parquet.
+    written partitioned by IVF cell, the monthly series as Parquet. Topics are density clusters of the
+    vectors' five-dimensional map, −1 what belongs to none; both maps use one neighbour search.
     """
+    from cartwheel.operators import hierarchy as HI
+    from cartwheel.operators import manifold as MF
     from cartwheel.operators import topics as T
     from cartwheel.operators import vectors as VX
     from cartwheel.sources import jsonl as J
@@ -159,8 +162,14 @@ def reviews_flow(spark: SparkSession, paths: dict[str, str], out_folder: str, di
         "q_category", F.element_at(F.array(*[F.lit(c) for c, _ in asked]),
                                    (F.col("qid") + 1).cast("int")))
     # Topic assignments and map points feed several panels: keep each once.
-    topics = written(T.kmeans_topics(table.select("id", "embedding"), k=n_topics), "topics")
-    coords = T.pca_map(topics.select("id", "embedding", "topic", "strength"), k=2)
+    vectors = table.select(F.xxhash64("id").alias("key"), "id", "embedding")
+    near = written(MF.nearest(vectors, id_col="key"), "neighbours")
+    names = [f"u{i}" for i in range(1, 6)]
+    reduced = MF.manifold_map(vectors, k=5, id_col="key", names=names, near=near).select("key", F.array(*names).alias("embedding"))
+    found = HI.hdbscan_topics(written(reduced, "reduced"), min_cluster_size, min_samples, id_col="key")
+    topics = written(vectors.join(found, "key"), "topics")
+    coords = MF.manifold_map(topics, k=2, min_dist=0.05, id_col="key", near=near).drop("key")
+    topics = topics.drop("key")
     labelled = docs.join(topics.select("id", "topic"), "id")
     info = T.topic_info(labelled.select("topic", F.col("review_text").alias("text")))
     T.review_topic_points(docs.withColumnRenamed("id", "review_id"), coords.withColumnRenamed("id", "review_id"), info,

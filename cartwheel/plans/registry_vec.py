@@ -145,6 +145,7 @@ SELECT qid, id, score, CAST(rank AS BIGINT) AS rank FROM r WHERE rank <= 5""")
 def q_search_batch(spark, sf):
     """The reference's eight query texts against the hash-embedded documents."""
     docs = VX.hash_embed(V.table(spark, sf, "documents").select(F.col("doc_id").alias("id"), "text"), dim=64, double=True)
+    docs = written(docs, "embedded")  # the search counts its rows before it joins them: embedded once
     hits = VX.knn_exact(VX.query_frame(spark, VX.SEARCH_QUERIES, dim=64, double=True), docs, k=5, digits=D6)
     return hits.withColumn("rank", F.col("rank").cast("bigint"))
 
