@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cartwheel.functions.scalars import null_tokens
+from cartwheel.sources.csv_records import csv_records, parse_records
 
 # Files that are not per-category data (fixed values of the reference layout).
 SKIP_FILES = {"Amazon-Products.csv", "Stores.csv"}
@@ -24,7 +25,6 @@ CSV_OPTIONS = {"header": "true", "inferSchema": "false", "mode": "PERMISSIVE", "
 
 
 def _options(multi_line: bool) -> dict[str, str]:
-    """``multi_line`` reads quoted line breaks, at the price of one task per file; without it files are split."""
     return CSV_OPTIONS | {"multiLine": str(multi_line).lower()}
 
 
@@ -52,7 +52,11 @@ def header_of(spark: SparkSession, path: str, multi_line: bool = True) -> tuple[
 
 
 def _scan(spark: SparkSession, paths: list[str], multi_line: bool) -> DataFrame:
-    df = spark.read.options(**_options(multi_line)).csv(paths)
+    """``multi_line`` cuts records at line breaks outside quotes (``csv_records``); without it every line is a record."""
+    if multi_line:
+        columns = spark.read.options(**_options(True)).csv(paths[0]).columns
+        return parse_records(csv_records(spark, paths), columns)
+    df = spark.read.options(**_options(False)).csv(paths)
     return df.select(*[F.col(f"`{c}`") for c in df.columns], F.col("_metadata.file_path").alias("_file"))
 
 
@@ -88,7 +92,7 @@ def read_combined_csv(spark: SparkSession, path: str, multi_line: bool = True) -
 def read_products(spark: SparkSession, folder: str, skip: set[str] | None = None, multi_line: bool = True) -> DataFrame:
     """S1 with the S2 fallback: category files if any, else the combined file, else an error.
 
-    Pass ``multi_line=False`` for folders known to have no line breaks inside fields: their files are then split.
+    Pass ``multi_line=False`` for folders known to have no line breaks inside fields: that saves a shuffle of the text.
     """
     skip = SKIP_FILES if skip is None else skip
     entries = list_paths(spark, folder)
