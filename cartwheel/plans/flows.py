@@ -7,6 +7,7 @@ once under the checkpoint folder and every panel reads it; a lost executor costs
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,18 +28,20 @@ from cartwheel.sources import parquet as P
 # ---- X2: structured flow -------------------------------------------------------
 
 def structured(spark: SparkSession, products_folder: str, out_folder: str | None = None,
-               tiebreak: list[str] | None = None, multi_line: bool = True) -> dict[str, DataFrame]:
-    """S1 → U1 → F1 → {A1, W1, C5 → T2, A3, A4, A17, A18} → S6."""
+               tiebreak: list[str] | None = None, multi_line: bool = True, digits: int | None = None) -> dict[str, DataFrame]:
+    """S1 → U1 → F1 → {A1, W1, C5 → T2, A3, A4, A17, A18} → S6; ``digits`` replaces the panels' own rounding."""
     products = written(C.clean_products(CSV.read_products(spark, products_folder, multi_line=multi_line)), "products")
     tb = tiebreak or ["name", "actual_price", "discount_price"]
     rated = products.where(C.rated()).withColumn("wilson_score", S.wilson_center("ratings", "no_of_ratings"))
+    shown = {} if digits is None else {"digits": digits}
+    stats = {} if digits is None else {"digits": {k: digits for k in A.CATEGORY_STATS_DIGITS}, "median_digits": digits}
     panels = {
-        "category_stats": A.category_stats(products),
+        "category_stats": A.category_stats(products, **stats),
         "top_deals": R.top_deals(products, 5, tiebreak=tb),
         "top_rated": R.top_rated(rated, 10, 100, tiebreak=tb),
-        "avg_discount": A.avg_discount_by_category(products),
+        "avg_discount": A.avg_discount_by_category(products, **shown),
         "subcategory_top": A.subcategory_top(products),
-        "price_histogram": H.price_histogram(products),
+        "price_histogram": H.price_histogram(products, **shown),
         "rating_histogram": H.rating_histogram(products),
     }
     if out_folder:
@@ -50,12 +53,12 @@ def structured(spark: SparkSession, products_folder: str, out_folder: str | None
 # ---- X5: SQL flow ----------------------------------------------------------------
 
 def sql_flow(spark: SparkSession, products: DataFrame, folder: str, table: str,
-             tiebreak: list[str] | None = None) -> dict[str, DataFrame]:
+             tiebreak: list[str] | None = None, digits: int = 2) -> dict[str, DataFrame]:
     """S6 → S8 → {A2, W2} through ``spark.sql``."""
     P.write_products(products, folder)
     Q.register_table(spark, table, folder, ddl=None)
     return {"products": Q.sql(spark, f"SELECT * FROM {table}"),
-            "category_stats_sql": Q.category_stats_sql(spark, table),
+            "category_stats_sql": Q.category_stats_sql(spark, table, digits=digits),
             "top_deals_sql": Q.top_deals_sql(spark, table, tiebreak=tiebreak)}
 
 
@@ -82,9 +85,11 @@ def default_categories(products: DataFrame, reviews: DataFrame, n: int = 3) -> t
 
 
 def dashboard(products: DataFrame, reviews: DataFrame, params: DashboardParams,
-              review_key: str = "review_id") -> dict[str, DataFrame]:
+              review_key: str = "review_id", digits: int | None = None) -> dict[str, DataFrame]:
     """S5 → F8/F9 → J4 → {A15, A13, A6, A14, E1, A7, A12, A10/A11} with one parameter set.
 
+    ``digits`` replaces the panels' own rounding.
+
     ``products`` and ``reviews`` are conformed dashboard frames (see
     ``sources.parquet``); reviews carry ``sentiment`` and ``review_month``.
     """
@@ -107,20 +112,34 @@ def dashboard(products: DataFrame, reviews: DataFrame, params: DashboardParams,
     else:
         topics_reviews, viz_products = viz_reviews, prods
     points = A.category_points(viz_products, topics_reviews)
+    topic_digits = {} if digits is None else {"digits": (digits, digits, digits)}
     return {
-        "kpis": A.kpis(prods, revs),
-        "review_volume": A.review_volume(products, viz_reviews, cats, universe),
-        "sentiment_timeline": A.sentiment_timeline(topics_reviews),
-        "discount_timeline": A.discount_timeline(viz_products, topics_reviews),
+        "kpis": A.kpis(prods, revs, digits=digits),
+        "review_volume": A.review_volume(products, viz_reviews, cats, universe, digits=digits),
+        "sentiment_timeline": A.sentiment_timeline(topics_reviews, digits=digits),
+        "discount_timeline": A.discount_timeline(viz_products, topics_reviews, digits=digits),
         "search": SR.keyword_search(revs, " ".join(params.review_query), None, cats, params.sentiments,
                                     params.min_rating, params.min_similarity, tiebreak=[review_key]),
-        "topic_summary": A.topic_summary(topics_reviews, sentiment="sentiment"),
+        "topic_summary": A.topic_summary(topics_reviews, sentiment="sentiment", **topic_digits),
         "product_families": A.product_families(prods, sort_mode=params.sort_mode),
-        "correlation": A.discount_sentiment_correlation(points),
-        "trend": A.linear_trend(points),
+        "correlation": A.discount_sentiment_correlation(points, digits=digits),
+        "trend": A.linear_trend(points, digits=digits),
     }
 
 
+def panel_values(panels: dict[str, DataFrame], shape: dict[str, tuple[list[str], list[str]]], digits: int = 6) -> DataFrame:
+    """The panels' rows in long form (panel, key, measure, value): ``shape`` names each panel's key and measure columns.
+
+    Key columns are joined by ``|`` (null: ``-``); values are doubles rounded to ``digits``, null where the panel's are.
+    """
+    frames = []
+    for name, (keys, measures) in shape.items():
+        key = F.concat_ws("|", *[F.coalesce(F.col(k).cast("string"), F.lit("-")) for k in keys]) if keys else F.lit("")
+        cells = F.array(*[F.struct(F.lit(m).alias("measure"), F.round(F.col(m).cast("double"), digits).alias("value")) for m in measures])
+        frames.append(panels[name].select(F.lit(name).alias("panel"), key.alias("key"), F.inline(cells)))
+    return reduce(DataFrame.unionByName, frames)
+
+
 def panel_counts(panels: dict[str, DataFrame]) -> DataFrame:
     """Union of per-panel row counts (one small aggregate per panel)."""
     frames = [df.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(name).alias("panel"), "rows")

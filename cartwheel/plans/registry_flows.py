@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 
 from pyspark.sql import functions as F
@@ -12,12 +13,13 @@ from cartwheel.operators import vectors as VX
 from cartwheel.plans import fixtures as FX
 from cartwheel.plans import flows as FW
 from cartwheel.plans import views as V
-from cartwheel.plans.registry import (CAT_LIST, DEFAULT_CATEGORIES, FP_SQL, OFFER_TIEBREAK, ORACLE,
-                                      PRODUCT_TERMS, WILSON_SQL, dash_products, dash_reviews, register, with_dash)
+from cartwheel.plans.registry import (CAT_LIST, D6, DASH_REVIEWS_CTE, DEFAULT_CATEGORIES, FP_SQL, OFFER_TIEBREAK, ORACLE,
+                                      PRODUCT_TERMS, WILSON_SQL, dash_products, dash_reviews, register, with_dash, with_products)
 from cartwheel.session import scratch_dir
 from cartwheel.sources import parquet as P
 
 GROUP_A = ", ".join(repr(c) for c in FX.GROUP_A)
+OFFER_WILSON_SQL = WILSON_SQL.replace("rating_count", "no_of_ratings").replace("rating ", "ratings ")
 NBSP = " "
 
 
@@ -58,22 +60,48 @@ def q_clean_prices(spark, sf):
 
 # ---- X1/X2: structured flow ---------------------------------------------------------
 
-def _count_sql(panels: dict[str, str]) -> str:
-    return "\nUNION ALL\n".join(f"SELECT '{name}' AS panel, (SELECT count(*) FROM ({sql}) t) AS rows"
-                                for name, sql in panels.items())
-
-
-STRUCTURED_ORACLE = _count_sql({
-    "category_stats": ORACLE["category_stats"],
-    "top_deals": ORACLE["top_deals"],
-    "top_rated": ORACLE["avg_discount_top20"].split("SELECT source_category, round")[0]
-    + "SELECT * FROM products WHERE no_of_ratings IS NOT NULL AND no_of_ratings > 0 AND ratings IS NOT NULL "
-      "AND no_of_ratings >= 100 LIMIT 10",
-    "avg_discount": ORACLE["avg_discount_top20"],
-    "subcategory_top": ORACLE["subcategory_top20"],
-    "price_histogram": ORACLE["price_histogram"],
-    "rating_histogram": ORACLE["rating_histogram"],
-})
+def _values_sql(panels: dict[str, str], shape: dict[str, tuple[list[str], list[str]]]) -> str:
+    """``flows.panel_values`` in SQL: one SELECT a panel over the panel's own statement."""
+    parts = []
+    for name, (keys, measures) in shape.items():
+        key = "concat_ws('|', " + ", ".join(f"coalesce(CAST({k} AS VARCHAR), '-')" for k in keys) + ")" if keys else "''"
+        names = ", ".join(f"'{m}'" for m in measures)
+        values = ", ".join(f"round(CAST({m} AS DOUBLE), 6)" for m in measures)
+        parts.append(f"SELECT '{name}' AS panel, {key} AS key, unnest([{names}]) AS measure, unnest([{values}]) AS value FROM ({panels[name]}) t")
+    return "\nUNION ALL\n".join(parts)
+
+
+STATS = ["product_count", "price_min", "price_max", "price_mean", "price_median", "avg_discount_pct", "avg_rating", "total_ratings"]
+# Rows that tie in every column of the flow's order may differ in the others: those two panels show what the order decides.
+STRUCTURED_SHAPE = {
+    "category_stats": (["sub_category"], STATS),
+    "top_deals": (["source_category", "name"], ["actual_price", "discount_price", "discount_pct"]),
+    "top_rated": (["name"], ["discount_price", "wilson_score"]),
+    "avg_discount": (["source_category"], ["avg_disc"]),
+    "subcategory_top": (["label", "source_category", "sub_category"], ["count", "median_price"]),
+    "price_histogram": (["source_category", "bin"], ["lower", "upper", "count"]),
+    "rating_histogram": (["source_category", "bin"], ["count"]),
+}
+# The offers as their CSVs read back: quoted names, and no main category in the layout without one.
+READ_BACK_SQL = f"""SELECT * REPLACE (CASE WHEN l_linenumber = 1 THEN concat(name, ', "special" edition') ELSE name END AS name,
+                        CASE WHEN source_category IN ({GROUP_A}) THEN main_category END AS main_category) FROM ({V.OFFERS_SQL}) raw"""
+
+
+def _read_back(sql: str) -> str:
+    return sql.replace(V.OFFERS_SQL, READ_BACK_SQL)
+
+
+STRUCTURED_ORACLE = _values_sql({
+    "category_stats": _read_back(ORACLE["category_stats"]),
+    "top_deals": _read_back(ORACLE["top_deals"]).replace(", ".join(OFFER_TIEBREAK), "name, actual_price, discount_price"),
+    "top_rated": _read_back(with_products(f"""
+SELECT name, discount_price, {OFFER_WILSON_SQL} AS wilson_score FROM products
+WHERE no_of_ratings >= 100 AND ratings IS NOT NULL ORDER BY wilson_score DESC, name, actual_price, discount_price LIMIT 10""")),
+    "avg_discount": _read_back(ORACLE["avg_discount_top20"]),
+    "subcategory_top": _read_back(ORACLE["subcategory_top20"]),
+    "price_histogram": _read_back(ORACLE["price_histogram"]),
+    "rating_histogram": _read_back(ORACLE["rating_histogram"]),
+}, STRUCTURED_SHAPE)
 
 
 @register("flow_structured", STRUCTURED_ORACLE)
@@ -82,14 +110,14 @@ def q_flow_structured(spark, sf):
     cats = sorted(r[0] for r in offers.select("source_category").distinct().collect())
     folder = scratch_dir(spark, "flow-structured")
     FX.write_category_csvs(offers, f"{folder}/in", cats)
-    panels = FW.structured(spark, f"{folder}/in", f"{folder}/out", multi_line=False)
-    return FW.panel_counts(panels)
+    panels = FW.structured(spark, f"{folder}/in", f"{folder}/out", multi_line=False, digits=D6)
+    return FW.panel_values(panels, STRUCTURED_SHAPE)
 
 
 @register("flow_artifact", V.with_views(f"""
 SELECT md5(concat(name, chr(1), source_category)) AS product_id, name AS title, main_category AS category, sub_category AS subcategory,
        discount_price AS price, actual_price AS list_price, ratings AS rating, no_of_ratings AS rating_count,
-       CASE WHEN no_of_ratings > 0 AND ratings IS NOT NULL THEN {WILSON_SQL.replace('rating_count', 'no_of_ratings').replace('rating ', 'ratings ')} END AS wilson_score
+       CASE WHEN no_of_ratings > 0 AND ratings IS NOT NULL THEN {OFFER_WILSON_SQL} END AS wilson_score
 FROM (SELECT * REPLACE (CASE WHEN l_linenumber = 1 THEN concat(name, ', "special" edition') ELSE name END AS name,
                         CASE WHEN source_category IN ({GROUP_A}) THEN main_category END AS main_category) FROM offers)""", "offers"))
 def q_flow_artifact(spark, sf):
@@ -104,19 +132,27 @@ def q_flow_artifact(spark, sf):
 
 # ---- X5: SQL flow --------------------------------------------------------------------
 
-@register("flow_sql", _count_sql({
-    "products": V.with_views("SELECT * FROM offers", "offers"),
+SQL_SHAPE = {
+    "products": (["l_orderkey", "l_linenumber", "product_id", "l_suppkey", "name", "source_category", "sub_category"],
+                 ["ratings", "no_of_ratings", "discount_price", "actual_price", "discount_pct"]),
+    "category_stats_sql": (["sub_category"], STATS),
+    "top_deals_sql": (["source_category", "name"], ["actual_price", "discount_price", "discount_pct", "ratings"]),
+}
+
+
+@register("flow_sql", _values_sql({
+    "products": with_products("SELECT * FROM products"),
     "category_stats_sql": ORACLE["category_stats_sql"],
     "top_deals_sql": ORACLE["top_deals_sql"],
-}))
+}, SQL_SHAPE))
 def q_flow_sql(spark, sf):
     from cartwheel.plans.registry import products
     folder = scratch_dir(spark, "flow-sql")
     prods = C.keep_existing(products(spark, sf), C.PRODUCT_COLUMNS + ["l_orderkey", "l_linenumber", "product_id",
                                                                       "l_suppkey"])
     table = f"cw_products_{uuid.uuid4().hex[:10]}"
-    panels = FW.sql_flow(spark, prods, f"{folder}/products", table, tiebreak=OFFER_TIEBREAK)
-    return FW.panel_counts(panels)
+    panels = FW.sql_flow(spark, prods, f"{folder}/products", table, tiebreak=OFFER_TIEBREAK, digits=D6)
+    return FW.panel_values(panels, SQL_SHAPE)
 
 
 # ---- X4: dashboard flow -----------------------------------------------------------------
@@ -124,48 +160,60 @@ def q_flow_sql(spark, sf):
 DASH_PARAMS = dict(categories=DEFAULT_CATEGORIES, product_query=PRODUCT_TERMS, review_query=["topic_1", "topic_3"],
                    min_rating=3.5, min_discount=10.0, price_range=(0.0, 1500.0), min_similarity=0.45)
 TOPICS = "'topic_1', 'topic_3'"
-DASH_ORACLE = with_dash(f"""
-, fp AS ({FP_SQL}),
+DASH_SHAPE = {
+    "kpis": ([], ["products", "reviews", "topics", "avg_rating", "avg_sentiment"]),
+    "review_volume": (["month", '"group"'], ["volume"]),
+    "sentiment_timeline": (["review_month", "category"], ["avg_sentiment", "reviews"]),
+    "discount_timeline": (["month", "category"], ["avg_discount", "n"]),
+    "search": (["review_id", "category", "topic_label", "sentiment"], ["rating", "similarity", "query_score"]),
+    "topic_summary": (["topic_label"], ["reviews", "avg_rating", "avg_sentiment", "positive_share"]),
+    "product_families": (["family", "category", "short_title"], ["rating_count"]),
+    "correlation": ([], ["n_points", "correlation"]),
+    "trend": (["point"], ["x", "y", "slope", "intercept"]),
+}
+
+
+def _dash_panel(key: str, products: str, reviews: str) -> str:
+    """The oracle of a single operator over the flow's filtered products and reviews."""
+    body = ORACLE[key].split(DASH_REVIEWS_CTE, 1)[1].strip()
+    body = f"WITH {body[1:]}" if body.startswith(",") else body
+    for name, filtered in (("product_dim", products), ("reviews_v", reviews), ("dr", reviews)):
+        body = re.sub(rf"\b(FROM|JOIN) {name}\b", rf"\1 {filtered}", body)
+    return body
+
+
+_SEARCH_SQL = f"""
+SELECT rv.*, (CASE WHEN contains(lower(coalesce(d.text, 'None')), 'topic_1') THEN 1.0 ELSE 0.0 END
+              + CASE WHEN contains(lower(coalesce(rv.topic_label, 'None')), 'topic_1') THEN 1.5 ELSE 0.0 END
+              + CASE WHEN contains(lower(coalesce(d.text, 'None')), 'topic_3') THEN 1.0 ELSE 0.0 END
+              + CASE WHEN contains(lower(coalesce(rv.topic_label, 'None')), 'topic_3') THEN 1.5 ELSE 0.0 END)::DOUBLE
+             + coalesce(rv.similarity, 0) AS query_score
+FROM rv LEFT JOIN documents d ON rv.doc_id = d.doc_id
+WHERE coalesce(rv.rating, 0) >= 3.5 AND coalesce(rv.similarity, 0) >= 0.45"""
+DASH_ORACLE = with_dash(f""", fp AS ({FP_SQL}),
 rv AS (SELECT * FROM dr WHERE category IN ({CAT_LIST})),
 vr AS (SELECT * FROM rv WHERE product_id IN (SELECT product_id FROM fp)),
 tr AS (SELECT * FROM vr WHERE topic_label IN ({TOPICS})),
-vp AS (SELECT * FROM fp WHERE product_id IN (SELECT product_id FROM tr)),
-vol AS (SELECT DISTINCT CAST(date_trunc('month', r.review_ts) AS DATE) AS m, p.subcategory
-        FROM vr r LEFT JOIN dp p ON r.product_id = p.product_id
-        WHERE r.review_ts IS NOT NULL AND p.rating_count IS NOT NULL AND p.subcategory IS NOT NULL
-          AND p.category IN ({CAT_LIST})),
-st AS (SELECT DISTINCT CAST(date_trunc('month', review_ts) AS DATE), category FROM tr WHERE review_ts IS NOT NULL),
-dt AS (SELECT DISTINCT CAST(date_trunc('month', r.review_ts) AS DATE), r.category FROM tr r
-       LEFT JOIN vp p ON r.product_id = p.product_id WHERE r.review_ts IS NOT NULL AND p.discount_pct IS NOT NULL),
-se AS (SELECT * FROM rv WHERE coalesce(rating, 0) >= 3.5 AND coalesce(similarity, 0) >= 0.45),
-ts AS (SELECT DISTINCT topic_label FROM tr),
-fam AS (SELECT DISTINCT array_to_string(list_slice(string_split_regex(
-          regexp_replace(trim(title), '(^|\\s+)\\d+(\\s+\\d+)*$', ''), '\\s+'), 1, 3), ' ') AS family
-        FROM fp WHERE title IS NOT NULL AND rating_count IS NOT NULL),
-pts AS (SELECT p.category FROM (SELECT category, avg(discount_pct) AS x FROM vp GROUP BY 1) p
-        JOIN (SELECT category, avg(sentiment_score) AS y FROM tr GROUP BY 1) r ON p.category = r.category
-        WHERE x IS NOT NULL AND y IS NOT NULL),
-ptx AS (SELECT p.category, p.x FROM (SELECT category, avg(discount_pct) AS x FROM vp GROUP BY 1) p
-        JOIN (SELECT category, avg(sentiment_score) AS y FROM tr GROUP BY 1) r ON p.category = r.category
-        WHERE x IS NOT NULL AND y IS NOT NULL)
-SELECT 'kpis' AS panel, 1 AS rows
-UNION ALL SELECT 'review_volume', (SELECT count(*) FROM vol)
-UNION ALL SELECT 'sentiment_timeline', (SELECT count(*) FROM st)
-UNION ALL SELECT 'discount_timeline', (SELECT count(*) FROM dt)
-UNION ALL SELECT 'search', (SELECT count(*) FROM se)
-UNION ALL SELECT 'topic_summary', (SELECT count(*) FROM ts)
-UNION ALL SELECT 'product_families', (SELECT least(count(*), 20) FROM fam WHERE trim(family) <> '')
-UNION ALL SELECT 'correlation', 1
-UNION ALL SELECT 'trend', (SELECT CASE WHEN count(*) >= 2 AND var_pop(x) > 0 THEN 50 ELSE 0 END FROM ptx)
-""").replace("\n, fp AS", ", fp AS")
+vp AS (SELECT * FROM fp WHERE product_id IN (SELECT product_id FROM tr))
+""" + _values_sql({
+    "kpis": _dash_panel("kpis", "fp", "rv"),
+    "review_volume": _dash_panel("review_volume_subcategory", "dp", "vr"),
+    "sentiment_timeline": _dash_panel("sentiment_timeline", "fp", "tr"),
+    "discount_timeline": _dash_panel("discount_timeline", "vp", "tr"),
+    "search": _SEARCH_SQL,
+    "topic_summary": _dash_panel("topic_summary", "fp", "tr"),
+    "product_families": _dash_panel("product_families", "fp", "rv"),
+    "correlation": _dash_panel("category_correlation", "vp", "tr"),
+    "trend": _dash_panel("category_trend", "vp", "tr"),
+}, DASH_SHAPE)).replace("\n, fp AS", ", fp AS")
 
 
 @register("flow_dashboard", DASH_ORACLE)
 def q_flow_dashboard(spark, sf):
     docs = V.table(spark, sf, "documents").select("doc_id", F.col("text").alias("review_text"))
     reviews = dash_reviews(spark, sf).join(docs, "doc_id", "left")
-    panels = FW.dashboard(dash_products(spark, sf), reviews, FW.DashboardParams(**DASH_PARAMS))
-    return FW.panel_counts(panels)
+    panels = FW.dashboard(dash_products(spark, sf), reviews, FW.DashboardParams(**DASH_PARAMS), digits=D6)
+    return FW.panel_values(panels, {name: ([k.strip('"') for k in keys], measures) for name, (keys, measures) in DASH_SHAPE.items()})
 
 
 # ---- X3: review flow ----------------------------------------------------------------------
