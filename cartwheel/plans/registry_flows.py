@@ -14,7 +14,7 @@ from cartwheel.plans import fixtures as FX
 from cartwheel.plans import flows as FW
 from cartwheel.plans import views as V
 from cartwheel.plans.registry import (CAT_LIST, D6, DASH_REVIEWS_CTE, DEFAULT_CATEGORIES, FP_SQL, OFFER_TIEBREAK, ORACLE,
-                                      PRODUCT_TERMS, WILSON_SQL, dash_products, dash_reviews, register, with_dash, with_products)
+                                      PRODUCT_TERMS, SENT_SQL, WILSON_SQL, dash_products, dash_reviews, register, with_dash, with_products)
 from cartwheel.session import scratch_dir
 from cartwheel.sources import parquet as P
 
@@ -222,26 +222,39 @@ def q_flow_dashboard(spark, sf):
 FLOW_CATEGORY_QUERIES = [("en", "ththe ing of the"), ("de", "schung der die"), ("nowhere", "of the")]
 
 
+REVIEWS_SHAPE = {
+    "reviews": (["id", "category"], ["rating", "helpful_vote", "text_len"]),
+    "monthly": (["category", "dt"], ["avg_sentiment", "review_count"]),
+    "review_points": (["review_id", "category", "sentiment"], ["rating", "sentiment_score", "placed"]),
+}
+REVIEWS_COUNTED = ["vectors", "search", "category_search", "topics", "document_map"]
+
+
 def _reviews_flow_oracle() -> str:
-    asked = ", ".join(f"('{c}')" for c, _ in FLOW_CATEGORY_QUERIES)
     from cartwheel.plans.registry_io import _jsonl_expected
-    kept = _jsonl_expected()
-    body = kept[kept.index("WITH ") + 5:]
-    ctes, final = body.rsplit("SELECT category, CAST(ordinal", 1)
-    kept_sql = "SELECT category, CAST(ordinal" + final
-    n = f"(SELECT count(*) FROM ({kept_sql}) k)"
-    months = (f"(SELECT count(*) FROM (SELECT DISTINCT category, date_trunc('month', timestamp) FROM ({kept_sql}) k) m)")
-    return (f"WITH {ctes.rstrip().rstrip(',')}\n"
-            f"SELECT 'reviews' AS panel, {n} AS rows UNION ALL SELECT 'monthly', {months} "
-            f"UNION ALL SELECT 'vectors', {n} UNION ALL SELECT 'search', {len(VX.SEARCH_QUERIES)} * least(5, {n}) "
-            f"UNION ALL SELECT 'category_search', (SELECT count(*) * least(5, {n}) FROM (VALUES {asked}) v(c) "
-            f"WHERE c IN (SELECT category FROM ({kept_sql}) k)) "
-            f"UNION ALL SELECT 'topics', {n} UNION ALL SELECT 'review_points', {n} UNION ALL SELECT 'document_map', {n}")
+    asked = ", ".join(f"'{c}'" for c, _ in FLOW_CATEGORY_QUERIES)
+    score = "least(greatest((rating - CAST(3 AS DOUBLE)) / CAST(2 AS DOUBLE), CAST(-1 AS DOUBLE)), CAST(1 AS DOUBLE))"
+    panels = {
+        "reviews": "SELECT * FROM kept",
+        "monthly": f"""SELECT category, CAST(date_trunc('month', timestamp) AS DATE) AS dt, round(avg({score}), 3) AS avg_sentiment,
+                              count(rating) AS review_count FROM kept GROUP BY 1, 2""",
+        "review_points": f"SELECT *, {SENT_SQL} AS sentiment FROM (SELECT id AS review_id, category, rating, round({score}, 4) AS sentiment_score, 1 AS placed FROM kept) r",
+    }
+    n = "(SELECT count(*) FROM kept)"
+    rows = {"vectors": n, "search": f"{len(VX.SEARCH_QUERIES)} * least(5, {n})", "topics": n, "document_map": n,
+            "category_search": f"(SELECT sum(least(5, n)) FROM (SELECT count(*) AS n FROM kept WHERE category IN ({asked}) GROUP BY category) c)"}
+    counts = "".join(f"\nUNION ALL SELECT '{name}', '', 'rows', CAST({rows[name]} AS DOUBLE)" for name in REVIEWS_COUNTED)
+    return f"WITH kept AS ({_jsonl_expected()})\n" + _values_sql(panels, REVIEWS_SHAPE) + counts
 
 
 @register("flow_reviews", _reviews_flow_oracle())
 def q_flow_reviews(spark, sf):
+    """The reviews, their months and their dashboard rows by value; vectors, hits and topics (their numbers are the fit's own) by rows."""
     docs = V.table(spark, sf, "documents")
     folder = scratch_dir(spark, "flow-reviews")
     paths = FX.write_review_files(docs, f"{folder}/in")
-    return FW.panel_counts(FW.reviews_flow(spark, paths, f"{folder}/out", category_queries=FLOW_CATEGORY_QUERIES))
+    panels = FW.reviews_flow(spark, paths, f"{folder}/out", category_queries=FLOW_CATEGORY_QUERIES)
+    placed = (F.col("x").isNotNull() & F.col("y").isNotNull() & F.col("topic_label").isNotNull()).cast("int")
+    values = FW.panel_values(panels | {"review_points": panels["review_points"].withColumn("placed", placed)}, REVIEWS_SHAPE)
+    counts = FW.panel_counts({name: panels[name] for name in REVIEWS_COUNTED})
+    return values.unionByName(counts.select("panel", F.lit("").alias("key"), F.lit("rows").alias("measure"), F.col("rows").cast("double").alias("value")))
