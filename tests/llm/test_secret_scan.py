@@ -1,8 +1,11 @@
 import hashlib
+import math
 import random
 import re
 import string
 
+from pyspark.sql import functions as F
+
 from cartwheel.llm import secret_scan as S
 
 SF = "/root/testdata/sf0.01"
@@ -60,6 +63,13 @@ def test_battery_tells_random_tokens_from_text(spark):
     assert texts[first][int(a):int(b)] == secrets[first]
 
 
+def test_p_values_hold_in_the_tail(spark):
+    zs = [z / 4 for z in range(-104, 33)]
+    rows = spark.createDataFrame([(z,) for z in zs], "z double").select("z", S.normal_cdf(F.col("z")).alias("p")).collect()
+    for r in rows:
+        assert abs(r.p / (0.5 * math.erfc(-r.z / math.sqrt(2))) - 1) < 2e-7, r.z
+
+
 def test_edges(spark):
     long = "word " * 60_000 + "password=abcdef12"
     docs = spark.createDataFrame([(1, None, "s", 2), (2, "", "s", 2), (3, "token=abcdefg", "s", 2), (3, "token=abcdefg", "s", 2),
