@@ -26,22 +26,32 @@ MAX_RULES = 1000  # rules become one expression; larger lists belong in a table
 RULES = [("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"),
          ("allow", "com", "/fr/"), ("block", "com", "/de/")]
 
-# The small labelled URL table: words of blocked and of welcome hosts, put into URLs by ``labelled_urls``.
-BLOCKED = ["adult-x", "xxx-videos", "porn-tube", "casino-win", "big-casino", "free-bets", "bet-slots", "poker-win",
-           "cheap-pills", "pills-online", "viagra-shop", "spam-farm", "link-farm", "ads-track", "track-pixel", "ad-server"]
-WELCOME = ["news-daily", "library", "garden", "weather", "recipes", "history", "science-notes", "city-guide", "museum",
-           "music-review", "travel", "open-data", "school", "health-info", "thther", "tionsh", "ononing", "reandthe",
-           "theren", "ththly", "eresat", "handin", "wiki", "blog-home"]
+# The small labelled URL table: general words of blocked and of welcome hosts, which ``labelled_urls`` puts into host names
+# with companions that occur in both classes. They come from no table the filter judges; tests keep them apart from its hosts.
+BLOCKED = ["adult", "xxx", "porn", "casino", "slots", "bets", "betting", "poker", "pills", "viagra", "spam", "ads", "popup", "malware",
+           "phishing", "escort"]
+WELCOME = ["news", "library", "garden", "weather", "recipes", "history", "science", "city", "museum", "music", "travel", "data",
+           "school", "health", "wiki", "magazine", "theatre", "engineering", "mother", "reading", "handbook", "forest", "orchestra",
+           "kitchen", "nation", "university", "questions", "weekend", "interest", "northern", "zeitung", "buecher", "schule", "journal",
+           "recettes", "musique", "noticias", "cocina", "lighthouse", "standards", "training", "building", "cooking", "nothing", "morning", "together", "another",
+           "children", "thousand", "present", "station", "computer", "mountain", "american", "evening", "teacher", "straight", "different"]
+COMPANIONS = ["online", "club", "world", "best", "daily", "guide"]
+
+
+def host_names(word: str, i: int) -> list[str]:
+    """The word alone, and before or after each of the companions."""
+    turned = COMPANIONS[i % len(COMPANIONS):] + COMPANIONS[:i % len(COMPANIONS)]
+    return [word] + [f"{word}-{c}" if k % 2 else f"{c}-{word}" for k, c in enumerate(turned)]
 
 
 def labelled_urls(spark: SparkSession) -> DataFrame:
-    """(url, label) rows: each listed name under every prefix and top-level domain with an ordinary path."""
+    """(url, label) rows: seven host names of each listed word, with varying prefixes, top-level domains and ordinary paths."""
     prefixes, tlds, paths = ["", "www.", "blog.", "m."], ["com", "net"], ["/en/12", "/fr/7.html", "/de/345/", "/es/9"]
     rows, i = [], 0
-    for label, names in ((1.0, BLOCKED), (0.0, WELCOME)):
-        for name in names:
-            for k, prefix in enumerate(prefixes):
-                rows.append((f"https://{prefix}{name}.example.{tlds[(i + k) % 2]}{paths[(i + k) % 4]}", label))
+    for label, words in ((1.0, BLOCKED), (0.0, WELCOME)):
+        for word in words:
+            for k, name in enumerate(host_names(word, i)):
+                rows.append((f"https://{prefixes[(i + k) % 4]}{name}.example.{tlds[(i + k) % 2]}{paths[(i // 2 + k) % 4]}", label))
             i += 1
     return spark.createDataFrame(rows, "url string, label double")
 
