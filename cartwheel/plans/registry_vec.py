@@ -5,11 +5,13 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from cartwheel.operators import components as CC
+from cartwheel.operators import encoder as EN
 from cartwheel.operators import hierarchy as HI
 from cartwheel.operators import manifold as MF
 from cartwheel.operators import quantized as QZ
 from cartwheel.operators import ranking as R
 from cartwheel.operators import search as SR
+from cartwheel.operators import substrings as SU
 from cartwheel.operators import topics as T
 from cartwheel.operators import vectors as VX
 from cartwheel.functions import scalars as S
@@ -17,6 +19,7 @@ from cartwheel.plans import views as V
 from cartwheel.plans.registry import CAT_LIST, D6, DEFAULT_CATEGORIES, dash_reviews, register, with_dash
 from cartwheel.session import scratch_dir, written
 from cartwheel.sources import parquet as P
+from cartwheel.sources import vector_store as VS
 
 EV_SQL = """ev AS (SELECT vec_id, label, CAST(x AS DOUBLE) AS x, i FROM
         (SELECT vec_id, label, unnest(embedding) AS x, generate_subscripts(embedding, 1) AS i FROM embeddings))"""
@@ -160,6 +163,54 @@ def q_hash_embed(spark, sf):
     return e.where("x <> 0").select("doc_id", F.col("i").cast("bigint").alias("i"), F.round("x", D6).alias("x"))
 
 
+ENCODER_DIM = 16
+
+
+@register("encoder_embed", f"""
+WITH tok AS (SELECT doc_id AS doc, unnest(regexp_extract_all(lower(text), '[\\p{{L}}\\p{{N}}_]{{2,}}')) AS term FROM documents),
+tf AS (SELECT doc, term, CAST(count(*) AS DOUBLE) AS tf FROM tok GROUP BY 1, 2),
+kept AS (SELECT term, ln((1 + (SELECT count(*) FROM documents)) / CAST(count(*) + 1 AS DOUBLE)) + 1 AS idf
+         FROM tf GROUP BY term HAVING count(*) >= {EN.MIN_DOCS} ORDER BY count(*) DESC, term LIMIT {EN.MAX_TERMS}),
+raw AS (SELECT doc, term, tf, idf, tf * idf AS w FROM tf JOIN kept USING (term)),
+len AS (SELECT doc, sqrt(sum(w * w)) AS n FROM raw GROUP BY doc),
+a AS (SELECT doc, term, raw.w / n AS w FROM raw JOIN len USING (doc)),
+r AS (SELECT term, i, CASE WHEN substr(md5(concat(CAST(i AS VARCHAR), ':', term)), 1, 1) < '8' THEN 1.0 ELSE -1.0 END::DOUBLE AS x
+      FROM kept, range({ENCODER_DIM}) g(i)),
+y AS (SELECT doc, i, sum(w * x) AS x FROM a JOIN r USING (term) GROUP BY 1, 2),
+f AS (SELECT term, i, sum(w * x) AS x FROM a JOIN y USING (doc) GROUP BY 1, 2),
+e AS (SELECT doc, i, sum(raw.w * f.x) AS x FROM raw JOIN f USING (term) GROUP BY 1, 2),
+nrm AS (SELECT doc, sqrt(sum(x * x)) AS n FROM e GROUP BY doc)
+SELECT doc AS doc_id, i, round(x / n, {D6}) + 0.0::DOUBLE AS x FROM e JOIN nrm USING (doc) WHERE n > 0""")
+def q_encoder_embed(spark, sf):
+    """E2 through a model fitted on the whole table (the plain range, which SQL can follow), in long form."""
+    d = V.table(spark, sf, "documents").select("doc_id", "text")
+    path = f"{scratch_dir(spark, 'encoder')}/model"
+    EN.fit(d, path, key="doc_id", dim=ENCODER_DIM, orthonormal=False)
+    e = VX.hash_embed(d, "text", encoder=EN.load(spark, path, ENCODER_DIM, double=True))
+    e = e.where(F.exists("embedding", lambda x: x != 0)).select("doc_id", F.posexplode("embedding").alias("i", "x"))
+    return e.select("doc_id", F.col("i").cast("bigint").alias("i"), (F.round("x", D6) + F.lit(0.0)).alias("x"))
+
+
+@register("vector_merge", """
+WITH up AS (SELECT CASE WHEN s = 3 THEN vec_id + 1000000 ELSE vec_id END AS id, CASE WHEN vec_id % 50 = 0 THEN NULL ELSE embedding END AS embedding,
+                   label + 100 * s AS label, s AS seq FROM embeddings, (VALUES (1), (2), (3)) v(s) WHERE vec_id % 9 = 4 OR vec_id % 100 = 0),
+ok AS (SELECT id, max_by(embedding, seq) AS embedding, max_by(label, seq) AS label FROM up WHERE embedding IS NOT NULL GROUP BY id),
+now AS (SELECT id, label, embedding FROM ok UNION ALL SELECT vec_id, label, embedding FROM embeddings WHERE vec_id NOT IN (SELECT id FROM ok))
+SELECT id, label, round(list_sum(CAST(embedding AS DOUBLE[])), 4) + 0.0::DOUBLE AS total FROM now""")
+def q_vector_merge(spark, sf):
+    """S11 into the bucketed store: a batch of changed and new keys, some without vector, and the rows as read back."""
+    c = corpus(spark, sf)
+    folder = f"{scratch_dir(spark, 'store')}/vectors"
+    VS.write_store(c, folder)
+    up = (c.where("id % 9 = 4 OR id % 100 = 0").withColumn("seq", F.explode(F.array(*[F.lit(i) for i in (3, 1, 2)])))
+          .select(F.when(F.col("seq") == 3, F.col("id") + 1000000).otherwise(F.col("id")).alias("id"),
+                  F.when(F.col("id") % 50 == 0, F.lit(None)).otherwise(F.col("embedding")).alias("embedding"),
+                  (F.col("label") + 100 * F.col("seq")).alias("label"), "seq"))
+    VS.merge_store(spark, folder, up, sequence="seq")
+    total = F.aggregate("embedding", F.lit(0.0), lambda s, x: s + x.cast("double"))
+    return VS.read_store(spark, folder).select("id", "label", (F.round(total, 4) + F.lit(0.0)).alias("total"))
+
+
 @register("vector_upsert", """
 WITH up AS (SELECT vec_id AS id, CASE WHEN vec_id % 50 = 0 THEN NULL ELSE embedding END AS embedding, label + 100 * s AS label, s AS seq
             FROM embeddings, (VALUES (1), (2), (3)) v(s) WHERE label % 3 = 0 AND (s < 3 OR vec_id % 2 = 0)),
@@ -464,7 +515,7 @@ def q_stable_sample(spark, sf):
 SEARCH_QUERY = "topic_1 the"
 
 
-@register("keyword_search", with_dash(f"""
+KEYWORD_SQL = with_dash(f"""
 , s AS (SELECT dr.review_id, dr.category, dr.rating, dr.sentiment, dr.topic_label, dr.similarity,
              (CASE WHEN contains(lower(coalesce(d.text, 'None')), 'topic_1') THEN 1.0 ELSE 0.0 END
               + CASE WHEN contains(lower(coalesce(dr.topic_label, 'None')), 'topic_1') THEN 1.5 ELSE 0.0 END
@@ -475,7 +526,10 @@ SEARCH_QUERY = "topic_1 the"
       WHERE dr.category IN ({CAT_LIST}) AND dr.sentiment IN ('positive', 'neutral', 'negative')
         AND coalesce(dr.rating, 0) >= 3.5 AND coalesce(dr.similarity, 0) >= 0.45)
 SELECT review_id, category, rating, sentiment, topic_label, similarity, round(query_score, {D6}) AS query_score
-FROM s ORDER BY query_score DESC, review_id LIMIT 100""").replace("\n, s AS", ", s AS"))
+FROM s ORDER BY query_score DESC, review_id LIMIT 100""").replace("\n, s AS", ", s AS")
+
+
+@register("keyword_search", KEYWORD_SQL)
 def q_keyword_search(spark, sf):
     docs = V.table(spark, sf, "documents").select("doc_id", F.col("text").alias("review_text"))
     reviews = dash_reviews(spark, sf).join(docs, "doc_id", "left")
@@ -484,3 +538,30 @@ def q_keyword_search(spark, sf):
                             tiebreak=["review_id"])
     return out.select("review_id", "category", "rating", "sentiment", "topic_label", "similarity",
                       F.round("query_score", D6).alias("query_score"))
+
+
+@register("keyword_search_indexed", KEYWORD_SQL)
+def q_keyword_search_indexed(spark, sf):
+    """E1 through the trigram index of the documents: the same rows and scores."""
+    docs = V.table(spark, sf, "documents").select("doc_id", "text")
+    path = scratch_dir(spark, "trigrams")
+    SU.build_index(docs, path, key="doc_id")
+    out = SU.keyword_search_indexed(dash_reviews(spark, sf), docs, path, SEARCH_QUERY, k=100, categories=DEFAULT_CATEGORIES,
+                                    sentiments=["positive", "neutral", "negative"], min_rating=3.5, min_similarity=0.45,
+                                    tiebreak=["review_id"])
+    return out.select("review_id", "category", "rating", "sentiment", "topic_label", "similarity",
+                      F.round("query_score", D6).alias("query_score"))
+
+
+SUBSTRINGS = ["izmo", "ld bo", "l ring"]  # the end of a word, and across two words
+
+
+@register("title_search_indexed", f"""
+SELECT p_partkey AS product_id, p_name AS title FROM part
+WHERE {" OR ".join(f"contains(lower(p_name), '{t}')" for t in SUBSTRINGS)}""")
+def q_title_search_indexed(spark, sf):
+    """F8's title filter through the trigram index of the products."""
+    titles = V.table(spark, sf, "part").select(F.col("p_partkey").alias("product_id"), F.col("p_name").alias("title"))
+    path = scratch_dir(spark, "trigrams")
+    SU.build_index(titles, path, key="product_id", text="title")
+    return SU.containing(titles, path, SUBSTRINGS, key="product_id", text="title")

@@ -52,7 +52,7 @@ def category_stats_sql(spark: SparkSession, table: str = "products", digits: int
         "total_ratings": "sum(no_of_ratings)",
     }
     columns = ", ".join(f"{expr} AS {name}" for name, expr in measures.items())
-    return spark.sql(f"FROM {table} SELECT sub_category, {columns} GROUP BY sub_category HAVING sub_category IS NOT NULL")
+    return spark.sql(f"SELECT sub_category, {columns} FROM {table} WHERE sub_category IS NOT NULL GROUP BY sub_category")
 
 
 def top_deals_sql(spark: SparkSession, table: str = "products", k: int = 5,

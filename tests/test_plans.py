@@ -11,13 +11,13 @@ from tests.conftest import SF_SMALL
 
 PYTHON_NODES = ("BatchEvalPython", "ArrowEvalPython", "MapInPandas", "MapInArrow", "FlatMapGroupsInPandas",
                 "FlatMapGroupsInArrow", "FlatMapCoGroupsInPandas", "FlatMapCoGroupsInArrow")
-# Keys whose plan may run Python: signed hash embedding, and dense linear algebra in bounded Arrow batches
+# Keys whose plan may run Python: signed hash embedding, the fitted encoder, and dense linear algebra in bounded Arrow batches
 # or blocks with NumPy inside tasks — vector scoring (exact/IVF search, cell and topic assignment), the exact cosine-threshold pair
 # blocks (components, DBSCAN), the trees and layouts of vector blocks (HDBSCAN, the non-linear map) and the topic Gram matrix. Everything else stays in the JVM.
 PYTHON_ALLOWED = {"topic_similarity", "threshold_components", "density_topics", "knn_exact", "search_in_category",
                   "knn_ann", "search_batch", "vector_table", "flow_reviews", "kmeans_topics", "topic_map",
                   "document_map", "knn_ann_recall", "search_guarded", "hash_embed", "vector_write",
-                  "hdbscan_topics", "nearest_neighbours", "manifold_map", "knn_pruned", "knn_codes_recall"}
+                  "hdbscan_topics", "nearest_neighbours", "manifold_map", "knn_pruned", "knn_codes_recall", "encoder_embed"}
 # The training-data operators have their own tests (tests/llm).
 KEYS = [k for k in E.queries() if not re.match(r"op\d+_|pipeline", k)]
 
