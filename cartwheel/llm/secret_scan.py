@@ -38,10 +38,27 @@ FDR = 0.01
 # The Chebyshev fit erfc(x) = t exp(-x*x + P(t)), t = 1 / (1 + x/2), x >= 0.
 ERFC_POLYNOMIAL = [-1.26551223, 1.00002368, 0.37409196, 0.09678418, -0.18628806, 0.27886807, -1.13520398, 1.48851587, -0.82215223, 0.17087277]
 BINS_PER_DECADE, MAX_DECADES = 20, 60
+BLOCK = 256  # items whose array grows item by item
 
 SPAN = "struct<start:int,end:int,kind:string>"
 
 
+def in_blocks(items: Column, state: Column, step, made: str) -> Column:
+    """What ``step`` appends to the array ``made`` of ``state``, item by item, in time linear in the items.
+
+    Appending copies the array, so a block of ``BLOCK`` items appends to an array of its own, which then joins the others as one element.
+    """
+    starts = F.sequence(F.lit(1), F.greatest(F.size(items), F.lit(1)), F.lit(BLOCK))
+    empty = F.filter(state[made], lambda _: F.lit(False))
+    start = F.struct(state.alias("state"), F.array(empty).alias("blocks"))
+    both = F.transform(F.array(items), lambda held: F.aggregate(
+        F.transform(starts, lambda at: F.slice(held, at, BLOCK)), start,
+        lambda acc, block: F.aggregate(block, acc["state"], step, lambda s: F.struct(
+            s.withField(made, empty).alias("state"), F.concat(acc["blocks"], F.array(s[made])).alias("blocks"))),
+        lambda acc: F.flatten(acc["blocks"])))
+    return both[0]
+
+
 def located(matches: Column, pieces: Column) -> Column:
     """Start and end (code points) of each match, from the matches and the texts between them."""
     pairs = F.zip_with(F.slice(pieces, 1, F.size(matches)), matches,
@@ -53,7 +70,29 @@ def located(matches: Column, pieces: Column) -> Column:
         span = F.struct(here.alias("start"), (here + x["len"]).alias("end"))
         return F.struct((here + x["len"]).alias("at"), F.concat(acc["out"], F.array(span)).alias("out"))
 
-    return F.aggregate(pairs, start, step, lambda acc: acc["out"])
+    return in_blocks(pairs, start, step, "out")
+
+
+def off_base(token: Column, base: Column) -> Column:
+    """Numbers (from 0) of the tokens no base span overlaps: one walk over both, by start. Tokens do not overlap each other."""
+    events = F.sort_array(F.concat(
+        F.transform(base, lambda b: F.struct(b["start"].alias("start"), F.lit(-1).alias("number"), b["end"].alias("end"))),
+        F.transform(token, lambda c, i: F.struct(c["start"].alias("start"), i.alias("number"), c["end"].alias("end")))))
+    start = F.struct(F.lit(0).alias("reach"), F.lit(0).alias("until"), F.lit(-1).alias("last"), F.array().cast("array<int>").alias("out"))
+
+    def step(acc: Column, x: Column) -> Column:
+        is_base = x["number"] < 0
+        # A token is let go when the next one comes; a base span that starts before its end takes it back.
+        done = F.concat(acc["out"], F.array(acc["last"]))
+        clear = F.when(x["start"] >= acc["reach"], x["number"]).otherwise(-1)
+        taken = F.when(x["start"] < acc["until"], F.lit(-1)).otherwise(acc["last"])
+        return F.struct(F.when(is_base, F.greatest(acc["reach"], x["end"])).otherwise(acc["reach"]).alias("reach"),
+                        F.when(is_base, acc["until"]).otherwise(x["end"]).alias("until"),
+                        F.when(is_base, taken).otherwise(clear).alias("last"),
+                        F.when(is_base, acc["out"]).otherwise(done).alias("out"))
+
+    flush = F.array(F.struct(F.lit(2147483647).alias("start"), F.size(token).alias("number"), F.lit(2147483647).alias("end")))
+    return F.filter(in_blocks(F.concat(events, flush), start, step, "out"), lambda i: i >= 0)
 
 
 def with_spans(df: DataFrame, out: str, pattern: str) -> DataFrame:
@@ -84,39 +123,53 @@ def inferred_encoding(token: Column) -> Column:
             .when(token.rlike("^([a-z0-9]+|[A-Z0-9]+)$"), "base36").otherwise("base64"))
 
 
+def let(value: Column, body) -> Column:
+    """``body`` over a value that is computed once: inside a lambda nothing else keeps a repeated expression from being run again."""
+    return F.transform(F.array(value), body)[0]
+
+
 def battery(token: Column) -> Column:
     """Struct of a token's encoding, length, test scores (z) against ordinary text, distance from uniform, p-value."""
-    encoding = inferred_encoding(token)
-    size = of_encoding(encoding, {k: a for k, (a, _) in ENCODINGS.items()})
-    repeat = of_encoding(encoding, {k: r for k, (_, r) in ENCODINGS.items()})
-    n = F.char_length(token).cast("double")
-    symbols = F.filter(F.split(token, ""), lambda c: c != "")
+    return let(F.struct(token.alias("token"), inferred_encoding(token).alias("encoding"),
+                        F.filter(F.split(token, ""), lambda c: c != "").alias("symbols")),
+               lambda seen: let(_measures(seen), lambda m: let(_scores(m), lambda z: F.struct(
+                   m["encoding"].alias("encoding"), m["n"].cast("int").alias("n"), z["chi_z"].alias("chi_z"), z["runs_z"].alias("runs_z"),
+                   z["serial_z"].alias("serial_z"), z["uniform_z"].alias("uniform_z"),
+                   let((z["chi_z"] + z["runs_z"] + z["serial_z"]) / math.sqrt(3 + 6 * TEST_CORRELATION), normal_cdf).alias("p")))))
+
+
+def _measures(seen: Column) -> Column:
+    """Sums over a token's symbols; no lambda holds an expression over the whole token but the token itself."""
+    token, encoding, symbols = seen["token"], seen["encoding"], seen["symbols"]
     squares = F.aggregate(F.array_distinct(symbols), F.lit(0.0), lambda acc, c: acc + F.pow(
         (F.char_length(token) - F.char_length(F.replace(token, c, F.lit("")))).cast("double"), F.lit(2.0)))
-    chi = size / n * squares - n
-    text_chi = size * (1 + (n - 1) * repeat) - n
-    chi_z = (chi - text_chi) / F.sqrt(2 * (size - 1) + 4 * F.greatest(text_chi - size + 1, F.lit(0.0)))
-    uniform_z = (chi - (size - 1)) / F.sqrt(2 * (size - 1))
-
     classes = F.regexp_replace(F.regexp_replace(F.regexp_replace(token, "[A-Z]", "U"), "[a-z]", "l"), "[0-9]", "d")
     runs = F.char_length(F.regexp_replace(classes, r"(.)\1*", "x"))
-    runs_z = (1 + (n - 1) * TEXT_CHANGES - runs) / F.sqrt(n * TEXT_CHANGES)
-
-    # Sums of the codes, their squares and neighbours' products: no lambda holds an expression over the whole token.
-    codes = F.transform(symbols, lambda c: F.ascii(c).cast("double"))
-    total = F.aggregate(codes, F.lit(0.0), lambda acc, v: acc + v)
+    zero = F.lit(0.0)
+    # Sums of the codes, their squares and neighbours' products, in one walk.
+    start = F.struct(zero.alias("before"), zero.alias("total"), zero.alias("squared"), zero.alias("products"))
+    sums = F.aggregate(symbols, start, lambda acc, c: let(F.ascii(c).cast("double"), lambda v: F.struct(
+        v.alias("before"), (acc["total"] + v).alias("total"), (acc["squared"] + v * v).alias("squared"),
+        (acc["products"] + acc["before"] * v).alias("products"))))
+    ends = F.ascii(F.element_at(symbols, 1)).cast("double") + F.ascii(F.element_at(symbols, -1)).cast("double")
+    return F.struct(encoding.alias("encoding"), F.char_length(token).cast("double").alias("n"), squares.alias("squares"), runs.alias("runs"),
+                    sums.alias("sums"), ends.alias("ends"), of_encoding(encoding, {k: a for k, (a, _) in ENCODINGS.items()}).alias("size"),
+                    of_encoding(encoding, {k: r for k, (_, r) in ENCODINGS.items()}).alias("repeat"))
+
+
+def _scores(m: Column) -> Column:
+    n, size = m["n"], m["size"]
+    chi = size / n * m["squares"] - n
+    text_chi = size * (1 + (n - 1) * m["repeat"]) - n
+    chi_z = (chi - text_chi) / F.sqrt(2 * (size - 1) + 4 * F.greatest(text_chi - size + 1, F.lit(0.0)))
+    uniform_z = (chi - (size - 1)) / F.sqrt(2 * (size - 1))
+    runs_z = (1 + (n - 1) * TEXT_CHANGES - m["runs"]) / F.sqrt(n * TEXT_CHANGES)
+    total = m["sums"]["total"]
     mean = total / n
-    spread = F.aggregate(codes, F.lit(0.0), lambda acc, v: acc + v * v) - total * mean
-    products = F.aggregate(codes, F.struct(F.lit(0.0).alias("before"), F.lit(0.0).alias("sum")),
-                           lambda acc, v: F.struct(v.alias("before"), (acc["sum"] + acc["before"] * v).alias("sum")),
-                           lambda acc: acc["sum"])
-    ends = F.element_at(codes, 1) + F.element_at(codes, -1)
-    serial = (products - mean * (2 * total - ends) + (n - 1) * mean * mean) / F.greatest(spread, F.lit(1e-9))
+    spread = m["sums"]["squared"] - total * mean
+    serial = (m["sums"]["products"] - mean * (2 * total - m["ends"]) + (n - 1) * mean * mean) / F.greatest(spread, F.lit(1e-9))
     serial_z = (F.when(spread > 1e-6, serial).otherwise(1.0) - TEXT_SERIAL) * F.sqrt(n)
-
-    z = (chi_z + runs_z + serial_z) / math.sqrt(3 + 6 * TEST_CORRELATION)
-    return F.struct(encoding.alias("encoding"), n.cast("int").alias("n"), chi_z.alias("chi_z"), runs_z.alias("runs_z"),
-                    serial_z.alias("serial_z"), uniform_z.alias("uniform_z"), normal_cdf(z).alias("p"))
+    return F.struct(chi_z.alias("chi_z"), runs_z.alias("runs_z"), serial_z.alias("serial_z"), uniform_z.alias("uniform_z"))
 
 
 def proposals(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -139,7 +192,8 @@ def proposals(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     df = df.select("doc_id", base.alias("base"), F.filter(F.zip_with("token", "token_text", lambda s, t: F.struct(
         s["start"].alias("start"), s["end"].alias("end"), t.alias("text"))),
         lambda c: c["text"].rlike("[0-9]")).alias("token"))
-    free = F.filter("token", lambda c: ~F.exists("base", lambda b: (b["start"] < c["end"]) & (c["start"] < b["end"])))
+    # The tokens are bound, so that no lambda finds them again for each number.
+    free = F.transform(F.array("token"), lambda held: F.transform(off_base(held, F.col("base")), lambda i: F.get(held, i)))[0]
     return df.select("doc_id", "base", F.transform(free, lambda c: F.struct(
         c["start"].alias("start"), c["end"].alias("end"), battery(c["text"]).alias("test"))).alias("candidates"))
 
@@ -185,7 +239,7 @@ def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     ranks = F.create_map(*[F.lit(x) for i, k in enumerate([*BASE_KINDS, RANDOM_KIND]) for x in (k, i)])
     ranked = F.transform(F.concat("base", added), lambda s: F.struct(
         s["start"].alias("start"), F.element_at(ranks, s["kind"]).alias("rank"), s["end"].alias("end"), s["kind"].alias("kind")))
-    spans = F.transform(F.array_sort(ranked), lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"),
+    spans = F.transform(F.sort_array(ranked), lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"),
                                                                 s["kind"].alias("kind")))
     return found.select("doc_id", spans.alias("spans"))
 

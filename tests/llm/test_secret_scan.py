@@ -3,6 +3,7 @@ import math
 import random
 import re
 import string
+import time
 
 from pyspark.sql import functions as F
 
@@ -87,3 +88,28 @@ def test_very_long_tokens_stay_linear(spark):
     big = ["x1" + "a" * 300_000 + " token=" + "b" * 200_000, "f" * 300_000, "AKIA" + "Z" * 300_000, "password" + " " * 200_000 + "= abcdefgh"]
     rows = S.secret_report(spark.createDataFrame(list(enumerate(big)), "doc_id int, text string")).orderBy("doc_id").collect()
     check(rows, big)
+
+
+def test_many_matches_stay_linear(spark):
+    big = ["token=abcdefgh " * 40_000, "tok1" * 6 + " ", ("0123456789abcdefGHIJ01 " + "secret: zyxwvu9876 ") * 15_000, "f0" * 13 + ("-" + "e1" * 13) * 8_000]
+    docs = spark.createDataFrame(list(enumerate(big)), "doc_id int, text string")
+    began = time.monotonic()
+    check(S.secret_report(docs).orderBy("doc_id").collect(), big)
+    assert time.monotonic() - began < 60
+
+
+def test_tokens_off_the_base_spans(spark):
+    rng = random.Random(11)
+    rows = []
+    for i in range(400):
+        at, tokens = 0, []
+        for _ in range(rng.choice([0, 1, 5, 300])):
+            at += rng.randint(0, 6)
+            tokens.append((at, at := at + rng.randint(1, 5)))
+        base = [(a, a + rng.randint(1, 6)) for a in (rng.randint(0, at + 5) for _ in range(rng.choice([0, 1, 40])))]
+        rows.append((i, tokens, base))
+    kind = "array<struct<start:int,end:int>>"
+    got = spark.createDataFrame(rows, f"id int, token {kind}, base {kind}").select("id", S.off_base(F.col("token"), F.col("base")).alias("free"))
+    for r in got.collect():
+        _, tokens, base = rows[r.id]
+        assert r.free == [j for j, (a, e) in enumerate(tokens) if not any(x < e and a < y for x, y in base)], rows[r.id]
