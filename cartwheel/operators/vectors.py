@@ -45,7 +45,7 @@ CATEGORY_QUERIES = [
 TOKEN_PATTERN = r"[\p{L}\p{N}_]{2,}"
 QUERY_VALUES = 500_000  # vector values of a query block
 CORPUS_VALUES = 4_000_000  # vector values of a corpus block
-SLICE_ROWS = 4096  # corpus rows scored at once
+SLICE_VALUES = 1_000_000  # scores of a block of queries computed at once
 CELL_ROWS = 2000  # corpus rows of an IVF cell, on average
 
 
@@ -130,9 +130,10 @@ def _block_topk(k: int, digits: int | None, schema):
         qm = vector_matrix(queries.column("_qv").combine_chunks())
         cm = vector_matrix(rows.column("_v").combine_chunks())
         keys, ids = np.unique(np.asarray(rows.column("_id").to_pylist()), return_inverse=True)  # codes sort as ids do
+        step = max(1, SLICE_VALUES // len(qm))  # a slice's scores, and the copies made of them, do not grow with the queries
         held = [np.zeros(0, np.int64), np.zeros(0), np.zeros(0, np.int64)]
-        for at in range(0, len(cm), SLICE_ROWS):
-            sim = qm @ cm[at:at + SLICE_ROWS].T
+        for at in range(0, len(cm), step):
+            sim = qm @ cm[at:at + step].T
             if digits is not None:
                 sim = np.round(sim, digits)
             if sim.shape[1] > k:  # everything from the k-th best score up, ties included
