@@ -4,8 +4,11 @@ import tracemalloc
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import functions as F
 
 from cartwheel.operators import vectors as VX
+from cartwheel.plans import fixtures as FX
+from cartwheel.sources import jsonl as J
 
 
 def lists(x):
@@ -33,3 +36,20 @@ def test_scores_of_a_query_block_are_sliced():
         got.setdefault(r["qid"], []).append((-r["score"], r["id"]))
     best = np.sort(-(q @ c.T), axis=1)[:, :3]
     assert all(np.allclose([s for s, _ in sorted(got[i])], best[i]) for i in range(6000))
+
+
+def test_a_language_is_several_files_with_ordinals_running_on(spark, tmp_dir):
+    docs = spark.createDataFrame([(i, f"text {i} " + "word " * 20, "en" if i % 5 else "de") for i in range(400)], "doc_id bigint, text string, lang string")
+    old = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        paths = FX.write_review_files(docs, f"{tmp_dir}/in")
+        parsed = J.parse_lines(J.read_lines(spark, paths))
+        assert parsed.where("category = 'en'").select("file").distinct().count() > 1
+        rows = J.with_ordinals(parsed).select("category", "ordinal", F.col("rec").getItem("text").alias("text")).collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", old)
+    for lang in ("en", "de"):
+        kept = [i for i in range(400) if ("en" if i % 5 else "de") == lang and i % 20 not in (3, 7, 11)]
+        got = sorted((r.ordinal, int(r.text.split()[1])) for r in rows if r.category == lang)
+        assert got == list(enumerate(kept, 1))
