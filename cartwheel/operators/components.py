@@ -26,7 +26,10 @@ from pyspark.sql import functions as F
 from cartwheel.functions import scalars as S
 from cartwheel.session import ensure_checkpointing, written
 
-BLOCK_ROWS = 4096  # rows of a tile
+BLOCK_ROWS = 4096  # rows of a tile, at least
+CELLS = 16  # a row is shipped about once per tile it meets: tiles grow with the table, not their number,
+BLOCK_VALUES = 4_000_000  # until they hold so many vector values
+SLICE_VALUES = 2_000_000  # cosines computed at once
 MAX_CELLS = 4096  # k-means cells; beyond MAX_CELLS * BLOCK_ROWS rows a cell is cut into tiles by a hash
 
 
@@ -69,8 +72,8 @@ def _meetings(centroids: "np.ndarray", radius: "np.ndarray", alpha: float, slack
     return run
 
 
-def _forest(sim: "np.ndarray", t: float, left: "np.ndarray", right: "np.ndarray") -> list:
-    """Pairs of names with sim ≥ t thinned to a spanning forest; equal names are one node already."""
+def _forest(sim, t: float, left: "np.ndarray", right: "np.ndarray") -> list:
+    """Pairs of names with sim ≥ t thinned to a spanning forest; equal names are one node already. ``sim`` gives rows of cosines."""
     import numpy as np
 
     names, where = np.unique(np.concatenate([left, right]), return_inverse=True)
@@ -78,7 +81,8 @@ def _forest(sim: "np.ndarray", t: float, left: "np.ndarray", right: "np.ndarray"
     group = np.arange(len(names))  # each name's tree
     out, at, step = [], 0, 1
     while at < len(left):  # slices grow: most links of a dense tile join nothing new after its first rows
-        i, j = np.nonzero(sim[at:at + step] >= t)
+        step = max(1, min(step, SLICE_VALUES // max(1, len(right))))
+        i, j = np.nonzero(sim(slice(at, min(at + step, len(left)))) >= t)
         x, y = a_of[i + at], b_of[j]
         at, step = at + step, min(2 * step, 256)
         apart = np.flatnonzero(group[x] != group[y])
@@ -125,29 +129,42 @@ def _tiles(kind: str, threshold: float):
             return schema.empty_table()
         same = key[0].as_py() == key[1].as_py()
         a, b = lefts.column("id").to_numpy(), rights.column("id").to_numpy()
-        sim = vector_matrix(lefts.column("_v").combine_chunks()) @ vector_matrix(rights.column("_v").combine_chunks()).T
+        x, y = (vector_matrix(t.column("_v").combine_chunks()) for t in (lefts, rights))
+        step = max(1, SLICE_VALUES // len(b))
+        slices = [slice(at, min(at + step, len(a))) for at in range(0, len(a), step)]
         if kind == "forest":
-            if same:
-                sim[a[:, None] >= b[None, :]] = -2.0
-            links = _forest(sim, threshold, lefts.column("name").to_numpy(), rights.column("name").to_numpy())
-            return pa.table({"a": pa.array([x for x, _ in links], pa.int64()), "b": pa.array([y for _, y in links], pa.int64()),
+            def later(rows: slice) -> "np.ndarray":
+                sim = x[rows] @ y.T
+                if same:
+                    sim[a[rows][:, None] >= b[None, :]] = -2.0
+                return sim
+            links = _forest(later, threshold, lefts.column("name").to_numpy(), rights.column("name").to_numpy())
+            return pa.table({"a": pa.array([p for p, _ in links], pa.int64()), "b": pa.array([q for _, q in links], pa.int64()),
                              "cos": pa.nulls(len(links), pa.float64())}, schema=schema)
         if kind == "degree":
-            close = sim >= threshold
-            if same:
-                close &= a[:, None] != b[None, :]
-                nodes, counts = a, close @ rights.column("w").to_numpy()
-            else:
-                nodes = np.concatenate([a, b])
-                counts = np.concatenate([close @ rights.column("w").to_numpy(), lefts.column("w").to_numpy() @ close])
+            wa, wb = lefts.column("w").to_numpy(), rights.column("w").to_numpy()
+            near_a, near_b = np.zeros(len(a), np.int64), np.zeros(len(b), np.int64)
+            for rows in slices:
+                close = x[rows] @ y.T >= threshold
+                if same:
+                    close &= a[rows][:, None] != b[None, :]
+                near_a[rows] = close @ wb
+                if not same:
+                    near_b += wa[rows] @ close
+            nodes, counts = (a, near_a) if same else (np.concatenate([a, b]), np.concatenate([near_a, near_b]))
             kept = counts > 0
             return pa.table({"a": nodes[kept], "b": counts[kept].astype(np.int64), "cos": pa.nulls(int(kept.sum()), pa.float64())},
                             schema=schema)
         order = np.argsort(b, kind="stable")  # ties go to the smaller core
-        best = np.where(sim >= threshold, sim, -np.inf)[:, order]
-        at = best.argmax(axis=1)
-        rows = np.flatnonzero(np.isfinite(best[np.arange(len(a)), at]))
-        return pa.table({"a": a[rows], "b": b[order][at[rows]], "cos": best[rows, at[rows]]}, schema=schema)
+        y, b = y[order], b[order]
+        at, most = np.zeros(len(a), np.int64), np.zeros(len(a))
+        for rows in slices:
+            sim = x[rows] @ y.T
+            best = np.where(sim >= threshold, sim, -np.inf)
+            at[rows] = best.argmax(axis=1)
+            most[rows] = best[np.arange(len(best)), at[rows]]
+        rows = np.flatnonzero(np.isfinite(most))
+        return pa.table({"a": a[rows], "b": b[at[rows]], "cos": most[rows]}, schema=schema)
     return run
 
 
@@ -160,7 +177,7 @@ class ThresholdGraph:
     """
 
     def __init__(self, corpus: DataFrame, threshold: float, id_col: str = "id", vec: str = "embedding",
-                 n_cells: int | None = None, seed: int = 7, slack: float = 1e-7, block: int = BLOCK_ROWS):
+                 n_cells: int | None = None, seed: int = 7, slack: float = 1e-7, block: int | None = None):
         self.threshold, self.slack, self.block = threshold, slack, block
         unit = corpus.where(F.col(vec).isNotNull()).select(F.col(id_col).cast("bigint").alias("id"),
                                                             S.l2_normalize(vec, as_float=False).alias("_v"))
@@ -178,7 +195,8 @@ class ThresholdGraph:
 
         from cartwheel.operators.vectors import centroids_of, fit_cells
 
-        n = nodes.count()
+        n, wide = nodes.agg(F.count(F.lit(1)), F.max(F.size("_v"))).first()
+        self.block = self.block or max(BLOCK_ROWS, min(n // CELLS, BLOCK_VALUES // max(1, wide or 1)))
         n_cells = n_cells or max(1, min(MAX_CELLS, n // self.block))
         if n and n_cells > 1:
             c = np.array([x["c"] for x in centroids_of(fit_cells(nodes, n_cells, "_v", seed))], dtype=np.float64)

@@ -6,6 +6,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
+from cartwheel.operators import components as CC
 from cartwheel.operators import vectors as VX
 from cartwheel.plans import fixtures as FX
 from cartwheel.sources import jsonl as J
@@ -38,6 +39,37 @@ def test_scores_of_a_query_block_are_sliced():
     assert all(np.allclose([s for s, _ in sorted(got[i])], best[i]) for i in range(6000))
 
 
+def test_tiles_of_cosines_are_sliced():
+    rng = np.random.default_rng(1)
+    x, y = rng.normal(size=(4000, 3)), rng.normal(size=(5000, 3))
+    x, y = (v / np.linalg.norm(v, axis=1)[:, None] for v in (x, y))
+    left = pa.table({"id": np.arange(4000), "w": rng.integers(1, 4, 4000), "name": np.arange(4000), "_v": lists(x)})
+    right = pa.table({"id": np.arange(4000, 9000), "w": rng.integers(1, 4, 5000), "name": np.arange(4000, 9000), "_v": lists(y)})
+    key = (pa.scalar(0), pa.scalar(1))
+    close = x @ y.T >= 0.9
+    for kind in ("degree", "forest", "border"):
+        out, most = peak(lambda: CC._tiles(kind, 0.9)(key, left, right))  # noqa: B023
+        assert most < 100e6  # all cosines are 160 MB
+        if kind == "degree":
+            want = np.concatenate([close @ right["w"].to_numpy(), left["w"].to_numpy() @ close])
+            got = dict(zip(out["a"].to_pylist(), out["b"].to_pylist()))
+            assert [got.get(i, 0) for i in range(9000)] == want.tolist()
+        elif kind == "forest":
+            assert out.num_rows < 9000
+        else:
+            got = dict(zip(out["a"].to_pylist(), out["b"].to_pylist()))
+            want = np.where(close, x @ y.T, -2).argmax(axis=1) + 4000
+            assert got == {i: int(want[i]) for i in np.flatnonzero(close.any(axis=1)).tolist()}
+
+
+def test_tiles_grow_with_the_table(spark, monkeypatch):
+    monkeypatch.setattr(CC, "BLOCK_ROWS", 10)
+    x = np.random.default_rng(3).normal(size=(800, 3))
+    df = spark.createDataFrame([(i, [float(v) for v in r]) for i, r in enumerate(x)], "id bigint, embedding array<double>")
+    graph = CC.ThresholdGraph(df, 0.5)
+    assert graph.nodes.select("tile").distinct().count() <= 2 * CC.CELLS  # 80 tiles of 10
+
+
 def test_a_language_is_several_files_with_ordinals_running_on(spark, tmp_dir):
     docs = spark.createDataFrame([(i, f"text {i} " + "word " * 20, "en" if i % 5 else "de") for i in range(400)], "doc_id bigint, text string, lang string")
     old = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
