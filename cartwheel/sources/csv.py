@@ -1,14 +1,17 @@
 """Product CSV readers.
 
 Files are scanned as all-string columns (types are cast once, after the
-union). One multi-file CSV scan maps columns by position, so files are first
-grouped by header and each group is one scan; groups are unioned by name.
+union). One multi-file CSV scan maps columns by position, so each category is a
+scan of its own, tagged with its name as a constant (a path carried with every row and cut
+row by row costs more than the parsing), and the scans are unioned by name.
+With line breaks inside fields, files are grouped by header instead: a group is one shuffle.
 """
 
 from __future__ import annotations
 
 import re
 from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,6 +22,9 @@ from cartwheel.sources.csv_records import csv_records, parse_records
 # Files that are not per-category data (fixed values of the reference layout).
 SKIP_FILES = {"Amazon-Products.csv", "Stores.csv"}
 COMBINED_CSV = "Amazon-Products.csv"
+# Folders of one write partitioned by category, ``source_category=<category>.csv``: special characters stand as %XX.
+PARTITION = "source_category="
+NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 
 CSV_OPTIONS = {"header": "true", "inferSchema": "false", "mode": "PERMISSIVE", "escape": '"', "quote": '"',
                "encoding": "UTF-8"}
@@ -46,6 +52,15 @@ def _stem(name: str) -> str:
     return name.rsplit("/", 1)[-1].rsplit(".", 1)[0]
 
 
+def category_of(path: str) -> str | None:
+    """The category a file or folder is named for: ``<category>.csv``, or the folder ``partitionBy`` names (null: its mark)."""
+    stem = _stem(path.rstrip("/"))
+    if not stem.startswith(PARTITION):
+        return stem
+    value = unquote(stem.removeprefix(PARTITION))
+    return None if value == NULL_PARTITION else value
+
+
 def header_of(spark: SparkSession, path: str, multi_line: bool = True) -> tuple[str, ...]:
     """Column names of one CSV (Spark reads only its first record)."""
     return tuple(spark.read.options(**_options(multi_line)).csv(path).columns)
@@ -64,14 +79,30 @@ def _apply_null_tokens(df: DataFrame) -> DataFrame:
     return df.select(*[null_tokens(F.col(f"`{c}`")).alias(c) if c != "_file" else F.col(c) for c in df.columns])
 
 
+def _tagged_scans(spark: SparkSession, paths: list[str], header_groups: bool) -> DataFrame:
+    """One scan a category, every line a record, with ``source_category`` as a constant."""
+    frames, schema = [], None
+    for path in paths:
+        reader = spark.read.options(**_options(False))
+        df = (reader if schema is None else reader.schema(schema)).csv(path)
+        if not header_groups:
+            schema = df.schema
+        frames.append(_apply_null_tokens(df).withColumn("source_category", F.lit(category_of(path)).cast("string")))
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+
+
 def read_category_csvs(spark: SparkSession, paths: list[str], header_groups: bool = True,
                        multi_line: bool = True) -> DataFrame:
     """S1 + S3 + U1: per-category CSVs tagged with their file stem as ``source_category``.
 
-    ``paths`` are files (or Spark output folders) named ``<category>.csv``.
+    ``paths`` are files (or Spark output folders) named ``<category>.csv``; without ``multi_line`` also the folders of one
+    write partitioned by ``source_category``. Without ``header_groups`` every file has
+    the columns of the first.
     """
     if not paths:
         raise FileNotFoundError("no category CSV files")
+    if not multi_line:
+        return _tagged_scans(spark, paths, header_groups)
     groups: dict[tuple[str, ...], list[str]] = {}
     for p in paths:
         groups.setdefault(header_of(spark, p, multi_line) if header_groups else (), []).append(p)
