@@ -2,8 +2,9 @@
 
 With the documents x terms matrix A (tf-idf, rows of length one) and random signs R for the terms, the vectors are the
 rows of (AᵀA)^passes R: the range finder of a randomised factorisation, whose passes pull out the strongest directions.
-Orthonormal columns (the range's basis) are the default. Every step is a join and a sum: a document's vector is the sum
-over its terms, a term's the sum over its documents, both combined before their shuffle; a column is an aggregate.
+Orthonormal columns (the range's basis) are the default. A pass reads the texts once: a task has the terms' vectors broadcast,
+weighs its documents whole, and adds what they give to the terms, one row per term and task to be summed. Nothing per
+(document, term) is shuffled, except for documents that are several rows of the table: those are joins and sums.
 
 The model has at most ``max_terms`` words (the most frequent ones, ties by the word) of ``dim`` floats, so its size has a
 bound that does not grow with the corpus: 32,768 x 64 x 4 bytes = 8 MB, which is what an encoder broadcasts.
@@ -63,6 +64,48 @@ def whitening(factors: DataFrame, dim: int) -> np.ndarray:
     return vector * scale
 
 
+def _passed(sent: Broadcast, dim: int):
+    """mapInArrow: token lists, each a whole document, to the partition's part of Aᵀ(A f), one row per term it has."""
+    import pyarrow as pa
+
+    def run(batches):
+        terms, model = sent.value
+        place, idf, factor = {t: i for i, t in enumerate(terms)}, model[:, 0], model[:, 1:]
+        total, seen = np.zeros((len(terms), dim)), np.zeros(len(terms), bool)
+        for rb in batches:
+            row, at = places(rb.column("_tok"), place)
+            if not len(at):
+                continue
+            pair, tf = np.unique(row * len(terms) + at, return_counts=True)  # by document, then term
+            row, at = pair // len(terms), pair % len(terms)
+            w = tf * idf[at]
+            w /= np.sqrt(np.bincount(row, w * w))[row]
+            x = np.zeros((rb.num_rows, dim))
+            for start in range(0, len(at), STEP):
+                part = slice(start, start + STEP)
+                summed_into(x, row[part], w[part, None] * factor[at[part]])
+            order = np.argsort(at, kind="stable")
+            row, at, w = row[order], at[order], w[order]
+            for start in range(0, len(at), STEP):
+                part = slice(start, start + STEP)
+                summed_into(total, at[part], w[part, None] * x[row[part]])
+            seen[at] = True
+        held = np.flatnonzero(seen)
+        for start in range(0, len(held), STEP):
+            part = held[start:start + STEP]
+            yield pa.RecordBatch.from_arrays([pa.array([terms[i] for i in part], pa.string()), *[pa.array(total[part, j]) for j in range(dim)]],
+                                             names=["term", *_names(dim)])
+    return run
+
+
+def _model(table: DataFrame, dim: int, kind=np.float64, beside: int = 0) -> tuple[list[str], np.ndarray]:
+    """(term, v) on the driver: vectors of at most ``MAX_VALUES`` numbers, and ``beside`` more a term."""
+    held = table.limit(MAX_VALUES // dim + 1).toPandas()
+    if len(held) * dim > MAX_VALUES:
+        raise ValueError("the model is too large to broadcast")
+    return held["term"].tolist(), np.array(held["v"].tolist(), np.float64).reshape(len(held), dim + beside).astype(kind)
+
+
 def fit(docs: DataFrame, path: str, text: str = "text", key: str = "id", dim: int = 64, passes: int = 1, orthonormal: bool = True,
         max_terms: int = MAX_TERMS, min_docs: int = MIN_DOCS) -> "Encoder":
     """Fit on the whole table and write (term, idf, factor) to ``path``; rows with one key are one document, null keys too.
@@ -72,28 +115,45 @@ def fit(docs: DataFrame, path: str, text: str = "text", key: str = "id", dim: in
     """
     if max_terms * dim > MAX_VALUES:
         raise ValueError(f"{max_terms} terms of {dim} values are too large a model to broadcast")
-    names = _names(dim)
-    words = docs.select(F.col(key).alias("doc"), F.explode(tokens(text)).alias("term"))
-    tf = written(words.groupBy("doc", "term").agg(F.count(F.lit(1)).cast("double").alias("tf")), "term-counts")
-    n_docs = docs.select(key).distinct().count()
-    found = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df")).where(F.col("df") >= min_docs)
-    kept = found.orderBy(F.desc("df"), "term").limit(max_terms).select("term", (F.log(F.lit(1.0 + n_docs) / (F.col("df") + 1)) + 1).alias("idf"))
-    kept = written(kept, "terms")
-    weights = tf.join(kept, "term").select("doc", "term", (F.col("tf") * F.col("idf")).alias("w"))
-    length = weights.groupBy(F.col("doc").alias("of")).agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("length"))
-    weights = written(weights.join(length, F.col("doc").eqNullSafe(F.col("of"))).select("doc", "term", (F.col("w") / F.col("length")).alias("w")),
-                      "term-weights")
+    spark, names = docs.sparkSession, _names(dim)
+    words = docs.select(F.col(key).alias("doc"), tokens(text).alias("_tok"))
+    keys = words.groupBy("doc").agg(F.count(F.lit(1)).alias("n"))
+    n_docs, repeated = keys.agg(F.count(F.lit(1)), F.count_if(F.col("n") > 1)).first()
+    held, tf = words, None
+    if repeated:
+        several = written(keys.where("n > 1").select(F.col("doc").alias("of")), "repeated-keys")
+        held = words.join(several, F.col("doc").eqNullSafe(F.col("of")), "left_anti")
+        cut = words.join(several, F.col("doc").eqNullSafe(F.col("of")), "left_semi").select("doc", F.explode("_tok").alias("term"))
+        tf = written(cut.groupBy("doc", "term").agg(F.count(F.lit(1)).cast("double").alias("tf")), "term-counts")
+    once = held.select(F.explode(F.array_distinct("_tok")).alias("term"))
+    found = (once if tf is None else once.unionAll(tf.select("term"))).groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    kept = found.where(F.col("df") >= min_docs).orderBy(F.desc("df"), "term").limit(max_terms)
+    kept = written(kept.select("term", (F.log(F.lit(1.0 + n_docs) / (F.col("df") + 1)) + 1).alias("idf")), "terms")
+    weights = None if tf is None else _weights(tf, kept)
     factors = kept.select("term", *[c.alias(f) for c, f in zip(signs(F.col("term"), dim), names, strict=True)])
     summed = [F.sum(F.col("w") * F.col(f)).alias(f) for f in names]
     for _ in range(passes):
-        rows = weights.join(factors, "term").groupBy("doc").agg(*summed).withColumnRenamed("doc", "of")
-        factors = written(weights.join(rows, F.col("doc").eqNullSafe(F.col("of"))).groupBy("term").agg(*summed), "factors")
+        sent = spark.sparkContext.broadcast(_model(kept.join(factors, "term").select("term", F.array("idf", *names).alias("v")), dim, beside=1))
+        parts = held.select("_tok").mapInArrow(_passed(sent, dim), ", ".join(["term string", *[f"{f} double" for f in names]]))
+        if weights is not None:
+            rows = weights.join(factors, "term").groupBy("doc").agg(*summed).withColumnRenamed("doc", "of")
+            parts = parts.unionAll(weights.join(rows, F.col("doc").eqNullSafe(F.col("of"))).groupBy("term").agg(*summed))
+        factors = written(parts.groupBy("term").agg(*[F.sum(f).alias(f) for f in names]), "factors")
+        sent.destroy()
     if orthonormal:
         basis = whitening(factors, dim)
         turned = [sum((F.col(f) * float(basis[i, j]) for i, f in enumerate(names)), F.lit(0.0)) for j in range(dim)]
         factors = factors.select("term", *[c.alias(f) for c, f in zip(turned, names, strict=True)])
     kept.join(factors, "term").select("term", "idf", F.array(*names).alias("factor")).write.parquet(path)
-    return load(docs.sparkSession, path, dim)
+    return load(spark, path, dim)
+
+
+def _weights(tf: DataFrame, kept: DataFrame) -> DataFrame:
+    """(doc, term, w): counts times idf, a document's weights of length one."""
+    weights = tf.join(kept, "term").select("doc", "term", (F.col("tf") * F.col("idf")).alias("w"))
+    length = weights.groupBy(F.col("doc").alias("of")).agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("length"))
+    return written(weights.join(length, F.col("doc").eqNullSafe(F.col("of"))).select("doc", "term", (F.col("w") / F.col("length")).alias("w")),
+                   "term-weights")
 
 
 #: Of this Python worker: the models it has loaded, by their id.
@@ -127,35 +187,39 @@ class Encoder:
 def load(spark: SparkSession, path: str, dim: int, double: bool = False) -> Encoder:
     """The encoder of a fitted model: at most ``MAX_VALUES`` numbers, read once and broadcast once."""
     table = spark.read.parquet(path).select("term", F.transform("factor", lambda x: x * F.col("idf")).alias("v"))
-    held = table.limit(MAX_VALUES // dim + 1).toPandas()
-    if len(held) * dim > MAX_VALUES:
-        raise ValueError(f"the model in {path} is too large to broadcast")
-    matrix = np.array(held["v"].tolist(), np.float64).reshape(len(held), dim).astype(np.float64 if double else np.float32)
-    return Encoder(spark.sparkContext.broadcast((held["term"].tolist(), matrix)), dim, double)
+    return Encoder(spark.sparkContext.broadcast(_model(table, dim, np.float64 if double else np.float32)), dim, double)
+
+
+def places(lists, place: dict[str, int]) -> tuple[np.ndarray, np.ndarray]:
+    """Of every known token in the lists: its row, ascending, and its term's place."""
+    import pyarrow.compute as pc
+
+    sizes = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
+    coded = pc.list_flatten(lists).dictionary_encode()
+    known = np.array([place.get(t, -1) for t in coded.dictionary.to_pylist()], np.int64)
+    at = known[coded.indices.to_numpy(zero_copy_only=False)] if len(coded) else np.zeros(0, np.int64)
+    return np.repeat(np.arange(len(lists)), sizes)[at >= 0], at[at >= 0]
+
+
+def summed_into(out: np.ndarray, at: np.ndarray, rows: np.ndarray) -> None:
+    """Adds each row to ``out`` at its place; places ascend."""
+    first = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]]))
+    out[at[first]] += np.add.reduceat(rows, first, axis=0)
 
 
 def _encoded(mark: str, sent: Broadcast, dim: int, out: str, double: bool):
     """mapInArrow: token lists to unit vectors."""
     import pyarrow as pa
-    import pyarrow.compute as pc
 
     def run(batches):
         place, matrix = model_of(mark, sent)
         for rb in batches:
             if rb.num_rows == 0:
                 continue
-            lists = rb.column("_tok")
-            sizes = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
-            coded = pc.list_flatten(lists).dictionary_encode()
-            known = np.array([place.get(t, -1) for t in coded.dictionary.to_pylist()], np.int64)
-            at = known[coded.indices.to_numpy(zero_copy_only=False)] if len(coded) else np.zeros(0, np.int64)
-            rows = np.repeat(np.arange(rb.num_rows), sizes)[at >= 0]
-            at = at[at >= 0]
+            rows, at = places(rb.column("_tok"), place)
             x = np.zeros((rb.num_rows, dim))
             for start in range(0, len(at), STEP):  # a text longer than a step is summed in several
-                row = rows[start:start + STEP]
-                first = np.flatnonzero(np.concatenate([[True], row[1:] != row[:-1]]))
-                x[row[first]] += np.add.reduceat(matrix[at[start:start + STEP]].astype(np.float64), first, axis=0)
+                summed_into(x, rows[start:start + STEP], matrix[at[start:start + STEP]].astype(np.float64))
             norm = np.sqrt((x * x).sum(axis=1))
             x = (x / np.where(norm > 0, norm, 1.0)[:, None]).astype(np.float64 if double else np.float32)
             vec = pa.ListArray.from_arrays(pa.array(np.arange(0, x.size + 1, dim, dtype=np.int32)), pa.array(x.ravel()))

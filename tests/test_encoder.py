@@ -60,6 +60,29 @@ def test_vectors_equal_numpy(spark, tmp_dir, texts, passes, orthonormal, max_ter
     assert np.abs(got - want).max() < 1e-7
 
 
+def test_only_documents_of_several_rows_are_shuffled_by_term(spark, tmp_dir, texts, monkeypatch):
+    names = []
+    real = EN.written
+    monkeypatch.setattr(EN, "written", lambda df, name: names.append(name) or real(df, name))
+    EN.fit(table(spark, texts), tmp_dir, dim=DIM)
+    assert names == ["terms", "factors"]
+
+
+@pytest.mark.parametrize("passes", [1, 2])
+def test_rows_with_one_key_are_one_document(spark, tmp_dir, texts, passes):
+    """A null key is a key; cutting a text at a space changes no factor."""
+    rows = [x for i, t in enumerate(texts) for key in [None if i == 5 else i]
+            for x in ([(key, p) for p in (t[:t.index(" ")], t[t.index(" "):], "")] if i % 3 == 2 and t and " " in t else [(key, t)])]
+    docs = spark.createDataFrame(rows, "id bigint, text string").repartition(4)
+    EN.fit(docs, tmp_dir, dim=DIM, passes=passes, orthonormal=False)
+    held = spark.read.parquet(tmp_dir).orderBy("term").collect()
+    _, want = brute(texts, passes, False)
+    terms = {w for t in texts for w in words(t)}
+    assert len(held) == len(want) and {r.term for r in held} <= terms
+    got = {tuple(np.round(r.factor, 6) + 0.0) for r in held}
+    assert got == {tuple(np.round(f, 6) + 0.0) for f in want}
+
+
 def test_columns_are_orthonormal_and_topics_apart(spark, tmp_dir, texts):
     docs = table(spark, texts)
     encoder = EN.fit(docs, tmp_dir, dim=DIM, passes=2)
