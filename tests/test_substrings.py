@@ -4,6 +4,7 @@ import contextlib
 import io
 import random
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -54,6 +55,28 @@ def test_trigrams_of_a_text(spark):
     assert [r.g for r in got] == [["abc", "bca", "cab", "ab日"], [], [], ["aaa"]]
 
 
+def test_index_holds_every_trigram_of_every_text_in_few_rows(spark, texts, index):
+    held = spark.read.parquet(f"{index}/postings")
+    got = sorted((r.gram, i) for r in held.collect() for i in r.ids)
+    want = sorted((g, r.id) for r in texts.where("id is not null").select("id", SU.grams(SU.searched("text")).alias("g")).collect() for g in r.g)
+    assert got == want
+    assert held.count() < len(want) / 2  # a row per trigram and block, not per trigram and text
+    counts = {r.gram: r.n for r in spark.read.parquet(f"{index}/counts").collect()}
+    assert sum(counts.values()) == len(want) and all(counts[g] > 0 for g, _ in want)
+
+
+@pytest.mark.parametrize("block", [1, 500, 1 << 30])
+def test_blocks_of_any_size_and_alphabet(monkeypatch, block):
+    monkeypatch.setattr(SU, "BLOCK_BYTES", block)
+    rnd = random.Random(6)
+    wide = [chr(c) for c in range(70_000) if not 0xD800 <= c < 0xE000]  # 17 bits: 5,000 texts are too many to number at once
+    made = ["".join(wide[14 * i:14 * i + 14]) for i in range(5000)] if block > 500 else []
+    made += ["", "ab", "\x00\x00\x00\x00", "a\x00", "abc\x00\x00", "aaaa", *("".join(rnd.choice(ALPHABET) for _ in range(rnd.randrange(80))) for _ in range(50))]
+    batch = pa.RecordBatch.from_pydict({"id": pa.array([f"k{i}" for i in range(len(made))]), "text": pa.array(made, pa.string())}).slice(1)
+    got = sorted((r["gram"], i) for out in SU._cut([batch]) for r in out.to_pylist() for i in r["ids"] if r["n"] == len(r["ids"]))
+    assert got == sorted({(t[j:j + 3], f"k{i}") for i, t in enumerate(made) if i for j in range(len(t) - 2)})
+
+
 def test_lookup_prunes_folders_and_pushes_the_trigrams(spark, index):
     buf = io.StringIO()
     with contextlib.redirect_stdout(buf):
