@@ -21,6 +21,7 @@ writes the same bytes under the same name. They are read back with Spark's ``bin
 
 from __future__ import annotations
 
+import functools
 import string
 import struct
 import uuid
@@ -42,7 +43,8 @@ END_ID = 1
 FILE_TOKENS = 1 << 21
 FILE_DOCS = 1 << 16
 BATCH_BYTES = 4 << 20
-CACHED_WORDS = 1 << 19  # words a task keeps the ids of
+JOINED = 256  # new words encoded as one text
+CACHED_WORDS = 1 << 19  # words a Python worker keeps the ids of
 CACHED_IDS = 1 << 23  # and the ids of all of them
 SAMPLE = 256  # ones between two samples of a select structure
 
@@ -208,59 +210,86 @@ def taken(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return np.arange(int(ends[-1]) if len(ends) else 0) - np.repeat(ends - sizes - starts, sizes)
 
 
+def ends_stem(char: str) -> bool:
+    """Whether punctuation may be parted behind ``char``: a letter or digit in every version of the character tables."""
+    return char < "\u0530" and char.lower().isalnum()
+
+
 class WordEncoder:
     """Ids of texts through their words: white space is dropped and ends every piece of the tokenizer, so the ids of a
-    text are those of its words in order, and a word is encoded once per task (``splits_at_space`` checks the first).
+    text are those of its words in order, and a word is encoded once as long as it is kept (``splits_at_space`` checks the first).
 
-    An ASCII word is looked up in lower case and apart from the punctuation at its end: such a tokenizer lowers case
-    and starts a new piece there (``lowers_ascii`` checks both).
+    A word is looked up apart from the punctuation at its end, an ASCII word in lower case: such a tokenizer lowers case
+    and starts a new piece there (``lowers_ascii`` checks both). New words of letters alone are encoded ``JOINED`` at a time,
+    as one text: a tokenizer that marks the end of a word in its ids (``word_ends``) says itself where each of them ends.
     """
 
     def __init__(self, tokenizer):
-        self.tokenizer, self.halves = tokenizer, lowers_ascii(tokenizer)
+        self.tokenizer, self.halves, self.ends = tokenizer, lowers_ascii(tokenizer), word_ends(tokenizer)
         self.reset()
 
     def reset(self) -> None:
-        self.words: dict[str, tuple[int, int]] = {}  # a word's two pieces; piece 0 is empty
-        self.pieces: dict[str, int] = {"": 0}
+        self.pieces: dict[str, int] = {"": 0}  # numbers of stems and punctuation
         self.flat, self.sizes = np.zeros(0, np.uint32), np.zeros(1, np.int64)
 
-    def split(self, word: str) -> tuple[str, str]:
-        if not self.halves or not word.isascii():
-            return word, ""
-        word = word.lower()
-        stem = word.rstrip(string.punctuation)
-        return (stem, word[len(stem):]) if stem[-1:].isalnum() else (word, "")
-
-    def learn(self, vocabulary: list[str]) -> None:
-        if len(self.words) > CACHED_WORDS or len(self.flat) > CACHED_IDS:
-            self.reset()
-        number, new = self.pieces, []
-        for word in vocabulary:
-            if word not in self.words:
-                pair = self.split(word)
-                for piece in pair:
-                    if piece not in number:
-                        number[piece] = len(number)
-                        new.append(piece)
-                self.words[word] = (number[pair[0]], number[pair[1]])
+    def split(self, words: pa.Array) -> tuple[pa.Array, np.ndarray, list[str]]:
+        """Stems of the words, which of them have punctuation apart, and that punctuation."""
+        if not self.halves:
+            return words, np.zeros(0, np.int64), []
+        words = pc.if_else(pc.string_is_ascii(words), pc.ascii_lower(words), words)
+        stems = pc.ascii_rtrim(words, characters=string.punctuation)
+        last = pc.utf8_slice_codeunits(stems, -1).dictionary_encode()
+        apart = pa.array([ends_stem(c) for c in last.dictionary.to_pylist()], pa.bool_()).take(last.indices)
+        cut = np.flatnonzero(pc.and_(apart, pc.less(pc.binary_length(stems), pc.binary_length(words))).to_numpy(zero_copy_only=False))
+        tails = [w[len(s):] for w, s in zip(words.take(pa.array(cut)).to_pylist(), stems.take(pa.array(cut)).to_pylist(), strict=True)]
+        return pc.if_else(apart, stems, words), cut, tails
+
+    def apart(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of pieces, one after the other, and how many each has."""
+        found = self.tokenizer.encode(pieces, is_pretokenized=True, add_special_tokens=False)
+        return np.array(found.ids, np.uint32), np.bincount(np.array(found.word_ids, np.int64), minlength=len(pieces))
+
+    def joined(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The same through one text; every piece has one end at least, so as many ends as pieces are one each."""
+        found = np.array(self.tokenizer.encode_batch_fast([" ".join(pieces)], add_special_tokens=False)[0].ids, np.uint32)
+        last = np.flatnonzero(self.ends[found])
+        return (found, np.diff(last, prepend=-1)) if len(last) == len(pieces) else self.apart(pieces)
+
+    def numbers(self, pieces: list[str]) -> np.ndarray:
+        """Numbers of distinct pieces; those not met before are encoded."""
+        new = [p for p in pieces if p not in self.pieces]
         if new:
-            found = self.tokenizer.encode(new, is_pretokenized=True, add_special_tokens=False)
-            self.flat = np.concatenate([self.flat, np.array(found.ids, np.uint32)])
-            self.sizes = np.concatenate([self.sizes, np.bincount(np.array(found.word_ids, np.int64), minlength=len(new))])
+            letters, rest = [], []
+            for p in new:
+                (letters if self.ends is not None and p.lower().isalpha() else rest).append(p)
+            found = [self.joined(letters[i:i + JOINED]) for i in range(0, len(letters), JOINED)] + ([self.apart(rest)] if rest else [])
+            self.pieces.update(zip(letters + rest, range(len(self.pieces), len(self.pieces) + len(new)), strict=True))
+            self.flat = np.concatenate([self.flat, *(ids for ids, _ in found)])
+            self.sizes = np.concatenate([self.sizes, *(sizes for _, sizes in found)])
+        return np.fromiter(map(self.pieces.__getitem__, pieces), np.int64, len(pieces))
+
+    def learn(self, vocabulary: pa.Array) -> np.ndarray:
+        """Numbers of the stem and the punctuation (0: none) of every word."""
+        if len(self.pieces) > CACHED_WORDS or len(self.flat) > CACHED_IDS:
+            self.reset()
+        stems, cut, tails = self.split(vocabulary)
+        coded, marks = stems.dictionary_encode(), list(dict.fromkeys(tails))
+        number = self.numbers(list(dict.fromkeys([*coded.dictionary.to_numpy(zero_copy_only=False).tolist(), *marks])))
+        out = np.zeros((len(stems), 2), np.int64)
+        out[:, 0] = number[coded.indices.to_numpy(zero_copy_only=False)]
+        out[cut, 1] = [self.pieces[t] for t in tails]
+        return out
 
     def encode(self, texts: pa.Array) -> list[np.ndarray]:
         """Ids of each text (null: none), as 32-bit integers."""
         parts = pc.ascii_split_whitespace(pc.fill_null(texts, ""))
         coded = pc.list_flatten(parts).dictionary_encode()
-        vocabulary = coded.dictionary.to_pylist()
-        self.learn(vocabulary)
-        pairs = np.array([self.words[w] for w in vocabulary], np.int64).reshape(-1, 2)
-        piece = pairs[coded.indices.to_numpy(zero_copy_only=False)].ravel()
-        starts = np.cumsum(self.sizes) - self.sizes
-        out = self.flat[taken(starts[piece], self.sizes[piece])]
-        ends = np.concatenate([[0], np.cumsum(self.sizes[piece])[1::2]])  # after each word
-        bounds = ends[np.concatenate([[0], np.cumsum(pc.list_value_length(parts).to_numpy(zero_copy_only=False))])]
+        pairs = self.learn(coded.dictionary)
+        sizes, starts = self.sizes[pairs], (np.cumsum(self.sizes) - self.sizes)[pairs]
+        ends = np.concatenate([[0], np.cumsum(sizes.sum(axis=1))])  # after each distinct word
+        found = pa.LargeListArray.from_arrays(pa.array(ends), pa.array(self.flat[taken(starts.ravel(), sizes.ravel())])).take(coded.indices)
+        words = np.concatenate([[0], np.cumsum(pc.list_value_length(parts).to_numpy(zero_copy_only=False))])
+        out, bounds = found.values.to_numpy(), found.offsets.to_numpy()[words]
         return [out[a:b] for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
 
 
@@ -277,6 +306,7 @@ class PlainEncoder:
 
 PROBES = [" ", "  ", "a b", " a", "a ", "don 't", "x\n\ny", "1 2", "a , b", "e \u0301", "\u1100 \u1161", "\u03a3 \u03a3", "\t.\r.", "\x0b!\x0c!", "(a) [b]"]
 ENDS = ["Word.", "word", "IT's!", "a'", "x.y.", "Z9,", "9!?", "''", "a's'", "Q\u201d.", "A<|>", "don't''", "#tag)", "e.g.,", "I'LL.", "-", "9-"]
+WIDE_ENDS = ["\u00e9.", "\u00c9'", "ca\u00f1\u00f3n,", "\u00df!?", "\u0436).", "\u03a9's'", "\u00c0 l.", "\u00b2;", "\u0660-", "x\u2019s.", "\u01f0\"", "o\u0301o."]
 
 
 def splits_at_space(tokenizer) -> bool:
@@ -286,10 +316,29 @@ def splits_at_space(tokenizer) -> bool:
 
 
 def lowers_ascii(tokenizer) -> bool:
-    """Whether ASCII words have the ids of their lower case, and punctuation at their end is a piece of its own."""
+    """Whether ASCII words have the ids of their lower case, and punctuation at the end of a word is a piece of its own."""
     ids = lambda t: tokenizer.encode(t, add_special_tokens=False).ids
-    stems = [(w.lower().rstrip(string.punctuation), w.lower()) for w in ENDS if w.isascii()]
-    return all(ids(w) == ids(w.lower()) for w in ENDS) and all(ids(low) == ids(stem) + ids(low[len(stem):]) for stem, low in stems)
+    stems = [(w.rstrip(string.punctuation), w) for w in [*(w.lower() for w in ENDS if w.isascii()), *WIDE_ENDS]]
+    return all(ids(w) == ids(w.lower()) for w in ENDS) and all(ids(word) == ids(stem) + ids(word[len(stem):]) for stem, word in stems)
+
+
+def word_ends(tokenizer) -> np.ndarray | None:
+    """Which ids end a word; none for a tokenizer whose ids do not say so of every word."""
+    from tokenizers.pre_tokenizers import ByteLevel
+
+    suffix, vocabulary = getattr(tokenizer.model, "end_of_word_suffix", None), tokenizer.get_vocab(with_added_tokens=False)
+    if not suffix or not all(c + suffix in vocabulary for c in ByteLevel.alphabet()):
+        return None
+    out = np.zeros(max(tokenizer.get_vocab(with_added_tokens=True).values()) + 1, bool)
+    out[[i for token, i in vocabulary.items() if token.endswith(suffix)]] = True
+    return out
+
+
+@functools.lru_cache(maxsize=1)
+def encoder_at(path: str, changed: int) -> WordEncoder | PlainEncoder:
+    """The encoder of a tokenizer's file as of ``changed``; a Python worker keeps it, and the words it knows, for its next tasks."""
+    tokenizer = load_tokenizer(path)
+    return (WordEncoder if splits_at_space(tokenizer) else PlainEncoder)(tokenizer)
 
 
 def _filesystem(path: str):
@@ -306,9 +355,8 @@ def _write(folder: str, tokenizer_path: str, end_id: int, file_tokens: int, file
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         part = TaskContext.get().partitionId()
         store, base = _filesystem(folder)
-        tokenizer = load_tokenizer(tokenizer_path)
-        encoder = (WordEncoder if splits_at_space(tokenizer) else PlainEncoder)(tokenizer)
-        dtype = "<u2" if max(tokenizer.get_vocab_size(with_added_tokens=True) - 1, end_id) < 1 << 16 else "<u4"
+        encoder = encoder_at(tokenizer_path, os.stat(tokenizer_path).st_mtime_ns)
+        dtype = "<u2" if max(encoder.tokenizer.get_vocab_size(with_added_tokens=True) - 1, end_id) < 1 << 16 else "<u4"
         held: list[np.ndarray] = []
         docs: list[int | None] = []
         tokens = number = 0

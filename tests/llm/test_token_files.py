@@ -131,3 +131,65 @@ def test_edges(spark, tokenizer):
     assert [r[1:] for r in rows[2:]] == [r[1:] for r in plain_report([(0, "a"), (0, "b"), (0, "y"), (0, None), (0, ""), (0, ""), (0, " \n "), (0, long),
                                                                       (0, "x")], tokenizer)[2:]]
     assert T.token_report(docs.limit(0)).count() == 0
+
+
+def test_a_word_before_punctuation_is_known_in_every_script(tokenizer):
+    encoder = T.WordEncoder(tokenizer)
+    texts = ["été été. été, (été)", "жук жук!? ЖУК;", "naïf x² x²."]
+    for text, ids in zip(texts, encoder.encode(pa.array(texts)), strict=True):
+        assert ids.tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+    assert set(encoder.pieces) == {"", "été", "(été", ".", ",", ")", "жук", "ЖУК", "!?", ";", "naïf", "x²"}
+
+
+class Counted:
+    """A tokenizer that counts the pieces given to it one by one."""
+
+    def __init__(self, tokenizer):
+        self.tokenizer, self.pieces = tokenizer, 0
+
+    def __getattr__(self, name):
+        return getattr(self.tokenizer, name)
+
+    def encode(self, given, is_pretokenized=False, **more):
+        self.pieces += len(given) if is_pretokenized else 0
+        return self.tokenizer.encode(given, is_pretokenized=is_pretokenized, **more)
+
+
+def test_new_words_are_encoded_as_one_text(tokenizer):
+    counted = Counted(tokenizer)
+    words = [f"{a}{b}{c}" for a in "abcdefghxyzé" for b in "aeioué" for c in "lmnñ"]
+    found = T.WordEncoder(counted).encode(pa.array([" ".join(words), "1x, a-b. " + words[0]]))
+    assert [x.tolist() for x in found] == [tokenizer.encode(t, add_special_tokens=False).ids for t in (" ".join(words), "1x, a-b. " + words[0])]
+    assert counted.pieces == 4  # 1x and a-b and the punctuation behind them
+
+
+def test_letters_that_are_several_pieces(tokenizer, monkeypatch):
+    monkeypatch.setattr(T, "JOINED", 50)
+    letters = [chr(c) for c in [*range(0x41, 0x3000), *range(0xF900, 0xFFFF), *range(0x10400, 0x10500)] if not 0xD800 <= c < 0xE000]
+    for word in (lambda c: c, lambda c: f"a{c}.", lambda c: f"{c}'s!", lambda c: f"É{c}b{c}\","):
+        texts = [word(c) for c in letters]
+        want = [e.ids for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        assert [x.tolist() for x in T.WordEncoder(tokenizer).encode(pa.array(texts))] == want
+    marked = T.WordEncoder(tokenizer)
+    marked.ends = np.ones_like(marked.ends)  # no count of ends fits: every piece is encoded apart
+    assert [x.tolist() for x in marked.encode(pa.array(["one unbelievable thing"]))] == [tokenizer.encode("one unbelievable thing", add_special_tokens=False).ids]
+
+
+def test_a_worker_loads_a_tokenizer_once(tmp_path, monkeypatch):
+    import os
+    import shutil
+
+    path = str(shutil.copy(PATH, tmp_path / "tokenizer.json"))
+    loaded, load = [], T.load_tokenizer
+    monkeypatch.setattr(T, "load_tokenizer", lambda p: loaded.append(p) or load(p))
+    first = T.encoder_at(path, os.stat(path).st_mtime_ns)
+    assert T.encoder_at(path, os.stat(path).st_mtime_ns) is first and len(loaded) == 1
+    assert T.encoder_at(path, 0) is not first and len(loaded) == 2  # another file stands there
+
+
+def test_no_ends_where_ids_do_not_mark_them():
+    from tokenizers import Tokenizer, models
+
+    assert T.word_ends(Tokenizer(models.BPE(vocab={"a": 0, "b": 1}, merges=[]))) is None
+    assert T.word_ends(Tokenizer(models.BPE(vocab={"a</w>": 0}, merges=[], end_of_word_suffix="</w>"))) is None
+    assert T.word_ends(Tokenizer(models.WordLevel({"a": 0}, unk_token="a"))) is None
