@@ -6,8 +6,9 @@ cell scores above cos(angle to the centroid − radius) for a query.
 
 * ``knn_pruned``: a query first meets its nearest cells until they hold ``floor`` rows; its k-th score
   there rules out every cell whose bound is lower, and only the rest is searched. Same rows as ``knn_exact``.
+  For the rest, cells lie side by side in blocks of bounded size: a query is sent to a block once, with its cells there as bits, not once a cell.
 * ``knn_codes``: the same cells are scanned by codes instead of vectors, one byte per ``subspaces``-th part of a row's
-  difference from its centroid. A score is q·centroid plus a table entry per byte, and the tables depend on the query alone.
+  difference from its centroid. A score is that of the vector a code stands for, decoded a cell at a time.
   The best max(10·k, 50) rows by code of each query are re-ranked by their vectors.
 
 Codebooks are trained per part in a task of its own, on a sample of at most ``SAMPLE_VALUES`` values drawn by a hash of the
@@ -23,7 +24,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cartwheel.functions import scalars as S
-from cartwheel.operators.vectors import centroids_of, fit_cells, knn_exact, vector_matrix
+from cartwheel.operators.pairwise import MOST_PARTS
+from cartwheel.operators.vectors import CORPUS_VALUES, SLICE_VALUES, _arrow_type, _best, centroids_of, fit_cells, knn_exact, vector_matrix
 from cartwheel.session import written
 
 if TYPE_CHECKING:
@@ -34,6 +36,12 @@ CELL_ROWS = 500
 FLOOR = 50
 SAMPLE_VALUES = 4_000_000
 CODE_ROWS = 200_000  # coded rows of a block
+CODE_QUERY_VALUES = 500_000  # vector values of the queries that meet a block of codes
+QUERY_VALUES = 2_000_000  # and of those that meet a block of vectors
+BLOCKS = 16  # of an index, at least, of
+LEAST_ROWS = 4096  # rows each, at least
+CELL_STEP = 4096  # rows of a cell scored at once
+PROBE_ROWS = 256  # queries that choose their cells at once
 
 
 @dataclass
@@ -80,35 +88,183 @@ def build_cells(corpus: DataFrame, n_cells: int | None = None, id_col: str = "id
     return Cells(found.drop("angle"), c, radius, size)
 
 
-def _probes(cells: Cells, floor: int, bounded: bool):
-    """mapInArrow over queries: the nearest cells that hold ``floor`` rows; or, given a k-th score, what else may beat it."""
+@dataclass
+class Layout:
+    """Blocks of an index: ``members`` (the cells of each block), and per cell its first block and the number of its blocks."""
+
+    members: list["np.ndarray"]
+    first: "np.ndarray"
+    count: "np.ndarray"
+
+
+def layout(cells: Cells, most_rows: int) -> Layout:
+    """Blocks of at most ``most_rows`` rows, about: cells side by side, a larger cell as several blocks (dealt by a hash of the ids).
+
+    There are some ``BLOCKS`` blocks unless they would be small.
+    """
+    import numpy as np
+
+    rows = max(1, min(most_rows, max(LEAST_ROWS, -(-int(cells.size.sum()) // BLOCKS))))
+    members: list[list[int]] = []
+    first, count, held = np.zeros(len(cells.size), np.int64), np.ones(len(cells.size), np.int64), rows
+    for cell, n in enumerate(cells.size.tolist()):
+        if not members or held + n > rows:
+            count[cell] = max(1, -(-n // rows))
+            first[cell], held = len(members), 0
+            members += [[] for _ in range(count[cell])]
+        else:
+            first[cell] = len(members) - 1
+        for b in range(first[cell], first[cell] + count[cell]):
+            members[b].append(cell)
+        held = held + n if count[cell] == 1 else rows
+    return Layout([np.array(m) for m in members], first, count)
+
+
+def _in_blocks(rows: DataFrame, at: Layout) -> DataFrame:
+    """Rows (id, cell, …) with their ``block``."""
+    of = lambda per_cell: F.element_at(F.array(*[F.lit(int(v)) for v in per_cell]), F.col("cell") + 1)
+    return rows.withColumn("block", (of(at.first) + F.pmod(F.xxhash64("id", F.lit(3)), of(at.count))).cast("int"))
+
+
+def _probes(cells: Cells, floor: int, bounded: bool, at: Layout | None = None):
+    """mapInArrow over queries: the nearest cells that hold ``floor`` rows; or, given a k-th score, what else may beat it.
+
+    A row per query and cell; or, with a layout, one per query and block, with the k-th score (null at first) and the cells as bits.
+    """
     import numpy as np
     import pyarrow as pa
 
     c, radius, size = cells.centroids, cells.radius, cells.size
 
+    def chosen(qvec: "np.ndarray", low: "np.ndarray") -> "np.ndarray":
+        cos = np.clip(qvec @ c.T, -1.0, 1.0)
+        cos[:, size == 0] = -2.0
+        order = np.argsort(-cos, axis=1, kind="stable")
+        held = np.cumsum(size[order], axis=1) - size[order]
+        first = np.zeros(cos.shape, bool)
+        np.put_along_axis(first, order, (held < floor) & (size[order] > 0), axis=1)
+        if not bounded:
+            return first
+        best = np.cos(np.maximum(np.arccos(np.clip(cos, -1.0, 1.0)) - radius[None, :], 0.0)) + 1e-7
+        return ~first & (size > 0)[None, :] & ~(best < low[:, None])  # no k-th score: every cell
+
     def run(batches):
-        for rb in batches:
-            if not rb.num_rows or not size.any():
+        for rb in (batch.slice(s, PROBE_ROWS) for batch in batches for s in range(0, batch.num_rows, PROBE_ROWS)):
+            if not size.any():
+                continue
+            low = rb.column("low").to_numpy(zero_copy_only=False) if bounded else np.full(rb.num_rows, np.nan)
+            met = chosen(vector_matrix(rb.column("qvec")), low)
+            if at is None:
+                q, cell = np.nonzero(met)
+                yield pa.RecordBatch.from_arrays([rb.column("qid").take(pa.array(q)), rb.column("qvec").take(pa.array(q)), pa.array(cell.astype("int32"))],
+                                                 names=["qid", "qvec", "cell"])
                 continue
-            cos = np.clip(vector_matrix(rb.column("qvec")) @ c.T, -1.0, 1.0)
-            cos[:, size == 0] = -2.0
-            order = np.argsort(-cos, axis=1, kind="stable")
-            held = np.cumsum(size[order], axis=1) - size[order]
-            first = np.zeros(cos.shape, bool)
-            np.put_along_axis(first, order, (held < floor) & (size[order] > 0), axis=1)
-            if bounded:
-                best = np.cos(np.maximum(np.arccos(np.clip(cos, -1.0, 1.0)) - radius[None, :], 0.0)) + 1e-7
-                low = rb.column("low").to_numpy(zero_copy_only=False)
-                chosen = ~first & (size > 0)[None, :] & ~(best < low[:, None])  # no k-th score: every cell
-            else:
-                chosen = first
-            q, cell = np.nonzero(chosen)
-            yield pa.RecordBatch.from_arrays([rb.column("qid").take(pa.array(q)), rb.column("qvec").take(pa.array(q)), pa.array(cell.astype("int32"))],
-                                             names=["qid", "qvec", "cell"])
+            for b, members in enumerate(at.members):
+                q = np.flatnonzero(met[:, members].any(axis=1))
+                if len(q):
+                    bits = np.packbits(met[np.ix_(q, members)], axis=1)
+                    yield pa.RecordBatch.from_arrays(
+                        [rb.column("qid").take(pa.array(q)), rb.column("qvec").take(pa.array(q)), pa.array(low[q], from_pandas=True),
+                         pa.array(np.full(len(q), b, np.int32)), pa.array([x.tobytes() for x in bits], pa.binary()),
+                         pa.array(met[np.ix_(q, members)].sum(axis=1))], names=["qid", "qvec", "low", "block", "cells", "met"])
+    return run
+
+
+PROBE = "low double, block int, cells binary, met bigint"
+
+
+def _best_of_block(at: Layout, keep: int, digits: int | None, schema, vectors_of):
+    """cogroup applyInArrow over a block of queries (as ``_probes``) and a block of rows: each query's best rows in its cells.
+
+    Scores are taken a cell and a bounded number at once. What is below a query's ``low``, or its ``keep``-th score so far, goes at once.
+    ``vectors_of(rows)`` gives a function from places to vectors.
+    """
+    import numpy as np
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    margin = 10.0 ** -digits if digits is not None else 0.0  # rounded scores tie further apart
+
+    def run(key, queries: pa.Table, rows: pa.Table) -> pa.Table:
+        if not queries.num_rows or not rows.num_rows:
+            return schema.empty_table()
+        members = at.members[key[1].as_py()]
+        q = vector_matrix(queries.column("qvec").combine_chunks())
+        bits = np.frombuffer(b"".join(queries.column("cells").to_pylist()), np.uint8).reshape(len(q), -1)
+        low = np.nan_to_num(queries.column("low").to_numpy(), nan=-np.inf, posinf=np.inf, neginf=-np.inf)
+        ids = rows.column("id").combine_chunks()
+        code = pc.rank(ids, sort_keys="ascending", null_placement="at_start", tiebreaker="dense").to_numpy().astype(np.int64)
+        cell = rows.column("cell").to_numpy()
+        order, vectors = np.argsort(cell, kind="stable"), vectors_of(rows)
+        starts, ends = (np.searchsorted(cell[order], members, side) for side in ("left", "right"))
+        held, fresh, n = [np.zeros(0, np.int64), np.zeros(0), np.zeros(0, np.int64)], [], 0
+
+        def tightened() -> list:
+            who, score, place = (np.concatenate(p) for p in zip(held, *fresh, strict=True))
+            best = _best(who, score, code[place], keep)
+            who, score, place = who[best], score[best], place[best]
+            last = np.flatnonzero(np.diff(who, append=-1))
+            full = last[np.diff(last, prepend=-1) == keep]
+            low[who[full]] = np.maximum(low[who[full]], score[full] - margin)
+            return [who, score, place]
+
+        for j in range(len(members)):
+            asked = np.flatnonzero(bits[:, j >> 3] & (128 >> (j & 7)))
+            for s in range(starts[j], ends[j], CELL_STEP) if len(asked) else ():
+                places = order[s:min(s + CELL_STEP, ends[j])]
+                x = vectors(places)
+                step = max(1, SLICE_VALUES // len(places))
+                for t in range(0, len(asked), step):
+                    who = asked[t:t + step]
+                    score, least = q[who] @ x.T, low[who]
+                    new = np.isneginf(least)
+                    if len(places) > keep and new.any():
+                        least[new] = np.partition(score[new], len(places) - keep, axis=1)[:, len(places) - keep] - margin
+                    i, r = np.nonzero(score >= least[:, None])
+                    score = score[i, r]
+                    fresh.append((who[i], np.round(score, digits) if digits is not None else score, places[r]))
+                    n += len(i)
+                    if n > SLICE_VALUES:
+                        held, fresh, n = tightened(), [], 0
+        who, score, place = tightened()
+        found = {"qid": queries.column("qid").combine_chunks().take(pa.array(who)), "id": ids.take(pa.array(place)), "score": pa.array(score),
+                 "cell": pa.array(cell[place], pa.int32())}
+        return pa.Table.from_arrays([found[n] for n in schema.names], schema=schema)
     return run
 
 
+def _rescored(schema):
+    """cogroup applyInArrow over a block of queries, each with the ids of its candidates there, and a block of rows: exact scores."""
+    import numpy as np
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    def run(queries: pa.Table, rows: pa.Table) -> pa.Table:
+        if not queries.num_rows or not rows.num_rows:
+            return schema.empty_table()
+        q, x = (vector_matrix(t.column(c).combine_chunks()) for t, c in ((queries, "qvec"), (rows, "embedding")))
+        ids, asked = rows.column("id").combine_chunks(), queries.column("ids").combine_chunks()
+        wanted = pc.list_flatten(asked)
+        code = pc.rank(pa.concat_arrays([ids, wanted]), sort_keys="ascending", tiebreaker="dense").to_numpy()
+        order = np.argsort(code[:len(ids)], kind="stable")
+        start, end = (np.searchsorted(code[:len(ids)][order], code[len(ids):], side) for side in ("left", "right"))
+        n = end - start
+        who = np.repeat(np.repeat(np.arange(len(q)), pc.list_value_length(asked).to_numpy()), n)
+        place = order[np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(start, n)]
+        step = max(1, SLICE_VALUES // max(1, x.shape[1]))
+        score = np.concatenate([np.zeros(0), *[np.einsum("ij,ij->i", q[who[s:s + step]], x[place[s:s + step]]) for s in range(0, len(who), step)]])
+        return pa.Table.from_arrays([queries.column("qid").combine_chunks().take(pa.array(who)), ids.take(pa.array(place)), pa.array(score)], schema=schema)
+    return run
+
+
+def _meeting(queries: DataFrame, rows: DataFrame, blocks: int, query_blocks: int):
+    """Both sides by (qb, block), the rows once for each block of queries; dealt by number, as a block of codes is few bytes and much work."""
+    queries = queries.withColumn("qb", F.pmod(F.xxhash64("qid", F.lit(11)), F.lit(query_blocks)).cast("int"))
+    rows = rows.withColumn("qb", F.explode(F.sequence(F.lit(0), F.lit(query_blocks - 1))))
+    parts = min(MOST_PARTS, 3 * blocks * query_blocks)
+    return tuple(df.repartition(parts, "qb", "block").groupBy("qb", "block") for df in (queries, rows))
+
+
 def _unit_queries(queries: DataFrame, qid: str, qvec: str) -> DataFrame:
     return written(queries.where(F.col(qvec).isNotNull()).select(F.col(qid).alias("qid"), S.l2_normalize(qvec, as_float=False).alias("qvec")), "queries")
 
@@ -122,10 +278,23 @@ def _top(hits: DataFrame, k: int) -> DataFrame:
     return hits.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= F.lit(k))
 
 
-def second_probes(q: DataFrame, cells: Cells, first: DataFrame, k: int, floor: int) -> DataFrame:
-    """(qid, qvec, cell) of the cells a query's k-th score of the first pass does not rule out."""
+def second_probes(q: DataFrame, cells: Cells, first: DataFrame, k: int, floor: int, at: Layout) -> DataFrame:
+    """(qid, qvec, low, block, cells, met): by block, the cells a query's k-th score of the first pass does not rule out."""
     low = first.where(F.col("rank") == F.lit(k)).select("qid", F.col("score").alias("low"))
-    return q.join(low, "qid", "left").mapInArrow(_probes(cells, floor, True), _ddl(q, "cell int"))
+    return q.join(low, "qid", "left").mapInArrow(_probes(cells, floor, True, at), _ddl(q, PROBE))
+
+
+def _query_blocks(q: DataFrame, cells: Cells, values: int) -> int:
+    return max(1, -(-q.count() * cells.centroids.shape[1] // values))
+
+
+def _found_in(q: DataFrame, cells: Cells, more: list[tuple]) -> tuple:
+    """Arrow schema and DDL of (qid, id, score) and more columns."""
+    import pyarrow as pa
+
+    types = [q.schema["qid"].dataType, cells.rows.schema["id"].dataType]
+    schema = pa.schema([("qid", _arrow_type(types[0])), ("id", _arrow_type(types[1])), ("score", pa.float64()), *more])
+    return schema, f"qid {types[0].simpleString()}, id {types[1].simpleString()}, score double" + "".join(f", {n} {t}".replace("int32", "int") for n, t in more)
 
 
 def knn_pruned(queries: DataFrame, cells: Cells, k: int = 5, qid: str = "qid", qvec: str = "qvec", digits: int | None = None,
@@ -136,11 +305,15 @@ def knn_pruned(queries: DataFrame, cells: Cells, k: int = 5, qid: str = "qid", q
     """
     q = _unit_queries(queries, qid, qvec)
     floor = max(floor, k)
-    search = lambda probes: knn_exact(probes, cells.rows, k, digits=digits, q_category="cell", category="cell").drop("rank")
-    near = written(search(q.mapInArrow(_probes(cells, floor, False), _ddl(q, "cell int"))), "near-hits")
+    near = written(knn_exact(q.mapInArrow(_probes(cells, floor, False), _ddl(q, "cell int")), cells.rows, k, digits=digits, q_category="cell",
+                             category="cell").drop("rank"), "near-hits")
     # Rounded scores tie further apart: the bound gives way by the rounding.
     kth = _top(near, k).withColumn("score", F.col("score") - F.lit(10.0 ** -digits if digits is not None else 0.0))
-    more = search(written(second_probes(q, cells, kth, k, floor), "more-probes"))
+    at = layout(cells, CORPUS_VALUES // cells.centroids.shape[1])
+    schema, ddl = _found_in(q, cells, [])
+    left, right = _meeting(second_probes(q, cells, kth, k, floor, at), _in_blocks(cells.rows, at), len(at.members), _query_blocks(q, cells, QUERY_VALUES))
+    vectors_of = lambda rows: (lambda x: lambda places: x[places])(vector_matrix(rows.column("embedding").combine_chunks()))
+    more = left.cogroup(right).applyInArrow(_best_of_block(at, k, digits, schema, vectors_of), ddl)
     return _top(near.unionByName(more), k)
 
 
@@ -150,7 +323,10 @@ def skipped_share(queries: DataFrame, cells: Cells, k: int = 5, qid: str = "qid"
     floor = max(floor, k)
     probes = q.mapInArrow(_probes(cells, floor, False), _ddl(q, "cell int"))
     kth = _top(knn_exact(probes, cells.rows, k, q_category="cell", category="cell").drop("rank"), k)
-    made = probes.count() + second_probes(q, cells, kth, k, floor).count()
+    import numpy as np
+
+    whole = Layout([np.arange(len(cells.size))], np.zeros(len(cells.size), np.int64), np.ones(len(cells.size), np.int64))
+    made = probes.count() + (second_probes(q, cells, kth, k, floor, whole).agg(F.sum("met")).first()[0] or 0)
     return 1.0 - made / max(q.count() * int((cells.size > 0).sum()), 1)
 
 
@@ -163,7 +339,7 @@ def parts_of(dim: int, subspaces: int) -> list[tuple[int, int]]:
 
 
 def _train(centroids: "np.ndarray", spans: list[tuple[int, int]], values: int, seed: int, rounds: int = 12):
-    """applyInArrow over the sample, a group per part: the part's codebook by Lloyd's rounds."""
+    """applyInArrow over the sample's vectors, cut to a part in a group of its own: the part's codebook by Lloyd's rounds."""
     import numpy as np
     import pyarrow as pa
 
@@ -171,10 +347,11 @@ def _train(centroids: "np.ndarray", spans: list[tuple[int, int]], values: int, s
         part = table.column("part")[0].as_py()
         a, b = spans[part]
         table = table.take(pa.array(np.argsort(np.array(table.column("_h").to_pylist()), kind="stable")))
-        x = (vector_matrix(table.column("embedding").combine_chunks()) - centroids[table.column("cell").to_numpy()])[:, a:b]
+        x = vector_matrix(table.column("embedding").combine_chunks()) - centroids[table.column("cell").to_numpy(), a:b]
         book = x[np.random.default_rng(seed + part).permutation(len(x))[:values]].copy()
+        step = max(1, SLICE_VALUES // len(book))
         for _ in range(rounds):
-            near = ((book * book).sum(axis=1)[None, :] - 2 * x @ book.T).argmin(axis=1)
+            near = np.concatenate([((book * book).sum(axis=1)[None, :] - 2 * x[s:s + step] @ book.T).argmin(axis=1) for s in range(0, len(x), step)])
             n = np.bincount(near, minlength=len(book))
             total = np.zeros_like(book)
             np.add.at(total, near, x)
@@ -191,7 +368,8 @@ def fit_codebooks(cells: Cells, subspaces: int = 16, values: int = 256, seed: in
     spans = parts_of(dim, min(subspaces, dim))
     share = min(1.0, sample_values / max(n * dim, 1))
     drawn = cells.rows.withColumn("_h", F.xxhash64("id", F.lit(seed))).where(F.pmod("_h", F.lit(1 << 20)) < F.lit(int(share * (1 << 20))))
-    found = (drawn.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(len(spans) - 1)))).groupBy("part")
+    cuts = F.array(*[F.struct(F.lit(i).alias("part"), F.slice("embedding", a + 1, b - a).alias("embedding")) for i, (a, b) in enumerate(spans)])
+    found = (drawn.select("_h", "cell", F.inline(cuts)).groupBy("part")
              .applyInArrow(_train(cells.centroids, spans, values, seed), "part int, book array<array<double>>").collect())
     books = {r["part"]: np.array(r["book"]) for r in found}
     return [books.get(i, np.zeros((1, b - a))) for i, (a, b) in enumerate(spans)]
@@ -215,26 +393,15 @@ def encode(cells: Cells, books: list["np.ndarray"]) -> DataFrame:
     return written(cells.rows.mapInArrow(run, f"id {key}, cell int, code binary"), "codes")
 
 
-def _scan(books: list["np.ndarray"], centroids: "np.ndarray", keep: int, schema):
-    """cogroup applyInArrow over one block of a cell: each query's best rows by code."""
+def _decoded(books: list["np.ndarray"], centroids: "np.ndarray"):
+    """From a block of codes, a function from places of one cell to the vectors its codes stand for."""
     import numpy as np
-    import pyarrow as pa
-
-    spans = parts_of(centroids.shape[1], len(books))
 
-    def run(key, queries: pa.Table, rows: pa.Table) -> pa.Table:
-        if not queries.num_rows or not rows.num_rows:
-            return schema.empty_table()
-        q = vector_matrix(queries.column("qvec").combine_chunks())
+    def vectors_of(rows):
         code = np.frombuffer(b"".join(rows.column("code").to_pylist()), np.uint8).reshape(rows.num_rows, len(books))
-        score = np.repeat((q @ centroids[key[0].as_py()])[:, None], rows.num_rows, axis=1)
-        for i, (m, (a, b)) in enumerate(zip(books, spans, strict=True)):
-            score += (q[:, a:b] @ m.T)[:, code[:, i]]
-        at = np.argpartition(-score, keep - 1, axis=1)[:, :keep] if rows.num_rows > keep else np.tile(np.arange(rows.num_rows), (len(q), 1))
-        who = np.repeat(np.arange(len(q)), at.shape[1])
-        return pa.Table.from_arrays([queries.column("qid").combine_chunks().take(pa.array(who)), rows.column("id").combine_chunks().take(pa.array(at.ravel())),
-                                     pa.array(score[who, at.ravel()])], schema=schema)
-    return run
+        cell = rows.column("cell").to_numpy()
+        return lambda places: centroids[cell[places]] + np.concatenate([m[code[places, i]] for i, m in enumerate(books)], axis=1)
+    return vectors_of
 
 
 def knn_codes(queries: DataFrame, cells: Cells, codes: DataFrame, books: list["np.ndarray"], k: int = 5, qid: str = "qid", qvec: str = "qvec",
@@ -246,24 +413,23 @@ def knn_codes(queries: DataFrame, cells: Cells, codes: DataFrame, books: list["n
     """
     import pyarrow as pa
 
-    from cartwheel.operators.vectors import _arrow_type
-
     floor = floor or max(10 * k, FLOOR)
     q = _unit_queries(queries, qid, qvec)
-    types = [q.schema["qid"].dataType, cells.rows.schema["id"].dataType]
-    schema = pa.schema([("qid", _arrow_type(types[0])), ("id", _arrow_type(types[1])), ("score", pa.float64())])
-    blocks = max(1, -(-int(cells.size.max()) // CODE_ROWS))
-    dealt = codes.withColumn("block", F.pmod(F.xxhash64("id", F.lit(3)), F.lit(blocks)).cast("int"))
+    at, query_blocks = layout(cells, CODE_ROWS), _query_blocks(q, cells, CODE_QUERY_VALUES)
+    schema, ddl = _found_in(q, cells, [("cell", pa.int32())])
+    dealt = _in_blocks(codes, at)
 
     def scan(probes: DataFrame) -> DataFrame:
-        spread = probes.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-        return spread.groupBy("cell", "block").cogroup(dealt.groupBy("cell", "block")).applyInArrow(
-            _scan(books, cells.centroids, floor, schema), f"qid {types[0].simpleString()}, id {types[1].simpleString()}, score double")
-
-    near = written(scan(q.mapInArrow(_probes(cells, floor, False), _ddl(q, "cell int"))), "near-codes")
-    more = scan(written(second_probes(q, cells, _top(near, floor), floor, floor), "more-probes"))
-    candidates = _top(near.unionByName(more), floor).select("qid", "id")
-    score = S.dot("qvec", "embedding")
-    exact = (candidates.join(cells.rows.select("id", "embedding"), "id").join(q, "qid")
-             .select("qid", "id", (F.round(score, digits) if digits is not None else score).alias("score")))
-    return _top(exact, k)
+        left, right = _meeting(probes, dealt, len(at.members), query_blocks)
+        return left.cogroup(right).applyInArrow(_best_of_block(at, floor, None, schema, _decoded(books, cells.centroids)), ddl)
+
+    near = written(scan(q.mapInArrow(_probes(cells, floor, False, at), _ddl(q, PROBE))), "near-codes")
+    more = scan(second_probes(q, cells, _top(near, floor), floor, floor, at))
+    candidates = _top(near.unionByName(more), floor).where(F.col("id").isNotNull()).select("qid", "id", "cell")
+    # Candidates meet the vectors by blocks, as queries do: a vector is sent once a block of queries, not once a candidate.
+    at = layout(cells, CORPUS_VALUES // cells.centroids.shape[1])
+    schema, ddl = _found_in(q, cells, [])
+    asked = q.join(_in_blocks(candidates, at).groupBy("qid", "block").agg(F.collect_list("id").alias("ids")), "qid")
+    left, right = _meeting(asked, _in_blocks(cells.rows, at), len(at.members), _query_blocks(q, cells, QUERY_VALUES))
+    exact = left.cogroup(right).applyInArrow(_rescored(schema), ddl)
+    return _top(exact.withColumn("score", F.round("score", digits)) if digits is not None else exact, k)

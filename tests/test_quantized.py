@@ -75,3 +75,28 @@ def test_edges(spark):
         assert Q.knn_codes(qs, cells, Q.encode(cells, books), books).count() == 12 * n
     assert Q.knn_pruned(qs.limit(0), Q.build_cells(df), k=5).count() == 0
     assert VX.knn_exact(qs, df, k=2).count() == 24
+
+
+def test_a_query_is_sent_once_a_block(spark, monkeypatch):
+    """Blocks of few rows, several to a large cell: the same hits, and as many probes as blocks, not as cells."""
+    monkeypatch.setattr(Q, "LEAST_ROWS", 60)
+    monkeypatch.setattr(Q, "CODE_ROWS", 60)
+    monkeypatch.setattr(Q, "CORPUS_VALUES", 60 * 12)
+    monkeypatch.setattr(Q, "QUERY_VALUES", 12 * 5)
+    rng = np.random.default_rng(4)
+    x, q = rng.normal(size=(400, 12)), rng.normal(size=(12, 12))
+    x[100:300] = x[100]  # a cell larger than a block
+    df = spark.createDataFrame([(i, r.tolist()) for i, r in enumerate(x)], "id bigint, embedding array<double>")
+    qs = spark.createDataFrame([(i, r.tolist()) for i, r in enumerate(q)], "qid bigint, qvec array<double>")
+    cells = Q.build_cells(df, n_cells=40)
+    at = Q.layout(cells, 60)
+    assert cells.size.max() > 60 and sum(cells.size) == 400 and 7 <= len(at.members) < 20
+    assert sorted({int(c) for m in at.members for c in m}) == list(range(len(cells.size)))
+    none = qs.select(F.lit(-1).cast("bigint").alias("qid"), F.lit(5).alias("rank"), F.lit(0.0).alias("score"))
+    every = Q.second_probes(Q._unit_queries(qs, "qid", "qvec"), cells, none, 5, 1, at)
+    assert every.groupBy("qid", "block").count().where("count > 1").isEmpty() and every.count() <= 12 * len(at.members)
+    assert answers(Q.knn_pruned(qs, cells, k=5, digits=6)) == plain(x, q, 5)
+    books = Q.fit_codebooks(cells, subspaces=12, values=256)
+    got, best = answers(Q.knn_codes(qs, cells, Q.encode(cells, books), books, k=5)), plain(x, q, 5)
+    near = lambda i, ids: (x[ids] @ q[i]) / np.linalg.norm(x[ids], axis=1)
+    assert all(len(v) == 5 for v in got.values()) and np.mean([near(i, got[i]) >= near(i, best[i][-1:]) - 1e-6 for i in best]) >= 0.9

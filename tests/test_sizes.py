@@ -7,6 +7,7 @@ import pyarrow as pa
 from pyspark.sql import functions as F
 
 from cartwheel.operators import components as CC
+from cartwheel.operators import quantized as QZ
 from cartwheel.operators import vectors as VX
 from cartwheel.plans import fixtures as FX
 from cartwheel.sources import jsonl as J
@@ -39,6 +40,36 @@ def test_scores_of_a_query_block_are_sliced():
     assert all(np.allclose([s for s, _ in sorted(got[i])], best[i]) for i in range(6000))
 
 
+def test_scores_of_cells_are_sliced():
+    rng = np.random.default_rng(5)
+    q, x = rng.normal(size=(6000, 4)), rng.normal(size=(4000, 4))
+    cell = rng.integers(0, 3, 4000)
+    at = QZ.Layout([np.array([0, 1, 2])], np.zeros(3, np.int64), np.ones(3, np.int64))
+    schema = pa.schema([("qid", pa.int64()), ("id", pa.int64()), ("score", pa.float64())])
+    bits = np.packbits(np.ones((6000, 3), bool), axis=1)
+    queries = pa.table({"qid": np.arange(6000), "qvec": lists(q), "low": pa.array([None] * 6000, pa.float64()), "cells": pa.array([b.tobytes() for b in bits], pa.binary())})
+    rows = pa.table({"id": np.arange(4000), "embedding": lists(x), "cell": pa.array(cell, pa.int32())})
+    vectors_of = lambda t: lambda places: x[places]
+    out, most = peak(lambda: QZ._best_of_block(at, 3, None, schema, vectors_of)((pa.scalar(0), pa.scalar(0)), queries, rows))
+    assert most < 150e6  # all scores are 192 MB
+    best = np.sort(-(q @ x.T), axis=1)[:, :3]
+    got = {}
+    for r in out.to_pylist():
+        got.setdefault(r["qid"], []).append((-r["score"], r["id"]))
+    assert all(np.allclose([s for s, _ in sorted(got[i])], best[i]) for i in range(6000))
+
+
+def test_queries_choose_cells_in_slices():
+    rng = np.random.default_rng(6)
+    unit = lambda m: m / np.linalg.norm(m, axis=1)[:, None]
+    cells = QZ.Cells(None, unit(rng.normal(size=(1000, 16))), np.full(1000, 1.5), np.full(1000, 500))
+    rb = pa.RecordBatch.from_arrays([pa.array(np.arange(2000)), lists(unit(rng.normal(size=(2000, 16)))), pa.array(np.zeros(2000))], names=["qid", "qvec", "low"])
+    def largest():
+        return max((b.num_rows, b.nbytes) for b in QZ._probes(cells, 50, True, QZ.layout(cells, 50_000))([rb]))
+    (rows, size), most = peak(largest)
+    assert rows <= QZ.PROBE_ROWS and size < 1e6 and most < 100e6  # by cell: 2 million rows, 256 MB, in one batch
+
+
 def test_tiles_of_cosines_are_sliced():
     rng = np.random.default_rng(1)
     x, y = rng.normal(size=(4000, 3)), rng.normal(size=(5000, 3))
