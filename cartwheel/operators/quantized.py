@@ -220,7 +220,7 @@ def _best_of_block(at: Layout, keep: int, digits: int | None, schema, vectors_of
                     new = np.isneginf(least)
                     if len(places) > keep and new.any():
                         least[new] = np.partition(score[new], len(places) - keep, axis=1)[:, len(places) - keep] - margin
-                    i, r = np.nonzero(score >= least[:, None])
+                    i, r = np.divmod(np.flatnonzero(score >= least[:, None]), score.shape[1])
                     score = score[i, r]
                     fresh.append((who[i], np.round(score, digits) if digits is not None else score, places[r]))
                     n += len(i)
