@@ -10,6 +10,7 @@ from cartwheel.operators import components as CC
 from cartwheel.operators import quantized as QZ
 from cartwheel.operators import vectors as VX
 from cartwheel.plans import fixtures as FX
+from cartwheel.session import SHUFFLE_CLEANUP, written
 from cartwheel.sources import jsonl as J
 
 
@@ -116,3 +117,20 @@ def test_a_language_is_several_files_with_ordinals_running_on(spark, tmp_dir):
         kept = [i for i in range(400) if ("en" if i % 5 else "de") == lang and i % 20 not in (3, 7, 11)]
         got = sorted((r.ordinal, int(r.text.split()[1])) for r in rows if r.category == lang)
         assert got == list(enumerate(kept, 1))
+
+
+def test_a_written_table_leaves_no_shuffle_files(spark):
+    import glob
+    import os
+    import time
+
+    top = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()
+    held = lambda: {f for d in top for f in glob.glob(f"{d}/*/shuffle_*.data") if os.path.getsize(f)}
+    before = held()
+    old = spark.conf.get(SHUFFLE_CLEANUP, None)
+    out = written(spark.range(50_000).withColumn("g", F.col("id") % 7919).groupBy("g").agg(F.collect_list("id").alias("ids")), "sums")
+    until = time.time() + 20
+    while held() - before and time.time() < until:
+        time.sleep(0.5)
+    assert not held() - before
+    assert out.count() == 7919 and spark.conf.get(SHUFFLE_CLEANUP, None) == old
